@@ -1,0 +1 @@
+"""Sinks: overwrite writers, text dumps, coefficient tables."""
