@@ -168,3 +168,22 @@ def majority_accuracy(df: DataFrame, label: str, name: str = "majority_pct") ->
     """Accuracy (percent, 2 decimals) of always answering the most frequent label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
     return counts.agg(F.round(F.max("c") / F.sum("c") * 100.0, 2).alias(name))
+
+
+def group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5, name: str = "median") -> DataFrame:
+    """Exact interpolated quantile of ``value`` per group (``quantile_cont``), one row per group.
+
+    A group of any size is ranked by the distributed sort, not gathered into one buffer;
+    only the one or two rows at the target rank reach the final aggregate.
+    """
+    group = list(group)
+    vals = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranked = rank_within(vals, group, ["_v"], name="_r", with_size="_n")
+    h = (F.col("_n") - 1) * F.lit(float(q))
+    near = ranked.where((F.col("_r") == F.floor(h)) | (F.col("_r") == F.ceil(h))).withColumn("_h", h)
+    agg = near.groupBy(*group).agg(
+        F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_v"))).alias("_hi"),
+        F.first("_h").alias("_h"),
+    )
+    return agg.select(*group, (F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))).alias(name))
