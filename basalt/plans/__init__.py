@@ -7,7 +7,7 @@ from __future__ import annotations
 
 
 def _load():
-    from basalt.plans import q_cluster, q_graph, q_linear, q_profile, q_relational, q_tree  # noqa: F401
+    from basalt.plans import q_cluster, q_graph, q_linear, q_profile, q_relational, q_sources, q_tree  # noqa: F401
 
 
 def all_queries():
