@@ -6,6 +6,7 @@ All of these are built-in higher-order functions (``transform``, ``zip_with``,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -21,14 +22,30 @@ def to_double_array(c: str | Column) -> Column:
     return as_col(c).cast("array<double>")
 
 
+def _sql_double(v: float) -> str:
+    v = float(v)
+    if math.isnan(v) or math.isinf(v):
+        return f"CAST('{v}' AS DOUBLE)"
+    return f"{v!r}D"
+
+
+def _sql_vector(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(_sql_double(v) for v in values) + ")" if len(values) else "CAST(array() AS ARRAY<DOUBLE>)"
+
+
 def lit_vector(values: Sequence[float]) -> Column:
-    """A literal ARRAY<DOUBLE> column."""
-    return F.array(*[F.lit(float(v)).cast("double") for v in values])
+    """A literal ARRAY<DOUBLE> column.
+
+    Built from one SQL expression string (one call into the JVM, folded to a single
+    literal by the optimizer) instead of one ``lit`` per element: per-iteration plans
+    in the iterative operators stay cheap to build and analyze.
+    """
+    return F.expr(_sql_vector(values))
 
 
 def lit_matrix(rows: Sequence[Sequence[float]]) -> Column:
     """A literal ARRAY<ARRAY<DOUBLE>> column (k small rows, e.g. centroids)."""
-    return F.array(*[lit_vector(r) for r in rows])
+    return F.expr("array(" + ", ".join(_sql_vector(r) for r in rows) + ")")
 
 
 def vsum(c: str | Column) -> Column:

@@ -8,8 +8,10 @@ integer-division variant ``eta * exp(-ceil(i/step))`` (``decay="staircase"``).
 
 Distributed shape: the d-vector of weights (or R×d for a sweep) lives on the driver and
 enters each job as a literal; per row the error is computed with built-in array
-functions; ``posexplode`` + ``groupBy(j)`` sums the gradient with partial aggregation
-(d rows per task cross the shuffle). One job per update, for all runs at once.
+functions; ``posexplode`` + ``groupBy(run, j)`` sums the gradient with partial
+aggregation (R×d rows per task cross the shuffle). One job per update, for all runs at
+once. Literal weights are built from one SQL expression string, so planning an update
+costs a fraction of the job itself.
 """
 
 from __future__ import annotations
@@ -56,7 +58,7 @@ def gradients(data: DataFrame, weights: Sequence[Sequence[float]], feat: str = "
 
 def gradient(data: DataFrame, w: Sequence[float], feat: str = "features", y: str = "y") -> DataFrame:
     """Long form ``(j, g)`` for one weight vector."""
-    return gradients(data, [w], feat, y).where(F.col("run") == 0).select("j", "g")
+    return gradients(data, [w], feat, y).select("j", "g")
 
 
 def fit_many(
