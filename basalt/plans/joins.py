@@ -10,6 +10,7 @@ broadcast directly.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +20,12 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint ``small`` for broadcast only if it has at most ``max_rows`` rows.
 
-    The count is one cheap job over ``small`` (usually an aggregate result); above the bound
-    the DataFrame is returned unhinted and the planner falls back to a shuffle join.
+    The side is persisted (memory, spilling to disk) and counted: one job over it, and the
+    join then reads the persisted rows instead of recomputing them. Above the bound it is
+    returned unhinted and the planner uses a shuffle join.
     """
-    n = small.limit(max_rows + 1).count()
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 
 
