@@ -1,0 +1,6 @@
+"""Streaming: none.
+
+The analyses this library covers read bounded files and tables only (no watermark,
+window, state or late-data handling), so there is no streaming operator. Every operator
+is a DataFrame function and can be applied inside ``foreachBatch`` if a caller streams.
+"""
