@@ -37,20 +37,21 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "basalt"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of the session.
 
-    On a cluster the operator of the cluster sets ``spark.checkpoint.dir`` to a shared
-    file system; we only read it. When it is unset (local tests) we create one under the
-    system temp folder and register it, so ``DataFrame.checkpoint`` works.
+    On a cluster ``spark.checkpoint.dir`` (or ``SparkContext.setCheckpointDir``) names a
+    shared file system; we only read it. When neither is set (local tests, bench) we create
+    a temp folder and register it, so ``DataFrame.checkpoint`` and scratch tables work.
     """
+    jsc = spark.sparkContext._jsc.sc()
+    current = jsc.getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="basalt-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
+    spark.sparkContext.setCheckpointDir(conf_dir)
+    return jsc.getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
