@@ -16,6 +16,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basalt.plans.joins import broadcast_if_small
+
 _PID = "__pid"
 _LOCAL = "__local"
 
@@ -78,7 +80,10 @@ def rank_within(
     for i, g in enumerate(group):
         c = indexed[g].eqNullSafe(starts[f"__g{i}"])
         cond = c if cond is None else cond & c
-    out = indexed.join(starts, on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
+    # One row per group: broadcast when the measured group count allows (the big side is
+    # then not shuffled at all, so a hot group never lands in one reducer); beyond the
+    # bound a shuffle join with AQE skew-join splitting handles hot groups.
+    out = indexed.join(broadcast_if_small(starts), on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
     return out.withColumn(name, F.col("__gpos") - F.col("__gstart")).drop("__gpos", "__gstart")
 
 
