@@ -96,6 +96,8 @@ class KMeansResult:
     history: list[tuple[int, int, int]] = field(default_factory=list)  # (iteration, unconverged, k)
     assignments: DataFrame | None = None
     converged: bool = False
+    # (iteration, cluster_id before renumbering, new coords, shift) for every updated cluster
+    centroid_history: list[tuple[int, int, list[float], float]] = field(default_factory=list)
 
 
 def kmeans(
@@ -105,13 +107,17 @@ def kmeans(
     tol: float = 0.1,
     max_iter: int = 100,
     empty: str = "drop",
+    id_col: str | None = None,
+    assignments_path: str | None = None,
 ) -> KMeansResult:
     """Lloyd iterations until every centroid moves at most ``tol`` (Euclidean), or ``max_iter``.
 
     ``empty="drop"``: a cluster that receives no point disappears and the remaining ids are
     renumbered in order; ``empty="keep"``: it keeps its previous centroid.
     The returned assignments are those of the last iteration (against the centroids it
-    started from).
+    started from). ``assignments_path`` (with ``id_col``) additionally appends every
+    iteration's ``(id, cluster_id, iteration)`` to a Parquet table partitioned by iteration;
+    it is opt-in because it writes all points once per iteration.
     """
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
@@ -130,9 +136,17 @@ def kmeans(
                 shift = math.sqrt(sum((a - b) ** 2 for a, b in zip(old, new[cid])))
                 unconverged += shift > tol
                 nxt.append(new[cid])
+                result.centroid_history.append((it, cid, list(new[cid]), shift))
             elif empty == "keep":
                 nxt.append(old)
         result.history.append((it, unconverged, len(nxt)))
+        if assignments_path is not None:
+            if id_col is None:
+                raise ValueError("assignments_path needs id_col")
+            (
+                last_assigned.select(id_col, "cluster_id", F.lit(it).alias("iteration"))
+                .write.mode("append").partitionBy("iteration").parquet(assignments_path)
+            )
         result.assignments = last_assigned
         current = nxt
         if unconverged == 0:
@@ -146,3 +160,8 @@ def centroids_frame(spark: SparkSession, centroids: Matrix) -> DataFrame:
     """Long form ``(cluster_id, j, coord)`` of a centroid matrix."""
     rows = [(i, j, float(v)) for i, c in enumerate(centroids) for j, v in enumerate(c)]
     return spark.createDataFrame(rows, "cluster_id INT, j INT, coord DOUBLE")
+
+
+def centroid_history_frame(spark: SparkSession, result: KMeansResult) -> DataFrame:
+    """``(iteration, cluster_id, coords, shift)``: every centroid update of a run."""
+    return spark.createDataFrame(result.centroid_history, "iteration INT, cluster_id INT, coords ARRAY<DOUBLE>, shift DOUBLE")

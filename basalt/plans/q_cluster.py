@@ -80,3 +80,9 @@ def kmeans_history(spark, sf_dir):
     """Unconverged clusters per iteration."""
     h = _fit(spark, sf_dir).history
     return spark.createDataFrame(h, "iteration INT, n_unconverged INT, n_clusters INT")
+
+
+@query("kmeans_centroid_history")
+def kmeans_centroid_history(spark, sf_dir):
+    """Every centroid update of the run: (iteration, cluster_id, coords, shift)."""
+    return cluster.centroid_history_frame(spark, _fit(spark, sf_dir))

@@ -246,3 +246,38 @@ def strong_correlations(spark, sf_dir):
 )
 def majority_accuracy(spark, sf_dir):
     return profile.majority_accuracy(Tables(spark, sf_dir).labels, "quality")
+
+
+ORDER_COLS = ["n_lines", "line_total", "line_qty", "o_totalprice"]
+_ORDER_SQL = """
+WITH a AS (SELECT l_orderkey, COUNT(*) AS n_lines, SUM(l_extendedprice) AS line_total, SUM(l_quantity) AS line_qty
+           FROM lineitem GROUP BY l_orderkey),
+f AS (SELECT a.*, o_totalprice FROM a JOIN orders ON l_orderkey = o_orderkey)
+"""
+
+
+def _order_frame(t):
+    per = t.lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_extendedprice").alias("line_total"), F.sum("l_quantity").alias("line_qty")
+    )
+    return per.join(t.orders.select("o_orderkey", "o_totalprice"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _order_corr_sql(strong: bool):
+    from itertools import combinations
+
+    rows = " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(CORR({a}, {b}), 6) AS r FROM f" for a, b in combinations(ORDER_COLS, 2)
+    )
+    return _ORDER_SQL + (f"SELECT * FROM ({rows}) WHERE abs(r) > 0.4 AND abs(r) < 1" if strong else rows)
+
+
+@query("order_correlation_pairs", _order_corr_sql(False))
+def order_correlation_pairs(spark, sf_dir):
+    """Correlations between per-order line aggregates and the order total."""
+    return _round(profile.correlation_pairs(_order_frame(Tables(spark, sf_dir)), ORDER_COLS))
+
+
+@query("order_strong_correlations", _order_corr_sql(True))
+def order_strong_correlations(spark, sf_dir):
+    return profile.strong_correlations(order_correlation_pairs(spark, sf_dir))

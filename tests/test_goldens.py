@@ -54,6 +54,17 @@ def test_kmeans_default_start_drops_empty_cluster(points):
     assert res.converged
 
 
+def test_kmeans_history_outputs(spark, points, tmp_path):
+    out = str(tmp_path / "assign")
+    res = cluster.kmeans(points, START, tol=0.1, id_col="name", assignments_path=out)
+    assert [h[0] for h in res.history] == [1, 2, 3, 4]
+    per_iter = {r["iteration"]: r["count"] for r in spark.read.parquet(out).groupBy("iteration").count().collect()}
+    assert per_iter == {1: 8, 2: 8, 3: 8, 4: 8}
+    hist = cluster.centroid_history_frame(spark, res).where("iteration = 1").orderBy("cluster_id").collect()
+    assert [list(r["coords"]) for r in hist] == [[2.0, 10.0], [6.0, 6.0], [1.5, 3.5]]
+    assert hist[1]["shift"] == pytest.approx(2.2360679775)
+
+
 def test_kmeans_keep_empty_cluster(points):
     res = cluster.kmeans(points, cluster.initial_centroids(3, 2), tol=0.1, empty="keep")
     assert len(res.centroids) == 3
