@@ -147,13 +147,27 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
     return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "pairwise") -> DataFrame:
     """Pearson correlation of every column pair (a < b in the given order), one aggregate.
 
-    Like pandas ``corr``, each pair skips rows where either value is NULL.
+    ``method="pairwise"``: like pandas ``corr``, each pair skips rows where either value is
+    NULL (one ``corr`` aggregate per pair, all in one pass).
+    ``method="matrix"``: MLlib ``Correlation`` on an assembled vector (one pass computing
+    the full covariance, better for wide tables); rows with any NULL are dropped first.
     """
     cols = list(cols)
     pairs = list(combinations(cols, 2))
+    if method == "matrix":
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+
+        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
+        m = Correlation.corr(vec, "_v").first()[0].toArray()
+        idx = {c: i for i, c in enumerate(cols)}
+        rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
+        return df.sparkSession.createDataFrame(rows, "col_a STRING, col_b STRING, r DOUBLE")
+    if method != "pairwise":
+        raise ValueError("method must be 'pairwise' or 'matrix'")
     one = df.agg(*[F.corr(a, b).alias(f"{i}__r") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{i}__r").alias("r")) for i, (a, b) in enumerate(pairs)]
     return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -51,8 +52,14 @@ def _decoder(indexer: StringIndexer) -> IndexToString:
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
+    """Fit the pipeline. The training input is read several times (label indexer, split
+    sampling, tree-point conversion), so only its used columns are persisted for the fit."""
     pipe = tree_pipeline(features, label, **kw)
-    model = pipe.fit(df)
+    train = df.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = pipe.fit(train)
+    finally:
+        train.unpersist()
     # IndexToString needs the label list of the fitted indexer.
     model.stages[3].setLabels(model.stages[0].labels)
     return model
@@ -150,3 +157,10 @@ def _spark_of(_model):
     from pyspark.sql import SparkSession
 
     return SparkSession.getActiveSession()
+
+
+def confusion_wide(cm: DataFrame) -> DataFrame:
+    """Display form of :func:`confusion_matrix`: one row per truth label, one column per
+    predicted label (the label list is the small grid already built)."""
+    labels = sorted({r[0] for r in cm.select("predicted").distinct().collect()})
+    return cm.groupBy("truth").pivot("predicted", labels).agg(F.sum("count")).orderBy("truth")

@@ -143,3 +143,21 @@ def test_table_row_counts_and_catalog(spark):
     assert got == [("a", 3), ("b", 5)]
     assert tables.database_exists(spark, "default")
     assert not tables.database_exists(spark, "no_such_db_x")
+
+
+def test_correlation_methods_agree(spark):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=200)
+    b = a * 0.7 + rng.normal(size=200) * 0.3
+    c = rng.normal(size=200)
+    df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)], "a DOUBLE, b DOUBLE, c DOUBLE")
+    p1 = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, ["a", "b", "c"]).collect()}
+    p2 = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, ["a", "b", "c"], method="matrix").collect()}
+    assert p1 == pytest.approx(p2)
+    assert p1[("a", "b")] == pytest.approx(float(np.corrcoef(a, b)[0, 1]))
+
+
+def test_confusion_wide(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b")], "y STRING, p STRING")
+    wide = [tuple(r) for r in tree.confusion_wide(tree.confusion_matrix(df, "y", "p")).collect()]
+    assert wide == [("a", 1, 1), ("b", 0, 1)]
