@@ -91,3 +91,62 @@ def dense_codes(df: DataFrame, col: str, name: str = "code") -> DataFrame:
     """Distinct values of ``col`` (NULL excluded) with codes 0..m-1 in ascending order."""
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
     return positional_index(distinct, [col], name=name).select(col, name)
+
+
+def cumulative_weights(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    weight: str,
+    name: str = "cum",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``name`` = sum of ``weight`` over all rows before this one in ``order``.
+
+    For pre-aggregated ``(key, value, count)`` rows this is the rank of the value's first
+    occurrence, so a value repeated in a third of the data is one row here. Rows are range
+    partitioned and sorted; a running sum inside each partition (a vectorised ``cumsum``
+    per Arrow batch) plus per-partition totals (one number per partition, collected) give
+    the global sums.
+    """
+    import numpy as np
+    from pyspark.sql import types as T
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _cols(order)
+    staged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
+    schema = T.StructType([*staged.schema.fields, T.StructField(_LOCAL, T.LongType(), False)])
+
+    def running(batches):
+        total = 0
+        for pdf in batches:
+            w = pdf[weight].to_numpy(dtype="int64")
+            pdf[_LOCAL] = np.cumsum(w) - w + total
+            total += int(w.sum())
+            yield pdf
+
+    local = staged.mapInPandas(running, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = {r[_PID]: r["t"] for r in local.groupBy(_PID).agg(F.sum(weight).alias("t")).collect()}
+    offsets, acc = [], 0
+    for p in range(n):
+        offsets.append(acc)
+        acc += totals.get(p, 0) or 0
+    offset_of = F.array(*[F.lit(o).cast("long") for o in offsets])
+    return local.withColumn(name, F.element_at(offset_of, F.col(_PID) + 1) + F.col(_LOCAL)).drop(_PID, _LOCAL)
+
+
+def cumulative_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], weight: str, name: str = "cum", size: str = "size"
+) -> DataFrame:
+    """Like :func:`cumulative_weights`, restarted at 0 in each group; adds the group's total
+    weight as ``size``. Group starts/sizes are one aggregate row per group, joined back
+    (broadcast under a measured bound)."""
+    cum = cumulative_weights(df, [*group, *order], weight, name="__gcum")
+    starts = cum.groupBy(*group).agg(F.min("__gcum").alias("__gstart"), F.sum(weight).alias(size))
+    starts = starts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__gstart", size)
+    cond = None
+    for i, g in enumerate(group):
+        c = cum[g].eqNullSafe(starts[f"__g{i}"])
+        cond = c if cond is None else cond & c
+    out = cum.join(broadcast_if_small(starts), on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
+    return out.withColumn(name, F.col("__gcum") - F.col("__gstart")).drop("__gcum", "__gstart")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.operators.ordering import rank_within
+from basalt.operators.ordering import cumulative_within
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -91,30 +91,43 @@ def row_col_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact, linearly interpolated quantiles (``quantile_cont``) per column.
+def _interpolated(counts: DataFrame, group: Sequence[str], probs: Sequence[float], name: str) -> DataFrame:
+    """From ``(group..., value, c)`` rows, the ``quantile_cont`` of each group at ``probs``.
 
-    Values are stacked and sorted once by (column, value) over a range partitioning; each
-    column's rank comes from per-partition counts, and only the two rows around each target
-    rank survive to the final aggregate. No task holds a whole column.
+    Values are ranked by cumulative counts (duplicates collapsed before any shuffle); for
+    each target rank only the value whose count interval contains it survives.
     """
-    long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    ranked = rank_within(long, ["column"], ["value"], name="r", with_size="n")
+    group = list(group)
+    cum = cumulative_within(counts, group, ["value"], "c", name="cum", size="n")
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     h = (F.col("n") - 1) * F.col("q")
+
+    def covers(t):
+        return (F.col("cum") <= t) & (t < F.col("cum") + F.col("c"))
+
     cand = (
-        ranked.select("column", "value", "r", "n", F.explode(probs_arr).alias("q"))
+        cum.select(*group, "value", "cum", "c", "n", F.explode(probs_arr).alias("q"))
         .withColumn("h", h)
-        .where((F.col("r") == F.floor("h")) | (F.col("r") == F.ceil("h")))
+        .where(covers(F.floor("h")) | covers(F.ceil("h")))
     )
-    agg = cand.groupBy("column", "q").agg(
-        F.max(F.when(F.col("r") == F.floor("h"), F.col("value"))).alias("lo"),
-        F.max(F.when(F.col("r") == F.ceil("h"), F.col("value"))).alias("hi"),
+    agg = cand.groupBy(*group, "q").agg(
+        F.max(F.when(covers(F.floor("h")), F.col("value"))).alias("lo"),
+        F.max(F.when(covers(F.ceil("h")), F.col("value"))).alias("hi"),
         F.first("h").alias("h"),
     )
-    return agg.select(
-        "column", "q", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value")
-    )
+    return agg.select(*group, "q", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias(name))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact, linearly interpolated quantiles (``quantile_cont``) per column.
+
+    Values are stacked and counted per (column, value) first (partial aggregation: a value
+    repeated in a third of the rows is one row per task), then ranked by cumulative count
+    over a range partitioning. No task holds a whole column or a whole hot value.
+    """
+    long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    return _interpolated(counts, ["column"], probs, "value")
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -187,17 +200,11 @@ def majority_accuracy(df: DataFrame, label: str, name: str = "majority_pct") ->
 def group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5, name: str = "median") -> DataFrame:
     """Exact interpolated quantile of ``value`` per group (``quantile_cont``), one row per group.
 
-    A group of any size is ranked by the distributed sort, not gathered into one buffer;
-    only the one or two rows at the target rank reach the final aggregate.
+    (group, value) pairs are counted first, then ranked by cumulative count inside each
+    group; a group of any size, or a value repeated in a third of it, is never gathered
+    into one buffer or task.
     """
     group = list(group)
-    vals = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = rank_within(vals, group, ["_v"], name="_r", with_size="_n")
-    h = (F.col("_n") - 1) * F.lit(float(q))
-    near = ranked.where((F.col("_r") == F.floor(h)) | (F.col("_r") == F.ceil(h))).withColumn("_h", h)
-    agg = near.groupBy(*group).agg(
-        F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_v"))).alias("_hi"),
-        F.first("_h").alias("_h"),
-    )
-    return agg.select(*group, (F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))).alias(name))
+    vals = df.select(*group, F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = vals.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
+    return _interpolated(counts, group, [q], name).drop("q")

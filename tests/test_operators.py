@@ -161,3 +161,16 @@ def test_confusion_wide(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b")], "y STRING, p STRING")
     wide = [tuple(r) for r in tree.confusion_wide(tree.confusion_matrix(df, "y", "p")).collect()]
     assert wide == [("a", 1, 1), ("b", 0, 1)]
+
+
+def test_quantiles_with_a_hot_value(spark):
+    # A third of the rows share one value; quantiles still match numpy.
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([np.full(300, 2.5), rng.normal(size=600), np.arange(10.0)])
+    df = spark.createDataFrame([(float(v), int(i % 3)) for i, v in enumerate(vals)], "a DOUBLE, g INT")
+    q = {(r["column"], r["q"]): r["value"] for r in profile.exact_quantiles(df, ["a"], (0.1, 0.5, 0.9)).collect()}
+    for p in (0.1, 0.5, 0.9):
+        assert q[("a", p)] == pytest.approx(float(np.quantile(vals, p)))
+    med = {r["g"]: r["median"] for r in profile.group_quantile(df, ["g"], "a").collect()}
+    for g in range(3):
+        assert med[g] == pytest.approx(float(np.median(vals[np.arange(len(vals)) % 3 == g])))
