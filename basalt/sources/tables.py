@@ -54,3 +54,30 @@ def catalog_row_counts(spark: SparkSession, database: str | None = None) -> Data
     tables = {t.name: spark.table(t.name if database is None else f"{database}.{t.name}")
               for t in spark.catalog.listTables(database)}
     return table_row_counts(tables)
+
+
+def read_jdbc_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A database table over JDBC, read in ``num_partitions`` parallel range slices of
+    ``partition_column`` (without a partition column the whole table is one task)."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    if partition_column is not None:
+        if None in (lower_bound, upper_bound, num_partitions):
+            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
+        reader = (
+            reader.option("partitionColumn", partition_column)
+            .option("lowerBound", str(lower_bound))
+            .option("upperBound", str(upper_bound))
+            .option("numPartitions", str(num_partitions))
+        )
+    return reader.load()
