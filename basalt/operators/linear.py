@@ -115,14 +115,15 @@ def predict(data: DataFrame, w: Sequence[float], feat: str = "features", thresho
 def minmax_grid(weights: DataFrame, width: int, j: str = "j", w: str = "w", negate: bool = True, lo: float = 0.0, hi: float = 255.0) -> DataFrame:
     """Scale (optionally negated) weights to [lo, hi] and lay them out as a width-wide grid.
 
-    max == min maps everything to ``lo``. Global min/max come from a one-row aggregate.
+    max == min maps everything to ``lo``. The global min and max (two numbers) come from
+    one aggregate and enter the scaling expression as literals.
     """
     v = -F.col(w) if negate else F.col(w)
     vals = weights.select(F.col(j), v.alias("_v"))
-    mm = vals.agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
-    scaled = F.coalesce(F.try_divide(F.col("_v") - F.col("_mn"), F.col("_mx") - F.col("_mn")), F.lit(0.0)) * (hi - lo) + lo
-    both = vals.withColumn("_k", F.lit(0)).join(mm.withColumn("_k", F.lit(0)), "_k")
-    return both.select(
+    mn, mx = vals.agg(F.min("_v"), F.max("_v")).first()
+    span = None if mn is None or mx is None or mx == mn else mx - mn
+    scaled = ((F.col("_v") - F.lit(mn)) / F.lit(span) if span else F.lit(0.0)) * (hi - lo) + lo
+    return vals.select(
         (F.col(j) / width).cast("int").alias("row"), (F.col(j) % width).cast("int").alias("col"), scaled.alias("pixel")
     )
 

@@ -66,14 +66,13 @@ def negative_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows vs. distinct keys; a NULL key counts as one key (as ``drop_duplicates`` keeps one).
 
-    The distinct count is a two-phase aggregate shuffled on the key; the two one-row
-    results are combined on a constant key.
+    One aggregate: ``count(*)`` and a distinct count of the key struct (a struct is never
+    NULL, so NULL keys count as a value), planned as a two-phase aggregate on the key.
     """
-    keys = list(keys)
-    n_rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    n_keys = df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_distinct_keys"))
-    one = n_rows.withColumn("_k", F.lit(0)).join(n_keys.withColumn("_k", F.lit(0)), "_k").drop("_k")
-    return one.withColumn("is_unique", F.col("n_rows") == F.col("n_distinct_keys"))
+    key = F.struct(*[F.col(k) for k in keys])
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_distinct_keys")).withColumn(
+        "is_unique", F.col("n_rows") == F.col("n_distinct_keys")
+    )
 
 
 def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:

@@ -105,7 +105,7 @@ def score_summary(scores: DataFrame, col: str = "accuracy") -> DataFrame:
     return scores.agg(F.avg(col).alias("mean"), (2 * F.stddev_pop(col)).alias("plus_minus"))
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, max_labels: int = 10_000) -> DataFrame:
+def confusion_matrix(df: DataFrame, truth: str, pred: str, max_labels: int = 1_000) -> DataFrame:
     """Long form ``(truth, predicted, count)`` over the full label grid (zeros included).
 
     Counts are one grouped aggregate; the label set (truth ∪ predicted) is small by

@@ -160,7 +160,7 @@ def tree_merged_compare(spark, sf_dir):
         folded = tree.assign_folds(df, "tier", ["c_custkey"], K_FOLDS).cache()
         s = tree.score_summary(tree.cross_validate(folded, FEATURES, "tier", max_depth=10, max_bins=256))
         model = tree.fit_tree(df, FEATURES, "tier", max_depth=10, max_bins=256)
-        train = model.transform(df).agg(F.avg((F.col("tier") == F.col("predicted_label")).cast("double")).alias("train_accuracy"))
-        row = s.withColumn("_k", F.lit(0)).join(train.withColumn("_k", F.lit(0)), "_k").drop("_k").select(F.lit(run).alias("run"), "*")
+        train = model.transform(df).agg(F.avg((F.col("tier") == F.col("predicted_label")).cast("double"))).first()[0]
+        row = s.select(F.lit(run).alias("run"), "*", F.lit(float(train)).alias("train_accuracy"))
         out = row if out is None else out.unionByName(row)
     return out
