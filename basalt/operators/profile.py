@@ -136,7 +136,8 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
     (bounded memory, one pass) for very large columns.
     """
     cols = list(cols or numeric_columns(df))
-    long = _long_form(df, cols)
+    # NaN counts as missing (as in pandas): map it to NULL before aggregating.
+    long = _long_form(df, cols).withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
     base = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),

@@ -174,3 +174,9 @@ def test_quantiles_with_a_hot_value(spark):
     med = {r["g"]: r["median"] for r in profile.group_quantile(df, ["g"], "a").collect()}
     for g in range(3):
         assert med[g] == pytest.approx(float(np.median(vals[np.arange(len(vals)) % 3 == g])))
+
+
+def test_describe_treats_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "a DOUBLE")
+    r = profile.describe_numeric(df, ["a"]).first()
+    assert (r["count"], r["mean"], r["min"], r["max"], r["p50"]) == (2, 2.0, 1.0, 3.0, 2.0)
