@@ -34,8 +34,10 @@ def positional_index(
 ) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order``.
 
-    Give ``order`` a unique tie-break if positions must be reproducible; rows that tie
-    on every ordering column get some order among themselves.
+    Give ``order`` a unique tie-break (a key column): positions are then reproducible,
+    and rows sharing a hot value are spread over several range partitions. Rows that tie
+    on every ordering column fall into one partition; for counting duplicates use
+    :func:`cumulative_weights` on pre-aggregated rows instead.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
