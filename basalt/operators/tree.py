@@ -51,13 +51,23 @@ def _decoder(indexer: StringIndexer) -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol="predicted_label")
 
 
+ROWS_PER_TRAIN_PARTITION = 1_000_000
+
+
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
     """Fit the pipeline. The training input is read several times (label indexer, split
-    sampling, tree-point conversion), so only its used columns are persisted for the fit."""
+    sampling, tree-point conversion, one pass per tree level), so its used columns are
+    persisted, and its partitions are coalesced (no shuffle) to about one per
+    ``ROWS_PER_TRAIN_PARTITION`` rows: each of the ~depth training jobs then runs as many
+    tasks as the data needs, not as many as an upstream shuffle happened to produce."""
+    import math
+
     pipe = tree_pipeline(features, label, **kw)
     train = df.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = pipe.fit(train)
+        target = max(1, math.ceil(train.count() / ROWS_PER_TRAIN_PARTITION))
+        sized = train.coalesce(target) if train.rdd.getNumPartitions() > target else train
+        model = pipe.fit(sized)
     finally:
         train.unpersist()
     # IndexToString needs the label list of the fitted indexer.
