@@ -71,13 +71,21 @@ def sum_product_by(
     dim_value: str,
     name: str = "total_value",
     exact_scale: int | None = 2,
+    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """``SUM(fact_value * dim_value)`` of ``fact`` joined to ``dim``, grouped by a ``dim``
     column, largest first.
 
-    ``dim_value`` is constant per ``dim_key``, so the fact side is first summed per join
-    key (partial aggregation on the map side: a hot key costs one row per task), and only
-    one row per key reaches the join: Σ q·p = Σ_key p·(Σ q).
+    The plan depends on the measured size of ``dim`` (a row count; for Parquet it is
+    answered from file metadata):
+
+    * small dimension: broadcast it; the join and a partial aggregate on ``group`` run
+      map-side, and only (#groups) rows per task are shuffled;
+    * large dimension: ``dim_value`` is constant per ``dim_key``, so the fact side is
+      first summed per join key (Σ q·p = Σ_key p·Σ q) with partial aggregation; only one
+      row per key reaches the shuffle join instead of every fact row, and a hot key
+      costs one row per task.
+
     With ``exact_scale`` the values are DECIMAL with that many decimals, so the result does
     not depend on the order rows are added; it is cast back to DOUBLE at the end.
     """
@@ -86,9 +94,14 @@ def sum_product_by(
         fv, dv = F.col(fact_value).cast(dec), F.col(dim_value).cast(dec)
     else:
         fv, dv = F.col(fact_value), F.col(dim_value)
-    per_key = fact.groupBy(fact_key).agg(F.sum(fv).alias("_fsum"))
-    joined = per_key.join(dim.select(dim_key, group, dv.alias("_dv")), F.col(fact_key) == F.col(dim_key))
-    total = F.sum(F.col("_fsum") * F.col("_dv"))
+    dims = dim.select(dim_key, group, dv.alias("_dv"))
+    if dim.count() <= max_broadcast_rows:
+        joined = fact.select(fact_key, fv.alias("_fv")).join(F.broadcast(dims), F.col(fact_key) == F.col(dim_key))
+        total = F.sum(F.col("_fv") * F.col("_dv"))
+    else:
+        per_key = fact.groupBy(fact_key).agg(F.sum(fv).alias("_fsum"))
+        joined = per_key.join(dims, F.col(fact_key) == F.col(dim_key))
+        total = F.sum(F.col("_fsum") * F.col("_dv"))
     if exact_scale is not None:
         total = total.cast("double")
     return joined.groupBy(group).agg(total.alias(name)).orderBy(F.col(name).desc(), F.col(group))

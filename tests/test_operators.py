@@ -180,3 +180,11 @@ def test_describe_treats_nan_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "a DOUBLE")
     r = profile.describe_numeric(df, ["a"]).first()
     assert (r["count"], r["mean"], r["min"], r["max"], r["p50"]) == (2, 2.0, 1.0, 3.0, 2.0)
+
+
+def test_sum_product_by_both_plans_agree(spark):
+    fact = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 1.5), (3, 4.0), (3, 0.25)], "k LONG, q DOUBLE")
+    dim = spark.createDataFrame([(1, "a", 10.0), (2, "b", 2.5), (3, "a", 1.1)], "pk LONG, g STRING, p DOUBLE")
+    small = [tuple(r) for r in relational.sum_product_by(fact, dim, "k", "pk", "g", "q", "p").collect()]
+    large = [tuple(r) for r in relational.sum_product_by(fact, dim, "k", "pk", "g", "q", "p", max_broadcast_rows=0).collect()]
+    assert small == large == [("a", 54.675), ("b", 3.75)]

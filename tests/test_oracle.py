@@ -32,6 +32,9 @@ def test_query_matches_oracle(spark, con, name):
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert rows_of(df.columns, srows) == rows_of(dcols, drows)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert op not in plan, f"{name} plans a {op}"
 
 
 def test_entry_smoke(spark):
