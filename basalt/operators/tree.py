@@ -174,3 +174,24 @@ def confusion_wide(cm: DataFrame) -> DataFrame:
     predicted label (the label list is the small grid already built)."""
     labels = sorted({r[0] for r in cm.select("predicted").distinct().collect()})
     return cm.groupBy("truth").pivot("predicted", labels).agg(F.sum("count")).orderBy("truth")
+
+
+def cross_validate_ml(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold", parallelism: int = 1, **kw) -> DataFrame:
+    """The same CV through MLlib's ``CrossValidator`` with a user fold column: one row
+    ``(mean, std)`` of fold accuracies (MLlib reports averages, not per-fold scores)."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    pipe = tree_pipeline(features, label, **kw)
+    stages = pipe.getStages()
+    indexed = stages[0].fit(df).transform(df).withColumn(fold, F.col(fold).cast("int"))
+    inner = Pipeline(stages=stages[1:3])
+    evaluator = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="accuracy")
+    k = indexed.agg(F.max(fold)).first()[0] + 1  # folds are 0..k-1
+    cv = CrossValidator(
+        estimator=inner, estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
+        foldCol=fold, numFolds=k, parallelism=parallelism,
+    )
+    model = cv.fit(indexed)
+    std = model.stdMetrics[0] if model.stdMetrics else None
+    return df.sparkSession.createDataFrame([(float(model.avgMetrics[0]), None if std is None else float(std))], "mean DOUBLE, std DOUBLE")

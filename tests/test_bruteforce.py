@@ -90,6 +90,8 @@ def test_tree_cv_and_importances(spark):
     assert sum(imp.values()) == pytest.approx(1.0) and imp["a"] > 0.9
     nodes = tree.tree_nodes(model, ["a", "b"]).collect()
     assert nodes[0]["feature"] == "a"
+    ml = tree.cross_validate_ml(folded, ["a", "b"], "cls", max_depth=5, max_bins=64).first()
+    assert ml["mean"] == pytest.approx(np.mean([r["accuracy"] for r in scores.collect()]), abs=1e-9)
     s = tree.score_summary(scores).first()
     acc = [r["accuracy"] for r in scores.collect()]
     assert s["mean"] == pytest.approx(np.mean(acc)) and s["plus_minus"] == pytest.approx(2 * np.std(acc))
