@@ -37,3 +37,21 @@ def test_top_customers_broadcasts_top_k(spark):
 def test_open_orders_filter_reaches_scan(spark):
     df = E.queries()["open_orders_count"](spark, SF)
     assert "ReadSchema: struct<o_orderstatus:string>" in _plan(df)
+
+
+def test_grouped_sum_plan_follows_dimension_size(spark):
+    from basalt.operators import relational as rel
+    from basalt.plans.registry import Tables
+
+    t = Tables(spark, SF)
+    args = (t.lineitem, t.part, "l_partkey", "p_partkey", "p_type", "l_quantity", "p_retailprice")
+    small = rel.sum_product_by(*args)
+    small.collect()
+    assert "BroadcastHashJoin" in _plan(small)
+    large = rel.sum_product_by(*args, max_broadcast_rows=0)
+    large.collect()
+    opt = large._jdf.queryExecution().optimizedPlan().toString()
+    # The per-key aggregate sits below the join: the join's left input is an Aggregate.
+    join_at = opt.index("Join")
+    assert "Aggregate [l_partkey" in opt[join_at:]
+    assert [tuple(r) for r in small.collect()] == [tuple(r) for r in large.collect()]
