@@ -86,3 +86,22 @@ def kmeans_history(spark, sf_dir):
 def kmeans_centroid_history(spark, sf_dir):
     """Every centroid update of the run: (iteration, cluster_id, coords, shift)."""
     return cluster.centroid_history_frame(spark, _fit(spark, sf_dir))
+
+
+@query(
+    "kmeans_assign_default_start",
+    f"""
+    WITH c AS (SELECT CAST(i AS INTEGER) AS cluster_id FROM range({K}) t(i)),
+    dm AS (SELECT e.vec_id, c.cluster_id,
+                  list_distance(CAST(e.embedding AS DOUBLE[]),
+                                list_transform(range(len(e.embedding)), lambda j: CAST(c.cluster_id + 1 AS DOUBLE))) AS distance
+           FROM embeddings e, c)
+    SELECT vec_id, cluster_id FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY distance, cluster_id) AS rn FROM dm) WHERE rn = 1
+    """,
+)
+def kmeans_assign_default_start(spark, sf_dir):
+    """Nearest deterministic start centroid (i+1, ..., i+1) for every vector."""
+    emb = Tables(spark, sf_dir).embeddings
+    d = emb.select(F.size("embedding")).first()[0]
+    return cluster.assign(emb, cluster.initial_centroids(K, d), "embedding").select("vec_id", "cluster_id")
