@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from basalt.llm.exact_dedup import exact_dedup
+from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
 from basalt.llm.registry import ORACLES, QUERIES, query
 from basalt.llm.tokenfiles import read_token_files, write_token_files
@@ -29,3 +31,43 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     write_token_files(docs, folder, bpe_path(), end_id=2)
     return read_token_files(spark, folder, docs.schema["doc_id"].dataType)
+
+
+@query("op9_exact_dedup", """
+WITH t AS (
+    SELECT doc_id, coalesce(length(text), 0) AS n,
+           sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+    FROM documents)
+SELECT doc_id, first(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = first(doc_id) OVER w AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+""")
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_near_dedup", """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS sh
+    FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+    FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+    SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+    WHERE 100 * i >= 85 * (nx.n + ny.n - i)),
+r(root, doc_id) AS (
+    SELECT doc_id, doc_id FROM w
+    UNION
+    SELECT r.root, e.y FROM r JOIN e ON e.x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+""")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
