@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basalt.llm import langid, quality, toxicity
 from basalt.llm.exact_dedup import exact_dedup
 from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
 from basalt.llm.registry import ORACLES, QUERIES, query
+from basalt.llm.sampling import id_crc
 from basalt.llm.tokenfiles import read_token_files, write_token_files
 from basalt.session import scratch_path
 from basalt.sources.tables import read_table
@@ -71,3 +74,37 @@ FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """)
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted to the labelled documents outside the held-out fifth."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    train = labels.filter(id_crc(F.col("doc_id")) % 5 != 0).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    return toxicity.fit(docs, train)
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (id_crc(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", "predicted", "clauses", "top_clause")
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    crc = id_crc(F.col("doc_id")) % 3
+    model = quality.fit(docs, labels.filter(crc != 1).select(F.col("doc_id").alias("id"), F.col("quality").alias("label")))
+    return quality.score(docs, model).select("doc_id", (crc == 1).alias("held_out"), "score", "predicted")
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:
+    """Fitted to the documents outside the held-out quarter."""
+    docs = read_table(spark, sf_dir, "documents")
+    return langid.fit(docs, docs.filter(id_crc(F.col("doc_id")) % 4 != 2).select(F.col("doc_id").alias("id"), F.col("lang").alias("label")))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(read_table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    return found.select("doc_id", (id_crc(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score", "rejected")
