@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from basalt.llm import langid, quality, toxicity
 from basalt.llm.exact_dedup import exact_dedup
+from basalt.llm.html_text import extract
 from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
 from basalt.llm.registry import ORACLES, QUERIES, query
 from basalt.llm.sampling import id_crc
 from basalt.llm.tokenfiles import read_token_files, write_token_files
+from basalt.llm.topk import top_k
 from basalt.session import scratch_path
 from basalt.sources.tables import read_table
 
@@ -108,3 +110,22 @@ def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(read_table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
     return found.select("doc_id", (id_crc(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+@query("op7_top_k", """
+WITH e AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v, e.v)::BIGINT AS score
+    FROM e q JOIN e ON e.vec_id <> q.vec_id AND len(e.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
