@@ -12,17 +12,15 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
-from itertools import chain
 
 import numpy as np
 
-from basalt.llm.arrowtext import ragged_take, span_hashes
+from basalt.llm.arrowtext import span_hashes
+from basalt.llm.idcache import IdCache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 FAST_LIMIT = 0x3000
-TABLE_BITS = 22
-CACHE_WORDS = 2_000_000
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
 # Unicode White_Space below FAST_LIMIT (fixed values)
 _WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F]
@@ -112,58 +110,7 @@ class ByteBpe:
             and spec["model"]["type"] == "BPE" and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
         )
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self._reset()
-
-    def _reset(self):
-        self.table = np.zeros(1 << TABLE_BITS, np.uint64)  # open addressing; 0 marks an empty place
-        self.slot = np.zeros(1 << TABLE_BITS, np.int32)
-        self.count = 0
-        self.at = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """Cache slot of each hash, -1 where it has none."""
-        out = np.full(len(hashes), -1, np.int64)
-        place = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        seen = self.table[place]
-        hit = seen == hashes
-        out[hit] = self.slot[place[hit]]
-        rest = np.flatnonzero(~hit & (seen != 0))
-        while len(rest):
-            place[rest] = (place[rest] + 1) & ((1 << TABLE_BITS) - 1)
-            seen = self.table[place[rest]]
-            hit = seen == hashes[rest]
-            out[rest[hit]] = self.slot[place[rest[hit]]]
-            rest = rest[~hit & (seen != 0)]
-        return out
-
-    def _add(self, hashes: np.ndarray, words: list[str]):
-        """Encode new pre-tokens, given in the byte alphabet, and enter them in the cache."""
-        tokenize = self.tokenizer.model.tokenize
-        found = [[t.id for t in tokenize(w)] for w in words]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        n, total = self.count, int(lengths.sum())
-        while n + len(found) > len(self.at):
-            self.at, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.length))
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.at[n : n + len(found)] = self.used + np.cumsum(lengths) - lengths
-        self.length[n : n + len(found)] = lengths
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.used += total
-        self.count += len(found)
-        place = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        todo = np.arange(len(hashes))
-        while len(todo):
-            free = todo[self.table[place[todo]] == 0]
-            _, one = np.unique(place[free], return_index=True)  # one entry for each free place
-            put = free[one]
-            self.table[place[put]] = hashes[put]
-            self.slot[place[put]] = n + put
-            todo = np.setdiff1d(todo, put, assume_unique=True)
-            place[todo] = (place[todo] + 1) & ((1 << TABLE_BITS) - 1)
+        self.cache = IdCache()
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every row of a flat text slice: (all ids, ids per row)."""
@@ -195,19 +142,19 @@ class ByteBpe:
         starts = pretoken_starts(points, rows)
         ends = np.append(starts[1:], len(points))
         hashes = span_hashes(_POINT_VALUE[points], starts, ends) | np.uint64(1)
-        slots = self._find(hashes)
+        slots = self.cache.find(hashes)
         missing = np.flatnonzero(slots < 0)
         if len(missing):
             new, where, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            if self.count + len(new) > CACHE_WORDS and self.count:
-                self._reset()
+            if self.cache.full_with(len(new)):
+                self.cache.clear()
                 return self._encode_split(raw, points, leads, rows)
-            letters = _ALPHABET[raw].tobytes().decode("utf-32-le")
+            slots[missing] = self.cache.count + which
+            # The library's BPE model on one pre-token, written in the byte alphabet of its JSON.
+            letters, tokenize = _ALPHABET[raw].tobytes().decode("utf-32-le"), self.tokenizer.model.tokenize
             a, b = leads[starts[missing[where]]].tolist(), leads[ends[missing[where]]].tolist()
-            slots[missing] = self.count + which
-            self._add(new, [letters[i:j] for i, j in zip(a, b)])
-        lengths = self.length[slots]
-        ids = ragged_take(self.ids, self.at[slots], lengths)
+            self.cache.add(new, [[t.id for t in tokenize(letters[i:j])] for i, j in zip(a, b)])
+        ids, lengths = self.cache.take(slots)
         upto = np.concatenate([[0], np.cumsum(lengths)])
         return ids, np.diff(upto[np.searchsorted(starts, rows)])
 

@@ -13,6 +13,7 @@ from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
 from basalt.llm.registry import ORACLES, QUERIES, query
 from basalt.llm.sampling import id_crc
+from basalt.llm.sentencepieces import encode_decode
 from basalt.llm.tokenfiles import read_token_files, write_token_files
 from basalt.llm.topk import top_k
 from basalt.session import scratch_path
@@ -78,9 +79,8 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Fitted to the labelled documents outside the held-out fifth."""
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     train = labels.filter(id_crc(F.col("doc_id")) % 5 != 0).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
     return toxicity.fit(docs, train)
 
@@ -88,7 +88,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 @query("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    scored = toxicity.score(docs, toxicity_model(docs, read_table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (id_crc(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", "predicted", "clauses", "top_clause")
 
 
@@ -100,15 +100,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", (crc == 1).alias("held_out"), "score", "predicted")
 
 
-def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:
+def language_model(docs: DataFrame) -> langid.Model:
     """Fitted to the documents outside the held-out quarter."""
-    docs = read_table(spark, sf_dir, "documents")
     return langid.fit(docs, docs.filter(id_crc(F.col("doc_id")) % 4 != 2).select(F.col("doc_id").alias("id"), F.col("lang").alias("label")))
 
 
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = langid.identify(read_table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_model(docs))
     return found.select("doc_id", (id_crc(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
@@ -129,3 +129,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """)
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -9,20 +9,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basalt.llm import langid, toxicity
+from basalt.llm.exact_dedup import drop_exact_copies
+from basalt.llm.near_dedup import drop_near_copies
 from basalt.llm.packing import pack
-from basalt.llm.queries import bpe_path
+from basalt.llm.queries import bpe_path, language_model, toxicity_model
 from basalt.session import scratch_path
 from basalt.sources.tables import read_table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar scores below 0.5."""
+    return toxicity.drop_toxic(docs, toxicity_model(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with a calibrated probability of a half or more."""
+    return langid.drop_unidentified(docs, language_model(docs))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, white space aside."""
+    return drop_exact_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at a similarity of 0.8 or more on five-word shingles."""
+    return drop_near_copies(docs, words=5, percent=80)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of the kept documents in sequences of 1024 ids."""
     return pack(docs, bpe_path(), window=1024, end_id=0)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language id", drop_unidentified),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("packing", packing),
+]
 
-# Tokenisation, MinHash and trained models are not expressible in SQL; see tests/llm.
+# Fitted models, MinHash and tokenisation are not expressible in SQL; tests/llm holds the
+# stages against brute-force versions.
 ORACLE_SQL = None
 
 
