@@ -138,6 +138,7 @@ LABELLED = [
     (6, 0.0, 0, 0.0, 6, 0.0, 0, 1, 1, 1), (6, 0.0, 6, 0.0, 0, 0.0, 0, 1, 0, 1), (1, 0.0, 0, 0.0, 1, 0.0, 0, 1, 0, 1), (2, 0.0, 3, 0.0, 1, 0.0, 0, 1, 0, 1),
     (4, 0.0, 1, 1.0, 2, 0.0, 0, 1, 0, 1), (5, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0, 1), (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1), (10, 0.0, 5, 0.0, 1, 0.0, 0, 1, 1, 1),
     (4, 0.0, 3, 0.0, 5, 1.0, 0, 1, 1, 1), (12, 0.4, 4, 0.0, 3, 0.0, 0, 1, 0, 1), (18, 0.0, 2, 0.0, 6, 0.0, 0, 1, 0, 1), (1, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1),
+    (1, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (10, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (5, 0.0, 3, 0.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 0, 0.0, 4, 0.0, 0, 1, 0, 1),
     # article markup: lists of links such as further reading
     (4, 1.0, 5, 1.0, 4, 1.0, 0, 1, 0, 0), (6, 1.0, 40, 0.0, 5, 1.0, 0, 1, 0, 0), (3, 1.0, 4, 1.0, 9, 0.0, 0, 1, 0, 0), (8, 0.9, 6, 1.0, 0, 0.0, 0, 1, 0, 0),
     # furniture: menus, adverts, notices, footers, comments, whatever their size

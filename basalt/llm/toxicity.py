@@ -331,8 +331,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, longest: int =
         return out
 
     measured = _measure(rows.filter("half = 1"), learned((0,)), ["label"]).groupBy("top", "total", "words", "label").count().toPandas()
-    repeated = measured.loc[measured.index.repeat(measured["count"])]
     model = learned((0, 1))
+    if not (measured["total"] > 0).any():  # half of the rows showed no pattern: measure on all of them
+        measured = _measure(rows, model, ["label"]).groupBy("top", "total", "words", "label").count().toPandas()
+    repeated = measured.loc[measured.index.repeat(measured["count"])]
     model.logit = fit_logit(repeated[["top", "total", "total", "words"]].to_numpy(float), repeated["label"].to_numpy(float))
     return model
 
