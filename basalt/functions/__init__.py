@@ -3,9 +3,9 @@
 from basalt.functions.text import day_diff, first_word, initial, second_word, starts_with_ci, strip_and_cast
 from basalt.functions.vectors import (
     dot,
-    euclid,
     lit_matrix,
     lit_vector,
+    of_width,
     sigmoid,
     sq_dist,
     to_double_array,
@@ -16,6 +16,6 @@ from basalt.functions.vectors import (
 
 __all__ = [
     "day_diff", "first_word", "initial", "second_word", "starts_with_ci", "strip_and_cast",
-    "dot", "euclid", "lit_matrix", "lit_vector", "sigmoid", "sq_dist", "to_double_array",
+    "dot", "lit_matrix", "lit_vector", "of_width", "sigmoid", "sq_dist", "to_double_array",
     "vadd", "vscale", "vsum",
 ]

@@ -63,15 +63,20 @@ def sq_dist(a: str | Column, b: str | Column) -> Column:
     return vsum(F.zip_with(as_col(a), as_col(b), lambda x, y: (x - y) * (x - y)))
 
 
-def euclid(a: str | Column, b: str | Column) -> Column:
-    return F.sqrt(sq_dist(a, b))
+def of_width(c: str | Column, d: int) -> Column:
+    """The array itself; an array of another length than ``d`` fails the job (``zip_with`` would
+    pad it with NULL)."""
+    x = to_double_array(c)
+    return F.when(F.size(x) == d, x).otherwise(F.raise_error(F.lit(f"vector width is not {d}")).cast("array<double>"))
 
 
 def vadd(a: str | Column, b: str | Column) -> Column:
+    """Sum of two equal-length arrays, element by element."""
     return F.zip_with(as_col(a), as_col(b), lambda x, y: x + y)
 
 
 def vscale(a: str | Column, s: Column | float) -> Column:
+    """The array times a number."""
     s = s if isinstance(s, Column) else F.lit(float(s))
     return F.transform(as_col(a), lambda x: x * s)
 

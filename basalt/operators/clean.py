@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from basalt.functions.text import strip_and_cast
 from basalt.operators.ordering import dense_codes
-from basalt.plans.joins import broadcast_if_small
 
 
 def parse_number(df: DataFrame, cols: Sequence[str], strip: str = "%", strict: bool = False, to: str = "double") -> DataFrame:
@@ -53,14 +52,13 @@ def merge_categories(df: DataFrame, col: str, mapping: Mapping[str, str], out: s
 def merge_tail(df: DataFrame, col: str, min_count: int, other: str = "Other", out: str | None = None) -> DataFrame:
     """Replace every category with fewer than ``min_count`` rows by ``other``.
 
-    Counts are a grouped aggregate (one row per category); the tail list is joined back,
-    broadcast when its measured size allows.
+    Counts are a grouped aggregate (one row per category); the tail list is joined back.
     """
     tail = (
         df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < min_count)
         .select(F.col(col).alias("_tail_value"), F.lit(True).alias("_is_tail"))
     )
-    j = df.join(broadcast_if_small(tail), F.col(col) == F.col("_tail_value"), "left")
+    j = df.join(tail, F.col(col) == F.col("_tail_value"), "left")
     return j.withColumn(out or col, F.when(F.col("_is_tail"), F.lit(other)).otherwise(F.col(col))).drop(
         "_tail_value", "_is_tail"
     )
@@ -75,10 +73,10 @@ def label_encode(df: DataFrame, col: str, code: str = "code", codes: DataFrame |
     """Add ``code`` = position of ``col`` among the sorted distinct labels (NULL stays NULL)."""
     codes = codes if codes is not None else label_codes(df, col, code)
     small = codes.select(F.col(col).alias("_lbl"), F.col(code))
-    return df.join(broadcast_if_small(small), F.col(col) == F.col("_lbl"), "left").drop("_lbl")
+    return df.join(small, F.col(col) == F.col("_lbl"), "left").drop("_lbl")
 
 
 def label_decode(df: DataFrame, code: str, codes: DataFrame, label: str) -> DataFrame:
     """Inverse of :func:`label_encode` using the same dictionary."""
     small = codes.select(F.col(code).alias("_code"), F.col(label).alias(label))
-    return df.join(broadcast_if_small(small), F.col(code) == F.col("_code"), "left").drop("_code")
+    return df.join(small, F.col(code) == F.col("_code"), "left").drop("_code")

@@ -6,8 +6,8 @@ d, not by the data). Each iteration is one Spark job:
 
 * assignment is row-local: the centroids enter as a literal ARRAY<ARRAY<DOUBLE>> and
   ``transform``/``array_min`` pick the nearest one (no join, no shuffle);
-* the update is ``posexplode`` + ``groupBy(cluster_id, j)``: partial aggregation leaves at
-  most k×d rows per task before the shuffle, and k×d means come back to the driver.
+* the update adds coordinates per cluster with numpy, batch by batch (``mapInPandas``): k×d
+  partial sums per task are shuffled, and k×d means come back to the driver.
 
 The new centroids are fed back as literals, so the lineage never grows across iterations.
 """
@@ -17,11 +17,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.functions.vectors import lit_matrix, sq_dist, to_double_array
+from basalt.functions.vectors import lit_matrix, of_width, sq_dist, to_double_array
 
 Matrix = list[list[float]]
 
@@ -52,8 +54,9 @@ def _nearest(feat: Column, centroids: Matrix) -> Column:
 
 
 def assign(points: DataFrame, centroids: Matrix, feat: str = "features", name: str = "cluster_id") -> DataFrame:
-    """Add the nearest centroid's index ``name`` and the squared distance ``d2``."""
-    best = _nearest(to_double_array(feat), centroids)
+    """Add the nearest centroid's index ``name`` and the squared distance ``d2``; a vector
+    of another width than the centroids fails the job."""
+    best = _nearest(of_width(feat, len(centroids[0])), centroids)
     return points.withColumn("_best", best).withColumn(name, F.col("_best.cluster_id")).withColumn(
         "d2", F.col("_best.d2")
     ).drop("_best")
@@ -64,18 +67,30 @@ def distance_matrix(points: DataFrame, centroids: Matrix, id_col: str, feat: str
 
     Generated row-locally from the literal centroid matrix (k rows per point, no join).
     """
-    f = to_double_array(feat)
+    f = of_width(feat, len(centroids[0]))
     per = F.transform(lit_matrix(centroids), lambda c, i: F.struct(i.alias("cluster_id"), F.sqrt(sq_dist(f, c)).alias("distance")))
     return points.select(id_col, F.explode(per).alias("s")).select(id_col, "s.cluster_id", "s.distance")
 
 
 def centroid_sums(assigned: DataFrame, feat: str = "features", cluster: str = "cluster_id") -> DataFrame:
     """Per (cluster, coordinate j): mean and count, long form. At most k×d rows."""
-    return (
-        assigned.select(cluster, F.posexplode(to_double_array(feat)).alias("j", "x"))
-        .groupBy(cluster, "j")
-        .agg(F.avg("x").alias("coord"), F.count(F.lit(1)).alias("n"))
-    )
+
+    def add(batches):
+        sums, counts = {}, {}
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, c = np.stack(pdf["x"].to_numpy()), pdf["c"].to_numpy()
+            for k in np.unique(c):
+                part = x[c == k]
+                sums[k] = sums.get(k, 0.0) + part.sum(axis=0)
+                counts[k] = counts.get(k, 0) + len(part)
+        for k, total in sums.items():
+            yield pd.DataFrame({"c": k, "j": np.arange(len(total), dtype="int32"), "s": total, "m": counts[k]})
+
+    rows = assigned.select(F.col(cluster).alias("c"), to_double_array(feat).alias("x")).where(F.col("x").isNotNull())
+    partial = rows.mapInPandas(add, "c int, j int, s double, m long")
+    return partial.groupBy(F.col("c").alias(cluster), "j").agg((F.sum("s") / F.sum("m")).alias("coord"), F.sum("m").alias("n"))
 
 
 def update(assigned: DataFrame, k: int, d: int, feat: str = "features", cluster: str = "cluster_id") -> tuple[dict[int, list[float]], dict[int, int]]:
@@ -105,54 +120,61 @@ def kmeans(
     centroids: Matrix,
     feat: str = "features",
     tol: float = 0.1,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     empty: str = "drop",
     id_col: str | None = None,
     assignments_path: str | None = None,
+    partial: bool = False,
 ) -> KMeansResult:
-    """Lloyd iterations until every centroid moves at most ``tol`` (Euclidean), or ``max_iter``.
+    """Lloyd iterations until every centroid moves at most ``tol`` (Euclidean).
 
-    ``empty="drop"``: a cluster that receives no point disappears and the remaining ids are
-    renumbered in order; ``empty="keep"``: it keeps its previous centroid.
+    ``max_iter`` bounds the iterations: reaching it raises, unless ``partial`` asks for what was
+    found so far. ``empty="drop"``: a cluster that receives no point disappears and the
+    remaining ids are renumbered in order; ``empty="keep"``: it keeps its previous centroid.
     The returned assignments are those of the last iteration (against the centroids it
-    started from). ``assignments_path`` (with ``id_col``) additionally appends every
-    iteration's ``(id, cluster_id, iteration)`` to a Parquet table partitioned by iteration;
-    it is opt-in because it writes all points once per iteration.
+    started from), as a plan over ``points`` that does not depend on anything cached.
+    ``assignments_path`` (with ``id_col``) additionally writes every iteration's
+    ``(id, cluster_id, iteration)``, each to its own replaced folder ``iteration=<i>``; it is
+    opt-in because it writes all points once per iteration.
     """
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
+    if assignments_path is not None and id_col is None:
+        raise ValueError("assignments_path needs id_col")
     d = len(centroids[0])
     pts = points.withColumn(feat, to_double_array(feat)).persist(StorageLevel.MEMORY_AND_DISK)
     current = [list(map(float, c)) for c in centroids]
     result = KMeansResult(centroids=current)
-    last_assigned = None
-    for it in range(1, max_iter + 1):
-        last_assigned = assign(pts, current, feat)
-        new, _sizes = update(last_assigned, len(current), d, feat)
-        unconverged = 0
-        nxt: Matrix = []
-        for cid, old in enumerate(current):
-            if cid in new:
-                shift = math.sqrt(sum((a - b) ** 2 for a, b in zip(old, new[cid])))
-                unconverged += shift > tol
-                nxt.append(new[cid])
-                result.centroid_history.append((it, cid, list(new[cid]), shift))
-            elif empty == "keep":
-                nxt.append(old)
-        result.history.append((it, unconverged, len(nxt)))
-        if assignments_path is not None:
-            if id_col is None:
-                raise ValueError("assignments_path needs id_col")
-            (
-                last_assigned.select(id_col, "cluster_id", F.lit(it).alias("iteration"))
-                .write.mode("append").partitionBy("iteration").parquet(assignments_path)
-            )
-        result.assignments = last_assigned
-        current = nxt
-        if unconverged == 0:
-            result.converged = True
-            break
+    try:
+        it, last = 0, None
+        while not result.converged:
+            if max_iter is not None and it == max_iter:
+                if partial:
+                    break
+                raise RuntimeError(f"no convergence within {max_iter} iterations")
+            it += 1
+            started = current
+            assigned = assign(pts, started, feat)
+            new, _sizes = update(assigned, len(started), d, feat)
+            unconverged, current = 0, []
+            for cid, old in enumerate(started):
+                if cid in new:
+                    shift = math.sqrt(sum((a - b) ** 2 for a, b in zip(old, new[cid])))
+                    unconverged += shift > tol
+                    current.append(new[cid])
+                    result.centroid_history.append((it, cid, list(new[cid]), shift))
+                elif empty == "keep":
+                    current.append(old)
+            result.history.append((it, unconverged, len(current)))
+            if assignments_path is not None:
+                assigned.select(id_col, "cluster_id").write.mode("overwrite").parquet(f"{assignments_path}/iteration={it}")
+            last = started
+            result.converged = unconverged == 0
+    finally:
+        pts.unpersist()
     result.centroids = current
+    if last is not None:
+        result.assignments = assign(points.withColumn(feat, to_double_array(feat)), last, feat)
     return result
 
 

@@ -7,11 +7,9 @@ iterations 1..49); learning rate ``eta * exp(-i/step)`` (``decay="exp"``) or the
 integer-division variant ``eta * exp(-ceil(i/step))`` (``decay="staircase"``).
 
 Distributed shape: the d-vector of weights (or R×d for a sweep) lives on the driver and
-enters each job as a literal; per row the error is computed with built-in array
-functions; ``posexplode`` + ``groupBy(run, j)`` sums the gradient with partial
-aggregation (R×d rows per task cross the shuffle). One job per update, for all runs at
-once. Literal weights are built from one SQL expression string, so planning an update
-costs a fraction of the job itself.
+travels with the task; errors and their products with the features are two matrix products
+per Arrow batch (``mapInPandas``), so R×d partial sums per task cross the shuffle. One job
+per update, for all runs at once.
 """
 
 from __future__ import annotations
@@ -19,11 +17,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basalt.functions.vectors import dot, lit_matrix, lit_vector, sigmoid, to_double_array
+from basalt.functions.vectors import dot, lit_matrix, lit_vector, of_width, sigmoid, to_double_array
 
 
 def binarize(df: DataFrame, label: str, positive, name: str = "y") -> DataFrame:
@@ -42,18 +42,26 @@ def learning_rate(eta: float, step: float, i: int, decay: str = "staircase") ->
 def gradients(data: DataFrame, weights: Sequence[Sequence[float]], feat: str = "features", y: str = "y") -> DataFrame:
     """Long form ``(run, j, g)``: gradient of every run's log-likelihood at its weights.
 
-    Per row the error of every run is computed from literal weight arrays; ``posexplode``
-    + ``groupBy(run, j)`` sums ``err * x_j`` with partial aggregation, so at most R×d rows
-    per task cross the shuffle.
+    Rows with a NULL label or vector add nothing; a vector of another width than the weights
+    fails the job.
     """
-    x = to_double_array(feat)
-    errs = F.transform(lit_matrix(weights), lambda w, r: F.struct(r.alias("run"), (F.col(y) - sigmoid(dot(x, w))).alias("err")))
-    per_run = data.select(x.alias("_x"), F.explode(errs).alias("_e"))
-    return (
-        per_run.select(F.col("_e.run").alias("run"), F.col("_e.err").alias("err"), F.posexplode("_x").alias("j", "x"))
-        .groupBy("run", "j")
-        .agg(F.sum(F.col("err") * F.col("x")).alias("g"))
-    )
+    w = np.asarray(weights, float)
+
+    def add(batches):
+        total = np.zeros_like(w)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack(pdf["x"].to_numpy())
+            with np.errstate(over="ignore"):
+                err = pdf["y"].to_numpy(float)[:, None] - 1.0 / (1.0 + np.exp(-(x @ w.T)))
+            total += err.T @ x
+        run, j = np.indices(w.shape, dtype="int32")
+        yield pd.DataFrame({"run": run.ravel(), "j": j.ravel(), "g": total.ravel()})
+
+    rows = data.select(of_width(feat, w.shape[1]).alias("x"), F.col(y).cast("double").alias("y"))
+    rows = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return rows.mapInPandas(add, "run int, j int, g double").groupBy("run", "j").agg(F.sum("g").alias("g"))
 
 
 def gradient(data: DataFrame, w: Sequence[float], feat: str = "features", y: str = "y") -> DataFrame:
@@ -73,12 +81,13 @@ def fit_many(
     """Train several (eta, step) runs together; returns one weight vector per run."""
     cached = data.select(to_double_array(feat).alias(feat), F.col(y)).persist(StorageLevel.MEMORY_AND_DISK)
     W = [[0.0] * d for _ in runs]
-    for i in range(1, updates + 1):
-        g = gradients(cached, W, feat, y).collect()
-        for r in g:
-            eta, step = runs[r["run"]]
-            W[r["run"]][r["j"]] += learning_rate(eta, step, i, decay) * r["g"]
-    cached.unpersist()
+    try:
+        for i in range(1, updates + 1):
+            for r in gradients(cached, W, feat, y).collect():
+                eta, step = runs[r["run"]]
+                W[r["run"]][r["j"]] += learning_rate(eta, step, i, decay) * r["g"]
+    finally:
+        cached.unpersist()
     return W
 
 
@@ -95,7 +104,7 @@ def weights_frame(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -
 def score_runs(data: DataFrame, weights: Mapping[str, Sequence[float]], feat: str = "features", y: str = "y", threshold: float = 0.5) -> DataFrame:
     """Accuracy of every run in one pass: predict 1 when p >= threshold (inclusive)."""
     ids = list(weights)
-    x = to_double_array(feat)
+    x = of_width(feat, len(weights[ids[0]]))
     preds = F.transform(
         lit_matrix([weights[r] for r in ids]),
         lambda w, r: F.struct(r.alias("run"), (sigmoid(dot(x, w)) >= threshold).cast("int").alias("pred")),
@@ -108,21 +117,21 @@ def score_runs(data: DataFrame, weights: Mapping[str, Sequence[float]], feat: st
 
 def predict(data: DataFrame, w: Sequence[float], feat: str = "features", threshold: float = 0.5) -> DataFrame:
     """Add probability ``p`` and 0/1 ``prediction`` for one weight vector."""
-    p = sigmoid(dot(to_double_array(feat), lit_vector(w)))
+    p = sigmoid(dot(of_width(feat, len(w)), lit_vector(w)))
     return data.withColumn("p", p).withColumn("prediction", (F.col("p") >= threshold).cast("int"))
 
 
 def minmax_grid(weights: DataFrame, width: int, j: str = "j", w: str = "w", negate: bool = True, lo: float = 0.0, hi: float = 255.0) -> DataFrame:
     """Scale (optionally negated) weights to [lo, hi] and lay them out as a width-wide grid.
 
-    max == min maps everything to ``lo``. The global min and max (two numbers) come from
-    one aggregate and enter the scaling expression as literals.
+    max == min maps everything to ``lo``. A weight table has as many rows as the model has
+    features, so its minimum and maximum come from one window over that small table.
     """
     v = -F.col(w) if negate else F.col(w)
     vals = weights.select(F.col(j), v.alias("_v"))
-    mn, mx = vals.agg(F.min("_v"), F.max("_v")).first()
-    span = None if mn is None or mx is None or mx == mn else mx - mn
-    scaled = ((F.col("_v") - F.lit(mn)) / F.lit(span) if span else F.lit(0.0)) * (hi - lo) + lo
+    every = Window.partitionBy()
+    mn, mx = F.min("_v").over(every), F.max("_v").over(every)
+    scaled = F.when(mx > mn, (F.col("_v") - mn) / (mx - mn)).otherwise(F.lit(0.0)) * (hi - lo) + lo
     return vals.select(
         (F.col(j) / width).cast("int").alias("row"), (F.col(j) % width).cast("int").alias("col"), scaled.alias("pixel")
     )

@@ -4,19 +4,20 @@
 task, and ``row_number() over (partition by g ...)`` moves a whole group into one task.
 Both break when one key holds a third of the data. Here the order is realised by a range
 repartition (sampled bounds, so a hot key is spread over several partitions), each row
-gets its index inside its partition, and per-partition counts (one number per partition,
-collected to the driver) turn that into a global position.
+gets its index inside its partition, and a prefix sum over the per-partition counts turns
+that into a global position. The sorted rows are written once to the shared scratch
+folder, so counts and result come from the same rows and nothing stays cached.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basalt.plans.joins import broadcast_if_small
+from basalt.plans.joins import bounded_broadcast
+from basalt.session import scratch_path
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -48,15 +49,23 @@ def positional_index(
         .sortWithinPartitions(*keys)
         .withColumn(_PID, pid)
         .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    counts = {r[_PID]: r["count"] for r in staged.groupBy(_PID).count().collect()}
-    offsets, running = [], 0
-    for p in range(n):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    offset_of = F.array(*[F.lit(o).cast("long") for o in offsets])
-    return staged.withColumn(name, F.element_at(offset_of, F.col(_PID) + 1) + F.col(_LOCAL)).drop(_PID, _LOCAL)
+    return _globally(staged, F.count(F.lit(1)), name)
+
+
+def _globally(staged: DataFrame, total: Column, name: str) -> DataFrame:
+    """``name`` = the row's local value plus ``total`` over all earlier partitions.
+
+    One row per partition goes through the ordered window and is broadcast: their number is
+    the shuffle partitions setting, not the size of the data.
+    """
+    path = scratch_path(staged.sparkSession, "ordered")
+    staged.write.parquet(path)
+    staged = staged.sparkSession.read.parquet(path)
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    starts = staged.groupBy(_PID).agg(total.alias("__total")).select(_PID, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start"))
+    out = staged.join(bounded_broadcast(starts), _PID).withColumn(name, (F.col("__start") + F.col(_LOCAL)).cast("long"))
+    return out.drop(_PID, _LOCAL, "__start")
 
 
 def rank_within(
@@ -82,10 +91,9 @@ def rank_within(
     for i, g in enumerate(group):
         c = indexed[g].eqNullSafe(starts[f"__g{i}"])
         cond = c if cond is None else cond & c
-    # One row per group: broadcast when the measured group count allows (the big side is
-    # then not shuffled at all, so a hot group never lands in one reducer); beyond the
-    # bound a shuffle join with AQE skew-join splitting handles hot groups.
-    out = indexed.join(broadcast_if_small(starts), on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
+    # One row per group: the adaptive planner broadcasts it if its bytes allow; else a
+    # shuffle join, whose hot groups it splits.
+    out = indexed.join(starts, on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
     return out.withColumn(name, F.col("__gpos") - F.col("__gstart")).drop("__gpos", "__gstart")
 
 
@@ -107,8 +115,7 @@ def cumulative_weights(
     For pre-aggregated ``(key, value, count)`` rows this is the rank of the value's first
     occurrence, so a value repeated in a third of the data is one row here. Rows are range
     partitioned and sorted; a running sum inside each partition (a vectorised ``cumsum``
-    per Arrow batch) plus per-partition totals (one number per partition, collected) give
-    the global sums.
+    per Arrow batch) plus a prefix sum over per-partition totals give the global sums.
     """
     import numpy as np
     from pyspark.sql import types as T
@@ -127,22 +134,14 @@ def cumulative_weights(
             total += int(w.sum())
             yield pdf
 
-    local = staged.mapInPandas(running, schema).persist(StorageLevel.MEMORY_AND_DISK)
-    totals = {r[_PID]: r["t"] for r in local.groupBy(_PID).agg(F.sum(weight).alias("t")).collect()}
-    offsets, acc = [], 0
-    for p in range(n):
-        offsets.append(acc)
-        acc += totals.get(p, 0) or 0
-    offset_of = F.array(*[F.lit(o).cast("long") for o in offsets])
-    return local.withColumn(name, F.element_at(offset_of, F.col(_PID) + 1) + F.col(_LOCAL)).drop(_PID, _LOCAL)
+    return _globally(staged.mapInPandas(running, schema), F.sum(weight), name)
 
 
 def cumulative_within(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], weight: str, name: str = "cum", size: str = "size"
 ) -> DataFrame:
     """Like :func:`cumulative_weights`, restarted at 0 in each group; adds the group's total
-    weight as ``size``. Group starts/sizes are one aggregate row per group, joined back
-    (broadcast under a measured bound)."""
+    weight as ``size``. Group starts/sizes are one aggregate row per group, joined back."""
     cum = cumulative_weights(df, [*group, *order], weight, name="__gcum")
     starts = cum.groupBy(*group).agg(F.min("__gcum").alias("__gstart"), F.sum(weight).alias(size))
     starts = starts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__gstart", size)
@@ -150,5 +149,5 @@ def cumulative_within(
     for i, g in enumerate(group):
         c = cum[g].eqNullSafe(starts[f"__g{i}"])
         cond = c if cond is None else cond & c
-    out = cum.join(broadcast_if_small(starts), on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
+    out = cum.join(starts, on=cond, how="inner").drop(*[f"__g{i}" for i in range(len(group))])
     return out.withColumn(name, F.col("__gcum") - F.col("__gstart")).drop("__gcum", "__gstart")

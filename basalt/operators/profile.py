@@ -129,11 +129,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     return _interpolated(counts, ["column"], probs, "value")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % and max per numeric column (one row each).
 
     ``exact=True`` matches ``quantile_cont``; ``exact=False`` uses ``percentile_approx``
-    (bounded memory, one pass) for very large columns.
+    (bounded memory, one pass, relative rank error 1 / ``accuracy``) for very large columns.
     """
     cols = list(cols or numeric_columns(df))
     # NaN counts as missing (as in pandas): map it to NULL before aggregating.
@@ -147,7 +147,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
         *(
             []
             if exact
-            else [F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("_pq")]
+            else [F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("_pq")]
         ),
     )
     if exact:
@@ -164,9 +164,10 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "pairwis
     """Pearson correlation of every column pair (a < b in the given order), one aggregate.
 
     ``method="pairwise"``: like pandas ``corr``, each pair skips rows where either value is
-    NULL (one ``corr`` aggregate per pair, all in one pass).
+    NULL or NaN (one ``corr`` aggregate per pair, all in one pass).
     ``method="matrix"``: MLlib ``Correlation`` on an assembled vector (one pass computing
-    the full covariance, better for wide tables); rows with any NULL are dropped first.
+    the full covariance, better for wide tables); it drops rows with any NULL or NaN first, so
+    its result differs from the pairwise one where some are missing.
     """
     cols = list(cols)
     pairs = list(combinations(cols, 2))
@@ -181,7 +182,8 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "pairwis
         return df.sparkSession.createDataFrame(rows, "col_a STRING, col_b STRING, r DOUBLE")
     if method != "pairwise":
         raise ValueError("method must be 'pairwise' or 'matrix'")
-    one = df.agg(*[F.corr(a, b).alias(f"{i}__r") for i, (a, b) in enumerate(pairs)])
+    known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    one = df.agg(*[F.corr(known[a], known[b]).alias(f"{i}__r") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{i}__r").alias("r")) for i, (a, b) in enumerate(pairs)]
     return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
@@ -192,9 +194,11 @@ def strong_correlations(pairs: DataFrame, lo: float = 0.4, hi: float = 1.0) -> D
 
 
 def majority_accuracy(df: DataFrame, label: str, name: str = "majority_pct") -> DataFrame:
-    """Accuracy (percent, 2 decimals) of always answering the most frequent label."""
+    """Accuracy (percent, 2 decimals) of always answering the most frequent label, over all
+    rows; NULL is no label, so rows without one count as wrong."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
-    return counts.agg(F.round(F.max("c") / F.sum("c") * 100.0, 2).alias(name))
+    most = F.coalesce(F.max(F.when(F.col(label).isNotNull(), F.col("c"))), F.lit(0))
+    return counts.agg(F.round(most / F.sum("c") * 100.0, 2).alias(name))
 
 
 def group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5, name: str = "median") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basalt.functions.text import day_diff, initial, starts_with_ci
-from basalt.plans.joins import bounded_broadcast, broadcast_if_small
+from basalt.plans.joins import bounded_broadcast
 
 
 def count_where(df: DataFrame, condition: Column, name: str = "n") -> DataFrame:
@@ -70,38 +70,28 @@ def sum_product_by(
     fact_value: str,
     dim_value: str,
     name: str = "total_value",
-    exact_scale: int | None = 2,
-    max_broadcast_rows: int = 1_000_000,
+    exact_scale: int | None = None,
 ) -> DataFrame:
     """``SUM(fact_value * dim_value)`` of ``fact`` joined to ``dim``, grouped by a ``dim``
     column, largest first.
 
-    The plan depends on the measured size of ``dim`` (a row count; for Parquet it is
-    answered from file metadata):
+    ``dim_value`` is constant per ``dim_key``, so the fact side is first summed per join key
+    (Σ q·p = Σ_key p·Σ q) with partial aggregation: one row per key and task reaches the join,
+    and a hot key costs one row per task. The join carries no hint; the adaptive planner
+    broadcasts the dimension if its bytes allow.
 
-    * small dimension: broadcast it; the join and a partial aggregate on ``group`` run
-      map-side, and only (#groups) rows per task are shuffled;
-    * large dimension: ``dim_value`` is constant per ``dim_key``, so the fact side is
-      first summed per join key (Σ q·p = Σ_key p·Σ q) with partial aggregation; only one
-      row per key reaches the shuffle join instead of every fact row, and a hot key
-      costs one row per task.
-
-    With ``exact_scale`` the values are DECIMAL with that many decimals, so the result does
-    not depend on the order rows are added; it is cast back to DOUBLE at the end.
+    ``exact_scale`` is for values that are decimals with that many places by nature: they are
+    added as DECIMAL, so the result does not depend on the order of rows, and cast back to
+    DOUBLE. Values with more places would be rounded first, hence it is off by default.
     """
     if exact_scale is not None:
         dec = f"decimal(18,{exact_scale})"
         fv, dv = F.col(fact_value).cast(dec), F.col(dim_value).cast(dec)
     else:
         fv, dv = F.col(fact_value), F.col(dim_value)
-    dims = dim.select(dim_key, group, dv.alias("_dv"))
-    if dim.count() <= max_broadcast_rows:
-        joined = fact.select(fact_key, fv.alias("_fv")).join(F.broadcast(dims), F.col(fact_key) == F.col(dim_key))
-        total = F.sum(F.col("_fv") * F.col("_dv"))
-    else:
-        per_key = fact.groupBy(fact_key).agg(F.sum(fv).alias("_fsum"))
-        joined = per_key.join(dims, F.col(fact_key) == F.col(dim_key))
-        total = F.sum(F.col("_fsum") * F.col("_dv"))
+    per_key = fact.groupBy(F.col(fact_key).alias("_fkey")).agg(F.sum(fv).alias("_fsum"))
+    joined = per_key.join(dim.select(dim_key, group, dv.alias("_dv")), F.col("_fkey") == F.col(dim_key))
+    total = F.sum(F.col("_fsum") * F.col("_dv"))
     if exact_scale is not None:
         total = total.cast("double")
     return joined.groupBy(group).agg(total.alias(name)).orderBy(F.col(name).desc(), F.col(group))
@@ -130,11 +120,8 @@ def first_customers_products(
     cust_orders = orders.select("o_orderkey", "o_custkey").join(
         bounded_broadcast(top), F.col("o_custkey") == F.col("c_custkey")
     ).select("c_name", "o_orderkey")
-    # The orders of k customers are few in practice but not bounded: measure, then
-    # broadcast so the line items are filtered map-side instead of shuffled.
-    picked = lines.select("l_orderkey", "l_partkey").join(
-        broadcast_if_small(cust_orders), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    # The orders of k customers are few in practice but not bounded: no hint here.
+    picked = lines.select("l_orderkey", "l_partkey").join(cust_orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
         picked.join(products.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         .select("c_name", "p_partkey", "p_name")
@@ -153,6 +140,6 @@ def tail_rows(df: DataFrame, key: Sequence[str], n: int = 50) -> DataFrame:
 
 
 def shuffled(df: DataFrame, key: Sequence[str], seed: int = 42, name: str = "shuffle_key") -> DataFrame:
-    """A reproducible random permutation: order by a seeded hash of the key."""
-    h = F.xxhash64(F.lit(seed), *key)
+    """A reproducible random permutation: order by ``name``, the md5 of the seed and the key."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]).cast("binary"))
     return df.withColumn(name, h).orderBy(name, *key)

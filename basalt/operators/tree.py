@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basalt.operators.ordering import rank_within
-from basalt.plans.joins import broadcast_if_small
-from basalt.session import scratch_path
 
 
 def assign_folds(df: DataFrame, label: str, key: Sequence[str], k: int, seed: int = 42, stratified: bool = True, name: str = "fold") -> DataFrame:
@@ -36,38 +34,38 @@ def assign_folds(df: DataFrame, label: str, key: Sequence[str], k: int, seed: in
     return ranked.withColumn(name, (F.col("_r") % k).cast("int")).drop("_h", "_r")
 
 
-def tree_pipeline(features: Sequence[str], label: str, max_depth: int = 10, max_bins: int = 256, seed: int = 42) -> Pipeline:
+MAX_DEPTH = 30  # the deepest tree that MLlib grows; reached only if leaves are still mixed
+
+
+def tree_pipeline(features: Sequence[str], label: str, max_depth: int = MAX_DEPTH, max_bins: int = 256, seed: int = 42) -> Pipeline:
     """Assemble features, index labels in sorted order (codes 0..m-1), fit a gini tree,
-    and decode predictions back to label text (``predicted_label``)."""
+    and decode predictions back to label text (``predicted_label``).
+
+    Leaves grow until they are pure, or to ``max_depth``; a feature with more than ``max_bins``
+    distinct values is split at that many quantiles."""
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec")
-    dt = DecisionTreeClassifier(
+    return Pipeline(stages=[indexer, assembler, _classifier(max_depth, max_bins, seed), _decoder(indexer)])
+
+
+def _classifier(max_depth: int = MAX_DEPTH, max_bins: int = 256, seed: int = 42) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(
         featuresCol="features_vec", labelCol="label_idx", impurity="gini", maxDepth=max_depth, maxBins=max_bins, seed=seed
     )
-    return Pipeline(stages=[indexer, assembler, dt, _decoder(indexer)])
 
 
 def _decoder(indexer: StringIndexer) -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol="predicted_label")
 
 
-ROWS_PER_TRAIN_PARTITION = 1_000_000
-
-
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
     """Fit the pipeline. The training input is read several times (label indexer, split
     sampling, tree-point conversion, one pass per tree level), so its used columns are
-    persisted, and its partitions are coalesced (no shuffle) to about one per
-    ``ROWS_PER_TRAIN_PARTITION`` rows: each of the ~depth training jobs then runs as many
-    tasks as the data needs, not as many as an upstream shuffle happened to produce."""
-    import math
-
+    persisted meanwhile."""
     pipe = tree_pipeline(features, label, **kw)
     train = df.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        target = max(1, math.ceil(train.count() / ROWS_PER_TRAIN_PARTITION))
-        sized = train.coalesce(target) if train.rdd.getNumPartitions() > target else train
-        model = pipe.fit(sized)
+        model = pipe.fit(train)
     finally:
         train.unpersist()
     # IndexToString needs the label list of the fitted indexer.
@@ -97,16 +95,23 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
     from concurrent.futures import ThreadPoolExecutor
 
     spark = df.sparkSession
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
+    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec")
+    # Index and assemble once; every fold then trains on the same cached vectors.
+    ready = assembler.transform(indexer.fit(df).transform(df)).select("features_vec", "label_idx", F.col(fold).alias("_fold"))
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(f):
-        model = fit_tree(df.where(F.col(fold) != f), features, label, **kw)
-        scored = model.transform(df.where(F.col(fold) == f))
-        acc = scored.agg(F.avg((F.col(label) == F.col("predicted_label")).cast("double"))).first()[0]
-        return int(f), float(acc)
+        model = _classifier(**kw).fit(ready.where(F.col("_fold") != f))
+        scored = model.transform(ready.where(F.col("_fold") == f))
+        return int(f), float(scored.agg(F.avg((F.col("label_idx") == F.col("prediction")).cast("double"))).first()[0])
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
-        out = list(pool.map(one, folds))
+    try:
+        folds = sorted(r[0] for r in ready.select("_fold").distinct().collect())
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
+            out = list(pool.map(one, folds))
+    finally:
+        ready.unpersist()
     return spark.createDataFrame(out, "fold INT, accuracy DOUBLE")
 
 
@@ -115,27 +120,19 @@ def score_summary(scores: DataFrame, col: str = "accuracy") -> DataFrame:
     return scores.agg(F.avg(col).alias("mean"), (2 * F.stddev_pop(col)).alias("plus_minus"))
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, max_labels: int = 1_000) -> DataFrame:
+def confusion_matrix(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """Long form ``(truth, predicted, count)`` over the full label grid (zeros included).
 
-    Counts are one grouped aggregate; the label set (truth ∪ predicted) is small by
-    nature and checked (at most ``max_labels``) before the grid is built from it.
+    Labels are the values of either column; NULL is one of them if it occurs, so every row is
+    counted. The grid comes from the sparse counts: each truth label gets the array of all
+    labels, and counts are joined to it null-safely.
     """
-    spark = df.sparkSession
     counts = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
-    labels = (
-        df.select(F.col(truth).alias("l")).union(df.select(F.col(pred).alias("l"))).where(F.col("l").isNotNull()).distinct()
-    )
-    names = [r[0] for r in labels.limit(max_labels + 1).collect()]
-    if len(names) > max_labels:
-        raise ValueError(f"more than {max_labels} labels; a confusion grid is not meaningful")
-    grid = spark.createDataFrame([(a, b) for a in names for b in names], counts.select("truth", "predicted").schema)
-    return (
-        F.broadcast(grid)
-        .join(counts, ["truth", "predicted"], "left")
-        .select("truth", "predicted", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
-        .orderBy("truth", "predicted")
-    )
+    ends = counts.select(F.explode(F.array(F.struct(F.col("truth").alias("l")), F.struct(F.col("predicted").alias("l")))).alias("s")).select("s.l").distinct()
+    every = ends.agg(F.collect_list(F.struct("l")).alias("all"))
+    grid = every.select(F.explode("all").alias("t"), "all").select(F.col("t.l").alias("t"), F.explode("all").alias("p")).select("t", F.col("p.l").alias("p"))
+    joined = grid.join(counts, F.col("t").eqNullSafe(F.col("truth")) & F.col("p").eqNullSafe(F.col("predicted")), "left")
+    return joined.select(F.col("t").alias("truth"), F.col("p").alias("predicted"), F.coalesce("count", F.lit(0)).cast("long").alias("count")).orderBy("truth", "predicted")
 
 
 def importances(model: PipelineModel | DecisionTreeClassificationModel, features: Sequence[str]) -> DataFrame:
@@ -147,20 +144,26 @@ def importances(model: PipelineModel | DecisionTreeClassificationModel, features
 
 
 def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel, features: Sequence[str]) -> DataFrame:
-    """The fitted tree as a node table, read back from the saved model's Parquet data and
-    joined to feature names (the exported picture of the tree, as data)."""
+    """The fitted tree as a node table in pre-order (the exported picture of the tree, as
+    data): children are node ids, -1 at leaves."""
     tree = tree_of(model) if isinstance(model, PipelineModel) else model
-    spark = _spark_of(tree)
-    path = scratch_path(spark, "tree-model")
-    tree.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    names = spark.createDataFrame(list(enumerate(features)), "feature_index INT, feature STRING")
-    flat = nodes.select(
-        "id", "prediction", "impurity", "gain", "leftChild", "rightChild",
-        F.col("split.featureIndex").alias("feature_index"),
-        F.col("split.leftCategoriesOrThreshold").alias("threshold"),
-    )
-    return flat.join(broadcast_if_small(names), "feature_index", "left").orderBy("id")
+    rows: list[list] = []
+
+    def visit(node) -> int:
+        at = len(rows)
+        rows.append([at, float(node.prediction()), float(node.impurity()), None, -1, -1, None, None, None])
+        if node.getClass().getSimpleName() == "InternalNode":
+            split = node.split()
+            rows[at][3] = float(node.gain())
+            rows[at][6], rows[at][7] = int(split.featureIndex()), features[split.featureIndex()]
+            rows[at][8] = float(split.threshold())
+            rows[at][4] = visit(node.leftChild())
+            rows[at][5] = visit(node.rightChild())
+        return at
+
+    visit(tree._call_java("rootNode"))
+    schema = "id INT, prediction DOUBLE, impurity DOUBLE, gain DOUBLE, leftChild INT, rightChild INT, feature_index INT, feature STRING, threshold DOUBLE"
+    return _spark_of(tree).createDataFrame([tuple(r) for r in rows], schema).orderBy("id")
 
 
 def _spark_of(_model):

@@ -1,33 +1,17 @@
-"""Join-side planning: broadcast only behind a measured size bound.
+"""Join-side planning.
 
-Catalyst/AQE already convert a sort-merge join into a broadcast join when the runtime
-size of one side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. For sides
-that are *derived* (their size depends on the data) we additionally offer an explicit
-row-count check before hinting, so the big side is never shuffled only to be thrown away.
-Sides with a size fixed by a parameter (``limit(k)``, a k-row centroid table) are
-broadcast directly.
+Sides that are derived from data are joined without a hint: the adaptive planner knows
+their bytes once they are computed and broadcasts them, or not, by
+``spark.sql.adaptive.autoBroadcastJoinThreshold``. Only sides whose row count is fixed by a
+parameter (``limit(k)``, a k-row centroid table, one row per shuffle partition) are
+broadcast by a hint.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``small`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The side is persisted (memory, spilling to disk) and counted: one job over it, and the
-    join then reads the persisted rows instead of recomputing them. Above the bound it is
-    returned unhinted and the planner uses a shuffle join.
-    """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
 
 def bounded_broadcast(small: DataFrame) -> DataFrame:
     """Broadcast a side whose row count is bounded by a parameter, not by the data."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basalt.operators import cluster
 from basalt.plans.registry import Tables, query
+from basalt.session import scratch_path
 
 K = 10
 TOL = 0.1
@@ -58,50 +59,103 @@ def kmeans_step(spark, sf_dir):
     return sums.withColumn("coord", F.round("coord", 6))
 
 
-def _fit(spark, sf_dir):
+# Lloyd iterations as a recursive query: each step keeps the clusters that got points,
+# renumbered, with the id each had before and how far it moved; it ends with the first step in
+# which no cluster moved further than the tolerance.
+_LLOYD = f"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+t(it, cluster_id, was, coords, shift, moved) AS (
+    SELECT 0, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER), -1, f, CAST(0 AS DOUBLE), CAST(1 AS BIGINT)
+    FROM (SELECT * FROM e ORDER BY vec_id LIMIT {K})
+    UNION ALL
+    SELECT it + 1, CAST(row_number() OVER (ORDER BY cluster_id) - 1 AS INTEGER), cluster_id, new, list_distance(old, new),
+           CAST(SUM(CAST(list_distance(old, new) > {TOL} AS INTEGER)) OVER () AS BIGINT)
+    FROM (
+        SELECT it, cluster_id, old, list(m ORDER BY j) AS new FROM (
+            SELECT it, cluster_id, old, j, AVG(v) AS m FROM (
+                SELECT it, cluster_id, coords AS old, unnest(range(len(f))) AS j, unnest(f) AS v FROM (
+                    SELECT t.it, t.cluster_id, t.coords, e.f,
+                           row_number() OVER (PARTITION BY e.vec_id ORDER BY list_distance(e.f, t.coords), t.cluster_id) AS rn
+                    FROM e, t WHERE t.moved > 0)
+                WHERE rn = 1)
+            GROUP BY it, cluster_id, old, j)
+        GROUP BY it, cluster_id, old)),
+last AS (SELECT MAX(it) AS n FROM t),
+of AS (
+    SELECT it + 1 AS iteration, vec_id, cluster_id FROM (
+        SELECT t.it, e.vec_id, t.cluster_id, row_number() OVER (PARTITION BY t.it, e.vec_id ORDER BY list_distance(e.f, t.coords), t.cluster_id) AS rn
+        FROM e, t, last WHERE t.it < last.n)
+    WHERE rn = 1)
+"""
+
+
+def _fit(spark, sf_dir, **kw):
     emb, start = _start(Tables(spark, sf_dir))
-    return cluster.kmeans(emb.select("vec_id", "embedding"), start, feat="embedding", tol=TOL, max_iter=100)
+    return cluster.kmeans(emb.select("vec_id", "embedding"), start, feat="embedding", tol=TOL, **kw)
 
 
-@query("kmeans_fit")
+@query("kmeans_fit", _LLOYD + "SELECT vec_id, cluster_id FROM of, last WHERE iteration = last.n")
 def kmeans_fit(spark, sf_dir):
-    """Final assignment of every vector after convergence (rows-only check)."""
+    """Final assignment of every vector after convergence."""
     return _fit(spark, sf_dir).assignments.select("vec_id", "cluster_id")
 
 
-@query("kmeans_centroids")
+@query(
+    "kmeans_centroids",
+    _LLOYD + "SELECT cluster_id, CAST(j AS INTEGER) AS j, ROUND(v, 6) AS coord FROM "
+    "(SELECT cluster_id, unnest(range(len(coords))) AS j, unnest(coords) AS v FROM t, last WHERE it = last.n)",
+)
 def kmeans_centroids(spark, sf_dir):
     """Final centroids, long form (cluster_id, j, coord)."""
-    return cluster.centroids_frame(spark, _fit(spark, sf_dir).centroids)
+    return cluster.centroids_frame(spark, _fit(spark, sf_dir).centroids).withColumn("coord", F.round("coord", 6))
 
 
-@query("kmeans_history")
+@query(
+    "kmeans_history",
+    _LLOYD + "SELECT it AS iteration, CAST(any_value(moved) AS INTEGER) AS n_unconverged, CAST(COUNT(*) AS INTEGER) AS n_clusters FROM t WHERE it > 0 GROUP BY it",
+)
 def kmeans_history(spark, sf_dir):
     """Unconverged clusters per iteration."""
     h = _fit(spark, sf_dir).history
     return spark.createDataFrame(h, "iteration INT, n_unconverged INT, n_clusters INT")
 
 
-@query("kmeans_centroid_history")
+@query(
+    "kmeans_centroid_history",
+    _LLOYD + "SELECT iteration, cluster_id, CAST(j AS INTEGER) AS j, ROUND(v, 6) AS coord, ROUND(shift, 6) AS shift FROM "
+    "(SELECT it AS iteration, was AS cluster_id, shift, unnest(range(len(coords))) AS j, unnest(coords) AS v FROM t WHERE it > 0)",
+)
 def kmeans_centroid_history(spark, sf_dir):
-    """Every centroid update of the run: (iteration, cluster_id, coords, shift)."""
-    return cluster.centroid_history_frame(spark, _fit(spark, sf_dir))
+    """Every centroid update of the run, one row per coordinate."""
+    h = cluster.centroid_history_frame(spark, _fit(spark, sf_dir))
+    long = h.select("iteration", "cluster_id", F.round("shift", 6).alias("shift"), F.posexplode("coords").alias("j", "coord"))
+    return long.withColumn("coord", F.round("coord", 6))
+
+
+@query("kmeans_assignment_history", _LLOYD + "SELECT vec_id, cluster_id, iteration FROM of")
+def kmeans_assignment_history(spark, sf_dir):
+    """The assignments of every iteration, read back from the folder the run wrote."""
+    path = scratch_path(spark, "kmeans-assignments")
+    _fit(spark, sf_dir, id_col="vec_id", assignments_path=path)
+    return spark.read.parquet(path).select("vec_id", "cluster_id", "iteration")
 
 
 @query(
     "kmeans_assign_default_start",
     f"""
     WITH c AS (SELECT CAST(i AS INTEGER) AS cluster_id FROM range({K}) t(i)),
-    dm AS (SELECT e.vec_id, c.cluster_id,
-                  list_distance(CAST(e.embedding AS DOUBLE[]),
-                                list_transform(range(len(e.embedding)), lambda j: CAST(c.cluster_id + 1 AS DOUBLE))) AS distance
-           FROM embeddings e, c)
+    p AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda v: v + label) AS f FROM embeddings),
+    dm AS (SELECT p.vec_id, c.cluster_id,
+                  list_distance(p.f, list_transform(range(len(p.f)), lambda j: CAST(c.cluster_id + 1 AS DOUBLE))) AS distance
+           FROM p, c)
     SELECT vec_id, cluster_id FROM (
       SELECT *, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY distance, cluster_id) AS rn FROM dm) WHERE rn = 1
     """,
 )
 def kmeans_assign_default_start(spark, sf_dir):
-    """Nearest deterministic start centroid (i+1, ..., i+1) for every vector."""
+    """Nearest deterministic start centroid (i+1, ..., i+1); the vectors are moved by their
+    label along every axis, so that they lie among all the centroids."""
     emb = Tables(spark, sf_dir).embeddings
+    moved = emb.select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda v: v + F.col("label")).alias("f"))
     d = emb.select(F.size("embedding")).first()[0]
-    return cluster.assign(emb, cluster.initial_centroids(K, d), "embedding").select("vec_id", "cluster_id")
+    return cluster.assign(moved, cluster.initial_centroids(K, d), "f").select("vec_id", "cluster_id")

@@ -6,8 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basalt.functions.vectors import to_double_array, vadd, vscale
 from basalt.operators import linear
 from basalt.plans.registry import Tables, query
+from basalt.session import scratch_path
+from basalt.sinks.files import load_coefficients, save_coefficients
 
 DIM = 64
 POSITIVE = 8
@@ -92,32 +95,95 @@ def weight_grid(spark, sf_dir):
     return grid.withColumn("pixel", F.round("pixel", 6))
 
 
+def _runs_sql(runs, updates: int, select: str, decay: str = "ceil") -> str:
+    """All runs trained by a recursive query, one update per step, then ``select``."""
+    values = ", ".join(f"('{rid}', CAST({eta} AS DOUBLE), CAST({step} AS DOUBLE))" for rid, (eta, step) in runs.items())
+    share = "ceil((i + 1) / step)" if decay == "ceil" else "(i + 1) / step"
+    return f"""
+    WITH RECURSIVE d AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(label = {POSITIVE} AS INTEGER) AS y FROM embeddings),
+    r(run_id, eta, step) AS (VALUES {values}),
+    t(i, run_id, eta, step, w) AS (
+        SELECT 0, run_id, eta, step, list_transform(range({DIM}), lambda k: CAST(0 AS DOUBLE)) FROM r
+        UNION ALL
+        SELECT i + 1, run_id, eta, step, list(nw ORDER BY j) FROM (
+            SELECT i, run_id, eta, step, j, any_value(w[j + 1]) + eta * exp(-{share}) * SUM(err * v) AS nw FROM (
+                SELECT t.*, d.y - 1 / (1 + exp(-list_inner_product(d.x, t.w))) AS err, unnest(range(len(d.x))) AS j, unnest(d.x) AS v
+                FROM t, d WHERE i < {updates})
+            GROUP BY i, run_id, eta, step, j)
+        GROUP BY i, run_id, eta, step)
+    {select.format(updates=updates)}
+    """
+
+
+_WEIGHTS = "SELECT run_id, CAST(j AS INTEGER) AS j, ROUND(v, 4) AS w FROM (SELECT run_id, unnest(range(len(w))) AS j, unnest(w) AS v FROM t WHERE i = {updates})"
+_ACCURACY = (
+    "SELECT run_id, AVG(CAST((1 / (1 + exp(-list_inner_product(d.x, t.w))) >= 0.5) = (d.y = 1) AS DOUBLE)) AS accuracy "
+    "FROM t, d WHERE i = {updates} GROUP BY run_id"
+)
+ONE_RUN = {"eta0.1_step50": (ETA, STEP)}
+
+
+def _rounded_weights(w):
+    return w.withColumn("w", F.round("w", 4))
+
+
 def _fit(spark, sf_dir, runs):
     data = _data(Tables(spark, sf_dir))
     W = linear.fit_many(data, list(runs.values()), DIM, updates=49, decay=DECAY)
     return data, dict(zip(runs, W))
 
 
-@query("logistic_fit")
+@query("logistic_fit", _runs_sql(ONE_RUN, 49, _WEIGHTS))
 def logistic_fit(spark, sf_dir):
     """Weights after 49 updates (eta 0.1, step 50), long form (run_id, j, w)."""
-    _, W = _fit(spark, sf_dir, {"eta0.1_step50": (ETA, STEP)})
-    return linear.weights_frame(spark, W)
+    _, W = _fit(spark, sf_dir, ONE_RUN)
+    return _rounded_weights(linear.weights_frame(spark, W))
+
+
+@query("logistic_fit_float_steps", _runs_sql(ONE_RUN, 10, _WEIGHTS, decay="exp"))
+def logistic_fit_float_steps(spark, sf_dir):
+    """Ten updates under the schedule ``eta * exp(-i/step)``."""
+    data = _data(Tables(spark, sf_dir))
+    W = linear.fit_many(data, list(ONE_RUN.values()), DIM, updates=10, decay="exp")
+    return _rounded_weights(linear.weights_frame(spark, dict(zip(ONE_RUN, W))))
 
 
-@query("logistic_accuracy")
+@query("coefficients_reloaded", _runs_sql(ONE_RUN, 5, _ACCURACY))
+def coefficients_reloaded(spark, sf_dir):
+    """Weights of five updates saved as a table, loaded again and scored."""
+    data = _data(Tables(spark, sf_dir))
+    W = linear.fit_many(data, list(ONE_RUN.values()), DIM, updates=5, decay=DECAY)
+    path = save_coefficients(linear.weights_frame(spark, dict(zip(ONE_RUN, W))), scratch_path(spark, "coefficients"))
+    rows = load_coefficients(spark, path).orderBy("run_id", "j").collect()
+    loaded = {rid: [r["w"] for r in rows if r["run_id"] == rid] for rid in ONE_RUN}
+    return linear.score_runs(data, loaded)
+
+
+@query("logistic_accuracy", _runs_sql(ONE_RUN, 49, _ACCURACY))
 def logistic_accuracy(spark, sf_dir):
-    data, W = _fit(spark, sf_dir, {"eta0.1_step50": (ETA, STEP)})
+    data, W = _fit(spark, sf_dir, ONE_RUN)
     return linear.score_runs(data, W)
 
 
-@query("logistic_sweep")
+@query("logistic_sweep", _runs_sql(SWEEP, 49, _ACCURACY))
 def logistic_sweep(spark, sf_dir):
     """All six runs trained together (one job per update) and scored in one pass."""
     data, W = _fit(spark, sf_dir, SWEEP)
     return linear.score_runs(data, W)
 
 
+@query(
+    "vector_step",
+    "SELECT vec_id, CAST(j AS INTEGER) AS j, ROUND(v - 0.25 * v, 6) AS x FROM "
+    "(SELECT vec_id, unnest(range(len(embedding))) AS j, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)",
+)
+def vector_step(spark, sf_dir):
+    """Every vector moved a quarter of the way to the origin (vector sum and scaling)."""
+    x = to_double_array("embedding")
+    moved = Tables(spark, sf_dir).embeddings.select("vec_id", F.posexplode(vadd(x, vscale(x, -0.25))).alias("j", "x"))
+    return moved.withColumn("x", F.round("x", 6))
+
+
 _QUAD = """
 q AS (SELECT l_orderkey, l_linenumber, ROUND(l_discount * 100 - 5, 6) AS x1, ROUND(l_tax * 100 - 4, 6) AS x2 FROM lineitem)
 """

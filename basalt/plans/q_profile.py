@@ -207,45 +207,48 @@ def merge_categories(spark, sf_dir):
     "merge_tail_categories",
     """
     WITH c AS (SELECT p_brand, COUNT(*) AS k FROM part GROUP BY p_brand)
-    SELECT CASE WHEN c.k < 80 THEN 'Other' ELSE p.p_brand END AS brand, COUNT(*) AS n
+    SELECT CASE WHEN c.k < (SELECT CAST(floor(AVG(k)) AS BIGINT) FROM c) THEN 'Other' ELSE p.p_brand END AS brand, COUNT(*) AS n
     FROM part p JOIN c ON p.p_brand = c.p_brand GROUP BY brand ORDER BY n DESC, brand
     """,
 )
 def merge_tail_categories(spark, sf_dir):
-    p = clean.merge_tail(Tables(spark, sf_dir).part, "p_brand", min_count=80, out="brand")
+    """Brands with fewer parts than the average brand become one category."""
+    part = Tables(spark, sf_dir).part
+    least = part.groupBy("p_brand").count().agg(F.floor(F.avg("count"))).first()[0]
+    p = clean.merge_tail(part, "p_brand", min_count=least, out="brand")
     return p.groupBy("brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "brand")
 
 
-def _corr_sql(strong: bool):
+def _corr_sql():
     from itertools import combinations
 
     rows = [
-        f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(CORR({a}, {b}), 6) AS r FROM lineitem"
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(CORR({a}, {b}), 6) AS r FROM l"
         for a, b in combinations(LINE_NUMS, 2)
     ]
-    sql = " UNION ALL ".join(rows)
-    return f"SELECT * FROM ({sql}) WHERE abs(r) > 0.4 AND abs(r) < 1" if strong else sql
+    cte = "WITH l AS (SELECT l_quantity, l_extendedprice, nullif(l_discount, CAST(0.05 AS DOUBLE)) AS l_discount, l_tax FROM lineitem) "
+    return cte + " UNION ALL ".join(rows)
 
 
-@query("correlation_pairs", _corr_sql(False))
+@query("correlation_pairs", _corr_sql())
 def correlation_pairs(spark, sf_dir):
-    return _round(profile.correlation_pairs(Tables(spark, sf_dir).lineitem, LINE_NUMS))
-
-
-@query("strong_correlations", _corr_sql(True))
-def strong_correlations(spark, sf_dir):
-    return profile.strong_correlations(correlation_pairs(spark, sf_dir))
+    """Correlations with missing values: some discounts are made NaN, which a pair skips."""
+    nan = F.lit(float("nan"))
+    li = Tables(spark, sf_dir).lineitem.select(*LINE_NUMS).withColumn("l_discount", F.when(F.col("l_discount") == 0.05, nan).otherwise(F.col("l_discount")))
+    return _round(profile.correlation_pairs(li, LINE_NUMS))
 
 
 @query(
     "majority_accuracy",
     """
-    SELECT ROUND(MAX(c) * 100.0 / SUM(c), 2) AS majority_pct
-    FROM (SELECT quality, COUNT(*) AS c FROM labels GROUP BY quality)
+    SELECT ROUND(MAX(c) FILTER (WHERE p IS NOT NULL) * 100.0 / SUM(c), 2) AS majority_pct
+    FROM (SELECT CASE WHEN o_orderpriority < '4' THEN NULL ELSE o_orderpriority END AS p, COUNT(*) AS c FROM orders GROUP BY p)
     """,
 )
 def majority_accuracy(spark, sf_dir):
-    return profile.majority_accuracy(Tables(spark, sf_dir).labels, "quality")
+    """Most orders have no label here, so NULL is the largest group."""
+    o = Tables(spark, sf_dir).orders.select(F.when(F.col("o_orderpriority") >= "4", F.col("o_orderpriority")).alias("p"))
+    return profile.majority_accuracy(o, "p")
 
 
 ORDER_COLS = ["n_lines", "line_total", "line_qty", "o_totalprice"]

@@ -25,8 +25,7 @@ def _names(t: Tables):
 @query(
     "revenue_by_product_line",
     """
-    SELECT p_type,
-           CAST(SUM(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+    SELECT p_type, ROUND(SUM(l_quantity * p_retailprice), 2) AS total_value
     FROM lineitem JOIN part ON l_partkey = p_partkey
     GROUP BY p_type
     ORDER BY total_value DESC, p_type
@@ -34,7 +33,8 @@ def _names(t: Tables):
 )
 def revenue_by_product_line(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return rel.sum_product_by(t.lineitem, t.part, "l_partkey", "p_partkey", "p_type", "l_quantity", "p_retailprice")
+    total = rel.sum_product_by(t.lineitem, t.part, "l_partkey", "p_partkey", "p_type", "l_quantity", "p_retailprice")
+    return total.withColumn("total_value", F.round("total_value", 2))
 
 
 @query(

@@ -7,12 +7,16 @@ split-offset index and the label file is paired with the vectors by line number.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from basalt.functions.vectors import dot
 from basalt.plans.registry import Tables, query
 from basalt.session import scratch_path
-from basalt.sources.files import align_rows, read_labels, read_matrix, read_vectors
+from basalt.sinks.files import write_tuple_text
+from basalt.sources.files import align_rows, read_csv_table, read_labels, read_matrix, read_vectors
+from basalt.sources.tables import catalog_row_counts
 
 _SQL = """
 WITH e AS (SELECT ROW_NUMBER() OVER (ORDER BY vec_id) - 1 AS line, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings)
@@ -56,3 +60,37 @@ def aligned_rows(spark, sf_dir):
     m = _summary(read_matrix(spark, mpath, d=64, sep=" "))
     y = read_labels(spark, lpath, name="y")
     return align_rows(m, y, "line").select("line", "y", "dims", "norm")
+
+
+@query("csv_orders", "SELECT o_orderkey, o_custkey, o_orderpriority, ROUND(o_totalprice, 2) AS o_totalprice FROM orders")
+def csv_orders(spark, sf_dir):
+    """Orders written as CSV with a header and read back with a declared schema."""
+    path = scratch_path(spark, "orders-csv")
+    cols = ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"]
+    Tables(spark, sf_dir).orders.select(*cols).write.option("header", True).csv(path)
+    schema = "o_orderkey LONG, o_custkey LONG, o_orderpriority STRING, o_totalprice DOUBLE"
+    return read_csv_table(spark, path, schema).withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
+@query("tuple_text", "SELECT '(' || o_custkey || ', ' || COUNT(*) || ')' AS line FROM orders GROUP BY o_custkey")
+def tuple_text(spark, sf_dir):
+    """Order counts dumped twice as ``(key, count)`` lines (the second replaces the first), read back."""
+    path = scratch_path(spark, "tuples")
+    counts = Tables(spark, sf_dir).orders.groupBy("o_custkey").count()
+    for _ in range(2):
+        write_tuple_text(counts, path, ["o_custkey", "count"])
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query(
+    "catalog_report",
+    "SELECT 'customer' AS table_name, COUNT(*) AS row_count FROM customer UNION ALL SELECT 'nation', COUNT(*) FROM nation",
+)
+def catalog_report(spark, sf_dir):
+    """Row counts of the tables of a database, by its name; a missing one reports nothing."""
+    name = f"basalt_report_{uuid.uuid4().hex[:8]}"
+    missing = catalog_row_counts(spark, f"{name}_missing")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    for t in ("customer", "nation"):
+        spark.catalog.createTable(f"{name}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
+    return catalog_row_counts(spark, name).unionByName(missing)

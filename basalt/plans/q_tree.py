@@ -15,8 +15,11 @@ from basalt.operators import clean, profile, tree
 from basalt.operators import relational as rel
 from basalt.plans.registry import Tables, query
 
-FEATURES = ["n_orders", "median_total", "c_acctbal"]
+# Bands with fewer distinct values than a tree has bins, the class borders on band borders: a
+# tree grown until its leaves are pure then repeats the class of every training row.
+FEATURES = ["n_orders", "total_band", "acct_band"]
 K_FOLDS = 4
+MERGED_FOLDS = 10
 
 _FEAT_SQL = """
 f AS (SELECT o_custkey, COUNT(*) AS n_orders, QUANTILE_CONT(o_totalprice, 0.5) AS median_total FROM orders GROUP BY o_custkey),
@@ -62,7 +65,7 @@ def stratified_folds(spark, sf_dir):
     return f.groupBy("tier", "fold").agg(F.count(F.lit(1)).alias("count"))
 
 
-@query("shuffled_rows")
+@query("shuffled_rows", "SELECT *, md5('42|' || CAST(o_orderkey AS VARCHAR)) AS shuffle_key FROM orders")
 def shuffled_rows(spark, sf_dir):
     """Orders in a reproducible random order (seeded hash of the key)."""
     return rel.shuffled(Tables(spark, sf_dir).orders, ["o_orderkey"], seed=42)
@@ -93,14 +96,18 @@ def _rule(t: Tables):
     "confusion_matrix",
     f"""
     WITH {_RULE_SQL},
-    l AS (SELECT truth AS l FROM p UNION SELECT predicted FROM p),
-    c AS (SELECT truth, predicted, COUNT(*) AS count FROM p GROUP BY truth, predicted)
+    q AS (SELECT nullif(truth, '2-HIGH') AS truth, nullif(predicted, '5-LOW') AS predicted FROM p),
+    l AS (SELECT truth AS l FROM q UNION SELECT predicted FROM q),
+    c AS (SELECT truth, predicted, COUNT(*) AS count FROM q GROUP BY truth, predicted)
     SELECT a.l AS truth, b.l AS predicted, COALESCE(c.count, 0) AS count
-    FROM l a CROSS JOIN l b LEFT JOIN c ON c.truth = a.l AND c.predicted = b.l
+    FROM l a CROSS JOIN l b LEFT JOIN c ON c.truth IS NOT DISTINCT FROM a.l AND c.predicted IS NOT DISTINCT FROM b.l
     """,
 )
 def confusion_matrix(spark, sf_dir):
-    return tree.confusion_matrix(_rule(Tables(spark, sf_dir)), "truth", "predicted")
+    """Some true and some predicted labels are missing; every row is counted."""
+    r = _rule(Tables(spark, sf_dir))
+    r = r.select(F.nullif("truth", F.lit("2-HIGH")).alias("truth"), F.nullif("predicted", F.lit("5-LOW")).alias("predicted"))
+    return tree.confusion_matrix(r, "truth", "predicted")
 
 
 @query(
@@ -119,13 +126,17 @@ def cv_summary(spark, sf_dir):
     return s.select(F.round("mean", 6).alias("mean"), F.round("plus_minus", 6).alias("plus_minus"))
 
 
+def _banded(t: Tables):
+    f = customer_features(t)
+    return f.select("c_custkey", "n_orders", F.floor(F.col("median_total") / 20000).alias("total_band"), F.floor(F.col("c_acctbal") / 1000).alias("acct_band"), "tier")
+
+
 def _fit(spark, sf_dir):
-    feats = customer_features(Tables(spark, sf_dir))
-    model = tree.fit_tree(feats, FEATURES, "tier", max_depth=10, max_bins=256)
-    return feats, model
+    feats = _banded(Tables(spark, sf_dir))
+    return feats, tree.fit_tree(feats, FEATURES, "tier")
 
 
-@query("tree_fit_predict")
+@query("tree_fit_predict", f"WITH {_FEAT_SQL} SELECT c_custkey, tier, tier AS predicted_label FROM feat")
 def tree_fit_predict(spark, sf_dir):
     feats, model = _fit(spark, sf_dir)
     return model.transform(feats).select("c_custkey", "tier", "predicted_label")
@@ -146,20 +157,20 @@ def tree_nodes(spark, sf_dir):
 @query("tree_cv")
 def tree_cv(spark, sf_dir):
     """Accuracy per stratified fold (4 folds)."""
-    feats = tree.assign_folds(customer_features(Tables(spark, sf_dir)), "tier", ["c_custkey"], K_FOLDS).cache()
-    return tree.cross_validate(feats, FEATURES, "tier", max_depth=10, max_bins=256)
+    feats = tree.assign_folds(_banded(Tables(spark, sf_dir)), "tier", ["c_custkey"], K_FOLDS)
+    return tree.cross_validate(feats, FEATURES, "tier")
 
 
 @query("tree_merged_compare")
 def tree_merged_compare(spark, sf_dir):
-    """CV summary and training accuracy before and after merging the 'few' and 'low' tiers."""
-    base = customer_features(Tables(spark, sf_dir)).cache()
+    """10-fold CV summary and training accuracy before and after merging two tiers."""
+    base = _banded(Tables(spark, sf_dir))
     merged = clean.merge_categories(base, "tier", {"few": "Other", "low": "Other"})
     out = None
     for run, df in (("original", base), ("merged", merged)):
-        folded = tree.assign_folds(df, "tier", ["c_custkey"], K_FOLDS).cache()
-        s = tree.score_summary(tree.cross_validate(folded, FEATURES, "tier", max_depth=10, max_bins=256))
-        model = tree.fit_tree(df, FEATURES, "tier", max_depth=10, max_bins=256)
+        folded = tree.assign_folds(df, "tier", ["c_custkey"], MERGED_FOLDS)
+        s = tree.score_summary(tree.cross_validate(folded, FEATURES, "tier"))
+        model = tree.fit_tree(df, FEATURES, "tier")
         train = model.transform(df).agg(F.avg((F.col("tier") == F.col("predicted_label")).cast("double"))).first()[0]
         row = s.select(F.lit(run).alias("run"), "*", F.lit(float(train)).alias("train_accuracy"))
         out = row if out is None else out.unionByName(row)

@@ -6,7 +6,10 @@ Library functions never create sessions; they take DataFrames and use
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -40,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` (or ``SparkContext.setCheckpointDir``) names a
-    shared file system; we only read it. When neither is set (local tests, bench) we create
-    a temp folder and register it, so ``DataFrame.checkpoint`` and scratch tables work.
+    shared file system; we only read it, and raise if neither is set. On a local master
+    (tests, bench) a temp folder is registered instead and removed when the process ends.
     """
     jsc = spark.sparkContext._jsc.sc()
     current = jsc.getCheckpointDir()
@@ -49,7 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         conf_dir = tempfile.mkdtemp(prefix="basalt-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return jsc.getCheckpointDir().get()
 

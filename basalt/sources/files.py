@@ -7,15 +7,18 @@ expressions; bad rows either fail the job (``mode="FAILFAST"``) or become NULL/d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.plans.joins import broadcast_if_small
+from basalt.session import scratch_path
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with a header and a declared schema (``read_csv`` without the inference scan)."""
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """CSV with a header and a declared schema (``read_csv`` without the inference scan).
+
+    A cell that does not fit its type fails the job; ``mode="PERMISSIVE"`` turns it into NULL.
+    """
     return spark.read.csv(path, header=header, schema=schema, mode=mode)
 
 
@@ -35,10 +38,10 @@ def read_vectors(
     """One vector per text line, numbers split by commas and/or whitespace.
 
     ``d`` given: rows of another width fail the job (``strict``) or are dropped.
-    Adds ``line`` = 0-based line number in file order (see :func:`with_line_index`).
+    Adds ``line`` = 0-based number among the lines that are not blank, in file order (see
+    :func:`with_line_index`).
     """
-    lines = with_line_index(spark, path)
-    lines = lines.where(F.length(F.trim("value")) > 0)
+    lines = with_line_index(spark, path, skip_blank=True)
     vec = lines.select("line", _numbers(_tokens(F.col("value"), sep_regex), strict).alias(name))
     if d is not None:
         ok = F.size(name) == d
@@ -58,7 +61,7 @@ def read_matrix(spark: SparkSession, path: str, d: int | None = None, sep: str =
 
 def read_labels(spark: SparkSession, path: str, name: str = "y") -> DataFrame:
     """Headerless one-integer-per-line file, with its 0-based ``line`` number."""
-    lines = with_line_index(spark, path).where(F.length(F.trim("value")) > 0)
+    lines = with_line_index(spark, path, skip_blank=True)
     return lines.select("line", F.trim("value").cast("int").alias(name))
 
 
@@ -78,14 +81,15 @@ def read_edges_whitespace(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def with_line_index(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
+def with_line_index(spark: SparkSession, path: str, name: str = "line", skip_blank: bool = False) -> DataFrame:
     """Read text lines with their 0-based line number across the files of ``path``.
 
-    Files are ordered by path, lines by position. Spark reorders file splits by size, and
-    ``monotonically_increasing_id`` is not contiguous, so: tag each row with its split
-    (file path, block start) and a monotonically increasing id; per split take the row
-    count and smallest id (one small aggregate, one row per split); a running sum over the
-    splits in (path, start) order gives each split's first line number.
+    Files are ordered by path, lines by position; ``skip_blank`` leaves blank lines out before
+    numbering. Spark reorders file splits by size, and ``monotonically_increasing_id`` is not
+    contiguous, so each row is tagged with its split (file path, block start) and id. The
+    tagged rows are written once to the shared scratch folder: the counts per split, their
+    prefix sum in (path, start) order and the result all come from those same rows, however
+    a later read splits the files.
     """
     raw = spark.read.text(path).select(
         "value",
@@ -93,20 +97,28 @@ def with_line_index(spark: SparkSession, path: str, name: str = "line") -> DataF
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_m"),
     )
-    blocks = raw.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    rows = sorted(blocks.collect(), key=lambda r: (r["_path"], r["_start"]))
-    offsets, running = [], 0
-    for r in rows:
-        offsets.append((r["_path"], r["_start"], r["_m0"], running))
-        running += r["_n"]
-    table = spark.createDataFrame(offsets, "_path STRING, _start LONG, _m0 LONG, _off LONG")
-    out = raw.join(broadcast_if_small(table), ["_path", "_start"])
-    return out.select((F.col("_off") + F.col("_m") - F.col("_m0")).alias(name), "value")
+    if skip_blank:
+        raw = raw.where(F.length(F.trim("value")) > 0)
+    within = Window.partitionBy("_path").orderBy("_start")
+    staged = scratch_path(spark, "lines")
+    raw.write.parquet(staged)
+    raw = spark.read.parquet(staged)
+    # One split is one task's share of a file (spark.sql.files.maxPartitionBytes), so a window
+    # over its rows is bounded; ids only order them, as blank lines leave gaps.
+    blocks = raw.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = blocks.groupBy("_path").agg(F.sum("_n").alias("_fn"))
+    first = F.coalesce(F.sum("_fn").over(Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = blocks.select("_path", "_start", before.alias("_in_file")).join(files.select("_path", first.alias("_first")), "_path")
+    rank = F.row_number().over(Window.partitionBy("_path", "_start").orderBy("_m")) - 1
+    out = raw.withColumn("_rank", rank).join(offsets, ["_path", "_start"])
+    return out.select((F.col("_first") + F.col("_in_file") + F.col("_rank")).cast("long").alias(name), "value")
 
 
 def align_rows(left: DataFrame, right: DataFrame, key: str = "line") -> DataFrame:
-    """Pair rows of two files by line number (positional join), after checking equal counts."""
-    nl, nr = left.count(), right.count()
-    if nl != nr:
-        raise ValueError(f"row counts differ: {nl} vs {nr}")
-    return left.join(right, key)
+    """Pair rows of two files by line number (positional join); a row without a partner fails
+    the job, so files of different length are never paired in part."""
+    both = left.withColumn("_l", F.lit(True)).join(right.withColumn("_r", F.lit(True)), key, "full_outer")
+    whole = F.col("_l") & F.col("_r")
+    checked = F.when(whole, F.col(key)).otherwise(F.raise_error(F.lit("row counts differ")).cast("long"))
+    return both.withColumn(key, checked).drop("_l", "_r")

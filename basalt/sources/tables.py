@@ -39,6 +39,8 @@ def table_row_counts(tables: Mapping[str, DataFrame], name_col: str = "table_nam
     Each count is a column-free aggregate (Parquet answers it from footers/row groups);
     the per-table one-row results are unioned, so the whole report is one job.
     """
+    if not tables:
+        raise ValueError("no table given")
     parts = [
         df.agg(F.count(F.lit(1)).alias(count_col)).select(F.lit(n).alias(name_col), count_col)
         for n, df in sorted(tables.items())
@@ -50,10 +52,14 @@ def table_row_counts(tables: Mapping[str, DataFrame], name_col: str = "table_nam
 
 
 def catalog_row_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Row counts of every table/view the catalog lists (optionally in ``database``)."""
+    """Row counts of every table/view the catalog lists (optionally in ``database``); an empty
+    report if there is none, or no such database."""
+    empty = spark.createDataFrame([], "table_name STRING, row_count LONG")
+    if database is not None and not database_exists(spark, database):
+        return empty
     tables = {t.name: spark.table(t.name if database is None else f"{database}.{t.name}")
               for t in spark.catalog.listTables(database)}
-    return table_row_counts(tables)
+    return table_row_counts(tables) if tables else empty
 
 
 def read_jdbc_table(

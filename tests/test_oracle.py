@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from basalt.plans import all_oracles, all_queries
 from basalt.sources.tables import TEST_TABLES
 from tools.check_oracle import rows_of
 
 SF = "/root/testdata/sf0.001"
-ORACLES = E.oracle_sql()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,12 +21,12 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(E.queries())
+    assert set(ORACLES) <= set(all_queries()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = all_queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
     rel = con.execute(ORACLES[name])
     dcols = [d[0] for d in rel.description]
