@@ -20,15 +20,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     path = scratch_path(spark, "components")
     current = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     current.write.parquet(f"{path}/0")
-    current, step, seen = spark.read.parquet(f"{path}/0"), 0, None
+    current, step = spark.read.parquet(f"{path}/0"), 0
     while True:
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state[0] == 0 or state == seen:
+        # Done once every node has one edge down at most and nothing leads to such a node.
+        sides = current.select(F.col("u").alias("node"), F.lit(1).alias("side")).unionByName(current.select(F.col("v").alias("node"), F.lit(2).alias("side")))
+        if sides.groupBy("node").agg(F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("down"), F.max("side").alias("side")).filter("down > 1 or (down = 1 and side = 2)").isEmpty():
             break
-        seen, step = state, step + 1
+        step += 1
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u"), F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         large.write.parquet(f"{path}/{step}-large")
         large = spark.read.parquet(f"{path}/{step}-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
