@@ -61,7 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return jsc.getCheckpointDir().get()
 
 
+_scratch_roots: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path for an intermediate table, in this application's scratch folder
+    under the shared checkpoint folder; the scratch folder goes when the driver ends."""
+    context = spark.sparkContext
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{context.applicationId}"
+    if root not in _scratch_roots:
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch_roots.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
