@@ -7,7 +7,8 @@ numpy on a bounded sample. As the model is linear up to the softmax, scoring use
 of embeddings and layer: one small row of logits per bucket, summed over a text.
 
 A temperature, fitted to rows kept out of training, calibrates the probability; a text whose
-best language stays below ``reject`` is turned away.
+best language is hardly likelier than by chance is turned away: its probability has to cover
+the share ``reject`` of the way from an even guess to certainty.
 """
 
 from __future__ import annotations
@@ -76,7 +77,13 @@ class Model:
     logits: np.ndarray | None = None  # (buckets, languages): embeddings times linear layer
     bias: np.ndarray | None = None
     temperature: float = 1.0
-    reject: float = 0.5
+    reject: float = 0.15
+
+    @property
+    def lowest(self) -> float:
+        """The lowest probability that is not rejected."""
+        chance = 1 / max(1, len(self.languages))
+        return chance + self.reject * (1 - chance)
 
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language number (-1: no letter or no language learned) and probability per row."""
@@ -119,7 +126,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
     return emb, layer, bias
 
 
-def fit(docs: DataFrame, labelled: DataFrame, sample: int = 6_000, reject: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, reject: float = 0.15, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit to labelled rows (``id``, ``label``: the language; null labels are ignored).
 
     ``sample`` bounds the rows, an equal share for each language. Only their distinct bucket ids
@@ -195,7 +202,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for some, raw, offsets in slices(batch, "text"):
                 best, p = model.predict(raw, offsets)
-                yield pa.record_batch({"id": some.column(0), "lang_pred": pa.array(names[best], pa.string()), "score": p, "rejected": (best < 0) | (p < model.reject)})
+                yield pa.record_batch({"id": some.column(0), "lang_pred": pa.array(names[best], pa.string()), "score": p, "rejected": (best < 0) | (p < model.lowest)})
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
@@ -209,6 +216,6 @@ def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") ->
         for batch in batches:
             for some, raw, offsets in slices(batch, text_col):
                 best, p = model.predict(raw, offsets)
-                yield some.filter(pa.array((best >= 0) & (p >= model.reject)))
+                yield some.filter(pa.array((best >= 0) & (p >= model.lowest)))
 
     return docs.mapInArrow(keep, docs.schema)
