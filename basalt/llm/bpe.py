@@ -4,7 +4,8 @@ The tokenizers library gives every id. Encoding 100 TB text by text would spend
 time on words that it has met before, so a task cuts the text into the library's own pre-tokens
 with numpy, hashes them, and asks the library only for pre-tokens not yet in its cache; the
 ids of a text are the concatenation of its pre-tokens' ids. Texts with a code point
-from ``FAST_LIMIT`` on, and tokenizer files of another make, are encoded whole by the library.
+from ``FAST_LIMIT`` on or with the string of an added token (the library gives it the token's
+id), and tokenizer files of another make, are encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -102,8 +103,8 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"].encode() for t in spec.get("added_tokens") or [] if t["content"]]
         pre = spec.get("pre_tokenizer") or {}
         self.splittable = (
             pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
@@ -119,15 +120,30 @@ class ByteBpe:
         points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         leads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # byte place of each code point
         rows = np.searchsorted(leads, offsets)
-        if not self.splittable or int(points.max()) >= FAST_LIMIT:
-            return self._encode_rows(raw, points, leads, rows)
+        whole = self._with_added(raw, offsets)
+        if not self.splittable or whole.any() or int(points.max()) >= FAST_LIMIT:
+            return self._encode_rows(raw, points, leads, rows, whole)
         return self._encode_split(raw, points, leads, rows)
 
-    def _encode_rows(self, raw, points, leads, rows):
-        """Row by row: rows with unusual code points whole, the others by pre-tokens."""
+    def _with_added(self, raw, offsets):
+        """Which rows hold the string of an added token."""
+        found, data = np.zeros(len(offsets) - 1, bool), raw.tobytes()
+        for content in self.added:
+            at = data.find(content, int(offsets[0]))
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                if row >= len(found):
+                    break
+                inside = at + len(content) <= offsets[row + 1]
+                found[row] |= inside
+                at = data.find(content, int(offsets[row + 1]) if inside else at + 1)
+        return found
+
+    def _encode_rows(self, raw, points, leads, rows, whole):
+        """Row by row: rows with unusual code points or added tokens whole, the others by pre-tokens."""
         out, counts = [], []
-        for a, b in zip(rows[:-1], rows[1:]):
-            if self.splittable and (a == b or int(points[a:b].max()) < FAST_LIMIT):
+        for a, b, w in zip(rows[:-1], rows[1:], whole):
+            if self.splittable and not w and (a == b or int(points[a:b].max()) < FAST_LIMIT):
                 ids, _ = self._encode_split(raw[leads[a] : leads[b]], points[a:b], leads[a : b + 1] - leads[a], np.array([0, b - a]))
             else:
                 text = raw[leads[a] : leads[b]].tobytes().decode("utf-8")

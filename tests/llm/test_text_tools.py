@@ -12,6 +12,7 @@ from basalt.llm import arrowtext as A
 from basalt.llm import exact_dedup, html_text, near_dedup, topk, toxicity
 from basalt.llm.bpe import FAST_LIMIT, ByteBpe
 from basalt.llm.sentencepieces import MARKER, Encoder
+from tokenizers import Tokenizer
 
 PIECES = ["'s", "'S", "'re", "'ll", "'l", "'", "  ", "\n", "\n\n", " ", "\t", "a", "bc", "12", "!?", "é", "ß", " ", "\u0085", "中", "''", "d", "\r\n", "٣", "😀", "<|endoftext|>", "▁"]
 
@@ -63,6 +64,15 @@ def test_bpe_ids_equal_the_library(bpe, size):
     assert bpe_ids(bpe, values, size) == [bpe.tokenizer.encode(t, add_special_tokens=False).ids for t in values]
 
 
+@pytest.mark.parametrize("size", [16, A.SLICE_BYTES])
+def test_bpe_gives_added_tokens_their_id(bpe, size):
+    fresh = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    values = ["hello <|endoftext|> world", "plain", "", "<|endoftext|>", "cut <|endof", "text|> apart", "a<|endoftext|><|endoftext|>b 中", "<|endoftext|", *texts(500, seed=8)]
+    got = bpe_ids(bpe, values, size)
+    assert got == [fresh.encode(t, add_special_tokens=False).ids for t in values]
+    assert got[0] == [31373, 220, 50256, 995] and 50256 not in got[4] + got[5]
+
+
 def test_bpe_classes_of_every_fast_code_point(bpe):
     values = [f"a{c}b1{c}2 {c}! {c}{c}x" for c in map(chr, range(1, FAST_LIMIT))]
     assert bpe_ids(bpe, values) == [bpe.tokenizer.encode(t, add_special_tokens=False).ids for t in values]
