@@ -1,9 +1,11 @@
 """Main text of web pages: flat text blocks classified by a small decision tree.
 
 A page is cut into blocks at block-level tags. A block is described by its number of words
-and link density, those of its neighbours, and what encloses it: page furniture (by tag or
-by a word of class, id or role), article markup, or a heading. A decision tree grown from the
-labelled blocks below tells content from the rest; the content blocks make the text.
+and link density, those of its neighbours, and what encloses it: page furniture (1 by element,
+0.5 by a hint: a form, or a class, id or role that names furniture as a whole), article markup,
+or a heading. Hints on elements that are or hold article markup do not count. A decision tree
+grown from the labelled blocks below tells content from the rest; words and neighbours can
+overrule a hint there. The content blocks make the text.
 """
 
 from __future__ import annotations
@@ -31,15 +33,65 @@ _BLOCK = set(
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = set("script style template noscript svg math iframe object textarea title head".split())
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
-# Page furniture by element, and by a word of class, id or role
-_FURNITURE = set("nav footer aside form menu dialog button select fieldset".split())
+# Page furniture by element, and by a name in class, id or role
+_FURNITURE = set("nav footer aside menu dialog button select".split())
+_SOFT_FURNITURE = {"form", "fieldset"}
 _FURNITURE_HINTS = set(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs carousel comment comments consent cookie cookies copyright dialog "
     "disclaimer disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup "
     "privacy promo promotion related replies reply search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
+# Words that leave the meaning of the furniture word before them, and words that take it away
+_PARTS = set(
+    "area bar block body bottom box button buttons column container content footer form group header holder icons inner item items left link links list main "
+    "modal news outer panel popup post posts primary region right row secondary section slot text title top unit widget widgets wrap wrapper".split()
+)
+_NOT_ITSELF = set("no non not without has have with hide hides hidden is can before after under below above".split())
 _ARTICLE = {"article", "main"}
 _ARTICLE_HINTS = set("article content entry main post story text".split())
+_ARTICLE_NAMES = set("article entry post story".split())
+
+
+def names_furniture(name: str, in_article: bool) -> bool:
+    """Whether a whole class, id or role names page furniture: by itself (``sidebar``), by its last
+    word (``cookie-notice``) or by its first before words for parts (``comments-area``).
+
+    ``no-sidebar``, ``comments-open`` and ``content-sidebar-wrap`` say something else; a header
+    inside an article or of one (``entry-header``) belongs to it.
+    """
+    words = [w.lower() for w in _HINT_WORD.findall(name) if len(w) > 1 and not w.isdigit()]
+    if not words or words[0] in _NOT_ITSELF:
+        return False
+    if words[-1] in _FURNITURE_HINTS:
+        head = words[-1]
+    elif words[0] in _FURNITURE_HINTS and all(w in _PARTS for w in words[1:]):
+        head = words[0]
+    else:
+        return False
+    return head != "header" or not (in_article or words[0] in _ARTICLE_HINTS)
+
+
+class _Element:
+    """An open element with what it takes over from those around it; ``hint`` is its own only."""
+
+    __slots__ = ("tag", "around", "furniture", "hint", "holds_article", "article", "heading", "link", "in_article", "hinted")
+
+    def __init__(self, tag: str, around: _Element | None, furniture: bool = False, hint: bool = False, article: bool = False, heading: bool = False, link: bool = False):
+        self.tag, self.around, self.furniture, self.hint, self.article, self.heading, self.link = tag, around, furniture, hint, article, heading, link
+        self.in_article = tag == "article" or (around is not None and around.in_article)
+        self.holds_article, self.hinted = False, None
+
+
+def _hinted(element: _Element) -> bool:
+    """Whether an element or one around it has a hint and holds no article; known ones are kept."""
+    path = []
+    while element.hinted is None and element.around is not None:
+        path.append(element)
+        element = element.around
+    known = bool(element.hinted)
+    for e in reversed(path):
+        known = e.hinted = known or (e.hint and not e.holds_article)
+    return known
 
 
 @dataclass
@@ -47,7 +99,7 @@ class Block:
     text: str
     words: int
     link_words: int
-    furniture: bool
+    furniture: float
     article: bool
     heading: bool
 
@@ -56,10 +108,11 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. Character references are decoded, white space inside
     a block is one space; an unclosed comment or raw element runs to the end of the page."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # tag, furniture, article, heading, link
+    inside: list[_Element] = []
+    stack: list[_Element] = []
     parts: list[str] = []
     linked: list[str] = []
-    state = ("", False, False, False, False)
+    outside = state = _Element("", None)
     at, size = 0, len(page)
 
     def close():
@@ -67,7 +120,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), state[1], state[2], state[3]))
+                out.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), float(state.furniture), state.article, state.heading))
+                inside.append(state)
             parts, linked = [], []
 
     while at < size:
@@ -79,7 +133,7 @@ def blocks(page: str) -> list[Block]:
             if piece[0] != "<" or piece == "<":
                 text = html.unescape(piece)
                 parts.append(text)
-                if state[4]:
+                if state.link:
                     linked.append(text + " ")
             continue
         tag = tag.lower()
@@ -87,9 +141,9 @@ def blocks(page: str) -> list[Block]:
             if tag in _BLOCK:
                 close()
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if stack[i].tag == tag:
                     del stack[i:]
-                    state = stack[-1] if stack else ("", False, False, False, False)
+                    state = stack[-1] if stack else outside
                     break
             continue
         if tag in _RAW and not m.group(3).endswith("/"):
@@ -103,17 +157,29 @@ def blocks(page: str) -> list[Block]:
             close()
         if tag in _VOID or m.group(3).endswith("/"):
             continue
-        hints = {w.lower() for a in _ATTRIBUTE.findall(m.group(3)) for w in _HINT_WORD.findall("".join(a))} if m.group(3) else set()
-        if tag == "p" and any(x[0] == "p" for x in stack):  # a paragraph ends the one before it
-            i = max(i for i, x in enumerate(stack) if x[0] == "p")
-            if not any(x[0] in _BLOCK for x in stack[i + 1 :]):
+        names = [n for a in _ATTRIBUTE.findall(m.group(3)) for n in "".join(a).split()] if m.group(3) else []
+        hints = {w.lower() for n in names for w in _HINT_WORD.findall(n)}
+        if tag == "p" and any(x.tag == "p" for x in stack):  # a paragraph ends the one before it
+            i = max(i for i, x in enumerate(stack) if x.tag == "p")
+            if not any(x.tag in _BLOCK for x in stack[i + 1 :]):
                 del stack[i:]
-                state = stack[-1] if stack else ("", False, False, False, False)
-        inside_article = state[2] or tag in _ARTICLE or (bool(hints & _ARTICLE_HINTS) and tag in _BLOCK)
-        furniture = state[1] or tag in _FURNITURE or (tag == "header" and not state[2]) or (tag not in ("body", "html") and bool(hints & _FURNITURE_HINTS))
-        state = (tag, furniture, inside_article, state[3] or tag in _HEADING, state[4] or tag == "a")
+                state = stack[-1] if stack else outside
+        is_article = tag in _ARTICLE
+        if is_article and not state.in_article:  # one inside an article is a reader's comment
+            around = state
+            while around is not None and not around.holds_article:
+                around.holds_article = True
+                around = around.around
+        inside_article = state.article or is_article or (bool(hints & _ARTICLE_HINTS) and tag in _BLOCK)
+        furniture = state.furniture or tag in _FURNITURE or (tag == "header" and not state.article and not hints & _ARTICLE_NAMES)
+        named = not is_article and tag not in ("body", "html") and not any(n.lower() in _ARTICLE_NAMES or n.lower() == "main" for n in names)
+        hint = tag in _SOFT_FURNITURE or (named and any(names_furniture(n, state.article) for n in names))
+        state = _Element(tag, state, furniture, hint, inside_article, state.heading or tag in _HEADING, state.link or tag == "a")
         stack.append(state)
     close()
+    for b, e in zip(out, inside):
+        if not b.furniture and _hinted(e):
+            b.furniture = 0.5
     return out
 
 
@@ -146,6 +212,21 @@ LABELLED = [
     (14, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0, 0), (16, 0.0, 50, 0.0, 0, 0.0, 1, 0, 0, 0), (40, 0.1, 30, 0.0, 0, 0.0, 1, 0, 0, 0), (90, 0.0, 12, 0.0, 70, 0.0, 1, 0, 0, 0),
     (35, 0.0, 6, 0.0, 25, 0.0, 1, 1, 0, 0), (120, 0.0, 80, 0.0, 60, 0.0, 1, 1, 0, 0), (5, 0.0, 90, 0.0, 100, 0.0, 1, 1, 0, 0), (10, 0.5, 100, 0.0, 30, 0.0, 1, 1, 0, 0),
     (4, 0.0, 20, 0.0, 15, 0.0, 1, 0, 1, 0), (6, 0.0, 40, 0.0, 30, 0.0, 1, 1, 1, 0), (200, 0.0, 4, 0.0, 90, 0.0, 1, 0, 0, 0), (2, 0.0, 3, 0.0, 3, 0.0, 1, 0, 0, 0),
+    # hints: adverts, notices, comments, headings of such, lists of links
+    (1, 1.0, 1, 1.0, 1, 1.0, 0.5, 0, 0, 0), (2, 1.0, 2, 1.0, 8, 0.0, 0.5, 0, 0, 0), (11, 0.0, 1, 1.0, 8, 0.0, 0.5, 0, 0, 0), (6, 0.0, 11, 0.0, 5, 0.0, 0.5, 0, 0, 0),
+    (13, 0.0, 2, 0.0, 1, 0.0, 0.5, 1, 0, 0), (16, 0.0, 50, 0.0, 0, 0.0, 0.5, 0, 0, 0), (40, 0.1, 30, 0.0, 0, 0.0, 0.5, 0, 0, 0), (35, 0.0, 6, 0.0, 25, 0.0, 0.5, 1, 0, 0),
+    (45, 0.0, 20, 0.0, 15, 0.0, 0.5, 0, 0, 0), (30, 0.0, 90, 0.0, 110, 0.0, 0.5, 1, 0, 0), (50, 0.0, 30, 0.0, 80, 0.0, 0.5, 1, 0, 0), (25, 0.0, 120, 0.0, 150, 0.0, 0.5, 0, 0, 0),
+    (90, 0.0, 2, 1.0, 6, 0.0, 0.5, 0, 0, 0), (150, 0.0, 3, 0.0, 2, 1.0, 0.5, 0, 0, 0), (120, 0.6, 90, 0.5, 80, 0.5, 0.5, 0, 0, 0), (300, 0.8, 90, 0.0, 80, 0.0, 0.5, 0, 0, 0),
+    (4, 0.0, 20, 0.0, 15, 0.0, 0.5, 0, 1, 0), (6, 0.0, 40, 0.0, 30, 0.0, 0.5, 1, 1, 0), (5, 1.0, 30, 0.0, 90, 0.0, 0.5, 0, 1, 0), (3, 0.0, 90, 0.0, 40, 0.0, 0.5, 0, 1, 0),
+    (8, 0.0, 1, 1.0, 150, 0.0, 0.5, 0, 0, 0), (11, 0.0, 0, 0.0, 200, 0.0, 0.5, 0, 0, 0), (6, 0.0, 60, 0.0, 120, 0.0, 0.5, 1, 0, 0), (15, 0.0, 2, 0.0, 300, 0.0, 0.5, 0, 0, 0),
+    # hints overruled: long text beside long text, very long text, headings before long text
+    (80, 0.0, 70, 0.0, 90, 0.0, 0.5, 0, 0, 1), (120, 0.0, 80, 0.0, 60, 0.0, 0.5, 1, 0, 1), (150, 0.0, 10, 0.0, 120, 0.0, 0.5, 0, 0, 1), (100, 0.0, 140, 0.0, 5, 0.0, 0.5, 0, 0, 1),
+    (200, 0.0, 4, 0.0, 90, 0.0, 0.5, 0, 0, 1), (400, 0.0, 5, 0.0, 3, 0.0, 0.5, 0, 0, 1), (250, 0.0, 2, 1.0, 2, 1.0, 0.5, 1, 0, 1), (90, 0.1, 60, 0.0, 80, 0.0, 0.5, 1, 0, 1),
+    (8, 0.0, 2, 0.0, 150, 0.0, 0.5, 0, 1, 1), (6, 0.0, 100, 0.0, 120, 0.0, 0.5, 1, 1, 1), (3, 0.0, 90, 0.0, 95, 0.0, 0.5, 0, 1, 1), (10, 0.0, 2, 1.0, 300, 0.0, 0.5, 0, 1, 1),
+    (120, 0.0, 1, 0.0, 90, 0.0, 0.5, 0, 0, 1), (110, 0.0, 0, 0.0, 95, 0.0, 0.5, 1, 0, 1), (75, 0.0, 2, 0.0, 75, 0.0, 0.5, 0, 0, 1), (130, 0.0, 3, 0.0, 70, 0.0, 0.5, 1, 0, 1),
+    # furniture by element stays so at any size
+    (80, 0.0, 70, 0.0, 90, 0.0, 1, 0, 0, 0), (120, 0.0, 80, 0.0, 60, 0.0, 1, 1, 0, 0), (400, 0.0, 5, 0.0, 3, 0.0, 1, 0, 0, 0), (250, 0.0, 2, 1.0, 2, 1.0, 1, 1, 0, 0),
+    (100, 0.0, 140, 0.0, 5, 0.0, 1, 0, 0, 0), (90, 0.1, 60, 0.0, 80, 0.0, 1, 1, 0, 0), (8, 0.0, 2, 0.0, 150, 0.0, 1, 0, 1, 0), (6, 0.0, 100, 0.0, 120, 0.0, 1, 1, 1, 0),
     # no markup to go by: long text is content, short text only beside long text
     (80, 0.0, 5, 0.0, 70, 0.0, 0, 0, 0, 1), (40, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (25, 0.05, 30, 0.0, 45, 0.0, 0, 0, 0, 1), (150, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
     (12, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (6, 0.0, 50, 0.0, 70, 0.0, 0, 0, 0, 1), (8, 0.0, 3, 0.5, 80, 0.0, 0, 0, 1, 1), (5, 0.0, 90, 0.0, 60, 0.0, 0, 0, 1, 1),
@@ -177,8 +258,11 @@ def grow(x: np.ndarray, y: np.ndarray) -> tuple:
 
 
 def default_tree() -> tuple:
+    """Grown from LABELLED, each grade of furniture for itself."""
     table = np.array(LABELLED, float)
-    return grow(table[:, :-1], table[:, -1])
+    j = FEATURES.index("furniture")
+    none, hint, element = (grow(rows[:, :-1], rows[:, -1]) for rows in (table[table[:, j] == grade] for grade in (0, 0.5, 1)))
+    return (j, 0.25, none, (j, 0.75, hint, element))
 
 
 def is_content(tree: tuple, x: np.ndarray) -> bool:

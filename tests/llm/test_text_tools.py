@@ -237,6 +237,42 @@ def test_html_main_text():
     assert html_text.main_text(f"<body><div>{long}</div>", tree) == long
 
 
+def test_html_hints_inside_other_names_keep_the_article():
+    tree = html_text.default_tree()
+    inner = "<p>One sentence of the text.</p><p>No.</p>"
+    kept = "Title\n\nOne sentence of the text.\n\nNo."
+    for page in (
+        f'<article><header class="entry-header"><h1>Title</h1></header>{inner}</article>',
+        f'<article><div class="post-header header"><h1>Title</h1></div>{inner}</article>',
+        f'<div class="content-sidebar-wrap"><article><h1>Title</h1>{inner}</article></div>',
+        f'<main class="content no-sidebar"><h1>Title</h1>{inner}</main>',
+        f'<article class="post comments-open"><h1>Title</h1>{inner}</article>',
+        f'<article class="related"><h1>Title</h1>{inner}</article>',
+        f'<form id="form1"><div class="widget"><nav><a href="/">x</a></nav><article><h1>Title</h1>{inner}</article><div class="footer">Bye now</div></div></form>',
+    ):
+        assert html_text.main_text(f"<body>{page}</body>", tree) == kept, page
+
+
+def test_html_words_overrule_a_hint_but_not_an_element():
+    tree = html_text.default_tree()
+    paragraphs = [" ".join([w] * n) for w, n in (("a", 120), ("b", 90), ("c", 150))]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    assert html_text.main_text(f'<div class="widget"><h1>Title</h1>{body}</div>', tree) == "\n\n".join(["Title", *paragraphs])
+    assert html_text.main_text(f"<aside><h1>Title</h1>{body}</aside>", tree) == ""
+    for name in ("ad", "cookie-notice", "site-header", "sidebar-left", "comments-area", "google-ads", "shareButtons", "footerWidgets"):
+        assert html_text.main_text(f'<div class="{name}"><p>Some words that no one came here for.</p></div><article><p>{paragraphs[0]}</p></article>', tree) == paragraphs[0], name
+
+
+def test_html_comments_in_articles_of_their_own_are_left_out():
+    page = '<article><p>The text itself.</p><section class="comments"><article><p>A reader says so.</p></article></section></article>'
+    assert html_text.main_text(page, html_text.default_tree()) == "The text itself."
+
+
+def test_html_deep_nesting_is_not_quadratic():
+    page = '<div class="sidebar">' * 20_000 + "".join(f"<div>{i}</div>" for i in range(2_000))
+    assert html_text.main_text(page, html_text.default_tree()) == ""
+
+
 def test_tree_classifies_its_own_table():
     table = np.array(html_text.LABELLED)
     tree = html_text.default_tree()
