@@ -6,9 +6,10 @@ mapped to languages by a linear layer; both are trained by stochastic gradient d
 numpy on a bounded sample. As the model is linear up to the softmax, scoring uses the product
 of embeddings and layer: one small row of logits per bucket, summed over a text.
 
-A temperature, fitted to rows kept out of training, calibrates the probability; a text whose
-best language is hardly likelier than by chance is turned away: its probability has to cover
-the share ``reject`` of the way from an even guess to certainty.
+Rows kept out of training calibrate the probability by a temperature and set the lowest one
+that is not rejected: the share ``keep`` of them stays. Short texts are less certain than
+long ones, so texts of up to 100 and up to 500 bytes have limits of their own, from pieces of
+40 and 200 bytes of those rows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from basalt.llm.sampling import bounded_sample
 BITS = 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
+PIECES = (40, 200)
+PIECE_LIMITS = (100, 500)  # bytes up to which the limit from each piece holds
 _FOLD = np.zeros(256, np.uint64)
 for _b in [*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]:
     _FOLD[_b] = _b
@@ -77,13 +80,11 @@ class Model:
     logits: np.ndarray | None = None  # (buckets, languages): embeddings times linear layer
     bias: np.ndarray | None = None
     temperature: float = 1.0
-    reject: float = 0.15
+    lowest: tuple[float, ...] = (0.0, 0.0, 0.0)  # lowest probability kept: by size class
 
-    @property
-    def lowest(self) -> float:
-        """The lowest probability that is not rejected."""
-        chance = 1 / max(1, len(self.languages))
-        return chance + self.reject * (1 - chance)
+    def identified(self, best: np.ndarray, p: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which rows are not rejected."""
+        return (best >= 0) & (p >= np.array(self.lowest)[size_class(np.diff(offsets))])
 
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language number (-1: no letter or no language learned) and probability per row."""
@@ -100,6 +101,22 @@ class Model:
         return np.where(letters, best, -1), np.where(letters, p[np.arange(len(p)), best], 0.0)
 
 
+def size_class(sizes: np.ndarray) -> np.ndarray:
+    return np.searchsorted(PIECE_LIMITS, sizes)
+
+
+def lowest_kept(p: np.ndarray, keep: float, languages: int) -> float:
+    """The probability that the share ``keep`` of clean rows reaches. Too few rows to see that
+    share: halfway in log-odds from the lowest of them to an even guess; none: nothing is rejected."""
+    if not len(p) or languages < 2:
+        return 0.0
+    if len(p) * (1 - keep) >= 1:
+        return float(np.quantile(p, 1 - keep))
+    low, even = np.clip([p.min(), 1 / languages], 1e-9, 1 - 1e-9)
+    middle = (np.log(low / (1 - low)) + np.log(even / (1 - even))) / 2
+    return float(1 / (1 + np.exp(-middle)))
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -126,13 +143,14 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
     return emb, layer, bias
 
 
-def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, reject: float = 0.15, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, keep: float = 0.998, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit to labelled rows (``id``, ``label``: the language; null labels are ignored).
 
     ``sample`` bounds the rows, an equal share for each language. Only their distinct bucket ids
     and shares go to the driver (at most 2**16 a row): once for the whole text and once for a
     piece of 200 bytes from it, so that short texts are seen too. A fifth of the rows sets the
-    temperature. Without a labelled row every text is ``und``.
+    temperature and, with a piece of 40 bytes as well, the limits of rejection. Without a
+    labelled row every text is ``und``.
     """
     labelled = labelled.filter("id is not null and label is not null")
     chosen = bounded_sample(labelled, "label", sample).withColumnRenamed("id", "__id")
@@ -151,41 +169,53 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, reject: float
         for batch in batches:
             for some, raw, offsets in slices(batch, "text"):
                 whole = count(raw, offsets)
-                short = []
+                tiny, short = ([], [])
                 for a, b in zip(offsets[:-1], offsets[1:]):
                     at = a + (b - a) // 3
-                    piece = raw[at : min(b, at + 200)]
-                    short += count(piece, np.array([0, len(piece)]))
+                    for pieces, size in zip((tiny, short), PIECES):
+                        piece = raw[at : min(b, at + size)]
+                        pieces += count(piece, np.array([0, len(piece)]))
                 yield pa.record_batch({
                     "id": some.column(0), "label": some.column(2), "ids": pa.array([x[0] for x in whole]), "shares": pa.array([x[1] for x in whole]),
                     "short_ids": pa.array([x[0] for x in short]), "short_shares": pa.array([x[1] for x in short]),
+                    "tiny_ids": pa.array([x[0] for x in tiny]), "tiny_shares": pa.array([x[1] for x in tiny]), "size": np.diff(offsets).astype(np.int64),
                 })
 
     ints, floats = T.ArrayType(T.IntegerType()), T.ArrayType(T.FloatType())
     out = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("label", T.StringType()), T.StructField("ids", ints), T.StructField("shares", floats),
-        T.StructField("short_ids", ints), T.StructField("short_shares", floats),
+        T.StructField("short_ids", ints), T.StructField("short_shares", floats), T.StructField("tiny_ids", ints), T.StructField("tiny_shares", floats),
+        T.StructField("size", T.LongType()),
     ])
     table = rows.mapInArrow(extract, out).toArrow().sort_by("id")
     if not table.num_rows:
-        return Model(reject=reject)
+        return Model()
     names = table["label"].to_pylist()
     languages = sorted(set(names))
     y = np.array([languages.index(x) for x in names])
-    pairs = [
-        [(i.values.to_numpy(), s.values.to_numpy()) for i, s in zip(table[a], table[b])] for a, b in (("ids", "shares"), ("short_ids", "short_shares"))
+    *pairs, tiny = [
+        [(i.values.to_numpy(), s.values.to_numpy()) for i, s in zip(table[a], table[b])]
+        for a, b in (("ids", "shares"), ("short_ids", "short_shares"), ("tiny_ids", "tiny_shares"))
     ]
     inner = np.arange(len(y)) % 5 != 0 if len(y) >= 50 else np.ones(len(y), bool)
     examples = [x for kind in pairs for x, k in zip(kind, inner) if k and len(x[0])]
     of = np.concatenate([[label for x, label, k in zip(kind, y, inner) if k and len(x[0])] for kind in pairs]).astype(int)
     emb, layer, bias = train(examples, of, len(languages))
-    model = Model(languages, np.ascontiguousarray((emb @ layer).T), bias.astype(np.float64), reject=reject)
+    model = Model(languages, np.ascontiguousarray((emb @ layer).T), bias.astype(np.float64))
     held = [(x, label) for kind in pairs for x, label, k in zip(kind, y, inner) if len(x[0]) and (not k or inner.all())]
     if held:
         z = np.array([model.logits[:, x[0]].astype(np.float64) @ x[1] for x, _ in held]) + model.bias
         truth = np.array([label for _, label in held])
         loss = {t: -np.log(softmax(z / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in np.geomspace(0.1, 10, 41)}
         model.temperature = float(min(loss, key=loss.get))
+        long = size_class(table["size"].to_numpy()) == len(PIECES)
+        out_of_training = ~inner if not inner.all() else inner
+        limits = []
+        for kind, use in ((tiny, out_of_training), (pairs[1], out_of_training), (pairs[0], out_of_training & long)):
+            z = [model.logits[:, x[0]].astype(np.float64) @ x[1] for x, k in zip(kind, use) if k and len(x[0])]
+            p = softmax((np.array(z).reshape(-1, len(languages)) + model.bias) / model.temperature).max(axis=1) if z else np.zeros(0)
+            limits.append(lowest_kept(p, keep, len(languages)))
+        model.lowest = tuple(limits)
     return model
 
 
@@ -202,7 +232,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for some, raw, offsets in slices(batch, "text"):
                 best, p = model.predict(raw, offsets)
-                yield pa.record_batch({"id": some.column(0), "lang_pred": pa.array(names[best], pa.string()), "score": p, "rejected": (best < 0) | (p < model.lowest)})
+                yield pa.record_batch({"id": some.column(0), "lang_pred": pa.array(names[best], pa.string()), "score": p, "rejected": ~model.identified(best, p, offsets)})
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
@@ -216,6 +246,6 @@ def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") ->
         for batch in batches:
             for some, raw, offsets in slices(batch, text_col):
                 best, p = model.predict(raw, offsets)
-                yield some.filter(pa.array((best >= 0) & (p >= model.lowest)))
+                yield some.filter(pa.array(model.identified(best, p, offsets)))
 
     return docs.mapInArrow(keep, docs.schema)

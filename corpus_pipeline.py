@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clearly likelier than an even guess (see ``langid``)."""
+    """Documents whose language is as certain as that of nearly all learned ones (see ``langid``)."""
     return langid.drop_unidentified(docs, language_model(docs))
 
 

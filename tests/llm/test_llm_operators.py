@@ -284,6 +284,28 @@ def test_language_identification(spark, edge, empty):
     assert langid.identify(edge, langid.fit(empty, known.limit(0))).filter("lang_pred = 'und'").count() == len(EDGE)
 
 
+def test_text_of_an_unlearned_language_is_rejected(spark):
+    rng = random.Random(16)
+    words = {k: ["".join(rng.choice(s) for _ in range(3)) for _ in range(300)] for k, s in {"xa": ["ba", "lo", "mi", "tu", "re"], "yb": ["sch", "ung", "ein", "pf", "ke"], "new": ["szcz", "owi", "dzi", "ły", "kre"]}.items()}
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+
+    learned = [(i, ("xa", "yb")[i % 2], text(("xa", "yb")[i % 2], 120 if i % 3 else 12)) for i in range(3000)]
+    model = langid.fit(frame(spark, [(i, t) for i, _, t in learned[:2600]]), spark.createDataFrame([(i, k) for i, k, _ in learned[:2600]], "id long, label string"))
+    unlearned = [(10_000 + i, text("new", 120 if i % 3 else 12)) for i in range(300)]
+    found = {r.doc_id: r.rejected for r in langid.identify(frame(spark, [(i, t) for i, _, t in learned[2600:]] + unlearned), model).collect()}
+    assert sum(found[i] for i, _, _ in learned[2600:]) <= 8  # 0.2% is meant, over 400 rows
+    assert sum(found[i] for i, _ in unlearned) >= 290
+
+
+def test_lowest_probability_kept():
+    p = np.linspace(0.5, 1, 1001)
+    assert langid.lowest_kept(p, 0.998, 4) == pytest.approx(0.501)
+    assert langid.lowest_kept(np.array([0.9, 0.99]), 0.998, 4) == pytest.approx(0.634, abs=1e-3)
+    assert langid.lowest_kept(p[:0], 0.998, 4) == langid.lowest_kept(p, 0.998, 1) == 0
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (2, None, "<article><p>a&amp;b <i>c</i></article>", "x"), (None, "u", "<nav>x</nav>", "x")], "page_id long, url string, html string, text string")
     assert sorted((r.text, r.n_chars) for r in extract(pages).collect()) == [("", 0), ("", 0), ("", 0), ("a&b c", 5)]
