@@ -1,6 +1,8 @@
 """Vectorised text helpers, tokenisers and the perfect hash against plain versions."""
 
 import hashlib
+import inspect
+import math
 import random
 import re
 
@@ -184,6 +186,11 @@ def test_low_bits_estimate_similarity():
     assert abs((agree / 1024 - 0.25) / 0.75 - 0.85) < 0.06
 
 
+def test_bit_counts_hardly_drop_a_pair_at_the_threshold():
+    sigmas = inspect.signature(near_dedup.near_duplicates).parameters["sigmas"].default
+    assert math.erfc(sigmas / math.sqrt(2)) / 2 < 2e-9
+
+
 def read_clause(model, text):
     (_, raw, offsets), = each_slice([text])
     return toxicity.Reader(model).features(raw, offsets)[0]
