@@ -1,13 +1,13 @@
-"""Exact top-k inner products over an impact-ordered index, score at a time.
+"""Exact top-k inner products by bounds over impact levels, refined level by level.
 
 Components are integers. Per dimension, the distance of a value from the block's smallest (for
 positive query weights) or largest value (for negative ones) is its impact, so that every
-contribution to a score is at least 0. Impacts are quantised into levels; a posting segment
-holds the rows of one dimension and level. A block's segments are processed from the highest
-level down. After each step every row has a lower bound (processed segments at their lower
-end) and an upper bound (processed at their upper end, the rest at the end of the next
-level). A query stops when the bounds prove that few rows can still be among its best; those
-are scored exactly.
+contribution to a score is at least 0. Impacts are quantised into levels, taken from the
+highest down. There are no posting lists: every step rebuilds dense bounds of all rows and
+dimensions and multiplies both with all active queries, two full products a step. After
+each step every row has a lower bound (processed levels at their lower end) and an upper
+bound (processed at their upper end, the rest at the end of the next level). A query stops
+when the bounds prove that few rows can still be among its best; those are scored exactly.
 """
 
 from __future__ import annotations
