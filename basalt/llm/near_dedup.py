@@ -12,7 +12,8 @@
    bucket's largest component meet all others across components, once per pair (at the
    first band they share), and are confirmed if the bit counts of longer signatures, of
    ``LONG_PERMS`` minima, allow it. So no candidate link between two components stays
-   untested, and no bucket is expanded into all its pairs.
+   untested. This step is quadratic: a bucket of n classes, m of them outside its largest
+   component, compares up to m * n signatures under one key, all its pairs if none is linked.
 
 With 32 bands of 4 minima a pair at similarity 0.85 shares no band with probability 6e-11.
 """
