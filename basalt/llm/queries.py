@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basalt.llm import langid, quality, toxicity
 from basalt.llm.exact_dedup import exact_dedup
+from basalt.llm.hard_negatives import mine
 from basalt.llm.html_text import extract
 from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
@@ -134,3 +135,25 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_hard_negatives", """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS uid,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.uid AS a_uid, a.vec_id AS anchor_id, a.label = e.label AS same, e.uid, e.vec_id, list_inner_product(a.v, e.v)::BIGINT AS score
+    FROM e a JOIN e ON e.uid <> a.uid AND len(e.v) = len(a.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY a_uid ORDER BY score DESC, vec_id, uid) AS place FROM s WHERE same),
+w AS (
+    SELECT p.a_uid, p.place, p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.a_uid, p.place ORDER BY s.score DESC, s.vec_id, s.uid)::INTEGER AS rank
+    FROM p JOIN s ON s.a_uid = p.a_uid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+    WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 3
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label, positives=5, negatives=3, lowest=(50, 100), highest=(95, 100), scale=256.0)
