@@ -15,6 +15,7 @@ from basalt.llm.packing import pack
 from basalt.llm.registry import ORACLES, QUERIES, query
 from basalt.llm.sampling import id_crc
 from basalt.llm.sentencepieces import encode_decode
+from basalt.llm.suffix_dedup import dedup_substrings
 from basalt.llm.tokenfiles import read_token_files, write_token_files
 from basalt.llm.topk import top_k
 from basalt.session import scratch_path
@@ -137,6 +138,31 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op12_suffix_dedup", """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n_bytes, row_number() OVER (ORDER BY doc_id, text) AS o
+    FROM documents),
+w AS (SELECT o, unnest(range(0, n_bytes - 99)) AS i, h FROM d),
+k AS (SELECT o, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM w),
+f AS (SELECT o, i, row_number() OVER (PARTITION BY s ORDER BY o, i) > 1 AS again FROM k),
+b AS (SELECT o, i, i > lag(i) OVER (PARTITION BY o ORDER BY i) + 100 AS gap FROM f WHERE again),
+g AS (SELECT o, i, coalesce(sum(gap::INTEGER) OVER (PARTITION BY o ORDER BY i), 0) AS run FROM b),
+r AS (SELECT o, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY o, run),
+l AS (SELECT o, list(a ORDER BY a) AS aa, list(z ORDER BY a) AS zz, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM r GROUP BY o),
+t AS (
+    SELECT d.*, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           list_concat([0], coalesce(zz, [])) AS kept_from, list_concat(coalesce(aa, []), [n_bytes]) AS kept_to
+    FROM d LEFT JOIN l ON l.o = d.o)
+SELECT doc_id, n_bytes, n_removed, n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(kept_from) + 1), lambda j: substr(h, 2 * kept_from[j] + 1, 2 * (kept_to[j] - kept_from[j]))), ''))) AS kept_sha256
+FROM t
+""")
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(read_table(spark, sf_dir, "documents"), length=100)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op13_hard_negatives", """
 WITH e AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS uid,
