@@ -24,7 +24,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -229,7 +231,12 @@ class Contexts:
         begin, end = runs(flags, bounds)
         row = np.searchsorted(bounds, begin, side="right") - 1
         start = self.start[row] + begin - bounds[row]
-        spans = (self.doc[row], start, start + (end - begin) + self.length - 1)
+        doc, stop = self.doc[row], start + (end - begin) + self.length - 1
+        # Runs of neighbouring grams meet: one span.
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1])
+        first = np.flatnonzero(fresh)
+        spans = (doc[first], start[first], stop[np.append(first[1:], len(doc)) - 1] if len(doc) else stop)
         begin, end = runs(~flags, bounds)
         row = np.searchsorted(bounds, begin, side="right") - 1
         ahead = begin - bounds[row]
@@ -294,26 +301,27 @@ def pieces(text: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
 
 # --- Spark -------------------------------------------------------------------------------
 
+# A text is known by the first id that has it and the first 8 bytes of its digest.
+_ORDER = [("id", "ascending"), ("mark", "ascending")]  # null ids come last
+
 
 def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.Table, Contexts]]:
-    """Documents (did, id, text) in chunks of about CHUNK bytes, in corpus order within a chunk."""
+    """Texts (id, mark, text, size) in chunks of about CHUNK bytes, in corpus order within a chunk."""
 
     def cut(held: list[pa.RecordBatch]) -> tuple[pa.Table, Contexts]:
-        table = _in_order(pa.Table.from_batches(held)).combine_chunks()
-        col = text_column(table.to_batches()[0], "text") if table.num_rows else pa.array([], pa.string())
+        table = pa.Table.from_batches(held).sort_by(_ORDER).combine_chunks()
+        col = text_column(table.to_batches()[0], "text")
         wide = pa.types.is_large_string(col.type)
         offsets = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-        raw = np.frombuffer(col.buffers()[2], np.uint8)[: offsets[-1]] if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+        raw = np.frombuffer(col.buffers()[2], np.uint8)[: offsets[-1]]
         parts: list[list[np.ndarray]] = [[] for _ in Contexts.NAMES]
-        for row, did in enumerate(table["did"].to_numpy()):
+        for row in range(table.num_rows):
             a, b = offsets[row], offsets[row + 1]
-            if b - a < length:
-                continue
             for ahead, piece in pieces(raw[a:b], length):
                 key, lead, first, count = pick(piece, length)
-                for part, values in zip(parts, (key, lead, a + ahead + first, count, np.full(len(key), did), ahead + first)):
+                for part, values in zip(parts, (key, lead, a + ahead + first, count, np.full(len(key), row), ahead + first)):
                     part.append(values)
-        columns = {n: np.concatenate(p) if p else np.zeros(0, _U if n == "key" else np.int64) for n, p in zip(Contexts.NAMES, parts)}
+        columns = {n: np.concatenate(p) for n, p in zip(Contexts.NAMES, parts)}
         return table, Contexts(raw, length, **columns)
 
     held, size = [], 0
@@ -332,87 +340,97 @@ def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa
         yield cut(held)
 
 
-def _in_order(table: pa.Table) -> pa.Table:
-    """Documents by id (null ids last), those of one id by their number."""
-    return table.sort_by([("id", "ascending"), ("did", "ascending")])
-
-
 def distinct_texts(docs: DataFrame, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(texts, rows): the distinct texts with the first id of each (``did``, ``id``, ``text``, ``size``, ``digest``),
-    and how many rows have which digest and id. Both are written below ``path``."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id")))
-    # Sorted by digest, so that a rerun numbers the texts of a partition alike.
-    texts = rows.groupBy("digest").agg(first.alias("first"), F.min("text").alias("text")).sortWithinPartitions("digest")
-    texts.select(F.monotonically_increasing_id().alias("did"), F.col("first.id").alias("id"), "text", F.octet_length("text").cast("long").alias("size"), "digest").write.parquet(f"{path}-texts")
-    rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}-rows")
-    spark = docs.sparkSession
-    return spark.read.parquet(f"{path}-texts"), spark.read.parquet(f"{path}-rows")
+    """(texts, rows): the distinct texts with the first id of each (``id``, ``mark``, ``text``, ``size``), and the
+    texts of several rows: how many rows have which id, the first of all left out (``first``, ``id``, ``text``, ``size``, ``rows``).
 
-
-def _spans_schema() -> T.StructType:
-    return T.StructType([T.StructField(n, T.LongType()) for n in ("did", "start", "end")])
+    Only texts whose digest may occur twice (a bitmap of fixed size tells) are shuffled.
+    """
+    spark = docs.sparkSession
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    digest = F.unhex(F.sha2(text, 256))
+    mark = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("mark")
+    size = F.octet_length("text").cast("long").alias("size")
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), digest.alias("digest"))
+    counts = rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("rows"))
+    counts.write.parquet(f"{path}-rows")
+    counts = spark.read.parquet(f"{path}-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))).alias("first")
+    several = counts.groupBy("digest").agg(F.sum("rows").alias("all"), first).filter("all > 1")
+    several.write.parquet(f"{path}-several")
+    several = spark.read.schema(several.schema).parquet(f"{path}-several")
+    twice = sieve.build(several.select(mark), "mark")
+
+    @F.pandas_udf("boolean")
+    def may_be_twice(marks: pd.Series) -> pd.Series:
+        return pd.Series(sieve.may_hold(twice.value, marks.to_numpy().view(_U)))
+
+    rows = rows.withColumn("mark", mark).withColumn("twice", may_be_twice("mark"))
+    again = rows.filter("twice").groupBy("digest", "mark").agg(first, F.min("text").alias("text"))
+    again.select(F.col("first.id").alias("id"), "mark", "text", size).write.parquet(f"{path}-twice")
+    again = spark.read.schema(T.StructType([rows.schema["id"], rows.schema["mark"], rows.schema["text"], T.StructField("size", T.LongType())])).parquet(f"{path}-twice")
+    texts = rows.filter("not twice").select("id", "mark", "text", size).unionByName(again)
+    copies = counts.join(several, "digest").withColumn("rows", F.col("rows") - F.col("id").eqNullSafe(F.col("first.id")).cast("int")).filter("rows > 0")
+    return texts, copies.select(F.col("first.id").alias("first"), mark, "id", "rows")
 
 
 def repeated_spans(texts: DataFrame, length: int, path: str) -> DataFrame:
-    """(did, start, end): byte ranges of the distinct texts that repeat earlier ones; they may overlap."""
-    id_type = texts.schema["id"].dataType
+    """(id, mark, start, end): byte ranges of the distinct texts that repeat earlier ones; they may overlap."""
+    kind = texts.schema["id"]
+    long = {n: T.StructField(n, T.LongType()) for n in ("mark", "start", "end", "key", "lead", "count")}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, contexts in _chunks(batches, length):
             key, count = np.unique(contexts.key, return_counts=True)
             yield pa.record_batch({"key": key.view(np.int64), "n": count.astype(np.int64)})
 
-    inputs = texts.select("did", "id", "text", "size").filter(F.col("size") >= length)
+    inputs = texts.filter(F.col("size") >= length)
     found = inputs.mapInArrow(grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     found.write.parquet(f"{path}-grams")
     found = texts.sparkSession.read.schema("key long, n long").parquet(f"{path}-grams")
     twice, hot = sieve.build(found, "key"), sieve.build(found.filter(F.col("n") > HOT), "key")
     buckets = max(1, math.ceil((inputs.agg(F.sum("size")).first()[0] or 0) / BUCKET))
-    out = T.StructType([
-        T.StructField("did", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("key", T.LongType()),
-        T.StructField("lead", T.LongType()), T.StructField("count", T.LongType()), T.StructField("id", id_type), T.StructField("content", T.BinaryType()),
-    ])
+    # Rows with an end are spans, the others runs of windows with their bytes.
+    sent = T.StructType([T.StructField("bucket", T.IntegerType()), kind, *(long[n] for n in ("mark", "start", "end", "key", "lead", "count")), T.StructField("content", T.BinaryType())])
 
     def within_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, contexts in _chunks(batches, length):
+            ids, marks = (table[c].combine_chunks() for c in ("id", "mark"))
             contexts = contexts.take(np.flatnonzero(sieve.may_hold(twice.value, contexts.key)))
-            (did, start, end), rest = contexts.split(contexts.repeated())
-            n = len(did)
-            yield pa.record_batch({
-                "did": did, "start": start, "end": end, "bucket": pa.nulls(n, pa.int32()), "key": pa.nulls(n, pa.int64()), "lead": pa.nulls(n, pa.int64()),
-                "count": pa.nulls(n, pa.int64()), "id": pa.nulls(n, table["id"].type), "content": pa.nulls(n, pa.binary()),
-            })
+            (doc, start, end), rest = contexts.split(contexts.repeated())
+            n, mark = len(doc), marks.to_numpy()[doc]
+            none = {c: pa.nulls(n, pa.int64()) for c in ("key", "lead", "count")}
+            yield pa.record_batch({"bucket": (mark % buckets).astype(np.int32), "id": ids.take(pa.array(doc)), "mark": mark, "start": start, "end": end, **none, "content": pa.nulls(n, pa.binary())})
             rest = rest.singly(sieve.may_hold(hot.value, rest.key))
-            dids = table["did"].to_numpy()
-            order = np.argsort(dids)
             for a in range(0, len(rest.key), 20_000):
                 some = rest.take(np.arange(a, min(a + 20_000, len(rest.key))))
                 size = some.count + length - 1
-                flat = ragged_take(some.text, some.begin, size)
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                at = pa.array(order[np.searchsorted(dids, some.doc, sorter=order)])
+                content = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(ragged_take(some.text, some.begin, size))])
                 yield pa.record_batch({
-                    "did": some.doc, "start": some.start, "end": pa.nulls(len(size), pa.int64()), "bucket": (some.key % _U(buckets)).astype(np.int32), "key": some.key.view(np.int64),
-                    "lead": some.lead, "count": some.count, "id": table["id"].combine_chunks().take(at), "content": pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]),
+                    "bucket": (some.key % _U(buckets)).astype(np.int32), "id": ids.take(pa.array(some.doc)), "mark": marks.to_numpy()[some.doc], "start": some.start,
+                    "end": pa.nulls(len(size), pa.int64()), "key": some.key.view(np.int64), "lead": some.lead, "count": some.count, "content": content,
                 })
 
-    inputs.mapInArrow(within_task, out).write.parquet(f"{path}-contexts")
-    both = texts.sparkSession.read.schema(out).parquet(f"{path}-contexts")
-
     def between_tasks(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("id", "ascending"), ("did", "ascending"), ("start", "ascending")]).combine_chunks()
+        names = ["id", "mark", "start", "end"]
+        spans = group.filter(pc.is_valid(group["end"])).select(names)
+        group = group.filter(pc.is_null(group["end"])).sort_by([*_ORDER, ("start", "ascending")]).combine_chunks()
+        if not group.num_rows:
+            return spans
         content = group["content"].combine_chunks()
         offsets = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1].astype(np.int64)
         text = np.frombuffer(content.buffers()[2], np.uint8)[: offsets[-1]]
-        columns = {n: group[c].to_numpy() for n, c in (("lead", "lead"), ("count", "count"), ("doc", "did"), ("start", "start"))}
-        contexts = Contexts(text, length, key=group["key"].to_numpy().view(_U), begin=offsets[:-1], **columns)
-        spans, _ = contexts.split(contexts.repeated())
-        return pa.table(dict(zip(("did", "start", "end"), spans)))
+        ids, mark = group["id"].combine_chunks(), group["mark"].to_numpy()
+        same = pc.fill_null(pc.equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False) | (pc.is_null(ids[1:]).to_numpy(zero_copy_only=False) & pc.is_null(ids[:-1]).to_numpy(zero_copy_only=False))
+        doc = np.concatenate([[0], np.cumsum(~same | (mark[1:] != mark[:-1]))])
+        contexts = Contexts(text, length, key=group["key"].to_numpy().view(_U), lead=group["lead"].to_numpy(), begin=offsets[:-1], count=group["count"].to_numpy(), doc=doc, start=group["start"].to_numpy())
+        (doc_of, start, end), _ = contexts.split(contexts.repeated())
+        row = pa.array(np.searchsorted(doc, doc_of))
+        found = pa.table({"id": ids.take(row), "mark": pa.array(mark).take(row), "start": start, "end": end})
+        return pa.concat_tables([spans, found.cast(spans.schema)])
 
-    far = both.filter("bucket is not null").groupBy("bucket").applyInArrow(between_tasks, _spans_schema())
-    return both.filter("bucket is null").select("did", "start", "end").unionByName(far)
+    return inputs.mapInArrow(within_task, sent).groupBy("bucket").applyInArrow(between_tasks, T.StructType([kind, long["mark"], long["start"], long["end"]]))
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -422,20 +440,21 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     of smaller id, or further left in the same one. Overlaps count, and strings are judged on the
     input. Null and empty texts have no bytes; texts shorter than ``length`` stay whole. Null ids come
     last. Of rows with one id and one text the first stays and the others go whole; rows with one id and
-    different texts follow each other in an order of their own. Other columns are not read; an
-    empty table gives an empty result. ``kept`` is binary, as a cut may split a character.
+    different texts follow each other by digest. Other columns are not read; an empty table gives an
+    empty result. ``kept`` is binary, as a cut may split a character.
 
     Equal texts are one text from the start, so a task meets neither copies nor, as every
     window leaves a task once, many rows of one window.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "substrings")
-    texts, rows = distinct_texts(docs, path, id_col, text_col)
+    texts, copies = distinct_texts(docs, path, id_col, text_col)
     spans = repeated_spans(texts, length, path)
     removed = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    gathered = spans.groupBy("did").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    joined = texts.join(gathered.hint("shuffle_hash"), "did", "left").select("id", "digest", "size", "text", "found")
-    schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("digest", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("removed", removed), T.StructField("kept", T.BinaryType())])
+    found = spans.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    on = (F.col("mark") == F.col("_mark")) & F.col("id").eqNullSafe(F.col("_id"))
+    joined = texts.join(found.hint("shuffle_hash"), on, "left").select("id", "mark", "size", "text", "found")
+    schema = T.StructType([texts.schema["id"], T.StructField("size", T.LongType()), T.StructField("removed", removed), T.StructField("kept", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -447,14 +466,14 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
                 edges = [0, *(x for ab in gone for x in ab), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.record_batch([batch.column("id"), batch.column("digest"), batch.column("size"), pa.array(ranges, kind), pa.array(kept, pa.binary())], names=schema.names)
+            yield pa.record_batch([batch.column("id"), batch.column("size"), pa.array(ranges, kind), pa.array(kept, pa.binary())], names=schema.names)
 
     firsts = joined.mapInArrow(cut, schema)
     # Further rows of a text: whole windows of an earlier row, if the text has a window at all.
-    copies = rows.join(texts.select("digest", F.col("id").alias("first"), "size", F.when(F.col("size") < length, F.encode("text", "UTF-8")).alias("short")), "digest")
-    copies = copies.withColumn("rows", F.col("rows") - F.col("id").eqNullSafe(F.col("first")).cast("int")).filter("rows > 0")
+    short = spark.read.schema(texts.schema).parquet(f"{path}-twice").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "size", F.when(F.col("size") < length, F.encode("text", "UTF-8")).alias("short"))
+    copies = copies.join(short, (F.col("mark") == F.col("_mark")) & F.col("first").eqNullSafe(F.col("_id")))
     all_of_it = F.when(F.col("size") >= length, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")))).otherwise(F.array().cast(removed))
-    copies = copies.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select("id", "digest", "size", all_of_it.alias("removed"), F.coalesce("short", F.lit(b"")).alias("kept"))
+    copies = copies.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select("id", "size", all_of_it.alias("removed"), F.coalesce("short", F.lit(b"")).alias("kept"))
     return firsts.unionByName(copies).select(F.col("id").alias(id_col), F.col("size").alias("n_bytes"), "removed", "kept")
 
 

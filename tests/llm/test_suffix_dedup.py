@@ -7,7 +7,7 @@ import pytest
 from basalt.llm import suffix_dedup
 from basalt.llm.suffix_dedup import blind_tries, dedup_substrings, equal_windows, pick
 
-SCHEMA = "doc_id long, text string, did long, id string, size long, bucket int, digest string, content string"
+SCHEMA = "doc_id long, text string, mark long, id string, size long, bucket int, digest string, content string"
 
 
 def frame(spark, rows):
