@@ -12,6 +12,7 @@ from basalt.llm.hard_negatives import mine
 from basalt.llm.html_text import extract
 from basalt.llm.near_dedup import near_duplicates
 from basalt.llm.packing import pack
+from basalt.llm.phrases import collocations
 from basalt.llm.registry import ORACLES, QUERIES, query
 from basalt.llm.sampling import id_crc
 from basalt.llm.sentencepieces import encode_decode
@@ -138,6 +139,34 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op11_phrases", """
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece
+    FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+    SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3), (4)) AS v(m)),
+f AS (SELECT lang, m, phrase, count(*) AS a, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m >= 2),
+d AS (
+    SELECT k.lang, k.phrase, k.a, l.a AS l, r.a AS r, k.k, ((2000000::HUGEINT * k.a) // (l.a + r.a))::BIGINT AS score
+    FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1:k.k], ' ')
+           JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k.k + 1:k.m], ' ')),
+b AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+s AS (SELECT lang, m, a, ws, unnest(range(1, m)) AS i FROM f WHERE m >= 3),
+x AS (SELECT lang, a, array_to_string(ws[i:i + c - 1], ' ') AS phrase FROM s, (VALUES (2), (3)) AS v(c) WHERE c < m AND i + c - 1 <= m),
+i AS (SELECT DISTINCT f.lang, f.phrase FROM x JOIN f ON f.lang = x.lang AND f.phrase = x.phrase WHERE 100 * x.a >= 80 * f.a),
+o AS (
+    SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM b WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.lang = b.lang AND i.phrase = b.phrase))
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000
+""")
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, inside=80, scale=2_000_000)
+
+
 @query("op12_suffix_dedup", """
 WITH d AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n_bytes, row_number() OVER (ORDER BY doc_id, text) AS o
