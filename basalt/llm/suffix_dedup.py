@@ -21,12 +21,12 @@ Suffixes that agree in ``length`` bytes are one window; the earliest stays.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +39,11 @@ GRAM = 24
 SHALLOW = 32
 BLIND = 16
 HOT = 1000  # occurrences from which a gram's windows are dealt out by their whole content
+TWICE_BITS, HOT_BITS = 24, 22  # sizes of the bitmaps of copied texts and of hot grams
 CHUNK = 4 << 20  # bytes of text that a task sorts at once
 BUCKET = 2 << 20  # bytes of text for each bucket of grams
-SEGMENT = 1 << 20  # windows of a long text that are cut at once
+BATCH = 300_000  # windows that are sorted at once, unless one gram has more
+SEGMENT = 1 << 18  # windows of a long text that are cut at once
 _U = np.uint64
 
 
@@ -185,20 +187,21 @@ class Contexts:
         flags[_ranges(first[row], self.count[row])] = True
         left = np.flatnonzero(same < 0)
         order = np.argsort(self.key[left], kind="stable")
-        key = self.key[left][order]
+        left, key = left[order], self.key[left][order]
         alone = np.ones(len(key), bool)
         if len(key) > 1:
             twin = key[1:] == key[:-1]
             alone[1:] &= ~twin
             alone[:-1] &= ~twin
-        left = np.sort(left[order][~alone])
-        if len(left):
-            window = _ranges(first[left], self.count[left])
-            step = _ranges(np.zeros(len(left), np.int64), self.count[left])
-            starts = np.repeat(self.begin[left], self.count[left]) + step
-            lead = np.repeat(self.lead[left], self.count[left]) - step
-            group = np.repeat(self.key[left], self.count[left]) + mix(lead.astype(_U))
-            padded = np.concatenate([self.text, np.zeros(self.length + 8, np.uint8)])
+        left, key = left[~alone], key[~alone]
+        padded = np.concatenate([self.text, np.zeros(self.length + 8, np.uint8)])
+        for rows in _batches(key, self.count[left]):
+            some = np.sort(left[rows])  # in corpus order again
+            window = _ranges(first[some], self.count[some])
+            step = _ranges(np.zeros(len(some), np.int64), self.count[some])
+            starts = np.repeat(self.begin[some], self.count[some]) + step
+            lead = np.repeat(self.lead[some], self.count[some]) - step
+            group = np.repeat(self.key[some], self.count[some]) + mix(lead.astype(_U))
             at, of = equal_windows(padded, starts, group, self.length)
             if len(at):
                 earliest = np.full(int(of.max()) + 1, len(starts))
@@ -255,6 +258,17 @@ class Contexts:
         return Contexts(self.text, self.length, **{c: np.concatenate([getattr(plain, c), getattr(one, c)]) for c in self.NAMES})
 
 
+def _batches(keys: np.ndarray, counts: np.ndarray) -> Iterator[slice]:
+    """Cut sorted keys into slices of about BATCH windows, never within a key."""
+    ends, a = np.cumsum(counts), 0
+    last = np.append(np.flatnonzero(keys[1:] != keys[:-1]), len(keys) - 1)  # last row of each key
+    while a < len(keys):
+        want = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BATCH))
+        b = int(last[min(np.searchsorted(last, want), len(last) - 1)]) + 1
+        yield slice(a, b)
+        a = b
+
+
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """first[i], first[i] + 1, ... (count[i] numbers), for all i."""
     ends = np.cumsum(count)
@@ -340,43 +354,62 @@ def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa
         yield cut(held)
 
 
-def distinct_texts(docs: DataFrame, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(texts, rows): the distinct texts with the first id of each (``id``, ``mark``, ``text``, ``size``), and the
-    texts of several rows: how many rows have which id, the first of all left out (``first``, ``id``, ``text``, ``size``, ``rows``).
+class Texts:
+    """The distinct texts with the first id of each: ``id``, ``mark``, ``text``, ``size``.
 
-    Only texts whose digest may occur twice (a bitmap of fixed size tells) are shuffled.
+    ``rows`` are all rows, of which those whose mark may occur twice (a bitmap of fixed size tells)
+    are to be left out, and ``again`` the distinct texts among those, as a written table.
     """
+
+    def __init__(self, rows: DataFrame, again: DataFrame, twice: Broadcast):
+        self.rows, self.again, self.twice = rows, again, twice
+
+    def map(self, fn: Callable, schema: T.StructType | str, least: int = 0) -> DataFrame:
+        """``fn`` over the batches of all texts of ``least`` bytes or more."""
+        rows, again = (df.filter(F.col("size") >= least) if least else df for df in (self.rows, self.again))
+        twice = self.twice
+
+        def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return fn(_marked(batches, twice, False))
+
+        return rows.mapInArrow(once, schema).unionByName(again.mapInArrow(fn, schema))
+
+
+def _marked(batches: Iterator[pa.RecordBatch], twice: Broadcast, wanted: bool) -> Iterator[pa.RecordBatch]:
+    """The rows whose mark may occur twice, or those whose mark cannot."""
+    for batch in batches:
+        held = sieve.may_hold(twice.value, batch.column(batch.schema.get_field_index("mark")).to_numpy().view(_U))
+        yield batch.filter(pa.array(held == wanted))
+
+
+def distinct_texts(docs: DataFrame, path: str, id_col: str, text_col: str) -> tuple[Texts, DataFrame]:
+    """The distinct texts, and rows beyond the first of each text: ``first`` (the id of that), ``mark``,
+    ``id`` and how many ``rows``. Only texts that may occur twice are shuffled."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    digest = F.unhex(F.sha2(text, 256))
     mark = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("mark")
     size = F.octet_length("text").cast("long").alias("size")
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), digest.alias("digest"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
     counts = rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("rows"))
     counts.write.parquet(f"{path}-rows")
-    counts = spark.read.parquet(f"{path}-rows")
+    counts = spark.read.schema(counts.schema).parquet(f"{path}-rows")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))).alias("first")
     several = counts.groupBy("digest").agg(F.sum("rows").alias("all"), first).filter("all > 1")
     several.write.parquet(f"{path}-several")
     several = spark.read.schema(several.schema).parquet(f"{path}-several")
-    twice = sieve.build(several.select(mark), "mark")
-
-    @F.pandas_udf("boolean")
-    def may_be_twice(marks: pd.Series) -> pd.Series:
-        return pd.Series(sieve.may_hold(twice.value, marks.to_numpy().view(_U)))
-
-    rows = rows.withColumn("mark", mark).withColumn("twice", may_be_twice("mark"))
-    again = rows.filter("twice").groupBy("digest", "mark").agg(first, F.min("text").alias("text"))
-    again.select(F.col("first.id").alias("id"), "mark", "text", size).write.parquet(f"{path}-twice")
-    again = spark.read.schema(T.StructType([rows.schema["id"], rows.schema["mark"], rows.schema["text"], T.StructField("size", T.LongType())])).parquet(f"{path}-twice")
-    texts = rows.filter("not twice").select("id", "mark", "text", size).unionByName(again)
+    twice = sieve.build(several.select(mark), "mark", TWICE_BITS)
+    rows = rows.select("id", mark, "text", size, "digest")
+    again = rows.mapInArrow(lambda batches: _marked(batches, twice, True), rows.schema)
+    again = again.groupBy("digest", "mark", "size").agg(first, F.min("text").alias("text")).select(F.col("first.id").alias("id"), "mark", "text", "size")
+    again.write.parquet(f"{path}-twice")
+    again = spark.read.schema(again.schema).parquet(f"{path}-twice")
     copies = counts.join(several, "digest").withColumn("rows", F.col("rows") - F.col("id").eqNullSafe(F.col("first.id")).cast("int")).filter("rows > 0")
-    return texts, copies.select(F.col("first.id").alias("first"), mark, "id", "rows")
+    return Texts(rows.select(*again.columns), again, twice), copies.select(F.col("first.id").alias("first"), mark, "id", "rows")
 
 
-def repeated_spans(texts: DataFrame, length: int, path: str) -> DataFrame:
+def repeated_spans(texts: Texts, length: int, path: str) -> DataFrame:
     """(id, mark, start, end): byte ranges of the distinct texts that repeat earlier ones; they may overlap."""
-    kind = texts.schema["id"]
+    spark, kind = texts.rows.sparkSession, texts.rows.schema["id"]
     long = {n: T.StructField(n, T.LongType()) for n in ("mark", "start", "end", "key", "lead", "count")}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,12 +417,11 @@ def repeated_spans(texts: DataFrame, length: int, path: str) -> DataFrame:
             key, count = np.unique(contexts.key, return_counts=True)
             yield pa.record_batch({"key": key.view(np.int64), "n": count.astype(np.int64)})
 
-    inputs = texts.filter(F.col("size") >= length)
-    found = inputs.mapInArrow(grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    found = texts.map(grams, "key long, n long", length).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     found.write.parquet(f"{path}-grams")
-    found = texts.sparkSession.read.schema("key long, n long").parquet(f"{path}-grams")
-    twice, hot = sieve.build(found, "key"), sieve.build(found.filter(F.col("n") > HOT), "key")
-    buckets = max(1, math.ceil((inputs.agg(F.sum("size")).first()[0] or 0) / BUCKET))
+    found = spark.read.schema("key long, n long").parquet(f"{path}-grams")
+    twice, hot = sieve.build(found, "key"), sieve.build(found.filter(F.col("n") > HOT), "key", HOT_BITS)
+    buckets = max(1, math.ceil((texts.rows.agg(F.sum("size")).first()[0] or 0) / BUCKET))
     # Rows with an end are spans, the others runs of windows with their bytes.
     sent = T.StructType([T.StructField("bucket", T.IntegerType()), kind, *(long[n] for n in ("mark", "start", "end", "key", "lead", "count")), T.StructField("content", T.BinaryType())])
 
@@ -430,7 +462,7 @@ def repeated_spans(texts: DataFrame, length: int, path: str) -> DataFrame:
         found = pa.table({"id": ids.take(row), "mark": pa.array(mark).take(row), "start": start, "end": end})
         return pa.concat_tables([spans, found.cast(spans.schema)])
 
-    return inputs.mapInArrow(within_task, sent).groupBy("bucket").applyInArrow(between_tasks, T.StructType([kind, long["mark"], long["start"], long["end"]]))
+    return texts.map(within_task, sent, length).groupBy("bucket").applyInArrow(between_tasks, T.StructType([kind, long["mark"], long["start"], long["end"]]))
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -453,8 +485,8 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     removed = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     found = spans.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
     on = (F.col("mark") == F.col("_mark")) & F.col("id").eqNullSafe(F.col("_id"))
-    joined = texts.join(found.hint("shuffle_hash"), on, "left").select("id", "mark", "size", "text", "found")
-    schema = T.StructType([texts.schema["id"], T.StructField("size", T.LongType()), T.StructField("removed", removed), T.StructField("kept", T.BinaryType())])
+    joined = texts.map(lambda batches: batches, texts.again.schema).join(found.hint("shuffle_hash"), on, "left").select("id", "mark", "size", "text", "found")
+    schema = T.StructType([texts.again.schema["id"], T.StructField("size", T.LongType()), T.StructField("removed", removed), T.StructField("kept", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -470,7 +502,7 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
 
     firsts = joined.mapInArrow(cut, schema)
     # Further rows of a text: whole windows of an earlier row, if the text has a window at all.
-    short = spark.read.schema(texts.schema).parquet(f"{path}-twice").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "size", F.when(F.col("size") < length, F.encode("text", "UTF-8")).alias("short"))
+    short = texts.again.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "size", F.when(F.col("size") < length, F.encode("text", "UTF-8")).alias("short"))
     copies = copies.join(short, (F.col("mark") == F.col("_mark")) & F.col("first").eqNullSafe(F.col("_id")))
     all_of_it = F.when(F.col("size") >= length, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")))).otherwise(F.array().cast(removed))
     copies = copies.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select("id", "size", all_of_it.alias("removed"), F.coalesce("short", F.lit(b"")).alias("kept"))

@@ -59,6 +59,7 @@ def test_equals_table_of_windows(spark, monkeypatch, length, hot):
 def test_long_text_in_pieces_and_small_chunks(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 100)
     monkeypatch.setattr(suffix_dedup, "CHUNK", 2000)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 100)
     monkeypatch.setattr(suffix_dedup, "BUCKET", 500)
     rows = corpus(1) + [(400, " ".join(t or "" for _, t in corpus(1)) * 2)]
     assert got(dedup_substrings(frame(spark, rows).repartition(3), 50)) == brute(rows, 50)
