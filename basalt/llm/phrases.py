@@ -29,7 +29,7 @@ from basalt.llm import sieve
 from basalt.llm.arrowtext import BYTE_VALUE_LOWER, _LOWER, mix, powers, runs, slices, span_hashes
 from basalt.session import scratch_path
 
-HELD = 2_000_000  # n-grams that a task counts at once
+HELD = 1_000_000  # n-grams that a task counts at once
 SALTS = 64
 _U = np.uint64
 _STOP = np.zeros(256, bool)  # ends a piece: [.,;:!?\x0A-\x0D]
@@ -132,29 +132,36 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
     fields = [T.StructField(n, T.LongType()) for n in ("print", "second", "n", "count", "key")]
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: dict[int, list] = {n: [] for n in range(1, longest + 1)}
+        size = dict.fromkeys(held, 0)
 
-        def flush() -> pa.RecordBatch:
-            a, b, n, c, k = (np.concatenate([h[i] for h in held]) for i in range(5))
+        def flush(n: int) -> pa.RecordBatch:
+            a, b, k = (np.concatenate([h[i] for h in held[n]]) for i in range(3))
+            held[n], size[n] = [], 0
             order = np.argsort(a, kind="stable")
-            a, b, n, c, k = a[order], b[order], n[order], c[order], k[order]
+            a, b, k = a[order], b[order], k[order]
             first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            return pa.record_batch({"print": a[first].view(np.int64), "second": b[first].view(np.int64), "n": n[first], "count": np.add.reduceat(c, first), "key": np.minimum.reduceat(k, first)})
+            return counted_rows(a[first], b[first], n, np.diff(np.append(first, len(a))), np.minimum.reduceat(k, first))
+
+        def counted_rows(prints, second, n: int, count, key) -> pa.RecordBatch:
+            return pa.record_batch({"print": prints.view(np.int64), "second": second.view(np.int64), "n": np.full(len(prints), n), "count": count, "key": key})
 
         for some, words in words_of(batches):
             keys = some.column("key").to_numpy()
             present, count = np.unique(words.row, return_counts=True)
+            if not len(present):
+                continue
             code = words.language[present]
-            if len(present):
-                held.append((mix(code), mix(~code), np.zeros(len(code), np.int64), count, keys[present]))
-            for n, at in phrases(words) if len(present) else ():
-                held.append((words.prints(at, n), words.prints(at, n, True), np.full(len(at), n), np.ones(len(at), np.int64), keys[words.row[at]]))
-                size += len(at)
-            if size >= HELD:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
+            yield counted_rows(mix(code), mix(~code), 0, count, keys[present])
+            for n, at in phrases(words):
+                if len(at):
+                    held[n].append((words.prints(at, n), words.prints(at, n, True), keys[words.row[at]]))
+                    size[n] += len(at)
+                if size[n] >= HELD // 2:
+                    yield flush(n)
+        for n in held:
+            if size[n]:
+                yield flush(n)
 
     def phrases(words: Words) -> Iterator[tuple[int, np.ndarray]]:
         """(n, first words) of all phrases that may be frequent."""
