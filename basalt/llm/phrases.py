@@ -5,8 +5,8 @@ polynomials over the word hashes, so that every n-gram costs a subtraction and a
 language is part of the fingerprint. Fingerprints, not texts, are counted by the shuffle:
 
 1. words; 2. pairs of two frequent words; 3. phrases of up to ``longest`` words all of whose
-pairs are frequent, each with a second, independent fingerprint of the text and a pointer to a
-document that holds it.
+pairs are frequent, each with a second, independent fingerprint (32 bits) of the text and a pointer
+to a document that holds it.
 
 A phrase is at most as frequent as its parts, so steps 1 and 2 (counts that a collision can
 only raise) hold back nothing that is frequent; what they found reaches the tasks as bitmaps
@@ -74,6 +74,11 @@ class Words:
         return b" ".join(_FOLD[self.raw[self.begin[i] : self.end[i]]].tobytes() for i in range(at, at + n)).decode("utf-8")
 
 
+def _half(prints: np.ndarray) -> np.ndarray:
+    """The upper half of fingerprints."""
+    return (prints >> _U(32)).astype(np.uint32).view(np.int32)
+
+
 def _all(flags: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """Those of ``at`` whose next n flags are all set."""
     for j in range(n):
@@ -91,7 +96,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
     spark = docs.sparkSession
     path = scratch_path(spark, "phrases")
     text, lang = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("string"), text, lang).alias("key"), F.xxhash64(lang).alias("code"), lang.alias("lang"), text.alias("text"))
+    # A pointer is 40 bits: long documents come first, as they hold many phrases, so that few are read in
+    # the end; then a hash of the row. Documents that share a pointer are all read.
+    long_first = F.lit(63) - F.least(F.lit(63), F.floor(3 * F.log2(F.octet_length(text) + 1)))
+    key = F.shiftleft(long_first.cast("long"), 34).bitwiseOR(F.xxhash64(F.col(id_col).cast("string"), text, lang).bitwiseAND(F.lit((1 << 34) - 1)))
+    rows = docs.select(key.alias("key"), F.xxhash64(lang).alias("code"), lang.alias("lang"), text.alias("text"))
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
         for batch in batches:
@@ -129,7 +138,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
         return at[known[at] & known[at + 1]]
 
     pairs = counted(known_pairs, 2) if longest > 1 else None
-    fields = [T.StructField(n, T.LongType()) for n in ("print", "second", "n", "count", "key")]
+    fields = [T.StructField(n, T.IntegerType() if n in ("second", "n") else T.LongType()) for n in ("print", "second", "n", "count", "key")]
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {n: [] for n in range(1, longest + 1)}
@@ -144,7 +153,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
             return counted_rows(a[first], b[first], n, np.diff(np.append(first, len(a))), np.minimum.reduceat(k, first))
 
         def counted_rows(prints, second, n: int, count, key) -> pa.RecordBatch:
-            return pa.record_batch({"print": prints.view(np.int64), "second": second.view(np.int64), "n": np.full(len(prints), n), "count": count, "key": key})
+            return pa.record_batch({"print": prints.view(np.int64), "second": second, "n": np.full(len(prints), n, np.int32), "count": count, "key": key})
 
         for some, words in words_of(batches):
             keys = some.column("key").to_numpy()
@@ -152,10 +161,10 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
             if not len(present):
                 continue
             code = words.language[present]
-            yield counted_rows(mix(code), mix(~code), 0, count, keys[present])
+            yield counted_rows(mix(code), _half(mix(~code)), 0, count, keys[present])
             for n, at in phrases(words):
                 if len(at):
-                    held[n].append((words.prints(at, n), words.prints(at, n, True), keys[words.row[at]]))
+                    held[n].append((words.prints(at, n), _half(words.prints(at, n, True)), keys[words.row[at]]))
                     size[n] += len(at)
                 if size[n] >= HELD // 2:
                     yield flush(n)
@@ -199,13 +208,23 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
                     hit = np.isin(have, want)
                     at, have = at[hit], have[hit]
                     second, row = (words.prints(at, n, True), words.row[at]) if n else (mix(~words.language[at]), at)
-                    _, first = np.unique(np.stack([have, second]), axis=1, return_index=True)
+                    second = _half(second)
+                    _, first = np.unique(np.stack([have, second.view(np.uint32).astype(_U)]), axis=1, return_index=True)
                     for i in first:
-                        got.append((int(have[i].view(np.int64)), int(second[i].view(np.int64)), n, some.column("lang")[int(row[i])].as_py(), words.text(int(at[i]), n) if n else ""))
-                yield pa.record_batch([pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=out.names)
+                        got.append((int(have[i].view(np.int64)), int(second[i]), n, some.column("lang")[int(row[i])].as_py(), words.text(int(at[i]), n) if n else ""))
+                yield pa.record_batch([pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()))], names=out.names)
+
+    named = sieve.build(found.select(F.xxhash64("key").alias("slot")), "slot", 24)
+
+    def held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(sieve.may_hold(named.value, batch.column(0).to_numpy().view(_U))))
 
+    rows = rows.select(F.xxhash64("key").alias("slot"), "key", "code", "lang", "text")
+    rows = rows.mapInArrow(held_by, rows.schema)
     texts = rows.join(wanted.hint("shuffle_hash"), "key").select("code", "lang", "text", "wanted").mapInArrow(read, out)
-    return found.join(texts.dropDuplicates(["print", "second", "n"]), ["print", "second", "n"]).select("lang", "n", "phrase", "count")
+    texts = texts.dropDuplicates(["print", "second", "n"])
+    return found.join(texts, ["print", "second", "n"]).select("lang", F.col("n").cast("long").alias("n"), "phrase", "count")
 
 
 def _part(words: Column, i: Column | int, m: Column | int) -> Column:

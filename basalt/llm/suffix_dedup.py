@@ -6,10 +6,12 @@ repeated windows go.
 
 Equal windows are brought together without shuffling every suffix. Each window picks its least
 GRAM-byte hash (leftmost of equals); equal windows pick equal grams at equal places, and neighbouring
-windows mostly pick the same one. Such a run of windows, its *context*, is one row of about
-3.5 bytes for each byte of text. Runs whose gram occurs once in the corpus cannot repeat: a bitmap
-of fixed size keeps them at home. What is left is sorted by suffix, first within a task's
-own texts, so that a window leaves the task once, and then within buckets of grams:
+windows mostly pick the same one. Such a run of windows with the bytes it covers is a *context*.
+Runs whose gram occurs once in the corpus cannot repeat: a bitmap of fixed size keeps them at
+home. The others are compared as wholes first, by gram, place and two 64-bit hashes: a run that occurs
+earlier is repeated, whatever its number of copies. Only where a gram has several different runs,
+as at the edges of what texts share, the bytes of the first of each are sorted by suffix, within
+a task's own texts, so that a window leaves the task once, and then within buckets of grams:
 
 * shallow: multikey quicksort on eight bytes at a time down to SHALLOW bytes,
 * deep: groups of at most BLIND suffixes that still agree go into blind tries, larger groups are
@@ -38,7 +40,7 @@ from basalt.session import scratch_path
 GRAM = 24
 SHALLOW = 32
 BLIND = 16
-HOT = 1000  # occurrences from which a gram's windows are dealt out by their whole content
+HOT = 1000  # different runs from which a gram's windows are dealt out by their whole content
 TWICE_BITS, HOT_BITS = 24, 22  # sizes of the bitmaps of copied texts and of hot grams
 CHUNK = 4 << 20  # bytes of text that a task sorts at once
 BUCKET = 2 << 20  # bytes of text for each bucket of grams
@@ -182,7 +184,7 @@ class Contexts:
         flags = np.zeros(int(self.count.sum()), bool)
         ends = np.cumsum(self.count)
         first = ends - self.count
-        same = self._earlier_run()
+        same = self.earlier_run()
         row = np.flatnonzero(same >= 0)
         flags[_ranges(first[row], self.count[row])] = True
         left = np.flatnonzero(same < 0)
@@ -209,14 +211,17 @@ class Contexts:
                 flags[window[at[at != earliest[of]]]] = True
         return flags
 
-    def _earlier_run(self) -> np.ndarray:
+    def content(self) -> np.ndarray:
+        """A hash of each run's bytes, gram and lead."""
+        return mix(_hashes(self.text, self.begin, self.begin + self.count + self.length - 1) + mix(self.key + self.lead.astype(_U)))
+
+    def earlier_run(self) -> np.ndarray:
         """For each run an earlier run with the same gram, lead and bytes, or -1 (bytes compared)."""
         n = len(self.key)
         if not n:
             return np.zeros(0, np.int64)
         size = self.count + self.length - 1
-        content = _hashes(self.text, self.begin, self.begin + size) + mix(self.key + self.lead.astype(_U))
-        _, first, which = np.unique(content, return_index=True, return_inverse=True)
+        _, first, which = np.unique(self.content(), return_index=True, return_inverse=True)
         other = first[which]
         later = np.flatnonzero(other < np.arange(n))
         later = later[(size[other[later]] == size[later]) & (self.key[other[later]] == self.key[later]) & (self.lead[other[later]] == self.lead[later])]
@@ -407,30 +412,78 @@ def distinct_texts(docs: DataFrame, path: str, id_col: str, text_col: str) -> tu
     return Texts(rows.select(*again.columns), again, twice), copies.select(F.col("first.id").alias("first"), mark, "id", "rows")
 
 
+def _pointer(mark: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of a place in a text."""
+    return mix(mark.view(_U) + mix(start.astype(_U)))
+
+
 def repeated_spans(texts: Texts, length: int, path: str) -> DataFrame:
     """(id, mark, start, end): byte ranges of the distinct texts that repeat earlier ones; they may overlap."""
     spark, kind = texts.rows.sparkSession, texts.rows.schema["id"]
-    long = {n: T.StructField(n, T.LongType()) for n in ("mark", "start", "end", "key", "lead", "count")}
+    long = {n: T.StructField(n, T.LongType()) for n in ("mark", "start", "end", "key", "hash", "lead", "count", "pointer")}
+    buckets = max(1, math.ceil((texts.rows.agg(F.sum("size")).first()[0] or 0) / BUCKET))
+    bucket = T.StructField("bucket", T.IntegerType())
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}-{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}-{name}")
 
+    # 1. Grams that occur more than once.
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, contexts in _chunks(batches, length):
             key, count = np.unique(contexts.key, return_counts=True)
             yield pa.record_batch({"key": key.view(np.int64), "n": count.astype(np.int64)})
 
-    found = texts.map(grams, "key long, n long", length).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
-    found.write.parquet(f"{path}-grams")
-    found = spark.read.schema("key long, n long").parquet(f"{path}-grams")
-    twice, hot = sieve.build(found, "key"), sieve.build(found.filter(F.col("n") > HOT), "key", HOT_BITS)
-    buckets = max(1, math.ceil((texts.rows.agg(F.sum("size")).first()[0] or 0) / BUCKET))
-    # Rows with an end are spans, the others runs of windows with their bytes.
-    sent = T.StructType([T.StructField("bucket", T.IntegerType()), kind, *(long[n] for n in ("mark", "start", "end", "key", "lead", "count")), T.StructField("content", T.BinaryType())])
+    found = stored(texts.map(grams, "key long, n long", length).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"), "grams")
+    again = sieve.build(found, "key")
+
+    # 2. Runs of such grams, by hash: a run that occurs earlier as a whole is repeated as a whole.
+    head = T.StructType([bucket, kind, *(long[n] for n in ("mark", "start", "end", "key", "hash", "lead", "count"))])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, contexts in _chunks(batches, length):
+            ids, marks = table["id"].combine_chunks(), table["mark"].to_numpy()
+            contexts = contexts.take(np.flatnonzero(sieve.may_hold(again.value, contexts.key)))
+            (doc, start, end), rest = contexts.split(np.repeat(contexts.earlier_run() >= 0, contexts.count))
+            none = {c: pa.nulls(len(doc), pa.int64()) for c in ("key", "hash", "lead", "count")}
+            yield pa.record_batch({"bucket": (marks[doc] % buckets).astype(np.int32), "id": ids.take(pa.array(doc)), "mark": marks[doc], "start": start, "end": end, **none})
+            content, mark = rest.content(), marks[rest.doc]
+            yield pa.record_batch({
+                "bucket": (content % _U(buckets)).astype(np.int32), "id": ids.take(pa.array(rest.doc)), "mark": mark, "start": rest.start, "end": pa.nulls(len(mark), pa.int64()),
+                "key": rest.key.view(np.int64), "hash": content.view(np.int64), "lead": rest.lead, "count": rest.count,
+            })
+
+    def first_runs(group: pa.Table) -> pa.Table:
+        spans = group.filter(pc.is_valid(group["end"]))
+        group = group.filter(pc.is_null(group["end"])).sort_by([*_ORDER, ("start", "ascending")])
+        same = [group[c].to_numpy() for c in ("count", "lead", "hash", "key")]
+        order = np.lexsort(same)  # stable: of equal runs the earliest comes first
+        first = np.ones(len(order), bool)
+        first[1:] = np.any([c[order][1:] != c[order][:-1] for c in same], axis=0)
+        group = group.take(pa.array(order)).combine_chunks()
+        start, size = group["start"].to_numpy(), group["count"].to_numpy() + length - 1
+        out = {"id": group["id"], "mark": group["mark"], "start": group["start"], "end": pa.array(start + size, mask=first), "key": pa.array(group["key"].to_numpy(), mask=~first),
+               "pointer": pa.array(_pointer(group["mark"].to_numpy(), start).view(np.int64), mask=~first)}
+        nothing = pa.nulls(len(spans), pa.int64())
+        return pa.concat_tables([pa.table(out), pa.table({"id": spans["id"], "mark": spans["mark"], "start": spans["start"], "end": spans["end"], "key": nothing, "pointer": nothing})])
+
+    whole = texts.map(hashed, head, length).groupBy("bucket").applyInArrow(first_runs, T.StructType([kind, *(long[n] for n in ("mark", "start", "end", "key", "pointer"))]))
+    whole = stored(whole, "runs")
+    firsts = whole.filter("end is null")
+    variants = stored(firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "variants")
+    several, hot, places = sieve.build(variants, "key"), sieve.build(variants.filter(F.col("n") > HOT), "key", HOT_BITS), sieve.build(firsts, "pointer")
+    again.unpersist()
+
+    # 3. The first of each run whose gram has other runs as well: its bytes are sorted with theirs.
+    sent = T.StructType([bucket, kind, *(long[n] for n in ("mark", "start", "end", "key", "lead", "count")), T.StructField("content", T.BinaryType())])
 
     def within_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, contexts in _chunks(batches, length):
-            ids, marks = (table[c].combine_chunks() for c in ("id", "mark"))
-            contexts = contexts.take(np.flatnonzero(sieve.may_hold(twice.value, contexts.key)))
+            ids, marks = table["id"].combine_chunks(), table["mark"].to_numpy()
+            wanted = sieve.may_hold(several.value, contexts.key) & sieve.may_hold(places.value, _pointer(marks[contexts.doc], contexts.start))
+            contexts = contexts.take(np.flatnonzero(wanted))
             (doc, start, end), rest = contexts.split(contexts.repeated())
-            n, mark = len(doc), marks.to_numpy()[doc]
+            n, mark = len(doc), marks[doc]
             none = {c: pa.nulls(n, pa.int64()) for c in ("key", "lead", "count")}
             yield pa.record_batch({"bucket": (mark % buckets).astype(np.int32), "id": ids.take(pa.array(doc)), "mark": mark, "start": start, "end": end, **none, "content": pa.nulls(n, pa.binary())})
             rest = rest.singly(sieve.may_hold(hot.value, rest.key))
@@ -440,7 +493,7 @@ def repeated_spans(texts: Texts, length: int, path: str) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 content = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(ragged_take(some.text, some.begin, size))])
                 yield pa.record_batch({
-                    "bucket": (some.key % _U(buckets)).astype(np.int32), "id": ids.take(pa.array(some.doc)), "mark": marks.to_numpy()[some.doc], "start": some.start,
+                    "bucket": (some.key % _U(buckets)).astype(np.int32), "id": ids.take(pa.array(some.doc)), "mark": marks[some.doc], "start": some.start,
                     "end": pa.nulls(len(size), pa.int64()), "key": some.key.view(np.int64), "lead": some.lead, "count": some.count, "content": content,
                 })
 
@@ -453,16 +506,16 @@ def repeated_spans(texts: Texts, length: int, path: str) -> DataFrame:
         content = group["content"].combine_chunks()
         offsets = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1].astype(np.int64)
         text = np.frombuffer(content.buffers()[2], np.uint8)[: offsets[-1]]
-        ids, mark = group["id"].combine_chunks(), group["mark"].to_numpy()
-        same = pc.fill_null(pc.equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False) | (pc.is_null(ids[1:]).to_numpy(zero_copy_only=False) & pc.is_null(ids[:-1]).to_numpy(zero_copy_only=False))
-        doc = np.concatenate([[0], np.cumsum(~same | (mark[1:] != mark[:-1]))])
+        # Spans of one text may stand in any order here; each row is a document of its own.
+        doc = np.arange(group.num_rows)
         contexts = Contexts(text, length, key=group["key"].to_numpy().view(_U), lead=group["lead"].to_numpy(), begin=offsets[:-1], count=group["count"].to_numpy(), doc=doc, start=group["start"].to_numpy())
-        (doc_of, start, end), _ = contexts.split(contexts.repeated())
-        row = pa.array(np.searchsorted(doc, doc_of))
-        found = pa.table({"id": ids.take(row), "mark": pa.array(mark).take(row), "start": start, "end": end})
+        (row, start, end), _ = contexts.split(contexts.repeated())
+        row = pa.array(row)
+        found = pa.table({"id": group["id"].combine_chunks().take(row), "mark": group["mark"].combine_chunks().take(row), "start": start, "end": end})
         return pa.concat_tables([spans, found.cast(spans.schema)])
 
-    return texts.map(within_task, sent, length).groupBy("bucket").applyInArrow(between_tasks, T.StructType([kind, long["mark"], long["start"], long["end"]]))
+    parts = texts.map(within_task, sent, length).groupBy("bucket").applyInArrow(between_tasks, T.StructType([kind, long["mark"], long["start"], long["end"]]))
+    return whole.filter("end is not null").select("id", "mark", "start", "end").unionByName(parts)
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
