@@ -40,7 +40,7 @@ from basalt.session import scratch_path
 GRAM = 24
 SHALLOW = 32
 BLIND = 16
-HOT = 1000  # different runs from which a gram's windows are dealt out by their whole content
+HOT = 10_000  # different runs from which a gram's windows are dealt out by their whole content
 TWICE_BITS, HOT_BITS = 24, 22  # sizes of the bitmaps of copied texts and of hot grams
 CHUNK = 4 << 20  # bytes of text that a task sorts at once
 BUCKET = 2 << 20  # bytes of text for each bucket of grams
@@ -537,8 +537,12 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     spans = repeated_spans(texts, length, path)
     removed = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     found = spans.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    found.write.parquet(f"{path}-found")
+    found = spark.read.schema(found.schema).parquet(f"{path}-found")
+    with_spans = sieve.build(found.select("_mark"), "_mark", TWICE_BITS)
+    # Only texts that may have spans meet them by a shuffle.
     on = (F.col("mark") == F.col("_mark")) & F.col("id").eqNullSafe(F.col("_id"))
-    joined = texts.map(lambda batches: batches, texts.again.schema).join(found.hint("shuffle_hash"), on, "left").select("id", "mark", "size", "text", "found")
+    shared = texts.map(lambda batches: _marked(batches, with_spans, True), texts.again.schema).join(found.hint("shuffle_hash"), on, "left").select("id", "size", "text", "found")
     schema = T.StructType([texts.again.schema["id"], T.StructField("size", T.LongType()), T.StructField("removed", removed), T.StructField("kept", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -553,7 +557,11 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.record_batch([batch.column("id"), batch.column("size"), pa.array(ranges, kind), pa.array(kept, pa.binary())], names=schema.names)
 
-    firsts = joined.mapInArrow(cut, schema)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _marked(batches, with_spans, False):
+            yield pa.record_batch([batch.column("id"), batch.column("size"), pa.array([[]] * batch.num_rows, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), batch.column("text").cast(pa.binary())], names=schema.names)
+
+    firsts = shared.mapInArrow(cut, schema).unionByName(texts.map(whole, schema))
     # Further rows of a text: whole windows of an earlier row, if the text has a window at all.
     short = texts.again.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "size", F.when(F.col("size") < length, F.encode("text", "UTF-8")).alias("short"))
     copies = copies.join(short, (F.col("mark") == F.col("_mark")) & F.col("first").eqNullSafe(F.col("_id")))
