@@ -30,6 +30,7 @@ from basalt.llm.arrowtext import BYTE_VALUE_LOWER, _LOWER, mix, powers, runs, sl
 from basalt.session import scratch_path
 
 HELD = 1_000_000  # n-grams that a task counts at once
+SIEVED = np.uint64(0xFFFFFFFFFFFF0000)  # bits of a fingerprint that steps 1 and 2 count by
 SALTS = 64
 _U = np.uint64
 _STOP = np.zeros(256, bool)  # ends a piece: [.,;:!?\x0A-\x0D]
@@ -117,7 +118,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
             for _, words in words_of(batches):
-                held.append(words.prints(make(words), n))
+                held.append(words.prints(make(words), n) & SIEVED)
                 size += len(held[-1])
                 if size >= HELD:
                     yield flush(held)
@@ -138,7 +139,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
         return at[known[at] & known[at + 1]]
 
     pairs = counted(known_pairs, 2) if longest > 1 else None
-    fields = [T.StructField(n, T.IntegerType() if n in ("second", "n") else T.LongType()) for n in ("print", "second", "n", "count", "key")]
+    fields = [T.StructField(n, T.IntegerType() if n == "second" else T.LongType()) for n in ("print", "second", "count", "key")]
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {n: [] for n in range(1, longest + 1)}
@@ -150,10 +151,10 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
             order = np.argsort(a, kind="stable")
             a, b, k = a[order], b[order], k[order]
             first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            return counted_rows(a[first], b[first], n, np.diff(np.append(first, len(a))), np.minimum.reduceat(k, first))
+            return counted_rows(a[first], b[first], np.diff(np.append(first, len(a))), np.minimum.reduceat(k, first))
 
-        def counted_rows(prints, second, n: int, count, key) -> pa.RecordBatch:
-            return pa.record_batch({"print": prints.view(np.int64), "second": second, "n": np.full(len(prints), n, np.int32), "count": count, "key": key})
+        def counted_rows(prints, second, count, key) -> pa.RecordBatch:
+            return pa.record_batch({"print": prints.view(np.int64), "second": second, "count": count, "key": key})
 
         for some, words in words_of(batches):
             keys = some.column("key").to_numpy()
@@ -161,7 +162,8 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
             if not len(present):
                 continue
             code = words.language[present]
-            yield counted_rows(mix(code), _half(mix(~code)), 0, count, keys[present])
+            # The words of a language are counted under its code, with the pointer below 0.
+            yield counted_rows(mix(code), _half(mix(~code)), count, -1 - keys[present])
             for n, at in phrases(words):
                 if len(at):
                     held[n].append((words.prints(at, n), _half(words.prints(at, n, True)), keys[words.row[at]]))
@@ -186,23 +188,21 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
                 at = _all(known, words.places(n), n - 1)
             yield n, at
 
-    found = rows.select("key", "code", "text").mapInArrow(point, T.StructType(fields)).groupBy("print", "second", "n").agg(F.sum("count").alias("count"), F.min("key").alias("key"))
-    found.filter((F.col("count") >= least) | (F.col("n") == 0)).write.parquet(f"{path}-found")
+    found = rows.select("key", "code", "text").mapInArrow(point, T.StructType(fields)).groupBy("print", "second").agg(F.sum("count").alias("count"), F.min("key").alias("key"))
+    found.filter((F.col("count") >= least) | (F.col("key") < 0)).withColumn("key", F.when(F.col("key") < 0, -1 - F.col("key")).otherwise(F.col("key"))).write.parquet(f"{path}-found")
     found = spark.read.schema(T.StructType(fields)).parquet(f"{path}-found")
 
     # The texts of what was found: each from the one document that its pointer names.
-    wanted = found.groupBy("key").agg(F.collect_list(F.struct("print", "n")).alias("wanted"))
-    out = T.StructType([*fields[:3], T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType())])
+    wanted = found.groupBy("key").agg(F.collect_list("print").alias("wanted"))
+    out = T.StructType([*fields[:2], T.StructField("n", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some, raw, offsets in slices(batch, "text"):
-                asked = some.column("wanted").flatten()
-                prints, sizes = asked.field("print").to_numpy().view(_U), asked.field("n").to_numpy()
+                want = np.unique(some.column("wanted").flatten().to_numpy()).view(_U)
                 words = Words(raw, offsets, some.column("code").to_numpy())
                 got: list[tuple] = []
                 for n in range(longest + 1):
-                    want = prints[sizes == n]
                     at = words.places(n) if n else np.arange(len(words.language))
                     have = words.prints(at, n) if n else mix(words.language)
                     hit = np.isin(have, want)
@@ -223,8 +223,8 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
     rows = rows.select(F.xxhash64("key").alias("slot"), "key", "code", "lang", "text")
     rows = rows.mapInArrow(held_by, rows.schema)
     texts = rows.join(wanted.hint("shuffle_hash"), "key").select("code", "lang", "text", "wanted").mapInArrow(read, out)
-    texts = texts.dropDuplicates(["print", "second", "n"])
-    return found.join(texts, ["print", "second", "n"]).select("lang", F.col("n").cast("long").alias("n"), "phrase", "count")
+    texts = texts.dropDuplicates(["print", "second"])
+    return found.join(texts, ["print", "second"]).select("lang", F.col("n").cast("long").alias("n"), "phrase", "count")
 
 
 def _part(words: Column, i: Column | int, m: Column | int) -> Column:
