@@ -1,7 +1,8 @@
 """Column expressions over ARRAY<DOUBLE> vectors.
 
-All of these are built-in higher-order functions (``transform``, ``zip_with``,
-``aggregate``), so they stay inside whole-stage codegen: no Python per row.
+All of these are built-in higher-order functions (``transform``, ``zip_with``, ``aggregate``): they
+run in the JVM, interpreted inside the generated code of their stage (their lambdas are not
+compiled), without Python per row.
 """
 
 from __future__ import annotations
@@ -64,10 +65,16 @@ def sq_dist(a: str | Column, b: str | Column) -> Column:
 
 
 def of_width(c: str | Column, d: int) -> Column:
-    """The array itself; an array of another length than ``d`` fails the job (``zip_with`` would
+    """The array itself, or NULL; an array of another length than ``d`` fails the job (``zip_with`` would
     pad it with NULL)."""
     x = to_double_array(c)
-    return F.when(F.size(x) == d, x).otherwise(F.raise_error(F.lit(f"vector width is not {d}")).cast("array<double>"))
+    return F.when(x.isNull() | (F.size(x) == d), x).otherwise(F.raise_error(F.lit(f"vector width is not {d}")).cast("array<double>"))
+
+
+def complete(c: str | Column) -> Column:
+    """Whether a vector is there and has no NULL, NaN or infinite element."""
+    x = as_col(c)
+    return F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
 
 
 def vadd(a: str | Column, b: str | Column) -> Column:

@@ -6,8 +6,9 @@ d, not by the data). Each iteration is one Spark job:
 
 * assignment is row-local: the centroids enter as a literal ARRAY<ARRAY<DOUBLE>> and
   ``transform``/``array_min`` pick the nearest one (no join, no shuffle);
-* the update adds coordinates per cluster with numpy, batch by batch (``mapInPandas``): k×d
-  partial sums per task are shuffled, and k×d means come back to the driver.
+* the update adds coordinates per cluster with numpy, batch by batch (``mapInArrow``): k×d
+  partial sums per task are shuffled, and k×d means come back to the driver. Vectors with a
+  missing or infinite element belong to no cluster and add nothing.
 
 The new centroids are fed back as literals, so the lineage never grows across iterations.
 """
@@ -15,15 +16,18 @@ The new centroids are fed back as literals, so the lineage never grows across it
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basalt.functions.vectors import lit_matrix, of_width, sq_dist, to_double_array
+from basalt.functions.batches import matrix
+from basalt.functions.vectors import complete, lit_matrix, of_width, sq_dist, to_double_array
 
 Matrix = list[list[float]]
 
@@ -55,8 +59,10 @@ def _nearest(feat: Column, centroids: Matrix) -> Column:
 
 def assign(points: DataFrame, centroids: Matrix, feat: str = "features", name: str = "cluster_id") -> DataFrame:
     """Add the nearest centroid's index ``name`` and the squared distance ``d2``; a vector
-    of another width than the centroids fails the job."""
-    best = _nearest(of_width(feat, len(centroids[0])), centroids)
+    of another width than the centroids fails the job. Both are NULL for a vector that is NULL or
+    has a NULL, NaN or infinite element."""
+    x = of_width(feat, len(centroids[0]))
+    best = F.when(complete(x), _nearest(x, centroids))
     return points.withColumn("_best", best).withColumn(name, F.col("_best.cluster_id")).withColumn(
         "d2", F.col("_best.d2")
     ).drop("_best")
@@ -65,34 +71,46 @@ def assign(points: DataFrame, centroids: Matrix, feat: str = "features", name: s
 def distance_matrix(points: DataFrame, centroids: Matrix, id_col: str, feat: str = "features") -> DataFrame:
     """Long form ``(id, cluster_id, distance)``: Euclidean distance to every centroid.
 
-    Generated row-locally from the literal centroid matrix (k rows per point, no join).
+    Generated row-locally from the literal centroid matrix (k rows per point, no join). Vectors
+    that are NULL or have a NULL, NaN or infinite element have no rows.
     """
+    points = points.where(complete(to_double_array(feat)))
     f = of_width(feat, len(centroids[0]))
     per = F.transform(lit_matrix(centroids), lambda c, i: F.struct(i.alias("cluster_id"), F.sqrt(sq_dist(f, c)).alias("distance")))
     return points.select(id_col, F.explode(per).alias("s")).select(id_col, "s.cluster_id", "s.distance")
 
 
 def centroid_sums(assigned: DataFrame, feat: str = "features", cluster: str = "cluster_id") -> DataFrame:
-    """Per (cluster, coordinate j): mean and count, long form. At most k×d rows."""
+    """Per (cluster, coordinate j): mean and count, long form. At most k×d rows.
 
-    def add(batches):
+    Rows without a cluster and vectors with a NULL, NaN or infinite element take no part; they
+    are told apart inside the batch, so no other row is lost with them. :func:`left_out` counts them.
+    """
+    schema = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("s", T.DoubleType()), T.StructField("m", T.LongType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, counts = {}, {}
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x, c = np.stack(pdf["x"].to_numpy()), pdf["c"].to_numpy()
-            for k in np.unique(c):
-                part = x[c == k]
+        for batch in batches:
+            x, whole = matrix(batch.column(1))
+            clusters = batch.column(0).to_numpy(zero_copy_only=False)[whole].astype(np.int64)
+            for k in np.unique(clusters).tolist():
+                part = x[whole][clusters == k]
                 sums[k] = sums.get(k, 0.0) + part.sum(axis=0)
                 counts[k] = counts.get(k, 0) + len(part)
         for k, total in sums.items():
-            yield pd.DataFrame({"c": k, "j": np.arange(len(total), dtype="int32"), "s": total, "m": counts[k]})
+            d = len(total)
+            yield pa.record_batch({"c": np.full(d, k, np.int32), "j": np.arange(d, dtype=np.int32), "s": total, "m": np.full(d, counts[k], np.int64)})
 
-    rows = assigned.select(F.col(cluster).alias("c"), to_double_array(feat).alias("x")).where(F.col("x").isNotNull())
-    partial = rows.mapInPandas(add, "c int, j int, s double, m long")
+    rows = assigned.select(F.col(cluster).cast("int").alias("c"), to_double_array(feat).alias("x")).where(F.col("c").isNotNull() & F.col("x").isNotNull())
+    partial = rows.mapInArrow(add, schema)
     return partial.groupBy(F.col("c").alias(cluster), "j").agg((F.sum("s") / F.sum("m")).alias("coord"), F.sum("m").alias("n"))
 
 
+def left_out(points: DataFrame, feat: str = "features") -> DataFrame:
+    """One row (rows, left_out): how many vectors take no part, being NULL or not whole."""
+    return points.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~complete(to_double_array(feat))).alias("left_out"))
+
+
 def update(assigned: DataFrame, k: int, d: int, feat: str = "features", cluster: str = "cluster_id") -> tuple[dict[int, list[float]], dict[int, int]]:
     """New centroid per non-empty cluster (cluster → coords) and the cluster sizes."""
     rows = centroid_sums(assigned, feat, cluster).collect()

@@ -24,13 +24,13 @@ def out_degree(edges: DataFrame, src: str = "src", name: str = "out_degree") ->
 
 
 def in_weight(edges: DataFrame, dst: str = "dst", weight: str = "weight", name: str = "in_weight") -> DataFrame:
-    """Sum of the weights of edges entering each node (duplicates summed)."""
-    return (
-        edges.where(F.col(dst).isNotNull())
-        .groupBy(F.col(dst).alias("node"))
-        .agg(F.sum(weight).alias(name))
-        .orderBy("node")
-    )
+    """Sum of the weights of edges entering each node (duplicates summed).
+
+    Whole numbers add up to a DECIMAL(38, 0), as a hub's sum may pass 64 bits.
+    """
+    whole = dict(edges.dtypes)[weight] in ("tinyint", "smallint", "int", "bigint")
+    total = F.sum(F.col(weight).cast("decimal(19,0)")).cast("decimal(38,0)") if whole else F.sum(weight)
+    return edges.where(F.col(dst).isNotNull()).groupBy(F.col(dst).alias("node")).agg(total.alias(name)).orderBy("node")
 
 
 def reciprocal_pairs(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -54,13 +54,15 @@ def reciprocal_pairs(edges: DataFrame, src: str = "src", dst: str = "dst") -> Da
 
 
 def reciprocal_adjacency(
-    edges: DataFrame, src: str = "src", dst: str = "dst", form: str = "long", with_position: bool = True
+    edges: DataFrame, src: str = "src", dst: str = "dst", form: str = "long", with_position: bool = True, chunk: int = 1000
 ) -> DataFrame:
     """Every node with the nodes it has a two-way edge to, in ascending order.
 
     ``form="long"`` (default, scales with hub nodes): rows ``(node, neighbor[, pos])``
     where ``pos`` is the neighbor's 0-based place in the node's sorted list, computed by a
     distributed sort rather than a per-node window.
+    ``form="chunks"``: ``(node, chunk, neighbors ARRAY)``, a node's sorted list cut into pieces of at most
+    ``chunk`` neighbors, so no row and no group grows with a hub.
     ``form="list"``: ``(node, neighbors ARRAY)``, one row per node — only for graphs whose
     degree is known to be bounded, since a whole list lives in one row.
     """
@@ -70,8 +72,11 @@ def reciprocal_adjacency(
     )
     if form == "list":
         return both.groupBy("node").agg(F.sort_array(F.collect_list("neighbor")).alias("neighbors")).orderBy("node")
+    if form == "chunks":
+        placed = rank_within(both, ["node"], ["neighbor"], name="pos").withColumn("chunk", F.floor(F.col("pos") / chunk))
+        return placed.groupBy("node", "chunk").agg(F.sort_array(F.collect_list("neighbor")).alias("neighbors"))
     if form != "long":
-        raise ValueError("form must be 'long' or 'list'")
+        raise ValueError("form must be 'long', 'chunks' or 'list'")
     if not with_position:
         return both.orderBy("node", "neighbor")
     return rank_within(both, ["node"], ["neighbor"], name="pos").select("node", "pos", "neighbor")

@@ -8,21 +8,23 @@ integer-division variant ``eta * exp(-ceil(i/step))`` (``decay="staircase"``).
 
 Distributed shape: the d-vector of weights (or R×d for a sweep) lives on the driver and
 travels with the task; errors and their products with the features are two matrix products
-per Arrow batch (``mapInPandas``), so R×d partial sums per task cross the shuffle. One job
+per Arrow batch (``mapInArrow``), so R×d partial sums per task cross the shuffle. One job
 per update, for all runs at once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basalt.functions.batches import matrix
 from basalt.functions.vectors import dot, lit_matrix, lit_vector, of_width, sigmoid, to_double_array
 
 
@@ -42,26 +44,31 @@ def learning_rate(eta: float, step: float, i: int, decay: str = "staircase") ->
 def gradients(data: DataFrame, weights: Sequence[Sequence[float]], feat: str = "features", y: str = "y") -> DataFrame:
     """Long form ``(run, j, g)``: gradient of every run's log-likelihood at its weights.
 
-    Rows with a NULL label or vector add nothing; a vector of another width than the weights
-    fails the job.
+    Rows whose label is NULL or NaN and vectors that are NULL or have a NULL, NaN or infinite element
+    add nothing; they are told apart inside the batch, so no other row is lost with them. A
+    vector of another width than the weights fails the job.
     """
     w = np.asarray(weights, float)
+    schema = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("g", T.DoubleType())])
 
-    def add(batches):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(w)
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.stack(pdf["x"].to_numpy())
+            x, whole = matrix(batch.column(0))
+            truth = batch.column(1).to_numpy(zero_copy_only=False)
+            whole &= np.isfinite(truth)
+            x, truth = x[whole], truth[whole]
             with np.errstate(over="ignore"):
-                err = pdf["y"].to_numpy(float)[:, None] - 1.0 / (1.0 + np.exp(-(x @ w.T)))
+                err = truth[:, None] - 1.0 / (1.0 + np.exp(-(x @ w.T)))
             total += err.T @ x
         run, j = np.indices(w.shape, dtype="int32")
-        yield pd.DataFrame({"run": run.ravel(), "j": j.ravel(), "g": total.ravel()})
+        yield pa.record_batch({"run": run.ravel(), "j": j.ravel(), "g": total.ravel()})
 
     rows = data.select(of_width(feat, w.shape[1]).alias("x"), F.col(y).cast("double").alias("y"))
     rows = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return rows.mapInPandas(add, "run int, j int, g double").groupBy("run", "j").agg(F.sum("g").alias("g"))
+    return rows.mapInArrow(add, schema).groupBy("run", "j").agg(F.sum("g").alias("g"))
 
 
 def gradient(data: DataFrame, w: Sequence[float], feat: str = "features", y: str = "y") -> DataFrame:
@@ -102,7 +109,8 @@ def weights_frame(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -
 
 
 def score_runs(data: DataFrame, weights: Mapping[str, Sequence[float]], feat: str = "features", y: str = "y", threshold: float = 0.5) -> DataFrame:
-    """Accuracy of every run in one pass: predict 1 when p >= threshold (inclusive)."""
+    """Accuracy of every run in one pass: predict 1 when p >= threshold (inclusive). Rows with a NULL
+    label are left out."""
     ids = list(weights)
     x = of_width(feat, len(weights[ids[0]]))
     preds = F.transform(

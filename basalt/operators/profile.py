@@ -7,9 +7,11 @@ distributed sort (see :mod:`basalt.operators.ordering`) instead of a per-group b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,33 +163,61 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "pairwise") -> DataFrame:
-    """Pearson correlation of every column pair (a < b in the given order), one aggregate.
+    """Pearson correlation of every column pair (a < b in the given order).
 
-    ``method="pairwise"``: like pandas ``corr``, each pair skips rows where either value is
-    NULL or NaN (one ``corr`` aggregate per pair, all in one pass).
-    ``method="matrix"``: MLlib ``Correlation`` on an assembled vector (one pass computing
-    the full covariance, better for wide tables); it drops rows with any NULL or NaN first, so
-    its result differs from the pairwise one where some are missing.
+    Like pandas ``corr``, each pair skips rows where either value is NULL or NaN. Both methods give
+    the same: ``pairwise`` is one ``corr`` aggregate per pair, all in one pass, for a few dozen columns
+    (under ANSI rules it raises on a column without spread); ``gram`` is for wide tables (see
+    :func:`gram_correlations`).
     """
     cols = list(cols)
     pairs = list(combinations(cols, 2))
-    if method == "matrix":
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-
-        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
-        m = Correlation.corr(vec, "_v").first()[0].toArray()
-        idx = {c: i for i, c in enumerate(cols)}
-        rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
-        return df.sparkSession.createDataFrame(rows, "col_a STRING, col_b STRING, r DOUBLE")
+    if method == "gram":
+        return gram_correlations(df, cols)
     if method != "pairwise":
-        raise ValueError("method must be 'pairwise' or 'matrix'")
+        raise ValueError("method must be 'pairwise' or 'gram'")
     known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
     one = df.agg(*[F.corr(known[a], known[b]).alias(f"{i}__r") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{i}__r").alias("r")) for i, (a, b) in enumerate(pairs)]
     return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+def gram_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Correlations of all pairs from masked Gram matrices, four matrix products per Arrow batch.
+
+    With X the values about their column means (missing ones 0) and M the flags of known values,
+    X'X holds the products of a pair, X'M the sums, (X*X)'M the squares and M'M the rows of a pair, each
+    over the rows that both columns know. A task sends c² numbers of each once, whatever its rows.
+    A pair without two rows or without spread has NULL. An infinite value makes its pairs NaN.
+    """
+    cols = list(cols)
+    c = len(cols)
+    x = F.array(*[F.col(k).cast("double") for k in cols])
+    known = [F.nanvl(F.col(k).cast("double"), F.lit(None).cast("double")) for k in cols]
+    means = df.agg(*[F.avg(k).alias(f"m{i}") for i, k in enumerate(known)]).first()
+    center = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, c, c))
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, c)
+            m = ~np.isnan(values)
+            v, flags = np.where(m, values - center, 0.0), m.astype(float)
+            with np.errstate(invalid="ignore"):
+                total += np.stack([flags.T @ flags, v.T @ flags, (v * v).T @ flags, v.T @ v])
+        i, j = np.triu_indices(c, 1)
+        n, s, q, p = total
+        yield pa.record_batch({"i": i.astype(np.int32), "j": j.astype(np.int32), "n": n[i, j], "si": s[i, j], "sj": s[j, i], "qi": q[i, j], "qj": q[j, i], "p": p[i, j]})
+
+    sums = df.select(x.alias("x")).mapInArrow(add, "i int, j int, n double, si double, sj double, qi double, qj double, p double")
+    sums = sums.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "si", "sj", "qi", "qj", "p")])
+    n = F.col("n")
+    spread = (F.col("qi") - F.col("si") * F.col("si") / n) * (F.col("qj") - F.col("sj") * F.col("sj") / n)
+    r = F.when((n > 1) & ((spread > 0) | F.isnan(spread)), (F.col("p") - F.col("si") * F.col("sj") / n) / F.sqrt(spread))
+    names = F.array(*[F.lit(k) for k in cols])
+    return sums.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), r.alias("r"))
+
+
 def strong_correlations(pairs: DataFrame, lo: float = 0.4, hi: float = 1.0) -> DataFrame:
     """Pairs with ``lo < |r| < hi`` (the strict upper bound drops exact duplicates)."""
     return pairs.where((F.abs("r") > lo) & (F.abs("r") < hi))

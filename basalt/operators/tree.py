@@ -86,7 +86,8 @@ def accuracy(pred: DataFrame, truth: str = "label_idx", pred_col: str = "predict
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold", parallelism: int = 1, **kw) -> DataFrame:
-    """Per-fold accuracy ``(fold, accuracy)``: train on the other folds, test on this one.
+    """Per-fold accuracy ``(fold, accuracy)``: train on the other folds, test on this one. Rows
+    without a label take no part. :mod:`basalt.operators.exact_tree` grows all folds at once.
 
     Folds are independent; ``parallelism > 1`` fits that many at the same time
     (concurrent Spark jobs from driver threads), which pays off when each fit leaves
@@ -95,6 +96,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
     from concurrent.futures import ThreadPoolExecutor
 
     spark = df.sparkSession
+    df = df.where(F.col(label).isNotNull())
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec")
     # Index and assemble once; every fold then trains on the same cached vectors.
@@ -172,11 +174,18 @@ def _spark_of(_model):
     return SparkSession.getActiveSession()
 
 
-def confusion_wide(cm: DataFrame) -> DataFrame:
+def confusion_wide(cm: DataFrame, max_labels: int = 500) -> DataFrame:
     """Display form of :func:`confusion_matrix`: one row per truth label, one column per
-    predicted label (the label list is the small grid already built)."""
-    labels = sorted({r[0] for r in cm.select("predicted").distinct().collect()})
-    return cm.groupBy("truth").pivot("predicted", labels).agg(F.sum("count")).orderBy("truth")
+    predicted label (a missing one is the column ``NULL``), labels in order, NULL last.
+
+    Columns are bounded by ``max_labels``; more labels raise.
+    """
+    labels = [r[0] for r in cm.select("predicted").distinct().limit(max_labels + 1).collect()]
+    if len(labels) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    labels.sort(key=lambda v: (v is None, v))
+    one = [F.sum(F.when(F.col("predicted").eqNullSafe(F.lit(v)), F.col("count"))).alias("NULL" if v is None else str(v)) for v in labels]
+    return cm.groupBy("truth").agg(*one).orderBy(F.col("truth").asc_nulls_last())
 
 
 def cross_validate_ml(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold", parallelism: int = 1, **kw) -> DataFrame:

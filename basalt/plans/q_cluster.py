@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basalt.operators import cluster
+from basalt.operators import cluster, many_centroids
 from basalt.plans.registry import Tables, query
 from basalt.session import scratch_path
 
@@ -59,6 +59,50 @@ def kmeans_step(spark, sf_dir):
     return sums.withColumn("coord", F.round("coord", 6))
 
 
+def _holed(emb):
+    """The embeddings with one element NaN in some rows and NULL in others."""
+    x, at = F.col("embedding").cast("array<double>"), F.pmod("vec_id", F.lit(64)).cast("int")
+    nan, null = F.col("vec_id") % 17 == 3, F.col("vec_id") % 19 == 4
+    holed = F.transform(x, lambda v, i: F.when((i == at) & nan, F.lit(float("nan"))).when((i == at) & null, F.lit(None)).otherwise(v))
+    return emb.withColumn("embedding", holed)
+
+
+@query(
+    "kmeans_step_missing",
+    f"""
+    WITH {_START},
+    x AS (SELECT cluster_id, UNNEST(range(len(f))) AS j, UNNEST(f) AS v FROM a WHERE vec_id % 17 <> 3 AND vec_id % 19 <> 4)
+    SELECT cluster_id, CAST(j AS INTEGER) AS j, ROUND(AVG(v), 6) AS coord, COUNT(*) AS n FROM x GROUP BY cluster_id, j
+    """,
+)
+def kmeans_step_missing(spark, sf_dir):
+    """A centroid update in which vectors with a missing element take no part."""
+    emb, start = _start(Tables(spark, sf_dir))
+    sums = cluster.centroid_sums(cluster.assign(_holed(emb), start, "embedding"), "embedding")
+    return sums.withColumn("coord", F.round("coord", 6))
+
+
+@query("points_left_out", "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE vec_id % 17 = 3 OR vec_id % 19 = 4) AS left_out FROM embeddings")
+def points_left_out(spark, sf_dir):
+    return cluster.left_out(_holed(Tables(spark, sf_dir).embeddings), "embedding")
+
+
+@query(
+    "kmeans_assign_many",
+    """
+    WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+    c AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster_id, f FROM e WHERE vec_id % 5 = 0),
+    d AS (SELECT e.vec_id, c.cluster_id, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_sum(list_transform(list_zip(e.f, c.f), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cluster_id) AS rn FROM e, c)
+    SELECT vec_id, cluster_id FROM d WHERE rn = 1
+    """,
+)
+def kmeans_assign_many(spark, sf_dir):
+    """Nearest of many centroids: every fifth vector is one, held in a broadcast table."""
+    emb = Tables(spark, sf_dir).embeddings
+    centroids = [r[0] for r in emb.where("vec_id % 5 = 0").orderBy("vec_id").select(F.col("embedding").cast("array<double>")).collect()]
+    return many_centroids.assign_many(emb.select("vec_id", "embedding"), centroids, "embedding").select("vec_id", "cluster_id")
+
+
 # Lloyd iterations as a recursive query: each step keeps the clusters that got points,
 # renumbered, with the id each had before and how far it moved; it ends with the first step in
 # which no cluster moved further than the tolerance.

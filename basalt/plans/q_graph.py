@@ -43,7 +43,7 @@ def out_degree(spark, sf_dir):
     f"WITH {EDGES_SQL} SELECT dst AS node, CAST(SUM(weight) AS BIGINT) AS in_weight FROM e GROUP BY dst ORDER BY node",
 )
 def in_weight(spark, sf_dir):
-    return graph.in_weight(lineitem_edges(Tables(spark, sf_dir)))
+    return graph.in_weight(lineitem_edges(Tables(spark, sf_dir))).withColumn("in_weight", F.col("in_weight").cast("long"))
 
 
 @query("reciprocal_pairs", f"WITH {PAIRS_SQL} SELECT u, v FROM p")
@@ -63,6 +63,21 @@ def reciprocal_adjacency(spark, sf_dir):
     return graph.reciprocal_adjacency(lineitem_edges(Tables(spark, sf_dir)), form="long")
 
 
+@query(
+    "reciprocal_chunks",
+    f"""
+    WITH {PAIRS_SQL},
+    b AS (SELECT u AS node, v AS neighbor FROM p UNION ALL SELECT v, u FROM p WHERE u <> v),
+    k AS (SELECT node, neighbor, (ROW_NUMBER() OVER (PARTITION BY node ORDER BY neighbor) - 1) // 2 AS chunk FROM b)
+    SELECT node, chunk, '[' || string_agg(CAST(neighbor AS VARCHAR), ', ' ORDER BY neighbor) || ']' AS neighbors FROM k GROUP BY node, chunk
+    """,
+)
+def reciprocal_chunks(spark, sf_dir):
+    """Sorted neighbor lists in chunks of two, as text."""
+    chunks = graph.reciprocal_adjacency(lineitem_edges(Tables(spark, sf_dir)), form="chunks", chunk=2)
+    return chunks.withColumn("neighbors", F.concat(F.lit("["), F.array_join(F.col("neighbors").cast("array<string>"), ", "), F.lit("]")))
+
+
 @query("edges_from_text", f"WITH {EDGES_SQL} SELECT src AS node, COUNT(*) AS out_degree FROM e GROUP BY src ORDER BY node")
 def edges_from_text(spark, sf_dir):
     """Tab-separated edge text written from lineitem, read back with the edge-list source."""

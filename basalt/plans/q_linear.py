@@ -52,6 +52,24 @@ def logistic_step(spark, sf_dir):
     return g.select("j", F.round("g", 6).alias("gradient"), F.round(F.col("g") * lr, 6).alias("weight"))
 
 
+@query(
+    "logistic_step_missing",
+    f"""
+    WITH d AS (SELECT CAST(embedding AS DOUBLE[]) AS x, CAST(label = {POSITIVE} AS INTEGER) AS y FROM embeddings WHERE vec_id % 17 <> 3 AND vec_id % 19 <> 4 AND vec_id % 23 <> 5),
+    x1 AS (SELECT y, UNNEST(range(len(x))) AS j, UNNEST(x) AS v FROM d)
+    SELECT CAST(j AS INTEGER) AS j, ROUND(SUM((y - 0.5) * v), 6) AS gradient FROM x1 GROUP BY j
+    """,
+)
+def logistic_step_missing(spark, sf_dir):
+    """A gradient in which rows with a missing element (NaN, NULL) or label take no part."""
+    data = _data(Tables(spark, sf_dir))
+    at = F.pmod("vec_id", F.lit(DIM)).cast("int")
+    nan, null = F.col("vec_id") % 17 == 3, F.col("vec_id") % 19 == 4
+    holed = F.transform(F.col("features").cast("array<double>"), lambda v, i: F.when((i == at) & nan, F.lit(float("nan"))).when((i == at) & null, F.lit(None)).otherwise(v))
+    data = data.withColumn("features", holed).withColumn("y", F.when(F.col("vec_id") % 23 != 5, F.col("y")))
+    return linear.gradient(data, [0.0] * DIM).select("j", F.round("g", 6).alias("gradient"))
+
+
 @query(
     "logistic_two_steps",
     f"""

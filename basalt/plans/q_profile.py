@@ -238,6 +238,20 @@ def correlation_pairs(spark, sf_dir):
     return _round(profile.correlation_pairs(li, LINE_NUMS))
 
 
+@query("correlation_gram", _corr_sql())
+def correlation_gram(spark, sf_dir):
+    """The same correlations from masked Gram matrices, the form for wide tables."""
+    null = F.lit(None).cast("double")
+    li = Tables(spark, sf_dir).lineitem.select(*LINE_NUMS).withColumn("l_discount", F.when(F.col("l_discount") == 0.05, null).otherwise(F.col("l_discount")))
+    return _round(profile.correlation_pairs(li, LINE_NUMS, method="gram"))
+
+
+@query("schema_report", 'SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column" FROM (DESCRIBE orders)')
+def schema_report(spark, sf_dir):
+    """Position and name of each column of the orders, from metadata alone."""
+    return profile.schema_report(Tables(spark, sf_dir).orders).select("position", "column")
+
+
 @query(
     "majority_accuracy",
     """

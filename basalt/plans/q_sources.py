@@ -15,8 +15,8 @@ from basalt.functions.vectors import dot
 from basalt.plans.registry import Tables, query
 from basalt.session import scratch_path
 from basalt.sinks.files import write_tuple_text
-from basalt.sources.files import align_rows, read_csv_table, read_labels, read_matrix, read_vectors
-from basalt.sources.tables import catalog_row_counts
+from basalt.sources.files import align_rows, quarantine_csv, quarantine_edges, quarantine_vectors, read_csv_table, read_labels, read_matrix, read_vectors
+from basalt.sources.tables import analyze_tables, catalog_row_counts, stored_row_counts
 
 _SQL = """
 WITH e AS (SELECT ROW_NUMBER() OVER (ORDER BY vec_id) - 1 AS line, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings)
@@ -78,7 +78,7 @@ def tuple_text(spark, sf_dir):
     path = scratch_path(spark, "tuples")
     counts = Tables(spark, sf_dir).orders.groupBy("o_custkey").count()
     for _ in range(2):
-        write_tuple_text(counts, path, ["o_custkey", "count"])
+        write_tuple_text(counts.orderBy("o_custkey"), path, ["o_custkey", "count"])
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
@@ -93,4 +93,83 @@ def catalog_report(spark, sf_dir):
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
     for t in ("customer", "nation"):
         spark.catalog.createTable(f"{name}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
-    return catalog_row_counts(spark, name).unionByName(missing)
+    path = scratch_path(spark, "catalog-report")
+    catalog_row_counts(spark, name).unionByName(missing).write.parquet(path)
+    spark.sql(f"DROP DATABASE {name} CASCADE")  # the tables are external: their files stay
+    return spark.read.parquet(path)
+
+
+@query(
+    "catalog_statistics",
+    """
+    SELECT 'customer' AS table_name, COUNT(*) AS stored_rows, COUNT(*) AS row_count, FALSE AS stale FROM customer
+    UNION ALL SELECT 'nation', NULL, COUNT(*), TRUE FROM nation
+    UNION ALL SELECT 'region', COUNT(*), COUNT(*) + 1, TRUE FROM region
+    """,
+)
+def catalog_statistics(spark, sf_dir):
+    """Row counts stored in the catalog against exact ones: one is right, one is missing, one is stale."""
+    name = f"basalt_statistics_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    region, copy = Tables(spark, sf_dir).region, scratch_path(spark, "region-copy")
+    region.write.parquet(copy)
+    spark.catalog.createTable(f"{name}.customer", path=f"{sf_dir}/customer.parquet", source="parquet")
+    spark.catalog.createTable(f"{name}.region", path=copy, source="parquet")
+    analyze_tables(spark, name)
+    spark.catalog.createTable(f"{name}.nation", path=f"{sf_dir}/nation.parquet", source="parquet")
+    region.limit(1).write.mode("append").parquet(copy)  # behind the catalog's back
+    spark.catalog.refreshTable(f"{name}.region")
+    path = scratch_path(spark, "catalog-statistics")
+    stored_row_counts(spark, name, check=True).write.parquet(path)
+    spark.sql(f"DROP DATABASE {name} CASCADE")  # the tables are external: their files stay
+    return spark.read.parquet(path)
+
+
+@query(
+    "quarantined_edges",
+    """
+    WITH e AS (SELECT l_orderkey, l_partkey, l_linenumber, (l_orderkey + l_linenumber) % 10 AS r FROM lineitem),
+    j AS (SELECT CASE WHEN r = 0 THEN '2 fields, not 3' WHEN r = 1 THEN 'dst is no whole number' WHEN r = 2 THEN 'weight is no whole number' ELSE 'good' END AS reason FROM e)
+    SELECT reason, COUNT(*) AS rows FROM j GROUP BY reason
+    """,
+)
+def quarantined_edges(spark, sf_dir):
+    """Edge text with rows cut short or spoilt, counted by reason."""
+    r = (F.col("l_orderkey") + F.col("l_linenumber")) % 10
+    src, dst, weight = (F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_linenumber"))
+    line = F.when(r == 0, F.concat_ws("\t", src, dst)).when(r == 1, F.concat_ws("\t", src, F.lit("x"), weight)).when(r == 2, F.concat_ws("\t", src, dst, F.lit("1.5"))).otherwise(F.concat_ws("\t", src, dst, weight))
+    path = scratch_path(spark, "edges-spoilt")
+    Tables(spark, sf_dir).lineitem.select(line.alias("value")).write.text(path)
+    return quarantine_edges(spark, path).counts()
+
+
+@query(
+    "quarantined_csv",
+    """
+    WITH o AS (SELECT o_orderkey, o_totalprice, o_orderkey % 7 AS r FROM orders),
+    g AS (SELECT COUNT(*) AS rows, SUM(o_orderkey)::BIGINT AS keys FROM o WHERE r NOT IN (1, 2, 3))
+    SELECT 'good' AS reason, rows, keys FROM g
+    UNION ALL SELECT CASE r WHEN 1 THEN 'o_totalprice is no double' WHEN 2 THEN 'o_orderkey is no bigint' ELSE 'more than 2 fields' END, COUNT(*), NULL FROM o WHERE r IN (1, 2, 3) GROUP BY r
+    """,
+)
+def quarantined_csv(spark, sf_dir):
+    """Orders as CSV with spoilt cells: the sum of the good keys, and bad rows by reason."""
+    r, key, price = F.col("o_orderkey") % 7, F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    line = F.when(r == 1, F.concat_ws(",", key, F.lit("n/a"))).when(r == 2, F.concat_ws(",", F.lit("?"), price)).when(r == 3, F.concat_ws(",", key, price, key)).otherwise(F.concat_ws(",", key, price))
+    path = scratch_path(spark, "orders-spoilt")
+    Tables(spark, sf_dir).orders.select(line.alias("value")).write.text(path)
+    rows = quarantine_csv(spark, path, "o_orderkey LONG, o_totalprice DOUBLE", header=False)
+    keys = rows.good.agg(F.sum("o_orderkey").alias("keys")).select(F.lit("good").alias("reason"), "keys")
+    return rows.counts().join(keys, "reason", "left").select("reason", "rows", "keys")
+
+
+@query("quarantined_vectors", "SELECT vec_id AS line, vec_id % 5 = 2 OR vec_id % 7 = 3 AS bad FROM embeddings")
+def quarantined_vectors(spark, sf_dir):
+    """Vector lines in file order, some short and some with a word; good and bad ones keep their line."""
+    emb = Tables(spark, sf_dir).embeddings
+    cells = F.transform(F.col("embedding").cast("array<double>"), lambda v: v.cast("string"))
+    cells = F.when(F.col("vec_id") % 5 == 2, F.slice(cells, 1, 10)).when(F.col("vec_id") % 7 == 3, F.concat(F.slice(cells, 1, 63), F.array(F.lit("word")))).otherwise(cells)
+    path = scratch_path(spark, "vectors-spoilt")
+    emb.orderBy("vec_id").select(F.array_join(cells, ", ").alias("value")).write.text(path)
+    rows = quarantine_vectors(spark, path, d=64)
+    return rows.good.select("line", F.lit(False).alias("bad")).unionByName(rows.bad.select("line", F.lit(True).alias("bad")))

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basalt.operators import clean, profile, tree
+from basalt.operators import clean, exact_tree, profile, tree
 from basalt.operators import relational as rel
 from basalt.plans.registry import Tables, query
+from basalt.session import scratch_path
+from basalt.sinks.models import load_model, save_model
 
 # Bands with fewer distinct values than a tree has bins, the class borders on band borders: a
 # tree grown until its leaves are pure then repeats the class of every training row.
@@ -142,44 +144,134 @@ def tree_fit_predict(spark, sf_dir):
     return model.transform(feats).select("c_custkey", "tier", "predicted_label")
 
 
-@query("tree_importances")
+@query("tree_reloaded_predict", f"WITH {_FEAT_SQL} SELECT c_custkey, tier, tier AS predicted_label FROM feat")
+def tree_reloaded_predict(spark, sf_dir):
+    """Predictions of a model that was saved twice (the second replaces the first) and read back."""
+    feats, model = _fit(spark, sf_dir)
+    path = scratch_path(spark, "tree-model")
+    for _ in range(2):
+        save_model(spark, model, path)
+    return load_model(path).transform(feats).select("c_custkey", "tier", "predicted_label")
+
+
+# Raw features that do not settle the class: trees go deep, and unseen rows are often wrong.
+RAW = ["n_orders", "c_acctbal", "c_nationkey"]
+
+
+def _raw(t: Tables):
+    nation = t.customer.select(F.col("c_custkey").alias("_key"), "c_nationkey")
+    f = customer_features(t)
+    return f.join(nation, F.col("c_custkey") == F.col("_key")).select("c_custkey", *RAW, "tier")
+
+
+def _merged(df):
+    return clean.merge_categories(df, "tier", {"few": "Other", "low": "Other"})
+
+
+def _folded(df, k: int):
+    """Folds by key, so that the oracle has the same ones."""
+    return df.withColumn("fold", F.pmod("c_custkey", F.lit(k)).cast("int"))
+
+
+def _tree_sql(k: int, merged: bool = False, whole: bool = True) -> str:
+    """The trees as a recursive query over (run, row, path): each step finds every node's best split
+    by window functions over its training rows and sends all its rows on."""
+    classes = ["Other", "high", "mid"] if merged else ["few", "high", "low", "mid"]
+    tier = "CASE WHEN tier IN ('few', 'low') THEN 'Other' ELSE tier END" if merged else "tier"
+    runs = [*range(k), *([-1] if whole else [])]
+    n = range(len(classes))
+    below = ", ".join(f"count(CASE WHEN NOT test AND y = {c} THEN 1 END) OVER (PARTITION BY run, path, f ORDER BY v) AS l{c}" for c in n)
+    all_ = ", ".join(f"count(CASE WHEN NOT test AND y = {c} THEN 1 END) OVER (PARTITION BY run, path, f) AS t{c}" for c in n)
+    nl, nr = " + ".join(f"l{c}" for c in n), " + ".join(f"(t{c} - l{c})" for c in n)
+    sl, sr = " + ".join(f"l{c} * l{c}" for c in n), " + ".join(f"(t{c} - l{c}) * (t{c} - l{c})" for c in n)
+    kinds = " + ".join(f"(t{c} > 0)::INTEGER" for c in n)
+    return f"""
+    WITH RECURSIVE {_FEAT_SQL},
+    base AS (SELECT feat.c_custkey AS id, list_position({classes}, {tier}) - 1 AS y, [n_orders::DOUBLE, feat.c_acctbal::DOUBLE, c_nationkey::DOUBLE] AS x
+             FROM feat JOIN customer ON customer.c_custkey = feat.c_custkey),
+    t(run, id, test, y, x, path, pf, pt) AS (
+        SELECT r.run, id, id % {k} = r.run, y, x, '', NULL::INTEGER, NULL::DOUBLE FROM base, (SELECT unnest({runs}) AS run) r
+        UNION ALL
+        SELECT run, id, test, y, x, path || CASE WHEN x[bf + 1] <= bt THEN 'L' ELSE 'R' END, bf, bt FROM (
+            SELECT run, id, test, y, x, path, f, first_value(f) OVER b AS bf, first_value(thr) OVER b AS bt, first_value(ok) OVER b AS bok FROM (
+                SELECT *, NOT test AND ({kinds}) > 1 AND ({nr}) > 0 AS ok,
+                       CASE WHEN NOT test AND ({kinds}) > 1 AND ({nr}) > 0 THEN ({sl})::DOUBLE / ({nl}) + ({sr})::DOUBLE / ({nr}) ELSE -1 END AS score,
+                       CASE WHEN v / 2 + up / 2 >= up THEN v ELSE v / 2 + up / 2 END AS thr
+                FROM (SELECT *, {below}, {all_},
+                             min(CASE WHEN NOT test THEN v END) OVER (PARTITION BY run, path, f ORDER BY v GROUPS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS up
+                      FROM (SELECT run, id, test, y, x, path, unnest(range(3))::INTEGER AS f, unnest(x) AS v FROM t)))
+            WINDOW b AS (PARTITION BY run, path ORDER BY ok DESC, score DESC, f, v ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+        WHERE bok AND f = 0),
+    node AS (SELECT run, path, {", ".join(f"count(CASE WHEN NOT test AND y = {c} THEN 1 END) AS t{c}" for c in n)} FROM t GROUP BY run, path),
+    rule AS (SELECT DISTINCT run, path[:-2] AS path, pf, pt FROM t WHERE path <> ''),
+    shape AS (SELECT node.*, pf, pt, {" + ".join(f"t{c}" for c in n)} AS n FROM node LEFT JOIN rule ON rule.run = node.run AND rule.path = node.path),
+    named AS (SELECT *, list_position([{", ".join(f"t{c}" for c in n)}], greatest({", ".join(f"t{c}" for c in n)})) - 1 AS top,
+                     1 - ({" + ".join(f"(t{c} / n) * (t{c} / n)" for c in n)}) AS gini FROM shape),
+    gain AS (SELECT p.*, p.gini - l.n / p.n * l.gini - r.n / p.n * r.gini AS gain
+             FROM named p LEFT JOIN named l ON l.run = p.run AND l.path = p.path || 'L' LEFT JOIN named r ON r.run = p.run AND r.path = p.path || 'R'),
+    leaf AS (SELECT run, id, y, arg_max(path, length(path)) AS path FROM t WHERE test GROUP BY run, id, y),
+    score AS (SELECT leaf.run AS fold, AVG((leaf.y = named.top)::INTEGER) AS accuracy FROM leaf JOIN named ON named.run = leaf.run AND named.path = leaf.path GROUP BY leaf.run),
+    fit AS (SELECT sum(greatest({", ".join(f"t{c}" for c in n)})) / sum(n) AS train_accuracy FROM named WHERE run = -1 AND pf IS NULL),
+    names AS (SELECT {classes} AS labels, {RAW} AS features)
+    """
+
+
+def _grown(spark, sf_dir, k: int, merged: bool = False, folds: bool = True, whole: bool = True):
+    rows = _raw(Tables(spark, sf_dir))
+    rows = _folded(_merged(rows) if merged else rows, k)
+    return exact_tree.grow(rows, RAW, "tier", ["c_custkey"], "fold" if folds else None, whole=whole)
+
+
+@query(
+    "tree_importances",
+    _tree_sql(1)
+    + """SELECT f.feature, ROUND(COALESCE(SUM(n * gain) / (SELECT SUM(n * gain) FROM gain WHERE run = -1 AND pf IS NOT NULL), 0), 6) AS importance
+    FROM (SELECT unnest(features) AS feature, unnest(range(3)) AS i FROM names) f LEFT JOIN gain ON gain.run = -1 AND gain.pf = f.i GROUP BY f.feature""",
+)
 def tree_importances(spark, sf_dir):
-    _, model = _fit(spark, sf_dir)
-    return tree.importances(model, FEATURES)
+    trees = _grown(spark, sf_dir, 1, folds=False)
+    return exact_tree.importances(trees).withColumn("importance", F.round("importance", 6))
 
 
-@query("tree_nodes")
+@query(
+    "tree_nodes",
+    _tree_sql(1)
+    + """SELECT path, n, labels[top + 1] AS prediction, ROUND(gini, 6) AS impurity, ROUND(gain, 6) AS gain, features[pf + 1] AS feature, ROUND(pt, 6) AS threshold
+    FROM gain, names WHERE run = -1""",
+)
 def tree_nodes(spark, sf_dir):
-    _, model = _fit(spark, sf_dir)
-    return tree.tree_nodes(model, FEATURES)
+    """The tree on all rows, parents right before their subtrees."""
+    nodes = _grown(spark, sf_dir, 1, folds=False).nodes
+    rounded = [F.round(c, 6).alias(c) for c in ("impurity", "gain", "threshold")]
+    return nodes.select("path", "n", "prediction", rounded[0], rounded[1], "feature", rounded[2]).orderBy("path")
 
 
-@query("tree_cv")
+@query("tree_cv", _tree_sql(K_FOLDS, whole=False) + "SELECT fold, ROUND(accuracy, 6) AS accuracy FROM score")
 def tree_cv(spark, sf_dir):
-    """Accuracy per stratified fold (4 folds)."""
-    feats = tree.assign_folds(_banded(Tables(spark, sf_dir)), "tier", ["c_custkey"], K_FOLDS)
-    return tree.cross_validate(feats, FEATURES, "tier")
+    """Accuracy per fold (4 folds) on rows that the fold's tree has not seen."""
+    return exact_tree.fold_scores(_grown(spark, sf_dir, K_FOLDS, whole=False)).withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("tree_merged_compare")
+_COMPARE = """SELECT '{run}' AS run, ROUND(AVG(accuracy), 6) AS mean, ROUND(2 * STDDEV_POP(accuracy), 6) AS plus_minus, ROUND(ANY_VALUE(train_accuracy), 6) AS train_accuracy FROM score, fit"""
+
+
+@query(
+    "tree_merged_compare",
+    f"""SELECT * FROM ({_tree_sql(K_FOLDS)} {_COMPARE.format(run="original")})
+    UNION ALL SELECT * FROM ({_tree_sql(K_FOLDS, merged=True)} {_COMPARE.format(run="merged")})""",
+)
 def tree_merged_compare(spark, sf_dir):
     """CV summary and training accuracy before and after merging two tiers."""
-    base = _banded(Tables(spark, sf_dir))
-    merged = clean.merge_categories(base, "tier", {"few": "Other", "low": "Other"})
     out = None
-    for run, df in (("original", base), ("merged", merged)):
-        folded = tree.assign_folds(df, "tier", ["c_custkey"], K_FOLDS)
-        s = tree.score_summary(tree.cross_validate(folded, FEATURES, "tier"))
-        model = tree.fit_tree(df, FEATURES, "tier")
-        train = model.transform(df).agg(F.avg((F.col("tier") == F.col("predicted_label")).cast("double"))).first()[0]
-        row = s.select(F.lit(run).alias("run"), "*", F.lit(float(train)).alias("train_accuracy"))
+    for run, merged in (("original", False), ("merged", True)):
+        trees = _grown(spark, sf_dir, K_FOLDS, merged)
+        s = tree.score_summary(exact_tree.fold_scores(trees)).crossJoin(exact_tree.training_accuracy(trees))  # one row each
+        row = s.select(F.lit(run).alias("run"), *[F.round(c, 6).alias(c) for c in ("mean", "plus_minus", "train_accuracy")])
         out = row if out is None else out.unionByName(row)
     return out
 
 
-@query("tree_merged_cv10")
+@query("tree_merged_cv10", _tree_sql(MERGED_FOLDS, merged=True, whole=False) + "SELECT fold, ROUND(accuracy, 6) AS accuracy FROM score")
 def tree_merged_cv10(spark, sf_dir):
-    """Accuracy of each of 10 stratified folds on the merged tiers."""
-    merged = clean.merge_categories(_banded(Tables(spark, sf_dir)), "tier", {"few": "Other", "low": "Other"})
-    folded = tree.assign_folds(merged, "tier", ["c_custkey"], MERGED_FOLDS)
-    return tree.cross_validate(folded, FEATURES, "tier")
+    """Accuracy of each of 10 folds on the merged tiers, all folds grown together."""
+    return exact_tree.fold_scores(_grown(spark, sf_dir, MERGED_FOLDS, merged=True, whole=False)).withColumn("accuracy", F.round("accuracy", 6))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,17 +52,48 @@ def table_row_counts(tables: Mapping[str, DataFrame], name_col: str = "table_nam
     return out.orderBy(name_col)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def catalog_row_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Row counts of every table/view the catalog lists (optionally in ``database``); an empty
-    report if there is none, or no such database."""
+    """Row counts of every table and view that belongs to ``database`` (the current one if not given);
+    an empty report if there is none, or no such database. Temporary views belong to no database."""
     empty = spark.createDataFrame([], "table_name STRING, row_count LONG")
     if database is not None and not database_exists(spark, database):
         return empty
-    tables = {t.name: spark.table(t.name if database is None else f"{database}.{t.name}")
-              for t in spark.catalog.listTables(database)}
+    owned = [t for t in spark.catalog.listTables(database and _quoted(database)) if not t.isTemporary]
+    tables = {t.name: spark.table(".".join(_quoted(x) for x in [*(t.namespace or []), t.name])) for t in owned}
     return table_row_counts(tables) if tables else empty
 
 
+def analyze_tables(spark: SparkSession, database: str) -> None:
+    """Count the rows of every table of a database and store the counts in the catalog."""
+    for t in spark.catalog.listTables(_quoted(database)):
+        if not t.isTemporary and t.tableType != "VIEW":
+            spark.sql(f"ANALYZE TABLE {_quoted(database)}.{_quoted(t.name)} COMPUTE STATISTICS")
+
+
+def stored_row_counts(spark: SparkSession, database: str, check: bool = False) -> DataFrame:
+    """(table_name, stored_rows) as the catalog holds them, NULL where none are stored; no table is read.
+
+    ``check`` adds ``row_count``, the exact count, and ``stale``: whether the stored one is missing or
+    differs. A missing database, or one without tables, gives an empty report.
+    """
+    stored = []
+    if database_exists(spark, database):
+        for t in spark.catalog.listTables(_quoted(database)):
+            if not t.isTemporary and t.tableType != "VIEW":
+                facts = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(database)}.{_quoted(t.name)}").collect()}
+                rows = re.search(r"(\d+) rows", facts.get("Statistics") or "")
+                stored.append((t.name, int(rows.group(1)) if rows else None))
+    out = spark.createDataFrame(sorted(stored), "table_name STRING, stored_rows LONG")
+    if not check:
+        return out
+    exact = catalog_row_counts(spark, database)
+    return out.join(exact, "table_name").withColumn("stale", ~F.col("stored_rows").eqNullSafe(F.col("row_count"))).orderBy("table_name")
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basalt.operators import clean, profile, relational, tree
-from basalt.operators.ordering import positional_index, rank_within
+from basalt.operators import clean, cluster, graph, linear, many_centroids, profile, relational, tree
+from basalt.operators.ordering import cumulative_within, positional_index, rank_within
 from basalt.sources import files, tables
 
 
@@ -152,7 +152,7 @@ def test_correlation_methods_agree(spark):
     c = rng.normal(size=200)
     df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)], "a DOUBLE, b DOUBLE, c DOUBLE")
     p1 = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, ["a", "b", "c"]).collect()}
-    p2 = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, ["a", "b", "c"], method="matrix").collect()}
+    p2 = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, ["a", "b", "c"], method="gram").collect()}
     assert p1 == pytest.approx(p2)
     assert p1[("a", "b")] == pytest.approx(float(np.corrcoef(a, b)[0, 1]))
 
@@ -182,9 +182,157 @@ def test_describe_treats_nan_as_missing(spark):
     assert (r["count"], r["mean"], r["min"], r["max"], r["p50"]) == (2, 2.0, 1.0, 3.0, 2.0)
 
 
-def test_sum_product_by_both_plans_agree(spark):
+def test_sum_product_by(spark):
     fact = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 1.5), (3, 4.0), (3, 0.25)], "k LONG, q DOUBLE")
     dim = spark.createDataFrame([(1, "a", 10.0), (2, "b", 2.5), (3, "a", 1.1)], "pk LONG, g STRING, p DOUBLE")
-    small = [tuple(r) for r in relational.sum_product_by(fact, dim, "k", "pk", "g", "q", "p").collect()]
-    large = [tuple(r) for r in relational.sum_product_by(fact, dim, "k", "pk", "g", "q", "p", max_broadcast_rows=0).collect()]
-    assert small == large == [("a", 54.675), ("b", 3.75)]
+    got = [tuple(r) for r in relational.sum_product_by(fact, dim, "k", "pk", "g", "q", "p").collect()]
+    assert got == [("a", 54.675), ("b", 3.75)]
+
+
+def test_one_missing_element_takes_out_its_row_only(spark):
+    # 101 rows in 2 tasks: 50 x 10.0, 50 x 20.0 and one bad row.
+    for bad in (float("nan"), None, float("inf")):
+        rows = [(i, [10.0 if i < 50 else 20.0], 1.0) for i in range(100)] + [(100, [bad], 1.0)]
+        df = spark.createDataFrame(rows, "id LONG, x ARRAY<DOUBLE>, y DOUBLE").repartition(2)
+        sums = cluster.centroid_sums(df.withColumn("cluster_id", F.lit(0)), "x").first()
+        assert (sums["coord"], sums["n"]) == (15.0, 100)
+        assert linear.gradient(df, [0.0], "x").first()["g"] == 750.0
+        assert tuple(cluster.left_out(df, "x").first()) == (101, 1)
+        assigned = cluster.assign(df, [[0.0], [20.0]], "x").where("id = 100").first()
+        assert assigned["cluster_id"] is None and assigned["d2"] is None
+        assert cluster.distance_matrix(df, [[0.0], [20.0]], "id", "x").where("id = 100").count() == 0
+        assert cluster.kmeans(df, [[9.0], [21.0]], "x").centroids == [[10.0], [20.0]]
+    missing = spark.createDataFrame([(0, None, 1.0), (1, [2.0], None), (2, [4.0], float("nan")), (3, [6.0], 1.0)], "id LONG, x ARRAY<DOUBLE>, y DOUBLE")
+    assert linear.gradient(missing, [0.0], "x").first()["g"] == 3.0
+    assert cluster.centroid_sums(missing.withColumn("cluster_id", F.lit(0)), "x").first()["coord"] == 4.0
+
+
+def test_sums_beyond_64_bits(spark):
+    e = spark.createDataFrame([(1, 2, 2**63 - 1), (3, 2, 2**63 - 1)], "src LONG, dst LONG, weight LONG")
+    assert int(graph.in_weight(e).first()["in_weight"]) == 2 * (2**63 - 1)
+
+
+def test_confusion_wide_with_missing_labels(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), (None, "b")], "y STRING, p STRING")
+    wide = tree.confusion_wide(tree.confusion_matrix(df, "y", "p"))
+    assert wide.columns == ["truth", "a", "b", "NULL"]
+    assert [tuple(r) for r in wide.collect()] == [("a", 1, 0, 1), ("b", 0, 0, 0), (None, 0, 1, 0)]
+    with pytest.raises(ValueError):
+        tree.confusion_wide(tree.confusion_matrix(df, "y", "p"), max_labels=2)
+
+
+def test_report_skips_temp_views_and_quotes_names(spark, tmp_path):
+    spark.range(3).createOrReplaceTempView("some_view")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS odd_db LOCATION '{tmp_path}'")
+    spark.range(4).write.mode("overwrite").saveAsTable("odd_db.odd_table")
+    assert [tuple(r) for r in tables.catalog_row_counts(spark, "odd_db").collect()] == [("odd_table", 4)]
+    spark.sql("DROP DATABASE odd_db CASCADE")
+
+
+def test_ranks_of_groups_that_span_partitions(spark):
+    # One group over nearly all partitions, NULL and NaN groups, and many small ones.
+    rows = [(2.0, i) for i in range(500)] + [(None, i) for i in range(70)] + [(float("nan"), i) for i in range(60)] + [(10.0 + i % 7, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "g DOUBLE, v INT").repartition(7)
+    out = rank_within(df, ["g"], ["v"], with_size="n").collect()
+    seen = {}
+    for g, v in sorted(rows, key=lambda r: r[1]):
+        key = repr(g)
+        seen.setdefault(key, []).append(v)
+    assert sorted((repr(r["g"]), r["v"], r["rank"], r["n"]) for r in out) == sorted((k, v, i, len(vs)) for k, vs in seen.items() for i, v in enumerate(vs))
+    weighted = spark.createDataFrame([("a", i, 3) for i in range(200)] + [("b", 0, 5), ("b", 1, 1)], "g STRING, v INT, w INT")
+    got = {(r["g"], r["v"]): (r["cum"], r["size"]) for r in cumulative_within(weighted, ["g"], ["v"], "w").collect()}
+    assert got == {**{("a", i): (3 * i, 600) for i in range(200)}, ("b", 0): (0, 6), ("b", 1): (5, 6)}
+    assert rank_within(df.limit(0), ["g"], ["v"]).count() == 0
+
+
+def test_adjacency_chunks_join_to_the_sorted_list(spark):
+    edges = [(1, i) for i in range(2, 40)] + [(i, 1) for i in range(2, 40)] + [(50, 50)]
+    df = spark.createDataFrame(edges, "src LONG, dst LONG")
+    chunks = graph.reciprocal_adjacency(df, form="chunks", chunk=5).collect()
+    assert all(len(r["neighbors"]) <= 5 for r in chunks)
+    joined = {}
+    for r in sorted(chunks, key=lambda r: (r["node"], r["chunk"])):
+        joined.setdefault(r["node"], []).extend(r["neighbors"])
+    assert joined == {r["node"]: list(r["neighbors"]) for r in graph.reciprocal_adjacency(df, form="list").collect()}
+
+
+def test_quarantine_keeps_bad_rows_with_file_and_line(spark, tmp_path):
+    folder = tmp_path / "e"
+    folder.mkdir()
+    (folder / "a.txt").write_text("1\t2\t3\n\n1\t2\n1\tx\t3\n")
+    (folder / "b.txt").write_text("4\t5\t6\n1\t2\t9223372036854775808\n")
+    q = files.quarantine_edges(spark, str(folder))
+    assert [tuple(r) for r in q.good.orderBy("src").collect()] == [(1, 2, 3), (4, 5, 6)]
+    bad = sorted((r["file"].rsplit("/", 1)[1], r["line"], r["reason"], r["value"]) for r in q.bad.collect())
+    assert bad == [("a.txt", 1, "2 fields, not 3", "1\t2"), ("a.txt", 2, "dst is no whole number", "1\tx\t3"), ("b.txt", 1, "weight is no whole number", "1\t2\t9223372036854775808")]
+    assert sorted(tuple(r) for r in q.counts().collect()) == [("2 fields, not 3", 1), ("dst is no whole number", 1), ("good", 2), ("weight is no whole number", 1)]
+    (tmp_path / "c.csv").write_text("id,p\n1,2.5\n2,\nx,1\n3,4,5\n4\n")
+    q = files.quarantine_csv(spark, str(tmp_path / "c.csv"), "id LONG, p DOUBLE")
+    assert sorted((r["id"], r["p"]) for r in q.good.collect()) == [(1, 2.5), (2, None), (4, None)]
+    assert sorted(r["reason"] for r in q.bad.collect()) == ["id is no bigint", "more than 2 fields"]
+    (tmp_path / "v.txt").write_text("1 2\n3\n4 five\n6,7\n")
+    q = files.quarantine_vectors(spark, str(tmp_path / "v.txt"), d=2)
+    assert sorted((r["line"], list(r["features"])) for r in q.good.collect()) == [(0, [1.0, 2.0]), (3, [6.0, 7.0])]
+    assert sorted((r["line"], r["reason"]) for r in q.bad.collect()) == [(1, "1 fields, not 2"), (2, "not a number")]
+
+
+def test_many_centroids_assign_as_the_literal_ones(spark):
+    rng = np.random.default_rng(3)
+    points = np.round(rng.normal(size=(300, 6)), 1)  # coarse, so that distances tie
+    centroids = np.vstack([points[:40], points[:5], np.round(rng.normal(size=(20, 6)), 1)])
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(900, None), (901, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (902, [float("nan")] * 6)]
+    df = spark.createDataFrame(rows, "id LONG, x ARRAY<DOUBLE>")
+    want = {r["id"]: (r["cluster_id"], r["d2"]) for r in cluster.assign(df, centroids.tolist(), "x").collect()}
+    for max_bytes in (1 << 20, 6 * 8 * 10):  # one table, and one in seven parts
+        got = {r["id"]: (r["cluster_id"], r["d2"]) for r in many_centroids.assign_many(df, centroids, "x", max_bytes=max_bytes).collect()}
+        assert got == want
+    with pytest.raises(Exception):
+        many_centroids.assign_many(spark.createDataFrame([(1, [1.0])], "id LONG, x ARRAY<DOUBLE>"), centroids, "x").collect()
+
+
+def test_thousands_of_centroids_need_no_literal(spark):
+    rng = np.random.default_rng(4)
+    centroids = rng.normal(size=(5000, 784))
+    df = spark.createDataFrame([(i, centroids[i * 7].tolist()) for i in range(20)], "id LONG, x ARRAY<DOUBLE>")
+    out = many_centroids.assign_many(df, centroids, "x")
+    assert len(out._jdf.queryExecution().toString()) < 20_000
+    assert {r["id"]: r["cluster_id"] for r in out.select("id", "cluster_id").collect()} == {i: i * 7 for i in range(20)}
+
+
+def test_bounds_spare_distances_and_change_no_cluster(spark):
+    rng = np.random.default_rng(5)
+    points = np.vstack([rng.normal(c, 0.4, size=(150, 3)) for c in (0, 4, 8, 12)])
+    df = spark.createDataFrame([(p.tolist(),) for p in points] + [(None,), ([1.0, None, 2.0],)], "x ARRAY<DOUBLE>")
+    start = np.vstack([points[[0, 1, 2, 200]], [[100.0] * 3]])  # the last one gets no point
+    plain = cluster.kmeans(df, start.tolist(), "x", tol=1e-6)
+    bounded = many_centroids.kmeans_many(df, start, "x", tol=1e-6)
+    assert bounded.history == plain.history
+    assert np.allclose(bounded.centroids, plain.centroids, atol=1e-9)
+    assert bounded.distances[0] == 600 and bounded.distances[-1] < 300
+
+
+def test_stored_counts_go_stale(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS stats_db LOCATION '{tmp_path}'")
+    spark.range(5).write.mode("overwrite").saveAsTable("stats_db.a")
+    spark.range(3).write.mode("overwrite").saveAsTable("stats_db.b")
+    assert [tuple(r) for r in tables.stored_row_counts(spark, "stats_db").collect()] == [("a", None), ("b", None)]
+    tables.analyze_tables(spark, "stats_db")
+    stored = tables.stored_row_counts(spark, "stats_db")
+    assert [tuple(r) for r in stored.collect()] == [("a", 5), ("b", 3)]
+    assert "Scan parquet" not in stored._jdf.queryExecution().toString()
+    spark.range(2).write.mode("append").parquet(f"{tmp_path}/b")
+    spark.catalog.refreshTable("stats_db.b")
+    assert [tuple(r) for r in tables.stored_row_counts(spark, "stats_db", check=True).collect()] == [("a", 5, 5, False), ("b", 3, 5, True)]
+    assert tables.stored_row_counts(spark, "no_such_db").count() == 0
+    spark.sql("DROP DATABASE stats_db CASCADE")
+
+
+def test_gram_correlations_skip_missing_pairs(spark):
+    rng = np.random.default_rng(6)
+    values = rng.normal(1e6, 1.0, size=(400, 5))
+    values[:, 1] += values[:, 0]
+    rows = [[None if rng.random() < 0.1 else float("nan") if rng.random() < 0.05 else float(v) for v in r] for r in values]
+    df = spark.createDataFrame([(*r, 7.0) for r in rows], "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE, flat DOUBLE")
+    want = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, df.columns[:5]).collect()}
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df.repartition(5), df.columns, method="gram").collect()}
+    assert len(got) == 15 and all(got[k] is None if "flat" in k else got[k] == pytest.approx(want[k], abs=1e-6) for k in got)
