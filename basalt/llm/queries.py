@@ -122,12 +122,12 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_top_k", """
 WITH e AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    SELECT vec_id, row_number() OVER () AS uid, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-    SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v, e.v)::BIGINT AS score
-    FROM e q JOIN e ON e.vec_id <> q.vec_id AND len(e.v) = len(q.v) WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT q.uid AS q_uid, q.vec_id AS query_id, e.uid, e.vec_id, list_inner_product(q.v, e.v)::BIGINT AS score
+    FROM e q JOIN e ON e.uid <> q.uid AND len(e.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_uid ORDER BY score DESC, vec_id, uid)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """)
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,15 @@
-"""Exact top-k inner products by bounds over impact levels, refined level by level.
-
-Components are integers. Per dimension, the distance of a value from the block's smallest (for
-positive query weights) or largest value (for negative ones) is its impact, so that every
-contribution to a score is at least 0. Impacts are quantised into levels, taken from the
-highest down. There are no posting lists: every step rebuilds dense bounds of all rows and
-dimensions and multiplies both with all active queries, two full products a step. After
-each step every row has a lower bound (processed levels at their lower end) and an upper
-bound (processed at their upper end, the rest at the end of the next level). A query stops
-when the bounds prove that few rows can still be among its best; those are scored exactly.
+"""Exact top-k inner products over an impact-ordered index, score at a time.
+
+Components are integers. Every dimension has two posting lists: one by the distance above the
+block's smallest value, for positive query weights, and one by the distance below its largest,
+for negative ones. So each contribution of a list to a score, weight times impact, is at least 0.
+Impacts are quantised into levels; a list's postings of one level are a segment.
+
+Segments are read by descending level. Reading one adds weight * level to the accumulators of
+its rows, for all queries of a batch at once. What is still unread lies below the level read
+last, so after each level every row has a score that it surely reaches and one that it cannot
+pass. A query stops once these prove that few rows can still be among its best; those few are
+scored exactly. The postings below are then never read.
 """
 
 from __future__ import annotations
@@ -20,119 +22,139 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basalt.session import scratch_path
+
 LEVELS = 32
-STEPS = (20, 14, 10, 6, 0)  # lowest level processed after each step
+EVERY = 2  # levels between two looks at the bounds
 POSSIBLE = 8  # a query stops when at most this many times k rows are possible
 
 
-class Block:
-    """The impact-ordered index of one block of rows."""
+class Index:
+    """The impact-ordered posting lists of one block of rows."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
         self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
         self.width = max(1, -(-int((self.high - self.low).max() + 1) // LEVELS))
-        up, down = vectors - self.low, self.high - vectors
-        self.impacts = np.concatenate([up, down], axis=1)  # a query uses one half of them
-        self.levels = self.impacts // self.width
-
-    def bounds(self, down_to: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
-        """Impacts known from below and from above once levels >= down_to are processed."""
-        seen = self.levels >= down_to
-        lower = np.where(seen, self.levels * self.width, 0)
-        upper = np.where(seen, np.minimum((self.levels + 1) * self.width - 1, self.impacts.max(axis=0)), max(0, down_to * self.width - 1))
-        return lower.astype(kind), upper.astype(kind)
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query position, row position, score) of each query's best k rows but its own id."""
+        impacts = np.concatenate([vectors - self.low, self.high - vectors], axis=1)
+        levels = impacts // self.width
+        self.top = int(levels.max(initial=0))
+        # Each list's rows by descending level, and where each level begins in it.
+        self.postings = np.argsort(-levels, axis=0, kind="stable").T.astype(np.int32)
+        ordered = np.take_along_axis(-levels, self.postings.T, axis=0).T
+        self.begins = np.stack([np.searchsorted(o, np.arange(-self.top, 2)) for o in ordered])
+        self.read = 0  # postings read so far, over all lists and batches
+
+    def segment(self, which: int, level: int) -> np.ndarray:
+        at = self.top - level
+        return self.postings[which, self.begins[which, at] : self.begins[which, at + 1]]
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, score) of each query's best k rows; ties go to the smaller row. ``own`` is the
+        row that a query does not count, or -1."""
+        n, none = len(self.vectors), np.zeros(0, np.int64)
         weights = np.concatenate([np.maximum(queries, 0), np.maximum(-queries, 0)], axis=1)
-        constant = (np.maximum(queries, 0) @ self.low) - (np.maximum(-queries, 0) @ self.high)
-        most = float(weights.sum(axis=1).max(initial=0)) * float(self.impacts.max(initial=0) + self.width)
-        kind = np.float32 if most < 2**24 else np.float64  # whole numbers stay exact in either
-        if most >= 2**52:
-            raise OverflowError("inner products beyond 2**52")
-        out, active, n = [], np.arange(len(queries)), len(self.ids)
-        for down_to in STEPS:
-            if not len(active):
-                break
-            lower, upper = self.bounds(down_to, kind)
-            w = weights[active].astype(kind)
-            at_least, at_most = w @ lower.T, w @ upper.T
-            own = self.ids[None, :] == query_ids[active][:, None]
-            at_least[own], at_most[own] = -1, -1
-            if n > k:
-                kth = np.partition(at_least, n - k, axis=1)[:, n - k]
-            else:
-                kth = np.full(len(active), 0, kind)
-            possible = (at_most >= kth[:, None]) & ~own
-            done = (possible.sum(axis=1) <= POSSIBLE * k) | (down_to == 0)
-            q, r = np.nonzero(possible[done])
+        most = int(weights.sum(axis=1, dtype=object).max(initial=0)) * self.width * (self.top + 2)
+        if most >= 2**62:
+            raise OverflowError("inner products beyond 2**62")
+        kind = np.int32 if most < 2**31 else np.int64
+        out, active = [(none, none, none)], np.arange(len(queries))
+        weights = np.ascontiguousarray(weights.T.astype(kind))  # lists x active queries
+        total = weights.sum(axis=0)
+        levels, seen = np.zeros((n, len(queries)), kind), np.zeros((n, len(queries)), kind)
+        for level in range(self.top, -1, -1):
+            for which in np.flatnonzero(weights.any(axis=1)).tolist():
+                rows = self.segment(which, level)
+                if len(rows):
+                    self.read += len(rows)
+                    seen[rows] += weights[which]
+                    if level:
+                        levels[rows] += weights[which] * kind(level)
+            if level and level % EVERY != 1 % EVERY:
+                continue
+            # Read postings lie within their level, unread ones below this one.
+            at_least = levels * kind(self.width)
+            at_most = at_least + seen * kind(self.width - 1) + (total - seen) * kind(max(0, level * self.width - 1))
+            mine = np.flatnonzero(own[active] >= 0)
+            at_least[own[active][mine], mine] = -1
+            kth = np.partition(at_least, n - k, axis=0)[n - k] if n > k else np.zeros(len(active), kind)
+            possible = at_most >= kth
+            possible[own[active][mine], mine] = False
+            done = possible.sum(axis=0) <= POSSIBLE * k if level else np.ones(len(active), bool)
+            if not done.any():
+                continue
+            q, r = np.nonzero(possible[:, done].T)
             q = active[done][q]
-            scores = np.empty(len(q), np.int64)
-            for a in range(0, len(q), 1 << 16):  # exact scores of the possible members
+            score = np.empty(len(q), np.int64)
+            for a in range(0, len(q), 1 << 16):  # the possible members, exactly
                 s = slice(a, a + (1 << 16))
-                scores[s] = np.einsum("ij,ij->i", weights[q[s]], self.impacts[r[s]]) + constant[q[s]]
-            order = np.lexsort((self.ids[r], -scores, q))
-            q, r, scores = q[order], r[order], scores[order]
-            first = np.searchsorted(q, q)
-            best = np.arange(len(q)) - first < k
-            out.append((q[best], r[best], scores[best]))
-            active = active[~done]
-        return tuple(np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
-
-
-def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """(id, v, dim): components as floor(scale * x); vectors null, empty or with a null or
+                score[s] = np.einsum("ij,ij->i", queries[q[s]], self.vectors[r[s]])
+            order = np.lexsort((r, -score, q))
+            q, r, score = q[order], r[order], score[order]
+            best = np.arange(len(q)) - np.searchsorted(q, q) < k
+            out.append((q[best], r[best], score[best]))
+            active, total, weights = active[~done], total[~done], np.ascontiguousarray(weights[:, ~done])
+            levels, seen = np.ascontiguousarray(levels[:, ~done]), np.ascontiguousarray(seen[:, ~done])
+            if not len(active):
+                break
+        return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+
+
+def integer_vectors(vectors: DataFrame, is_query: Column, scale: float, id_col: str, vector_col: str) -> DataFrame:
+    """(uid, id, v, dim, query): components as floor(scale * x); vectors null, empty or with a null or
     non-finite component are left out, and so are null ids."""
     x = F.col(vector_col).cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & ~bad).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).cast("array<long>").alias("v"), F.size(vector_col).alias("dim")
-    )
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).cast("array<long>").alias("v"),
+        F.size(vector_col).alias("dim"), F.coalesce(is_query, F.lit(False)).alias("query"),
+    )
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", index_rows: int = 4096, query_rows: int = 512) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", index_rows: int = 4096, query_rows: int = 1024) -> DataFrame:
     """For each row marked by ``is_query`` its k highest inner products over all other rows.
 
     Columns ``query_id``, ``rank`` (from 1), the id, ``score`` (exact integer); ties go to the smaller id. Rows
-    that share the query's id are not its candidates (of several marked rows of one id the
-    smallest vector asks); candidates have the query's dimension. Vectors
-    null, empty, or with a null or non-finite component take no part (nor do null ids). The
-    grid of index blocks and query blocks bounds what a task holds; a query's results of
-    all index blocks are merged afterwards. Other columns are not read.
+    are told apart by place: rows that share an id are candidates of one another, and each asks
+    if it is marked. Candidates have the query's dimension. Vectors null, empty, or with a null or
+    non-finite component take no part (nor do null ids); a score beyond 62 bits raises. An empty
+    table gives an empty result. Other columns are read only as far as ``is_query`` names them.
+
+    Tasks hold an index of ``index_rows`` rows and a batch of ``query_rows`` queries (in expectation: rows
+    are dealt by hash); every index meets every batch, and their results are merged.
     """
     spark = vectors.sparkSession
-    rows = integer_vectors(vectors, id_col, vector_col, scale)
-    queries = integer_vectors(vectors.filter(is_query), id_col, vector_col, scale)
-    queries = queries.groupBy("id").agg(F.min(F.struct("dim", "v")).alias("q")).select("id", "q.v", "q.dim")
-    n, m = rows.count(), queries.count()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index_blocks = max(1, math.ceil(n / index_rows), min(2 * parts, math.ceil(n / 64)))
-    query_blocks = max(1, math.ceil(m / query_rows))
+    path = scratch_path(spark, "top-k")
+    integer_vectors(vectors, is_query, scale, id_col, vector_col).write.parquet(path)
+    rows = spark.read.parquet(path)
+    n, m = rows.agg(F.count(F.lit(1)), F.count_if("query")).first()
+    index_blocks, query_blocks = max(1, math.ceil(n / index_rows)), max(1, math.ceil(m / query_rows))
 
     def numbers(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     def block(count: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(count)).cast("int")
+        return F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(count)).cast("int")
 
-    left = rows.withColumn("iblock", block(index_blocks, 0)).withColumn("qblock", numbers(query_blocks))
-    right = queries.withColumn("qblock", block(query_blocks, 1)).withColumn("iblock", numbers(index_blocks))
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("query_id", "id", "score")])
+    left = rows.drop("query").withColumn("iblock", block(index_blocks, 0)).withColumn("qblock", numbers(query_blocks))
+    right = rows.filter("query").drop("query").withColumn("qblock", block(query_blocks, 1)).withColumn("iblock", numbers(index_blocks))
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("query", "query_id", "uid", "id", "score")])
 
-    def matrix(t: pa.Table, dim: int) -> np.ndarray:
-        return t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), dim)
+    def matrix(t: pa.Table) -> np.ndarray:
+        return t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
     def search(some: pa.Table, asked: pa.Table) -> pa.Table:
         if not some.num_rows or not asked.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in schema.names})
-        dim = some["dim"][0].as_py()
-        ids, query_ids = some["id"].to_numpy(), asked["id"].to_numpy()
-        q, r, scores = Block(ids, matrix(some, dim)).search(query_ids, matrix(asked, dim), k)
-        return pa.table({"query_id": query_ids[q], "id": ids[r], "score": scores})
+        some = some.sort_by([("id", "ascending"), ("uid", "ascending")])
+        uids, ids, who, query_ids = some["uid"].to_numpy(), some["id"].to_numpy(), asked["uid"].to_numpy(), asked["id"].to_numpy()
+        order = np.argsort(uids)
+        at = order[np.minimum(np.searchsorted(uids, who, sorter=order), len(uids) - 1)]
+        q, r, scores = Index(matrix(some)).search(matrix(asked), np.where(uids[at] == who, at, -1), k)
+        return pa.table({"query": who[q], "query_id": query_ids[q], "uid": uids[r], "id": ids[r], "score": scores})
 
     key = ["iblock", "qblock", "dim"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "id", "uid")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
