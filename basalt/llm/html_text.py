@@ -1,9 +1,9 @@
 """Main text of web pages: flat text blocks classified by a small decision tree.
 
-A page is cut into blocks at block-level tags. A block is described by its number of words
-and link density, those of its neighbours, and what encloses it: page furniture (1 by element,
-0.5 by a hint: a form, or a class, id or role that names furniture as a whole), article markup,
-or a heading. Hints on elements that are or hold article markup do not count. A decision tree
+A page is cut into blocks at block-level tags, in time linear in its length. A block is described
+by its number of words and link density, those of its neighbours, and what encloses it: page
+furniture (1 by element, 0.5 by a hint: a form, or a class, id or role that names furniture as
+a whole), article markup, a heading, and how its article compares with the page's longest one. Hints on elements that are or hold article markup do not count. A decision tree
 grown from the labelled blocks below tells content from the rest; words and neighbours can
 overrule a hint there. The content blocks make the text.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|[^<]+|<""", re.S)
+_NAME = re.compile(r"</?[a-zA-Z][^\s/>]*")
+_PLAIN = re.compile(r"""[^'">]*""")
+_HUGE_REFERENCE = re.compile(r"&#(?:[0-9]{9,}|[xX][0-9a-fA-F]{9,});?")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HINT_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -74,12 +77,14 @@ def names_furniture(name: str, in_article: bool) -> bool:
 class _Element:
     """An open element with what it takes over from those around it; ``hint`` is its own only."""
 
-    __slots__ = ("tag", "around", "furniture", "hint", "holds_article", "article", "heading", "link", "in_article", "hinted")
+    __slots__ = ("tag", "around", "furniture", "hint", "holds_article", "article", "heading", "link", "in_article", "hinted", "paragraph", "outermost")
 
-    def __init__(self, tag: str, around: _Element | None, furniture: bool = False, hint: bool = False, article: bool = False, heading: bool = False, link: bool = False):
+    def __init__(self, tag: str, around: _Element | None, furniture: bool = False, hint: bool = False, article: bool = False, heading: bool = False, link: bool = False, paragraph: int = -1):
         self.tag, self.around, self.furniture, self.hint, self.article, self.heading, self.link = tag, around, furniture, hint, article, heading, link
         self.in_article = tag == "article" or (around is not None and around.in_article)
         self.holds_article, self.hinted = False, None
+        self.paragraph = paragraph  # place of the open paragraph that a new one would end, or -1
+        self.outermost = around.outermost if around is not None and around.outermost is not None else self if tag == "article" else None
 
 
 def _hinted(element: _Element) -> bool:
@@ -102,6 +107,82 @@ class Block:
     furniture: float
     article: bool
     heading: bool
+    share: float = 1.0  # words of its article element over those of the page's longest one
+
+
+def decoded(text: str) -> str:
+    """Text with its character references decoded; numbers beyond Unicode, however long, give U+FFFD."""
+    if "&" not in text:
+        return text
+    return html.unescape(_HUGE_REFERENCE.sub("\ufffd", text))
+
+
+class _Tokens:
+    """Tags and texts of a page in order, in time linear in its length.
+
+    Positions never go back: where something has no end in the rest of the page, that is found out
+    once. A tag whose quotes do not close before the page ends stops at its first ``>``, and from
+    there on quotes mean nothing. A ``<`` that begins no tag is text.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at, self.size = page, 0, len(page)
+        self.quoting, self.missing = True, set()  # end tags that the rest of the page does not have
+
+    def __iter__(self) -> Iterator[tuple[str, str, str]]:
+        """(kind, name, rest): kind is ``text``, ``open`` or ``close``; rest the text or the attributes."""
+        page, text_from, look, gt = self.page, 0, 0, -1
+        while True:
+            lt = page.find("<", look)
+            if gt < lt < self.size and gt < self.size:
+                gt = page.find(">", lt)
+                gt = self.size if gt < 0 else gt
+            if lt < 0 or gt == self.size:  # no tag can end any more, but a comment may begin
+                lt = page.find("<!--", look)
+                if lt < 0:
+                    break
+            if page.startswith("<!--", lt):
+                end, found = page.find("-->", lt + 4), None
+                end = self.size if end < 0 else end + 3
+            elif page.startswith(("<!", "<?"), lt):
+                end, found = gt + 1, None
+            else:
+                found = _NAME.match(page, lt)
+                if not found:
+                    look = lt + 1
+                    continue
+                end = self._tag_end(found.end(), gt) + 1
+            if lt > text_from:
+                yield "text", "", page[text_from:lt]
+            self.at = end
+            if found:
+                closing = page[lt + 1] == "/"
+                yield "close" if closing else "open", found.group()[2 if closing else 1 :].lower(), page[found.end() : end - 1]
+            text_from = look = self.at
+        if text_from < self.size:
+            yield "text", "", page[text_from:]
+
+    def _tag_end(self, at: int, gt: int) -> int:
+        """The ``>`` that ends a tag, outside quotes; ``gt`` is the next one whatever it stands in."""
+        while self.quoting:
+            at = _PLAIN.match(self.page, at).end()
+            if at < self.size and self.page[at] == ">":
+                return at
+            close = self.page.find(self.page[at], at + 1) if at < self.size else -1
+            if close < 0:
+                self.quoting = False
+            at = close + 1
+        return gt
+
+    def skip_to_end_of(self, tag: str, open_ended: bool) -> None:
+        """Go behind the end tag, or to the end of the page if it is ``open_ended`` and has none."""
+        end = None if tag in self.missing else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(self.page, self.at)
+        if end:
+            self.at = end.end()
+        else:
+            self.missing.add(tag)
+            if open_ended:
+                self.at = self.size
 
 
 def blocks(page: str) -> list[Block]:
@@ -113,7 +194,8 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     outside = state = _Element("", None)
-    at, size = 0, len(page)
+    depth: Counter = Counter()  # open elements by tag
+    articles: Counter = Counter()  # words by outermost article element
 
     def close():
         nonlocal parts, linked
@@ -122,48 +204,41 @@ def blocks(page: str) -> list[Block]:
             if text:
                 out.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), float(state.furniture), state.article, state.heading))
                 inside.append(state)
+                articles[state.outermost] += out[-1].words
             parts, linked = [], []
 
-    while at < size:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            piece = m.group()
-            if piece[0] != "<" or piece == "<":
-                text = html.unescape(piece)
-                parts.append(text)
-                if state.link:
-                    linked.append(text + " ")
+    def leave(i: int):
+        nonlocal state
+        depth.subtract(e.tag for e in stack[i:])
+        del stack[i:]
+        state = stack[-1] if stack else outside
+
+    tokens = _Tokens(page)
+    for kind, tag, rest in tokens:
+        if kind == "text":
+            parts.append(decoded(rest))
+            if state.link:
+                linked.append(parts[-1] + " ")
             continue
-        tag = tag.lower()
-        if m.group(1):  # end tag
+        if kind == "close":
             if tag in _BLOCK:
                 close()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    state = stack[-1] if stack else outside
-                    break
+            if depth[tag]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
-        if tag in _RAW and not m.group(3).endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end or tag not in ("head", "title"):
-                at = end.end() if end else size
+        if tag in _RAW and not rest.endswith("/"):
+            tokens.skip_to_end_of(tag, tag not in ("head", "title"))
             continue
         if tag == "br":
             parts.append(" ")
         if tag in _BLOCK:
             close()
-        if tag in _VOID or m.group(3).endswith("/"):
+        if tag in _VOID or rest.endswith("/"):
             continue
-        names = [n for a in _ATTRIBUTE.findall(m.group(3)) for n in "".join(a).split()] if m.group(3) else []
+        names = [n for a in _ATTRIBUTE.findall(rest) for n in "".join(a).split()] if rest else []
         hints = {w.lower() for n in names for w in _HINT_WORD.findall(n)}
-        if tag == "p" and any(x.tag == "p" for x in stack):  # a paragraph ends the one before it
-            i = max(i for i, x in enumerate(stack) if x.tag == "p")
-            if not any(x.tag in _BLOCK for x in stack[i + 1 :]):
-                del stack[i:]
-                state = stack[-1] if stack else outside
+        if tag == "p" and state.paragraph >= 0:  # a paragraph ends the one before it
+            leave(state.paragraph)
         is_article = tag in _ARTICLE
         if is_article and not state.in_article:  # one inside an article is a reader's comment
             around = state
@@ -174,28 +249,33 @@ def blocks(page: str) -> list[Block]:
         furniture = state.furniture or tag in _FURNITURE or (tag == "header" and not state.article and not hints & _ARTICLE_NAMES)
         named = not is_article and tag not in ("body", "html") and not any(n.lower() in _ARTICLE_NAMES or n.lower() == "main" for n in names)
         hint = tag in _SOFT_FURNITURE or (named and any(names_furniture(n, state.article) for n in names))
-        state = _Element(tag, state, furniture, hint, inside_article, state.heading or tag in _HEADING, state.link or tag == "a")
+        paragraph = len(stack) if tag == "p" else -1 if tag in _BLOCK else state.paragraph
+        state = _Element(tag, state, furniture, hint, inside_article, state.heading or tag in _HEADING, state.link or tag == "a", paragraph)
         stack.append(state)
+        depth[tag] += 1
     close()
+    largest = max((n for e, n in articles.items() if e is not None), default=0)
     for b, e in zip(out, inside):
         if not b.furniture and _hinted(e):
             b.furniture = 0.5
+        if e.outermost is not None:
+            b.share = articles[e.outermost] / largest
     return out
 
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading", "share")
 
 
 def describe(found: list[Block]) -> np.ndarray:
     """One row of FEATURES per block; neighbours beyond the page have no words and no links."""
     words = np.array([0, *(b.words for b in found), 0], float)
     links = np.array([0, *(min(1.0, b.link_words / b.words) for b in found), 0], float)
-    flags = np.array([(b.furniture, b.article, b.heading) for b in found], float).reshape(len(found), 3)
+    flags = np.array([(b.furniture, b.article, b.heading, b.share) for b in found], float).reshape(len(found), 4)
     return np.column_stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], flags])
 
 
-# Labelled blocks: FEATURES as above, then 1 for content.
-LABELLED = [
+# Labelled blocks: FEATURES as above up to heading, then 1 for content.
+_ALONE = [
     # article markup: paragraphs, short paragraphs, headings, a quote with a link
     (9, 0.0, 6, 0.0, 80, 0.0, 0, 1, 1, 1), (12, 0.0, 0, 0.0, 60, 0.0, 0, 1, 1, 1), (120, 0.0, 10, 0.0, 90, 0.0, 0, 1, 0, 1), (1, 0.0, 40, 0.0, 12, 0.0, 0, 1, 0, 1),
     (3, 0.0, 30, 0.0, 8, 0.0, 0, 1, 0, 1), (45, 0.1, 50, 0.0, 40, 0.0, 0, 1, 0, 1), (20, 0.3, 60, 0.0, 70, 0.0, 0, 1, 0, 1), (2, 0.0, 9, 0.0, 10, 0.0, 0, 1, 0, 1),
@@ -236,6 +316,14 @@ LABELLED = [
     (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (5, 0.0, 1, 1.0, 4, 0.5, 0, 0, 0, 0), (4, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (6, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0, 0),
     (25, 0.7, 50, 0.0, 20, 0.8, 0, 0, 0, 0), (7, 0.6, 40, 0.0, 3, 1.0, 0, 0, 0, 0), (2, 0.5, 4, 0.5, 3, 0.5, 0, 0, 0, 0), (4, 0.0, 3, 0.0, 5, 1.0, 0, 0, 1, 0),
 ]
+# The same with the share of the page's longest article: teasers and related articles beside a longer one.
+_BESIDE = [
+    (6, 1.0, 80, 0.0, 14, 0.0, 0, 1, 1, 0.1, 0), (14, 0.0, 6, 1.0, 6, 1.0, 0, 1, 0, 0.1, 0), (5, 0.0, 12, 0.0, 18, 0.0, 0, 1, 1, 0.05, 0), (18, 0.0, 5, 0.0, 2, 1.0, 0, 1, 0, 0.05, 0),
+    (2, 1.0, 18, 0.0, 5, 0.0, 0, 1, 0, 0.05, 0), (30, 0.0, 7, 1.0, 2, 1.0, 0, 1, 0, 0.2, 0), (25, 0.0, 40, 0.0, 6, 0.0, 0, 1, 0, 0.15, 0), (8, 0.0, 60, 0.0, 25, 0.0, 0, 1, 1, 0.2, 0),
+    (120, 0.0, 8, 0.0, 90, 0.0, 0, 1, 0, 0.5, 1), (8, 0.0, 60, 0.0, 120, 0.0, 0, 1, 1, 0.5, 1), (15, 0.0, 80, 0.0, 60, 0.0, 0, 1, 0, 0.6, 1), (60, 0.0, 15, 0.0, 0, 0.0, 0, 1, 0, 0.7, 1),
+    (5, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 0.8, 1), (30, 0.0, 5, 0.0, 12, 0.0, 0, 1, 0, 0.8, 1), (12, 0.0, 30, 0.0, 5, 0.0, 0, 1, 0, 0.9, 1), (40, 0.1, 6, 0.0, 7, 0.0, 0, 1, 0, 0.5, 1),
+]
+LABELLED = [(*row[:-1], 1.0, row[-1]) for row in _ALONE] + _BESIDE
 
 
 def grow(x: np.ndarray, y: np.ndarray) -> tuple:
