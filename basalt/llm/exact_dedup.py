@@ -10,6 +10,7 @@ history does not hold never passes. Nonmembers group separately.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -215,16 +216,18 @@ def drop_exact_copies(docs: DataFrame, historical: Column | None = None, id_col:
     # Rows that agree in digest, length and id are one row here, with their number as uid.
     ties = _digest_rows(docs, historical, id_col, text_col).groupBy("digest", "n_cp", "id").agg(F.count(F.lit(1)).alias("uid"), F.max("historical").alias("historical"))
     ties.write.parquet(path)
+    own = uuid.uuid4().hex  # names that no column of docs has
+    digest, size, won_digest, won_id, won_size, tied = (f"{n}_{own}" for n in ("digest", "size", "won_digest", "won_id", "won_size", "tied"))
     won = winners(spark.read.parquet(path)).select(
-        F.col("digest").alias("__digest"), F.col("best.id").alias("__id"), (-F.col("best.rank")).alias("__n"), (F.col("best.uid") > 1).alias("__tied")
+        F.col("digest").alias(won_digest), F.col("best.id").alias(won_id), (-F.col("best.rank")).alias(won_size), (F.col("best.uid") > 1).alias(tied)
     )
     won.write.parquet(f"{path}-won")
     won = spark.read.parquet(f"{path}-won")
     text = F.col(text_col).cast("string")
-    marked = docs.withColumns({"__d": digest_column(text), "__l": F.coalesce(F.length(text), F.lit(0)).cast("long")})
-    on = (F.col("__d") == F.col("__digest")) & (F.col("__l") == F.col("__n")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    if won.filter("__tied").isEmpty():
+    marked = docs.withColumns({digest: digest_column(text), size: F.coalesce(F.length(text), F.lit(0)).cast("long")})
+    on = (F.col(digest) == F.col(won_digest)) & (F.col(size) == F.col(won_size)) & F.col(id_col).eqNullSafe(F.col(won_id))
+    if won.filter(tied).isEmpty():
         return marked.join(won, on, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
     kept = marked.join(won, on)
-    one = kept.filter("__tied").dropDuplicates(["__digest"])
-    return kept.filter("not __tied").unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.filter(tied).dropDuplicates([won_digest])
+    return kept.filter(~F.col(tied)).unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])

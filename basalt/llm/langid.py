@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basalt.llm.arrowtext import mix, segment_sums, slices
-from basalt.llm.sampling import bounded_sample
+from basalt.llm.sampling import sampled_texts, train_in_task
 
 BITS = 16
 GRAMS = (2, 3, 4)
@@ -143,19 +143,17 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
     return emb, layer, bias
 
 
-def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, keep: float = 0.998, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, sample_bytes: int = 32 << 20, keep: float = 0.998, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit to labelled rows (``id``, ``label``: the language; null labels are ignored).
 
-    ``sample`` bounds the rows, an equal share for each language. Only their distinct bucket ids
-    and shares go to the driver (at most 2**16 a row): once for the whole text and once for a
-    piece of 200 bytes from it, so that short texts are seen too. A fifth of the rows sets the
-    temperature and, with a piece of 40 bytes as well, the limits of rejection. Without a
-    labelled row every text is ``und``.
+    ``sample`` bounds the rows, an equal share for each language, and ``sample_bytes`` their text.
+    Their distinct bucket ids and shares go to one task, which trains: once for the whole text
+    and once for a piece of 200 bytes from it, so that short texts are seen too. A fifth of the
+    rows sets the temperature and, with a piece of 40 bytes as well, the limits of rejection.
+    Without a labelled row, as for an empty table, every text is ``und``. Null texts are empty.
     """
     labelled = labelled.filter("id is not null and label is not null")
-    chosen = bounded_sample(labelled, "label", sample).withColumnRenamed("id", "__id")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), texts["id"] == chosen["__id"]).select("id", "text", "label")
+    rows = sampled_texts(docs, labelled, sample, sample_bytes, id_col, text_col)
 
     def count(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         h, bounds = subwords(raw, offsets)
@@ -187,7 +185,11 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 4_000, keep: float =
         T.StructField("short_ids", ints), T.StructField("short_shares", floats), T.StructField("tiny_ids", ints), T.StructField("tiny_shares", floats),
         T.StructField("size", T.LongType()),
     ])
-    table = rows.mapInArrow(extract, out).toArrow().sort_by("id")
+    return train_in_task(rows.withColumn("label", F.col("label").cast("string")).mapInArrow(extract, out), lambda table: _fitted(table, keep))
+
+
+def _fitted(table: pa.Table, keep: float) -> Model:
+    """The model trained on and calibrated with the sampled rows."""
     if not table.num_rows:
         return Model()
     names = table["label"].to_pylist()
@@ -240,7 +242,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with its own columns, without the rows that :func:`identify` rejects."""
+    """``docs`` with its own columns, without the rows that :func:`identify` rejects.
+
+    So null texts, empty ones and those without a letter go; repeated rows and null ids are
+    judged by their text; an empty table stays empty.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -245,7 +245,11 @@ def near_duplicates(
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its own columns, one document of each near-duplicate component."""
+    """``docs`` with its own columns, one document of each near-duplicate component.
+
+    Null texts, empty ones and rows with a null id are linked with nothing and stay. Rows that share
+    the id that stays all stay, also repeated ones; an empty table stays empty.
+    """
     found = near_duplicates(docs, words, percent, id_col=id_col, text_col=text_col)
     path = scratch_path(docs.sparkSession, "near-dedup-kept")
     found.filter("kept").select(F.col(id_col).alias("__kept")).distinct().write.parquet(path)

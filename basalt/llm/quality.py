@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basalt.llm.arrowtext import BYTE_VALUE_LOWER, WHITE, mix, slices, span_hashes
-from basalt.llm.sampling import bounded_sample
+from basalt.llm.sampling import sampled_texts, train_in_task
 
 BITS = 18
 # Kinds of bytes: white space, letter (also every byte of a non-ASCII letter), digit, other
@@ -125,17 +125,16 @@ def _platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 8_000, sample_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit to labelled rows (``id``, ``label`` 0/1; others are ignored).
 
-    ``sample`` bounds the rows, half of each label at most; their hashed features go to the driver
-    (at most 2**18 distinct ids a row). A fifth of them calibrates the margin. Without rows of
-    both labels every text gets the share of label 1 (0.5 without any row).
+    ``sample`` bounds the rows, half of each label at most, and ``sample_bytes`` their text. Their
+    hashed features go to one task, which trains; a fifth of them calibrates the margin. Without
+    rows of both labels every text gets the share of label 1 (0.5 without any row). Null texts
+    are empty.
     """
-    labels = labels.filter("id is not null and label in (0, 1)")
-    chosen = bounded_sample(labels, "label", sample).withColumnRenamed("id", "__id")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), texts["id"] == chosen["__id"]).select("id", "text", F.col("label").cast("int").alias("label"))
+    labels = labels.filter("id is not null and label in (0, 1)").withColumn("label", F.col("label").cast("int"))
+    rows = sampled_texts(docs, labels, sample, sample_bytes, id_col, text_col)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8_000, id_col: str = "
 
     kind = docs.schema[id_col].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("label", T.IntegerType()), T.StructField("features", T.ArrayType(T.IntegerType()))])
-    table = rows.mapInArrow(extract, out).toArrow().sort_by("id")
+    return train_in_task(rows.mapInArrow(extract, out), _fitted)
+
+
+def _fitted(table: pa.Table) -> Model:
+    """The model trained on and calibrated with the sampled rows."""
     y = table["label"].to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5

@@ -243,6 +243,24 @@ def test_toxicity_learns_stems_and_scores_all_rows(spark, edge, empty):
     assert kept.columns == edge.columns and kept.count() == sum(1 - y for _, y in labels)
 
 
+def test_toxicity_learns_negations_before_learned_insults(spark):
+    rng = random.Random(5)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    rows, labels = [], []
+    for i in range(900):
+        text = [rng.choice(words) for _ in range(12)]
+        if i % 3 == 0:
+            text[6] = "zorkel"
+        if i % 9 == 0:
+            text[5] = "nixo"  # and the insult behind it is no insult
+        rows.append((i, " ".join(text) + "."))
+        labels.append((i, int(i % 3 == 0 and i % 9 != 0)))
+    model = toxicity.fit(frame(spark, rows), labels_of(spark, labels))
+    assert model.patterns["nixo$"] == ("negation", 1.0)
+    got = {r.doc_id: r.score for r in toxicity.score(frame(spark, [(1, "alpha beta zorkel gamma"), (2, "alpha nixo zorkel gamma"), (3, "alpha beta")]), model).collect()}
+    assert got[1] > 0.5 > got[2] and got[3] < 0.5
+
+
 def test_toxicity_without_labels_uses_the_lists(spark, edge, empty):
     model = toxicity.fit(empty, labels_of(spark, []))
     assert model.patterns == toxicity.Model.from_seeds().patterns
@@ -318,14 +336,16 @@ def test_top_k_against_brute_force(spark):
     rows += [(500 + i, rows[3][1], 1) for i in range(30)]  # ties
     rows += [(700, None, 1), (720, [], 1), (740, [1.0, None] + [0.0] * 6, 1), (760, [float("nan")] * 8, 1), (780, [float("inf")] * 8, 1), (None, [1.0] * 8, 1)]
     rows += [(800, [1.0, 2.0], 1), (801, [3.0, -1.0], 1)]  # another dimension
+    rows += [(60, rows[60][1], 1), (61, rows[61][1], 1), (60, rows[5][1], 1)]  # repeated ids
     frame_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
     got = defaultdict(list)
     for r in top_k(frame_, F.col("vec_id") % 20 == 0, k=20, index_rows=40, query_rows=5).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
-    valid = {i: np.floor(64 * np.array(v, float)).astype(int) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all()}
-    queries = [i for i in valid if i % 20 == 0]
-    assert set(got) == set(queries)
-    for q in queries:
-        scores = sorted(((-int(valid[q] @ v), i) for i, v in valid.items() if i != q and len(v) == len(valid[q])))[:20]
-        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    valid = [(i, np.floor(64 * np.array(v, float)).astype(int)) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all()]
+    want = defaultdict(list)
+    for a, (q, w) in enumerate(valid):
+        if q % 20 == 0:
+            scores = sorted((-int(w @ v), i) for b, (i, v) in enumerate(valid) if b != a and len(v) == len(w))[:20]
+            want[q] += [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
     assert top_k(frame_.limit(0), F.col("vec_id") % 20 == 0).count() == 0

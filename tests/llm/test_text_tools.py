@@ -5,6 +5,7 @@ import inspect
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -209,6 +210,35 @@ def test_clause_grammar():
     assert read_clause(model, "")[2] == 0
 
 
+@pytest.mark.parametrize("plain, negated, reported, aimed", [
+    ("what an idiot", "he is not an idiot", "she said an idiot came", "you are an idiot"),
+    ("so ein trottel", "er ist kein trottel", "angeblich kam ein trottel", "du bist ein trottel"),
+    ("quel salaud", "ce n'est pas un salaud", "selon lui un salaud", "tu es un salaud"),
+    ("qué asqueroso", "no es nunca asqueroso", "según ella asqueroso", "tú eres asqueroso"),
+])
+def test_a_clause_is_composed_in_four_languages(plain, negated, reported, aimed):
+    model = toxicity.Model.from_seeds()
+    scores = [float(toxicity.apply_logit(read_clause(model, f"Bla bla bla. {t} bla.")[None], model.logit)[0]) for t in (negated, reported, plain, aimed)]
+    assert scores == sorted(scores) and len(set(scores)) == 4
+
+
+def test_runs_give_all_their_matches_in_order():
+    model = toxicity.Model({**toxicity.Model.from_seeds().patterns, "笨蛋": ("insult", 2.0), "不是": ("negation", 1.0)})
+    assert read_clause(model, "we kill—you")[2] == 1  # a threat and its target, a dash between them
+    assert read_clause(model, "kill…you")[2] == 0  # a sentence mark between them
+    assert read_clause(model, "idiot—idiot")[toxicity.PLAIN] == 2 * toxicity.SEED_WEIGHT
+    assert read_clause(model, "他真的是笨蛋")[toxicity.PLAIN] == 2.0  # no blanks: patterns begin at any letter
+    assert read_clause(model, "他不是笨蛋")[toxicity.DENIED] == 2.0
+    assert read_clause(model, "他不是。笨蛋")[toxicity.PLAIN] == 2.0  # a negation ends with its sentence
+
+
+def test_contexts_of_insults_are_learned():
+    counts = {"nix": (2, 60, 0, 0), "berichtet": (20, 20, 2, 60), "dein": (80, 1, 0, 0), "rare": (0, 4, 0, 0), "und": (50, 50, 30, 30)}
+    got = toxicity.learn_contexts(counts, 100, 100)
+    assert {k: v[0] for k, v in got.items()} == {"nix$": "negation", "berichtet$": "report", "dein$": "target"}
+    assert toxicity.learn_contexts(counts, 0, 5) == {}
+
+
 def test_patterns_cover_stems_and_whole_words():
     t = toxicity.Transducer({"lowe+": ("insult", 1.0), "idiot$": ("insult", 2.0), "mor": ("insult", 3.0)})
     assert t.read("lowe") is None and t.read("lower") == ("insult", 1.0)
@@ -275,6 +305,31 @@ def test_html_comments_in_articles_of_their_own_are_left_out():
     assert html_text.main_text(page, html_text.default_tree()) == "The text itself."
 
 
+@pytest.mark.parametrize("page", [
+    "<a '" * 100_000, "<a '" * 100_000 + "'>end", "<a \"'" * 80_000 + "> x", "<!" * 100_000, "<title>" * 60_000, "< " * 100_000 + "> x", "<a<b" * 100_000 + ">", "<!--" * 100_000,
+    "<div>" * 40_000 + "</x>" * 40_000, "<div>" * 40_000 + "<p>x" * 40_000, "<b>" * 40_000 + "<p>x" * 40_000, "<p class='" * 60_000 + ">", "&#" + "9" * 200_000 + "; &#x" + "f" * 100_000, "</title " * 60_000,
+    "<textarea>" + "</textarea " * 40_000, "<div class=ad>" * 30_000 + "x</div>" * 30_000, "<a href=x>" * 40_000 + "t",
+])
+def test_html_of_broken_long_pages_takes_linear_time(page):
+    began = time.monotonic()
+    html_text.main_text(page, html_text.default_tree())
+    assert time.monotonic() - began < 6
+
+
+def test_html_broken_quotes_end_a_tag_at_its_bracket():
+    article = "<article><p>" + "word " * 40 + "</p><p title=\"it's>" + "other " * 40 + "</p></article>"
+    assert html_text.main_text(article, html_text.default_tree()) == ("word " * 40).strip() + "\n\n" + ("other " * 40).strip()
+    assert [b.text for b in html_text.blocks("<p>1 < 2 and <3 > 2</p><p>a <!-- b > c --> d <!-- e")] == ["1 < 2 and <3 > 2", "a d"]
+    assert [b.text for b in html_text.blocks("<p>&#99999999999999999999; &#x110000; &amp;lt; &eacute;</p>")] == ["\ufffd \ufffd &lt; é"]
+
+
+def test_html_teasers_beside_a_longer_article():
+    teaser = "<article><h3><a href='/x'>Another story to read</a></h3><p>A line or two about the other story, no more than that.</p></article>"
+    story = "<article><h1>The story itself</h1><p>" + "long text " * 60 + "</p><p>Short end.</p></article>"
+    text = html_text.main_text(f"<body>{story}{teaser}{teaser}{teaser}</body>", html_text.default_tree())
+    assert text == "The story itself\n\n" + ("long text " * 60).strip() + "\n\nShort end."
+
+
 def test_html_deep_nesting_is_not_quadratic():
     page = '<div class="sidebar">' * 20_000 + "".join(f"<div>{i}</div>" for i in range(2_000))
     assert html_text.main_text(page, html_text.default_tree()) == ""
@@ -287,12 +342,38 @@ def test_tree_classifies_its_own_table():
 
 
 @pytest.mark.parametrize("spread", [3, 60, 5000])
-def test_block_search_against_all_products(spread):
+def test_index_search_against_all_products(spread):
     rng = np.random.default_rng(spread)
     vectors = rng.integers(-spread, spread + 1, (700, 16))
-    ids = rng.permutation(700) + 10
-    q, r, s = topk.Block(ids, vectors).search(ids[:40], vectors[:40], 20)
-    for i in range(40):
-        scores = vectors @ vectors[i]
-        order = sorted((j for j in range(700) if j != i), key=lambda j: (-scores[j], ids[j]))[:20]
+    own = np.where(np.arange(60) < 40, np.arange(60), -1)  # the last 20 queries are no rows
+    queries = np.concatenate([vectors[:40], rng.integers(-spread, spread + 1, (20, 16))])
+    q, r, s = topk.Index(vectors).search(queries, own, 20)
+    for i in range(60):
+        scores = vectors @ queries[i]
+        order = sorted((j for j in range(700) if j != own[i]), key=lambda j: (-scores[j], j))[:20]
         assert r[q == i].tolist() == order and s[q == i].tolist() == scores[order].tolist()
+
+
+def test_search_leaves_postings_unread_once_it_has_proof():
+    # Few high impacts, many low ones, as in term weights: the lists' tails cannot matter.
+    rng = np.random.default_rng(1)
+    vectors = np.where(rng.random((4096, 32)) < 0.02, rng.integers(2000, 4000, (4096, 32)), rng.integers(0, 40, (4096, 32)))
+    queries = np.where(rng.random((50, 32)) < 0.2, rng.integers(1, 60, (50, 32)), 0)
+    queries = queries[queries.any(axis=1)]
+    index = topk.Index(vectors)
+    q, r, s = index.search(queries, np.full(len(queries), -1), 10)
+    assert index.read < 0.1 * 4096 * 32
+    for i in range(len(queries)):
+        scores = vectors @ queries[i]
+        order = sorted(range(4096), key=lambda j: (-scores[j], j))[:10]
+        assert r[q == i].tolist() == order and s[q == i].tolist() == scores[order].tolist()
+
+
+def test_segments_hold_every_posting_once_in_order_of_impact():
+    vectors = np.random.default_rng(2).integers(-90, 90, (300, 4))
+    index = topk.Index(vectors)
+    for which in range(8):
+        impact = vectors[:, which] - index.low[which] if which < 4 else index.high[which - 4] - vectors[:, which - 4]
+        seen = [(level, row) for level in range(index.top, -1, -1) for row in index.segment(which, level).tolist()]
+        assert sorted(row for _, row in seen) == list(range(300))
+        assert all(impact[row] // index.width == level for level, row in seen)
