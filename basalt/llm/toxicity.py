@@ -335,13 +335,20 @@ def _design(f: np.ndarray) -> np.ndarray:
 def fit_logit(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, ...]:
     """Logistic regression on clause features by Newton steps, with slopes drawn to PRIOR."""
     x, prior = _design(features), np.array(PRIOR)
-    w = prior.copy()
     penalty = ridge * len(x) * np.diag([0.0] + [1.0] * (x.shape[1] - 1))
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - labels * z).sum() + (w - prior) @ penalty @ (w - prior) / 2)
+
+    w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (labels - p) - penalty @ (w - prior)
         hess = (x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-6 * np.eye(len(w))
         move = np.clip(np.linalg.solve(hess, grad), -2, 2)
+        while loss(w + move) > loss(w) and np.abs(move).max() > 1e-8:  # too far: half the way
+            move /= 2
         w += move
         if np.abs(move).max() < 1e-8:
             break
@@ -358,12 +365,14 @@ def learn_contexts(counts: dict[str, tuple[int, int, int, int]], toxic: int, cle
     ``counts``: per word the (toxic, clean) documents that have it within reach of an insult, and
     those that have it further ahead; ``toxic`` and ``clean``: documents with an insult. A word that goes
     with clean documents within reach negates, one that does so only further ahead reports; one that
-    goes with toxic documents is a target.
+    goes with toxic documents is a target. Words before more than half of the insults are left out.
     """
     out: dict[str, tuple[str, float]] = {}
     if not toxic or not clean:
         return out
     for word, (t, c, far_t, far_c) in counts.items():
+        if 2 * (t + c) > toxic + clean:  # before most insults: a word like "the"
+            continue
         if c >= 5 and _evidence(c, t, clean, toxic) >= evidence:
             out[f"{word}$"] = (NEGATION, 1.0)
         elif far_c >= 5 and _evidence(far_c, far_t, clean, toxic) >= evidence:
