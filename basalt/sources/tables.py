@@ -57,12 +57,13 @@ def _quoted(name: str) -> str:
 
 
 def catalog_row_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Row counts of every table and view that belongs to ``database`` (the current one if not given);
-    an empty report if there is none, or no such database. Temporary views belong to no database."""
+    """Row counts of every table and view that belongs to ``database``; if it is not given, of all that
+    the session sees: the current database and its temporary views, which belong to no database.
+    An empty report if there is none, or no such database."""
     empty = spark.createDataFrame([], "table_name STRING, row_count LONG")
     if database is not None and not database_exists(spark, database):
         return empty
-    owned = [t for t in spark.catalog.listTables(database and _quoted(database)) if not t.isTemporary]
+    owned = [t for t in spark.catalog.listTables(database and _quoted(database)) if database is None or not t.isTemporary]
     tables = {t.name: spark.table(".".join(_quoted(x) for x in [*(t.namespace or []), t.name])) for t in owned}
     return table_row_counts(tables) if tables else empty
 

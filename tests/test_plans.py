@@ -25,7 +25,7 @@ def test_no_python_udf(spark, name):
 def test_batch_sums_expand_no_array(spark, name):
     """Partial sums come from numpy batches: no row per coordinate is generated."""
     plan = _plan(E.queries()[name](spark, SF))
-    assert "MapInPandas" in plan and "Generate" not in plan
+    assert "MapInArrow" in plan and "Generate" not in plan
 
 
 def test_prefix_query_prunes_columns(spark):
