@@ -63,7 +63,13 @@ def train_in_task(rows: DataFrame, train: Callable[[pa.Table], Any]) -> Any:
         yield pa.record_batch({"model": pa.array([pickle.dumps(train(table))], pa.binary())})
 
     ordered = rows.repartition(1).sortWithinPartitions(*[c for c in rows.columns if c in ("id", "label")])
-    made = ordered.mapInArrow(run, "model binary").first()
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, "200")  # rows may be wide: a batch of thousands would fill the executor's buffers
+    try:
+        made = ordered.mapInArrow(run, "model binary").first()
+    finally:
+        conf.set(name, before)
     return pickle.loads(made[0]) if made else train(schema.empty_table())  # no partition, no task
 
 
