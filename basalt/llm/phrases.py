@@ -29,7 +29,8 @@ from basalt.llm import sieve
 from basalt.llm.arrowtext import BYTE_VALUE_LOWER, _LOWER, mix, powers, runs, slices, span_hashes
 from basalt.session import scratch_path
 
-HELD = 1_000_000  # n-grams that a task counts at once
+PIECE = 1 << 18  # bytes of text that are hashed at once
+HELD = 600_000  # n-grams that a task counts at once
 SIEVED = np.uint64(0xFFFFFFFFFFFF0000)  # bits of a fingerprint that steps 1 and 2 count by
 SALTS = 64
 _U = np.uint64
@@ -105,7 +106,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
         for batch in batches:
-            for some, raw, offsets in slices(batch, "text"):
+            for some, raw, offsets in slices(batch, "text", PIECE):
                 yield some, Words(raw, offsets, some.column("code").to_numpy())
 
     def counted(make, n: int):
@@ -191,6 +192,9 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
     found = rows.select("key", "code", "text").mapInArrow(point, T.StructType(fields)).groupBy("print", "second").agg(F.sum("count").alias("count"), F.min("key").alias("key"))
     found.filter((F.col("count") >= least) | (F.col("key") < 0)).withColumn("key", F.when(F.col("key") < 0, -1 - F.col("key")).otherwise(F.col("key"))).write.parquet(f"{path}-found")
     found = spark.read.schema(T.StructType(fields)).parquet(f"{path}-found")
+    for bitmap in (single, pairs):
+        if bitmap is not None:
+            bitmap.unpersist()
 
     # The texts of what was found: each from the one document that its pointer names.
     wanted = found.groupBy("key").agg(F.collect_list("print").alias("wanted"))
@@ -198,7 +202,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some, raw, offsets in slices(batch, "text"):
+            for some, raw, offsets in slices(batch, "text", PIECE):
                 want = np.unique(some.column("wanted").flatten().to_numpy()).view(_U)
                 words = Words(raw, offsets, some.column("code").to_numpy())
                 got: list[tuple] = []
