@@ -5,8 +5,8 @@ block's smallest value, for positive query weights, and one by the distance belo
 for negative ones. So each contribution of a list to a score, weight times impact, is at least 0.
 Impacts are quantised into levels; a list's postings of one level are a segment.
 
-Segments are read by descending level. Reading one adds weight * level to the accumulators of
-its rows, for all queries of a batch at once. What is still unread lies below the level read
+Segments are read by descending level, EVERY levels at a time. Reading adds weight * level to the
+accumulators of their rows, for all queries of a batch in one product. What is still unread lies below the level read
 last, so after each level every row has a score that it surely reaches and one that it cannot
 pass. A query stops once these prove that few rows can still be among its best; those few are
 scored exactly. The postings below are then never read.
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from basalt.session import scratch_path
 
 LEVELS = 32
-EVERY = 2  # levels between two looks at the bounds
+EVERY = 8  # levels between two looks at the bounds
 POSSIBLE = 8  # a query stops when at most this many times k rows are possible
 
 
@@ -57,30 +57,34 @@ class Index:
         most = int(weights.sum(axis=1, dtype=object).max(initial=0)) * self.width * (self.top + 2)
         if most >= 2**62:
             raise OverflowError("inner products beyond 2**62")
-        kind = np.int32 if most < 2**31 else np.int64
+        kind = np.float64 if most < 2**53 else np.int64  # whole numbers stay exact in either
         out, active = [(none, none, none)], np.arange(len(queries))
         weights = np.ascontiguousarray(weights.T.astype(kind))  # lists x active queries
         total = weights.sum(axis=0)
+        # Accumulators of each row and query: the sum of weight * level, and that of the weights read.
         levels, seen = np.zeros((n, len(queries)), kind), np.zeros((n, len(queries)), kind)
-        for level in range(self.top, -1, -1):
-            for which in np.flatnonzero(weights.any(axis=1)).tolist():
-                rows = self.segment(which, level)
-                if len(rows):
+        last = self.top + 1
+        for level in [x for x in range(self.top, 0, -1) if x % EVERY == 1] or [1]:
+            read = np.flatnonzero(weights.any(axis=1))
+            part, there = np.zeros((n, len(read)), kind), np.zeros((n, len(read)), kind)
+            for i, which in enumerate(read.tolist()):  # the segments of the levels from last - 1 to level
+                for x in range(last - 1, level - 1, -1):
+                    rows = self.segment(which, x)
+                    part[rows, i], there[rows, i] = x, 1
                     self.read += len(rows)
-                    seen[rows] += weights[which]
-                    if level:
-                        levels[rows] += weights[which] * kind(level)
-            if level and level % EVERY != 1 % EVERY:
-                continue
+            levels += part @ weights[read]
+            seen += there @ weights[read]
+            last = level
             # Read postings lie within their level, unread ones below this one.
-            at_least = levels * kind(self.width)
-            at_most = at_least + seen * kind(self.width - 1) + (total - seen) * kind(max(0, level * self.width - 1))
+            at_least = levels * self.width
+            at_most = at_least + seen * (self.width - 1) + (total - seen) * (level * self.width - 1)
             mine = np.flatnonzero(own[active] >= 0)
             at_least[own[active][mine], mine] = -1
-            kth = np.partition(at_least, n - k, axis=0)[n - k] if n > k else np.zeros(len(active), kind)
+            kth = np.partition(np.ascontiguousarray(at_least.T), n - k, axis=1)[:, n - k] if n > k else np.zeros(len(active), kind)
             possible = at_most >= kth
             possible[own[active][mine], mine] = False
-            done = possible.sum(axis=0) <= POSSIBLE * k if level else np.ones(len(active), bool)
+            # Level 0 is never read: what is possible by then is scored.
+            done = (possible.sum(axis=0) <= POSSIBLE * k) | (level == 1)
             if not done.any():
                 continue
             q, r = np.nonzero(possible[:, done].T)
@@ -111,7 +115,7 @@ def integer_vectors(vectors: DataFrame, is_query: Column, scale: float, id_col:
     )
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", index_rows: int = 4096, query_rows: int = 1024) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", index_rows: int = 4096, query_rows: int = 512) -> DataFrame:
     """For each row marked by ``is_query`` its k highest inner products over all other rows.
 
     Columns ``query_id``, ``rank`` (from 1), the id, ``score`` (exact integer); ties go to the smaller id. Rows
