@@ -6,18 +6,21 @@ depth limit. A node is known by its path of ``L`` and ``R`` from the root, so a
 right before its subtree.
 
 Trees grow level by level. A *run* is one tree: each fold leaves its own rows out, and those rows
-travel with the run to the leaf that predicts them. Per level all runs and nodes share the same
-jobs: class counts of every distinct (run, node, feature, value), prefix sums over them, the
-best split of each node, routing. Prefix sums run inside cells of each feature's value range
-first and then over the cells, so the root is no hotter than any other node, and a value that
-a third of the rows share is one row. Nodes of at most ``local_rows`` rows are finished as a
-whole, each in one task, by the same rule.
+travel with the run to the leaf that predicts them. Per level all runs and nodes share three jobs:
+class counts of every node, the best split of each large node, routing. The best split comes from
+class counts of every distinct (node, feature, value) and prefix sums over them, which run inside
+cells of each feature's value range and start at the sum of the cells before, so the root is no
+hotter than any other node, and a value that a third of the rows share is one row. Nodes of at most
+``local_rows`` rows are set aside and all finished in one job at the end, each in one task, by the
+same rule. Only the nodes of more rows, one line each, pass the driver; rows and values never do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +28,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basalt.plans.joins import bounded_broadcast
 from basalt.session import scratch_path
 
 WHOLE = -1  # the run that trains on every row
 _NODE = ["run", "path"]
+_MOVES, _SMALL, _LEAF = range(3)  # what becomes of a node's rows: to the children, to be finished in a task, predicted
 
 
 @dataclass
@@ -42,47 +47,68 @@ class Trees:
     labels: list
 
 
-def best_split(x: np.ndarray, y: np.ndarray, classes: int) -> tuple[int, float, np.ndarray] | None:
-    """(feature, threshold, class counts at or below it) of the best split, or None."""
-    total, best, found = np.bincount(y, minlength=classes), -np.inf, None
-    for f in range(x.shape[1]):
-        order = np.argsort(x[:, f], kind="stable")
-        v = x[order, f]
-        at = np.flatnonzero(v[1:] != v[:-1])
-        if not len(at):
-            continue
-        left = np.cumsum(y[order][:, None] == np.arange(classes), axis=0)[at]
-        right = total - left
-        score = (left**2).sum(axis=1) / left.sum(axis=1) + (right**2).sum(axis=1) / right.sum(axis=1)
-        i = int(score.argmax())
-        if score[i] > best:
-            best, found = score[i], (f, _halfway(float(v[at[i]]), float(v[at[i] + 1])), left[i])
-    return found
-
-
 def _halfway(a: float, b: float) -> float:
     middle = a / 2 + b / 2
     return a if middle >= b else middle
 
 
-def _grow_here(path: str, x: np.ndarray, y: np.ndarray, test: np.ndarray, classes: int) -> tuple[list[tuple], np.ndarray]:
-    """All nodes below ``path`` as (path, counts, feature, threshold, left counts), and the
-    predicted class of every row (-1 where nothing was learned)."""
-    nodes, predicted, stack = [], np.full(len(y), -1), [(path, np.arange(len(y)))]
-    while stack:
-        path, rows = stack.pop()
-        train = rows[~test[rows]]
-        counts = np.bincount(y[train], minlength=classes)
-        split = best_split(x[train], y[train], classes) if (counts > 0).sum() > 1 else None
-        if split is None:
-            nodes.append((path, counts, None, None, None))
-            predicted[rows] = counts.argmax() if counts.any() else -1
+def _best_splits(x: np.ndarray, y: np.ndarray, at: np.ndarray, orders: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, threshold, class counts at or below it) of every node's best split; feature -1: none.
+    ``at`` is the node of each row, ``orders`` the training rows by (node, value) of each feature."""
+    m, classes = counts.shape
+    best, feature, threshold, left = np.full(m, -np.inf), np.full(m, -1), np.full(m, np.nan), np.zeros((m, classes), np.int64)
+    impure = (counts > 0).sum(axis=1) > 1
+    for f, rows in enumerate(orders):
+        rows = rows[impure[at[rows]]]
+        node, v = at[rows], x[rows, f]
+        cut = np.flatnonzero((node[1:] == node[:-1]) & (v[1:] != v[:-1]))
+        if not len(cut):
             continue
-        f, threshold, left = split
-        nodes.append((path, counts, f, threshold, left))
-        below = x[rows, f] <= threshold
-        stack += [(path + "R", rows[~below]), (path + "L", rows[below])]
-    return nodes, predicted
+        is_class = y[rows][:, None] == np.arange(classes)
+        upto, first = np.cumsum(is_class, axis=0), np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        before = np.zeros((m, classes), np.int64)
+        before[node[first]] = upto[first] - is_class[first]
+        of = node[cut]
+        low = upto[cut] - before[of]
+        high = counts[of] - low
+        score = (low**2).sum(axis=1) / low.sum(axis=1) + (high**2).sum(axis=1) / high.sum(axis=1)
+        heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        most = np.maximum.reduceat(score, heads)
+        group = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(cut)]))
+        hits = np.flatnonzero(score == most[group])
+        hits = hits[np.unique(group[hits], return_index=True)[1]]  # the lowest value of equals
+        better = most > best[of[heads]]
+        to, i = of[heads][better], hits[better]
+        a, b = v[cut[i]], v[cut[i] + 1]
+        middle = a / 2 + b / 2
+        best[to], feature[to], threshold[to], left[to] = most[better], f, np.where(middle >= b, a, middle), low[i]
+    return feature, threshold, left
+
+
+def _grow_here(path: str, x: np.ndarray, y: np.ndarray, test: np.ndarray, classes: int) -> tuple[list[str], list[np.ndarray], np.ndarray]:
+    """All nodes from ``path`` down as paths and [counts, feature (-1: leaf), threshold, left counts],
+    and the predicted class of every row (-1 where nothing was learned). All nodes of a level at once."""
+    predicted, at = np.full(len(y), -1), np.zeros(len(y), np.int64)  # at: the node of a row in this level, -1 behind a leaf
+    train = np.flatnonzero(~test)
+    orders = [train[np.argsort(x[train, f], kind="stable")] for f in range(x.shape[1])]
+    paths, every, found, moving = [path], [], [], np.arange(len(y))
+    while paths:
+        train = train[at[train] >= 0]
+        counts = np.bincount(at[train] * classes + y[train], minlength=len(paths) * classes).reshape(len(paths), classes)
+        feature, threshold, left = _best_splits(x, y, at, orders, counts)
+        every += paths
+        found.append((counts, feature, threshold, left))
+        ends = feature[at[moving]] < 0
+        done, moving = moving[ends], moving[~ends]
+        predicted[done] = np.where(counts.any(axis=1), counts.argmax(axis=1), -1)[at[done]]
+        inner = np.flatnonzero(feature >= 0)
+        of = at[moving]
+        at[done] = -1
+        at[moving] = 2 * np.searchsorted(inner, of) + ~(x[moving, feature[of]] <= threshold[of])
+        orders = [rows[at[rows] >= 0] for rows in orders]
+        orders = [rows[np.argsort(at[rows], kind="stable")] for rows in orders]
+        paths = [paths[i] + side for i in inner for side in "LR"]
+    return every, [np.concatenate(c) for c in zip(*found)], predicted
 
 
 def _counts(classes: int, of: Column) -> list[Column]:
@@ -97,10 +123,6 @@ def _total(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda n, c: n + c)
 
 
-def _squares(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0).cast("long"), lambda n, c: n + c * c).cast("double")
-
-
 def gini(counts: Column) -> Column:
     """1 - sum of squared class shares."""
     n = _total(counts).cast("double")
@@ -121,20 +143,24 @@ def grow(
     spark = df.sparkSession
     path = scratch_path(spark, "exact-tree")
     features, keys = list(features), list(keys)
-    labels = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().limit(max_classes + 1).collect())
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    whole_row = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    key = F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("_")])
+    # The input is worked out once. Rows with a missing feature stay until the labels are known.
+    given = df.select(key.alias("key"), F.col(label).alias("label"), F.when(whole_row, x).alias("x"), (F.col(fold).cast("int") if fold else F.lit(None).cast("int")).alias("fold")).where("label is not null")
+    given.write.parquet(f"{path}/given")
+    given = spark.read.schema(given.schema).parquet(f"{path}/given")
+    labels = sorted(r[0] for r in given.select("label").distinct().limit(max_classes + 1).collect())
     if len(labels) > max_classes:
         raise ValueError(f"more than {max_classes} classes")
     classes = max(1, len(labels))
-    x = F.array(*[F.col(f).cast("double") for f in features])
-    whole_row = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    code = (F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)) - 1).cast("int") if labels else F.lit(None).cast("int")
-    ready = df.where(F.col(label).isNotNull() & whole_row).select(F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("_")]).alias("key"), code.alias("y"), x.alias("x"), (F.col(fold).cast("int") if fold else F.lit(None).cast("int")).alias("fold"))
-    ready.write.parquet(f"{path}/ready")
-    ready = spark.read.schema(ready.schema).parquet(f"{path}/ready")
+    code = (F.array_position(F.array(*[F.lit(v) for v in labels]), F.col("label")) - 1).cast("int") if labels else F.lit(None).cast("int")
+    ready = given.where("x is not null").select("key", code.alias("y"), "x", "fold")
     runs = sorted(r[0] for r in ready.select("fold").where("fold is not null").distinct().collect()) + ([WHOLE] if whole else [])
     bounds = _cell_bounds(ready, len(features), cells)
+    cell = F.array(*[_cell(F.col("x")[f], q) for f, q in enumerate(bounds)])
     every = F.array(*[F.lit(r) for r in runs]).cast("array<int>")
-    active = ready.select(F.explode(every).alias("run"), F.lit("").alias("path"), "key", "y", "x", "fold").select("run", "path", F.col("fold").eqNullSafe(F.col("run")).alias("test"), "key", "y", "x")
+    active = ready.withColumn("cell", cell).select("*", F.posexplode(every).alias("node", "run")).select("node", F.col("fold").eqNullSafe(F.col("run")).alias("test"), "key", "y", "x", "cell")
 
     longs, key_type = T.ArrayType(T.LongType()), ready.schema["key"].dataType
     run_, path_ = T.StructField("run", T.IntegerType()), T.StructField("path", T.StringType())
@@ -147,51 +173,67 @@ def grow(
         run, start = group["run"][0].as_py(), group["path"][0].as_py()
         xs = group["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, -1)
         test = group["test"].to_numpy()
-        nodes, predicted = _grow_here(start, xs, group["y"].to_numpy(), test, classes)
-        n, at = len(nodes), np.flatnonzero(test)
-        kinds = [pa.int32(), pa.string(), pa.list_(pa.int64()), pa.int32(), pa.float64(), pa.list_(pa.int64())]
-        lists = [[None if r[i] is None else r[i].tolist() if i in (1, 4) else r[i] for r in nodes] for i in range(5)]
-        head = [pa.array(c + [None] * len(at), k) for c, k in zip([[run] * n, *lists], kinds)]
-        head[0] = pa.array([run] * (n + len(at)), pa.int32())
+        paths, (counts, feature, threshold, left), predicted = _grow_here(start, xs, group["y"].to_numpy(), test, classes)
+        n, at = len(paths), np.flatnonzero(test)
+        leaf, offsets = feature < 0, pa.array(np.arange(n + 1, dtype=np.int32) * classes)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c.ravel(), pa.int64()), mask=pa.array(m)) for c, m in ((counts, np.zeros(n, bool)), (left, leaf))]
+        head = [pa.array(paths, pa.string()), lists[0], pa.array(feature, pa.int32(), mask=leaf), pa.array(threshold, pa.float64(), mask=leaf), lists[1]]
+        head = [pa.array(np.full(n + len(at), run), pa.int32()), *[pa.concat_arrays([c, pa.nulls(len(at), c.type)]) for c in head]]
         rows = pa.array([None] * n + at.tolist(), pa.int64())
         tail = [group["key"].combine_chunks().take(rows), group["y"].combine_chunks().take(rows), pa.array([None] * n + predicted[at].tolist(), pa.int32())]
         return pa.Table.from_arrays([*head, *tail], names=both_schema.names)
 
-    written: dict[str, list[str]] = {"both": [], "nodes": [], "seen": []}
-
-    def store(out: DataFrame, kind: str, level: int) -> DataFrame:
-        at = f"{path}/{kind}-{level}"
-        out.write.parquet(at)
-        written.setdefault(kind, []).append(at)
-        return spark.read.schema(out.schema).parquet(at)
-
-    level = 0
-    while runs:
-        stats = active.groupBy(*_NODE).agg(F.count(F.lit(1)).alias("all"), *_counts(classes, ~F.col("test"))).select(*_NODE, "all", _array("c", classes).alias("counts"))
-        stats = store(stats, "stats", level)
-        little = stats.where(F.col("all") <= local_rows).select(*_NODE)
-        store(active.join(little, _NODE).groupBy(*_NODE).applyInArrow(finish, both_schema), "both", level)
-        big = stats.where(F.col("all") > local_rows)
-        if big.isEmpty():
-            break
-        splits = store(_splits(active, big, classes, bounds), "splits", level)
-        nodes = big.join(splits, _NODE, "left")
-        store(nodes.select(*_NODE, "counts", "feature_index", "threshold", "left"), "nodes", level)
-        moved = active.join(nodes.drop("all", "left"), _NODE)
-        # The most frequent class of a leaf: the smallest code among those with the largest count.
-        top = (F.array_position("counts", F.array_max("counts")) - 1).cast("int")
-        seen = moved.where(F.col("test") & F.col("feature_index").isNull())
-        store(seen.select("run", "key", "y", F.when(_total(F.col("counts")) > 0, top).otherwise(F.lit(-1)).alias("predicted")), "seen", level)
-        side = F.when(F.col("x")[F.col("feature_index")] <= F.col("threshold"), "L").otherwise("R")
-        active = store(moved.where(F.col("feature_index").isNotNull()).select("run", F.concat("path", side).alias("path"), "test", "key", "y", "x"), "active", level)
-        level += 1
-
-    def read(kind: str, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).parquet(*written[kind]) if written[kind] else spark.createDataFrame([], schema)
-
-    both = read("both", both_schema)
-    nodes = both.where("path is not null").select(*node_schema.names).unionByName(read("nodes", node_schema))
-    held = both.where("path is null").select(*seen_schema.names).unionByName(read("seen", seen_schema))
+    def table(rows: list[tuple], schema: pa.Schema) -> DataFrame:
+        return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema))
+
+    routes = pa.schema([("node", pa.int32()), ("run", pa.int32()), ("path", pa.string()), ("state", pa.int32()), ("f", pa.int32()), ("threshold", pa.float64()), ("next", pa.int32()), ("predicted", pa.int32())])
+    large, written = [], {_MOVES: [], _SMALL: [], _LEAF: []}
+    at, level = [(r, "") for r in runs], 0  # at: (run, path) by node number
+    while at:
+        stats = active.groupBy("node").agg(F.count(F.lit(1)).alias("all"), *_counts(classes, ~F.col("test"))).collect()
+        # Driver: a line per node of this level. Each parent has more than local_rows rows.
+        counts = {r["node"]: [r[f"c{c}"] for c in range(classes)] for r in stats}
+        size = {r["node"]: r["all"] for r in stats}
+        impure = [(i,) for i in size if size[i] > local_rows and sum(c > 0 for c in counts[i]) > 1]
+        splits = {}
+        if impure:
+            among = bounded_broadcast(table(impure, pa.schema([("node", pa.int32())])))
+            splits = {r["node"]: r for r in _splits(active.join(among, "node"), classes).collect()}
+        route, below, states = [], [], set()
+        for i in size:
+            split, rows = splits.get(i), size[i] - sum(counts[i])
+            threshold = split and _halfway(split["low"], split["high"])
+            state = _SMALL if size[i] <= local_rows else _MOVES if split else _LEAF
+            top = counts[i].index(max(counts[i])) if any(counts[i]) else -1
+            if state != _SMALL:
+                large.append((*at[i], counts[i], split and split["f"], threshold, split and split["left"]))
+            if state != _LEAF or rows:
+                states.add(state)
+                route.append((i, *at[i], state, split and split["f"], threshold, len(below), top))
+            if split:
+                below += [(at[i][0], at[i][1] + side) for side in "LR"]
+        if route:
+            moved = active.join(bounded_broadcast(table(route, routes)), "node").where(F.col("test") | (F.col("state") != _LEAF))
+            goes = F.col("next") + F.when(F.get("x", F.col("f")) <= F.col("threshold"), 0).otherwise(1)
+            moved = moved.select(goes.cast("int").alias("node"), "run", "path", "test", "key", "y", "x", "cell", "predicted", "state")
+            moved.write.partitionBy("state").parquet(f"{path}/moved-{level}")
+            for state in states:
+                written[state].append(f"{path}/moved-{level}/state={state}")
+            if _MOVES in states:
+                active = spark.read.schema(active.schema).parquet(written[_MOVES][-1])
+        at, level = below, level + 1
+
+    def read(state: int, *columns: T.StructField) -> DataFrame:
+        schema = T.StructType([*columns])
+        return spark.read.schema(schema).parquet(*written[state]) if written[state] else spark.createDataFrame([], schema)
+
+    test_, key_, y_, x_ = T.StructField("test", T.BooleanType()), seen_schema["key"], seen_schema["y"], ready.schema["x"]
+    small = read(_SMALL, run_, path_, test_, key_, y_, x_)
+    small.groupBy(*_NODE).applyInArrow(finish, both_schema).write.parquet(f"{path}/both")
+    spark.createDataFrame(large, node_schema).write.parquet(f"{path}/large")
+    both = spark.read.schema(both_schema).parquet(f"{path}/both")
+    nodes = both.where("path is not null").select(*node_schema.names).unionByName(spark.read.schema(node_schema).parquet(f"{path}/large"))
+    held = both.where("path is null").select(*seen_schema.names).unionByName(read(_LEAF, *seen_schema))
     names, label_array = F.array(*[F.lit(f) for f in features]), F.array(*[F.lit(v) for v in labels])
 
     def named(c: Column) -> Column:
@@ -216,34 +258,39 @@ def _cell_bounds(ready: DataFrame, width: int, cells: int) -> list[list[float]]:
     return [sorted(set(q or [])) for q in row]
 
 
-def _splits(active: DataFrame, big: DataFrame, classes: int, bounds: list[list[float]]) -> DataFrame:
-    """(run, path, feature_index, threshold, left): the best split of every impure node that has one."""
-    spark = active.sparkSession
-    impure = big.where(F.size(F.filter("counts", lambda c: c > 0)) > 1).select(*_NODE, F.col("counts").alias("total"))
-    train = active.where(~F.col("test")).join(impure.select(*_NODE), _NODE)
-    of_feature = F.array(*[F.array(*[F.lit(float(b)) for b in q]).cast("array<double>") for q in bounds])
-    cell = F.size(F.filter(F.get(of_feature, F.col("f")), lambda b: b < F.col("v")))
-    counts = train.select(*_NODE, "y", F.posexplode("x").alias("f", "v")).groupBy(*_NODE, "f", "v").agg(*_counts(classes, F.lit(True))).withColumn("cell", cell)
-    at = scratch_path(spark, "exact-tree-counts")
-    counts.write.parquet(at)
-    counts = spark.read.schema(counts.schema).parquet(at)
+def _cell(v: Column, bounds: list[float]) -> Column:
+    """How many of the bounds lie below the value."""
+    return F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]).cast("array<double>"), lambda b: b < v))
+
+
+def _splits(active: DataFrame, classes: int) -> DataFrame:
+    """(node, f, low, high, left): the best split of every node that has one, between the values
+    ``low`` and ``high`` of feature ``f``."""
     names = [f"c{c}" for c in range(classes)]
-    before = Window.partitionBy(*_NODE, "f").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.groupBy(*_NODE, "f", "cell").agg(*[F.sum(c).alias(c) for c in names])
-    bases = bases.select(*_NODE, "f", "cell", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"b{c}") for c in names])
-    upto = Window.partitionBy(*_NODE, "f", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = counts.select(*_NODE, "f", "cell", "v", *[F.sum(c).over(upto).alias(c) for c in names])
-    sums = running.join(bases, [*_NODE, "f", "cell"]).join(impure, _NODE)
-    sums = sums.select(*_NODE, "f", "v", "total", F.array(*[F.col(c) + F.col(f"b{c}") for c in names]).alias("left"))
-    sums = sums.withColumn("right", F.zip_with("total", "left", lambda a, b: a - b))
-    nl, nr = _total(F.col("left")), _total(F.col("right"))
-    score = _squares(F.col("left")) / nl + _squares(F.col("right")) / nr
-    best = sums.where(nr > 0).groupBy(*_NODE).agg(F.max(F.struct(score.alias("score"), (-F.col("f")).alias("f"), (-F.col("v")).alias("v"), "left")).alias("best"))
-    best = best.select(*_NODE, (-F.col("best.f")).alias("feature_index"), (-F.col("best.v")).alias("low"), F.col("best.left").alias("left"))
-    above = counts.select(*_NODE, F.col("f").alias("feature_index"), "v").join(best.select(*_NODE, "feature_index", "low"), [*_NODE, "feature_index"])
-    above = above.where(F.col("v") > F.col("low")).groupBy(*_NODE).agg(F.min("v").alias("high"))
-    middle = F.col("low") / 2 + F.col("high") / 2
-    return best.join(above, _NODE).select(*_NODE, "feature_index", F.when(middle >= F.col("high"), F.col("low")).otherwise(middle).alias("threshold"), "left")
+    train = active.where(~F.col("test")).select("node", "y", "cell", F.posexplode("x").alias("f", "v"))
+    counts = train.select("node", "y", "f", "v", F.get("cell", F.col("f")).alias("cell")).groupBy("node", "f", "cell", "v").agg(*_counts(classes, F.lit(True)))
+    # The first row of each cell holds what lies before the cell, the node's counts and the next cell's first value.
+    cells = Window.partitionBy("node", "f").orderBy("cell")
+    before = cells.rowsBetween(Window.unboundedPreceding, -1)
+    whole = cells.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = counts.groupBy("node", "f", "cell").agg(F.min("v").alias("v"), *[F.sum(c).alias(c) for c in names])
+    heads = heads.select("node", "f", "cell", "v", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in names],
+                         F.array(*[F.sum(c).over(whole) for c in names]).alias("total"), F.lead("v").over(cells).alias("next"), F.lit(True).alias("head"))
+    rows = counts.select("node", "f", "cell", "v", *names, F.lit(None).cast("array<bigint>").alias("total"), F.lit(None).cast("double").alias("next"), F.lit(False).alias("head"))
+    inside = Window.partitionBy("node", "f", "cell").orderBy(F.col("head").desc(), "v")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = heads.unionByName(rows).select("node", "f", "v", "head", *[F.sum(c).over(upto).alias(c) for c in names], F.first("total").over(upto).alias("total"),
+                                          F.coalesce(F.lead("v").over(inside), F.first("next").over(upto)).alias("high"))
+    sums = sums.where(~F.col("head") & F.col("high").isNotNull())
+
+    def squares(side: list[Column]) -> Column:  # over rows: plain arithmetic, as lambdas are interpreted value by value
+        return reduce(add, [c * c for c in side]).cast("double") / reduce(add, side)
+
+    left = [F.col(c) for c in names]
+    score = squares(left) + squares([F.get("total", F.lit(i)) - c for i, c in enumerate(left)])
+    sums = sums.withColumn("left", F.array(*left))
+    best = sums.groupBy("node").agg(F.max(F.struct(score.alias("score"), (-F.col("f")).alias("f"), (-F.col("v")).alias("v"), "left", "high")).alias("best"))
+    return best.select("node", (-F.col("best.f")).alias("f"), (-F.col("best.v")).alias("low"), "best.high", "best.left")
 
 
 def fold_scores(trees: Trees) -> DataFrame:

@@ -117,6 +117,57 @@ def test_pure_empty_and_constant_tables(spark):
         exact_tree.grow(spark.range(5).select("id", F.col("id").alias("a"), F.col("id").cast("string").alias("label")), ["a"], "label", max_classes=3)
 
 
+def test_only_lines_of_nodes_are_broadcast(spark, monkeypatch):
+    """Rows, values and counts by value reach no driver: every join has a hinted side of a line per large node."""
+    df = spark.createDataFrame(table(7, 400), SCHEMA)
+    frame, sides = type(df), []
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, other, *a, **k: sides.append((other, other._jdf.queryExecution().analyzed().toString())) or join(self, other, *a, **k))
+    spark.sparkContext.setJobGroup("grow", "jobs of a growth")
+    try:
+        trees = exact_tree.grow(df, ["a", "b", "c"], "label", ["id"], "fold", local_rows=60, cells=4)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("grow"))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    monkeypatch.undo()
+    assert sides and all("broadcast" in plan for _, plan in sides)
+    large = trees.nodes.where("n > 40").count()
+    assert all(side.count() <= 3 * large for side, _ in sides)
+    levels = sum("threshold" not in side.columns for side, _ in sides)
+    assert levels > 2 and jobs < 20 + 16 * levels
+
+
+def test_depth_within_a_task():
+    """A chain of one-row leaves, a constant feature and rows that no split parts, all in one task."""
+    x = np.array([[float(i), 1.0] for i in range(300)] + [[1000.0, 1.0]] * 3)
+    y = np.array([i % 2 for i in range(300)] + [0, 1, 1])
+    test = np.zeros(len(y), bool)
+    test[[10, 302]] = True
+    paths, (counts, feature, threshold, left), predicted = exact_tree._grow_here("R", x, y, test, 2)
+    want = plain([(tuple(a), int(b)) for a, b, t in zip(x, y, test) if not t], 2, [0, 1])
+    got = {p[1:]: (c.tolist(), None if f < 0 else f, None if f < 0 else t) for p, c, f, t in zip(paths, counts, feature, threshold)}
+    assert got == want and all(p.startswith("R") for p in paths)
+    assert predicted.tolist() == [walk(want, a, [0, 1]) for a in x]
+    at = {p: i for i, p in enumerate(paths)}
+    assert all((left[i] == counts[at[p + "L"]]).all() for p, i in at.items() if feature[i] >= 0)
+
+
+def test_comparison_works_its_rows_out_once(spark, tmp_path, monkeypatch):
+    from basalt.plans import q_tree
+
+    rng = random.Random(2)
+    customers = [(i, i % 5, round(rng.uniform(-900, 9000), 2)) for i in range(60)]
+    orders = [(n, rng.randrange(60), rng.uniform(1000, 400000)) for n in range(500)]
+    spark.createDataFrame(customers, "c_custkey LONG, c_nationkey INT, c_acctbal DOUBLE").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(orders, "o_orderkey LONG, o_custkey LONG, o_totalprice DOUBLE").write.parquet(f"{tmp_path}/orders.parquet")
+    made, features = [], q_tree.customer_features
+    monkeypatch.setattr(q_tree, "customer_features", lambda t: made.append(1) or features(t))
+    out = q_tree.tree_merged_compare(spark, str(tmp_path))
+    rows = out.collect()
+    assert len(made) == 1 and {r["run"] for r in rows} == {"original", "merged"} and all(r["train_accuracy"] == 1.0 for r in rows)
+    assert "NestedLoopJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_thresholds_between_neighbouring_floats():
     a = 1.0
     b = float(np.nextafter(a, 2))
