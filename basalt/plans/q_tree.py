@@ -9,6 +9,8 @@ deterministic prediction for the evaluation tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from basalt.operators import clean, exact_tree, profile, tree
@@ -216,8 +218,7 @@ def _tree_sql(k: int, merged: bool = False, whole: bool = True) -> str:
     """
 
 
-def _grown(spark, sf_dir, k: int, merged: bool = False, folds: bool = True, whole: bool = True):
-    rows = _raw(Tables(spark, sf_dir))
+def _grown(rows, k: int, merged: bool = False, folds: bool = True, whole: bool = True):
     rows = _folded(_merged(rows) if merged else rows, k)
     return exact_tree.grow(rows, RAW, "tier", ["c_custkey"], "fold" if folds else None, whole=whole)
 
@@ -229,7 +230,7 @@ def _grown(spark, sf_dir, k: int, merged: bool = False, folds: bool = True, whol
     FROM (SELECT unnest(features) AS feature, unnest(range(3)) AS i FROM names) f LEFT JOIN gain ON gain.run = -1 AND gain.pf = f.i GROUP BY f.feature""",
 )
 def tree_importances(spark, sf_dir):
-    trees = _grown(spark, sf_dir, 1, folds=False)
+    trees = _grown(_raw(Tables(spark, sf_dir)), 1, folds=False)
     return exact_tree.importances(trees).withColumn("importance", F.round("importance", 6))
 
 
@@ -241,7 +242,7 @@ def tree_importances(spark, sf_dir):
 )
 def tree_nodes(spark, sf_dir):
     """The tree on all rows, parents right before their subtrees."""
-    nodes = _grown(spark, sf_dir, 1, folds=False).nodes
+    nodes = _grown(_raw(Tables(spark, sf_dir)), 1, folds=False).nodes
     rounded = [F.round(c, 6).alias(c) for c in ("impurity", "gain", "threshold")]
     return nodes.select("path", "n", "prediction", rounded[0], rounded[1], "feature", rounded[2]).orderBy("path")
 
@@ -249,7 +250,7 @@ def tree_nodes(spark, sf_dir):
 @query("tree_cv", _tree_sql(K_FOLDS, whole=False) + "SELECT fold, ROUND(accuracy, 6) AS accuracy FROM score")
 def tree_cv(spark, sf_dir):
     """Accuracy per fold (4 folds) on rows that the fold's tree has not seen."""
-    return exact_tree.fold_scores(_grown(spark, sf_dir, K_FOLDS, whole=False)).withColumn("accuracy", F.round("accuracy", 6))
+    return exact_tree.fold_scores(_grown(_raw(Tables(spark, sf_dir)), K_FOLDS, whole=False)).withColumn("accuracy", F.round("accuracy", 6))
 
 
 _COMPARE = """SELECT '{run}' AS run, ROUND(AVG(accuracy), 6) AS mean, ROUND(2 * STDDEV_POP(accuracy), 6) AS plus_minus, ROUND(ANY_VALUE(train_accuracy), 6) AS train_accuracy FROM score, fit"""
@@ -262,16 +263,22 @@ _COMPARE = """SELECT '{run}' AS run, ROUND(AVG(accuracy), 6) AS mean, ROUND(2 *
 )
 def tree_merged_compare(spark, sf_dir):
     """CV summary and training accuracy before and after merging two tiers."""
-    out = None
-    for run, merged in (("original", False), ("merged", True)):
-        trees = _grown(spark, sf_dir, K_FOLDS, merged)
-        s = tree.score_summary(exact_tree.fold_scores(trees)).crossJoin(exact_tree.training_accuracy(trees))  # one row each
-        row = s.select(F.lit(run).alias("run"), *[F.round(c, 6).alias(c) for c in ("mean", "plus_minus", "train_accuracy")])
-        out = row if out is None else out.unionByName(row)
-    return out
+    rows, path = _raw(Tables(spark, sf_dir)), scratch_path(spark, "tree-rows")
+    rows.write.parquet(path)  # both times the same rows
+    rows = spark.read.schema(rows.schema).parquet(path)
+    columns = ("mean", "plus_minus", "train_accuracy")
+
+    def summary(run: str):
+        trees = _grown(rows, K_FOLDS, run == "merged")
+        parts = tree.score_summary(exact_tree.fold_scores(trees)).unionByName(exact_tree.training_accuracy(trees), allowMissingColumns=True)  # one row each
+        return parts.agg(*[F.round(F.max(c), 6).alias(c) for c in columns]).select(F.lit(run).alias("run"), *columns)
+
+    with ThreadPoolExecutor(2) as pool:  # the small jobs of one fill the gaps of the other
+        original, merged = pool.map(summary, ("original", "merged"))
+    return original.unionByName(merged)
 
 
 @query("tree_merged_cv10", _tree_sql(MERGED_FOLDS, merged=True, whole=False) + "SELECT fold, ROUND(accuracy, 6) AS accuracy FROM score")
 def tree_merged_cv10(spark, sf_dir):
     """Accuracy of each of 10 folds on the merged tiers, all folds grown together."""
-    return exact_tree.fold_scores(_grown(spark, sf_dir, MERGED_FOLDS, merged=True, whole=False)).withColumn("accuracy", F.round("accuracy", 6))
+    return exact_tree.fold_scores(_grown(_raw(Tables(spark, sf_dir)), MERGED_FOLDS, merged=True, whole=False)).withColumn("accuracy", F.round("accuracy", 6))
