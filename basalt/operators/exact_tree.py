@@ -5,26 +5,26 @@ then the lowest value) with the threshold halfway to the next value; there are n
 depth limit. A node is known by its path of ``L`` and ``R`` from the root, so a parent sorts
 right before its subtree.
 
-Trees grow level by level. A *run* is one tree: each fold leaves its own rows out, and those rows
-travel with the run to the leaf that predicts them. Per level all runs and nodes share three jobs:
-class counts of every node, the best split of each large node, routing. The best split comes from
-class counts of every distinct (node, feature, value) and prefix sums over them, which run inside
-cells of each feature's value range and start at the sum of the cells before, so the root is no
-hotter than any other node, and a value that a third of the rows share is one row. Nodes of at most
-``local_rows`` rows are set aside and all finished in one job at the end, each in one task, by the
-same rule. Only the nodes of more rows, one line each, pass the driver; rows and values never do.
+Trees grow level by level. A *run* is one tree: each fold leaves its own rows out. Once, the rows are
+sorted by each feature and packed into blocks of bounded size: a block holds its rows' values, classes
+and folds and, for every run, the node that each row has come to, so rows are neither copied for the
+runs nor sorted again. Per level all runs and nodes share three jobs: routing, which also counts each
+block's classes by node; the sizes of the nodes; the best split of each large node. For that, a block
+adds up its rows in their order from what lies in the blocks before, so the root is no hotter than any
+other node, and a value that a third of the rows share may span blocks. Nodes of at most ``local_rows``
+rows are set aside; at the end each row walks down to its node in every run, and each such node is
+finished in one task by the same rule. Only the nodes of more rows, one line each, pass the driver;
+rows, values and the blocks' counts never do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ from basalt.session import scratch_path
 WHOLE = -1  # the run that trains on every row
 _NODE = ["run", "path"]
 _MOVES, _SMALL, _LEAF = range(3)  # what becomes of a node's rows: to the children, to be finished in a task, predicted
+_NO_FOLD = -(2**40)  # no fold is as low
+_BLOCK_ROWS, _BLOCK_CELLS, _PACK_CELLS = 2**15, 2**19, 2**20  # rows of a block, (run, row) pairs of a block and of a walk at most
 
 
 @dataclass
@@ -64,24 +66,34 @@ def _best_splits(x: np.ndarray, y: np.ndarray, at: np.ndarray, orders: list[np.n
         cut = np.flatnonzero((node[1:] == node[:-1]) & (v[1:] != v[:-1]))
         if not len(cut):
             continue
-        is_class = y[rows][:, None] == np.arange(classes)
-        upto, first = np.cumsum(is_class, axis=0), np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        before = np.zeros((m, classes), np.int64)
-        before[node[first]] = upto[first] - is_class[first]
-        of = node[cut]
-        low = upto[cut] - before[of]
-        high = counts[of] - low
-        score = (low**2).sum(axis=1) / low.sum(axis=1) + (high**2).sum(axis=1) / high.sum(axis=1)
-        heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        ys, first, of, before = y[rows], _heads(node), node[cut], np.zeros(m, np.int64)
+
+        def low(c: int, cut: np.ndarray, of: np.ndarray) -> np.ndarray:
+            is_class = ys == c
+            upto = np.cumsum(is_class, dtype=np.int32)
+            before[node[first]] = upto[first] - is_class[first]
+            return upto[cut] - before[of]
+
+        lows, highs = np.zeros(len(cut), np.int64), np.zeros(len(cut), np.int64)
+        for c in range(classes):
+            l = low(c, cut, of)
+            lows += l * l
+            l -= counts[:, c][of]
+            highs += l * l
+        before[node[first]] = first - 1
+        n = cut - before[of]
+        score = lows / n + highs / (counts.sum(axis=1)[of] - n)
+        heads = _heads(of)
         most = np.maximum.reduceat(score, heads)
-        group = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(cut)]))
+        group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(cut))))
         hits = np.flatnonzero(score == most[group])
-        hits = hits[np.unique(group[hits], return_index=True)[1]]  # the lowest value of equals
+        hits = hits[_heads(group[hits])]  # the lowest value of equals
         better = most > best[of[heads]]
         to, i = of[heads][better], hits[better]
+        lefts = np.stack([low(c, cut[i], to) for c in range(classes)], axis=1)
         a, b = v[cut[i]], v[cut[i] + 1]
         middle = a / 2 + b / 2
-        best[to], feature[to], threshold[to], left[to] = most[better], f, np.where(middle >= b, a, middle), low[i]
+        best[to], feature[to], threshold[to], left[to] = most[better], f, np.where(middle >= b, a, middle), lefts
     return feature, threshold, left
 
 
@@ -106,17 +118,162 @@ def _grow_here(path: str, x: np.ndarray, y: np.ndarray, test: np.ndarray, classe
         at[done] = -1
         at[moving] = 2 * np.searchsorted(inner, of) + ~(x[moving, feature[of]] <= threshold[of])
         orders = [rows[at[rows] >= 0] for rows in orders]
-        orders = [rows[np.argsort(at[rows], kind="stable")] for rows in orders]
+        orders = [rows[_by(at[rows])] for rows in orders]
         paths = [paths[i] + side for i in inner for side in "LR"]
     return every, [np.concatenate(c) for c in zip(*found)], predicted
 
 
-def _counts(classes: int, of: Column) -> list[Column]:
-    return [F.count_if(of & (F.col("y") == c)).alias(f"c{c}") for c in range(classes)]
-
-
-def _array(prefix: str, classes: int) -> Column:
-    return F.array(*[F.col(f"{prefix}{c}") for c in range(classes)])
+def _binary(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The parts of ``data`` between ``starts`` as binary values."""
+    offsets = (starts * (data.nbytes // max(1, len(data)))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _heads(sorted_: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, np.int64)
+
+
+def _by(of: np.ndarray) -> np.ndarray:
+    """Stable order of small whole numbers; those of 16 bits are sorted in one pass."""
+    return np.argsort(of.astype(np.uint16) if len(of) and of.max() < 2**16 else of, kind="stable")
+
+
+def _block(f: int, block: int, x: np.ndarray, y: np.ndarray, fold: np.ndarray, at: np.ndarray, runs: np.ndarray, nodes: int, classes: int) -> pa.RecordBatch:
+    """One block: its rows by value of feature ``f`` (``x`` by feature, ``at`` by run: the row's node, -1 if
+    it has none any more), and per node its rows, training classes and first training value."""
+    every, seen, first = np.zeros(nodes * classes, np.int64), np.zeros(nodes * classes, np.int64), np.full(nodes + 1, -1)
+    back = np.arange(len(y))[::-1]
+    for r, of in enumerate(at):  # run by run: short arrays stay in the cache
+        of = of.astype(np.int64)
+        code = (of + 1) * classes + y
+        all_ = np.bincount(code, minlength=(nodes + 1) * classes)[classes:]
+        test = np.flatnonzero(fold == runs[r])
+        every += all_
+        seen += all_ - np.bincount(code[test], minlength=(nodes + 1) * classes)[classes:]
+        of[test] = -1
+        first[of[::-1]] = back  # the last one set is the first row; those of no node go to the last entry
+    rows, seen, first = every.reshape(nodes, classes).sum(axis=1), seen.reshape(nodes, classes), first[:-1]
+    here = np.flatnonzero(rows)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(here) + 1, dtype=np.int32) * classes), pa.array(seen[here].ravel(), pa.int64()))
+    stats = pa.StructArray.from_arrays([pa.array(here, pa.int32()), pa.array(rows[here], pa.int64()), pa.array(x[f][first[here]], pa.float64(), mask=first[here] < 0), lists], names=["node", "rows", "first", "seen"])
+    columns = [pa.array([f], pa.int32()), pa.array([block], pa.int64()), pa.array([[v.tobytes() for v in x]], pa.list_(pa.binary())), *[pa.array([c.tobytes()], pa.binary()) for c in (y, fold, at)]]
+    return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array([0, len(here)], pa.int32()), stats)], names=["f", "block", "x", "y", "fold", "at", "stats"])
+
+
+_BLOCKS = "f INT, block LONG, x ARRAY<BINARY>, y BINARY, fold BINARY, at BINARY, stats ARRAY<STRUCT<node: INT, rows: LONG, first: DOUBLE, seen: ARRAY<LONG>>>"
+
+
+def _at(of: bytes, runs: int, rows: int) -> np.ndarray:
+    return np.frombuffer(of, f"i{len(of) // (runs * rows)}").reshape(runs, rows)
+
+
+def _blocks(ready: DataFrame, width: int, runs: np.ndarray, classes: int, rows: int) -> DataFrame:
+    """All rows once per feature, in the feature's order, in blocks of at most ``rows``; every row at the roots."""
+    kind = np.int16 if len(runs) < 2**15 else np.int32
+    fold = F.coalesce(F.col("fold").cast("long"), F.lit(_NO_FOLD)).alias("fold")
+    # Rows of one value may go to several partitions.
+    each = ready.select("x", "y", fold, F.monotonically_increasing_id().alias("tie")).select("*", F.posexplode("x").alias("f", "v"))
+    dealt = each.repartitionByRange(_tasks(ready), "f", "v", "tie").sortWithinPartitions("f", "v").select("f", "x", "y", "fold", F.spark_partition_id().alias("part"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n, block = [], 0, 0
+
+        def cut(all_: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal waiting, n, block
+            f, x, y, fold = [np.concatenate(c) for c in zip(*waiting)]
+            bounds = [*_heads(f), len(f)]
+            for a, b in zip(bounds, bounds[1:]):
+                for start in range(a, b, rows):
+                    end = min(start + rows, b)
+                    if end == len(f) and not all_:
+                        waiting, n = [(f[start:], x[start:], y[start:], fold[start:])], end - start
+                        return
+                    at = np.repeat(np.arange(len(runs), dtype=kind), end - start).reshape(len(runs), -1)
+                    yield _block(int(f[start]), block, np.ascontiguousarray(x[start:end].T), y[start:end], fold[start:end], at, runs, len(runs), classes)
+                    block += 1
+
+        for batch in batches:
+            if batch.num_rows:
+                block = max(block, batch.column(4)[0].as_py() << 32)
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) + 0.0  # one zero
+                waiting.append((batch.column(0).to_numpy(), x, batch.column(2).to_numpy(), batch.column(3).to_numpy()))
+                n += batch.num_rows
+                if n > rows:
+                    yield from cut(False)
+        if waiting:
+            yield from cut(True)
+
+    return dealt.mapInArrow(pack, _BLOCKS)
+
+
+def _routed(blocks: DataFrame, feature: np.ndarray, threshold: np.ndarray, child: np.ndarray, runs: np.ndarray, nodes: int, classes: int) -> DataFrame:
+    """The blocks with their rows at the children, by the splits of this level's nodes (feature -1: none,
+    as for the last entry, rows without a node). Rows that are at no node of any run are left out."""
+    kind, start, child = np.int16 if nodes < 2**15 else np.int32, np.maximum(feature, 0), np.where(feature >= 0, child, -1)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                f, block, xs, y, fold, of = [c[i].as_py() for c in batch.columns]
+                x, y, fold = np.stack([np.frombuffer(v) for v in xs]), np.frombuffer(y, np.int32), np.frombuffer(fold, np.int64)
+                at, row, flat = np.empty((len(runs), len(y)), kind), np.arange(len(y)), x.ravel()
+                for to, of in zip(at, _at(of, len(runs), len(y))):
+                    of = of.astype(np.int64)
+                    high = ~(flat[start[of] * len(y) + row] <= threshold[of])
+                    to[:] = child[of] + (high & (feature[of] >= 0))
+                keep = np.flatnonzero((at >= 0).any(axis=0))
+                if len(keep):
+                    yield _block(f, block, x.take(keep, axis=1), y[keep], fold[keep], at.take(keep, axis=1), runs, nodes, classes)
+
+    return blocks.select("f", "block", "x", "y", "fold", "at").mapInArrow(route, _BLOCKS)
+
+
+def _best_cuts(v: np.ndarray, y: np.ndarray, fold: np.ndarray, at: np.ndarray, runs: np.ndarray, node: np.ndarray, before: np.ndarray, total: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
+    """[which, score, low, high, left]: the best cut within a block for those of ``node`` that have one.
+    ``before`` and ``total``: class counts of the node before the block and in all; ``after``: its next value, or NaN."""
+    slot = np.full(max(at.max(initial=0), node.max()) + 2, -1, np.int32)  # the last entry: no node
+    slot[node] = np.arange(len(node))
+    nth, all_, found = before.sum(axis=1), total.sum(axis=1), []
+    for r, which in enumerate(at):  # run by run: short arrays stay in the cache
+        which = slot[which]
+        which[fold == runs[r]] = -1
+        row = np.flatnonzero(which >= 0)
+        which = which[row]
+        if not len(which):
+            continue
+        if (which != which[0]).any():
+            order = _by(which)
+            which, row = which[order], row[order]
+        vs, ys, starts = v[row], y[row], _heads(which)
+        here = which[starts]
+        up = np.append(vs[1:], np.nan)
+        up[np.append(starts[1:], len(vs)) - 1] = after[here]
+        cut = np.flatnonzero((up != vs) & ~np.isnan(up))
+        if not len(cut):
+            continue
+        group = np.searchsorted(starts, cut, "right") - 1  # the cut's node among those here
+
+        def low(c: int, cut: np.ndarray, group: np.ndarray) -> np.ndarray:
+            is_class = ys == c
+            upto = np.cumsum(is_class, dtype=np.int32)
+            return upto[cut] + (before[here, c] - upto[starts] + is_class[starts])[group]
+
+        n = cut + (nth[here] - starts + 1)[group]
+        lows, highs = np.zeros(len(cut), np.int64), np.zeros(len(cut), np.int64)
+        for c in range(total.shape[1]):
+            l = low(c, cut, group)
+            lows += l * l
+            l -= total[here, c][group]
+            highs += l * l
+        score = lows / n + highs / (all_[here][group] - n)
+        heads = _heads(group)
+        most = np.repeat(np.maximum.reduceat(score, heads), np.diff(np.append(heads, len(cut))))
+        hits = np.flatnonzero(score == most)
+        hits = hits[_heads(group[hits])]  # the lowest value of equals
+        i, group = cut[hits], group[hits]
+        left = np.stack([low(c, i, group) for c in range(total.shape[1])], axis=1)
+        found.append((here[group], score[hits], vs[i], up[i], left))
+    return [np.concatenate(c) for c in zip(*found)]
 
 
 def _total(counts: Column) -> Column:
@@ -156,84 +313,59 @@ def grow(
     classes = max(1, len(labels))
     code = (F.array_position(F.array(*[F.lit(v) for v in labels]), F.col("label")) - 1).cast("int") if labels else F.lit(None).cast("int")
     ready = given.where("x is not null").select("key", code.alias("y"), "x", "fold")
-    runs = sorted(r[0] for r in ready.select("fold").where("fold is not null").distinct().collect()) + ([WHOLE] if whole else [])
-    bounds = _cell_bounds(ready, len(features), cells)
-    cell = F.array(*[_cell(F.col("x")[f], q) for f, q in enumerate(bounds)])
-    every = F.array(*[F.lit(r) for r in runs]).cast("array<int>")
-    active = ready.withColumn("cell", cell).select("*", F.posexplode(every).alias("node", "run")).select("node", F.col("fold").eqNullSafe(F.col("run")).alias("test"), "key", "y", "x", "cell")
+    tally = ready.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()  # folds x classes
+    runs = sorted({r["fold"] for r in tally if r["fold"] is not None}) + ([WHOLE] if whole else [])
+    run_of, rows = np.array(runs, np.int64), sum(r["n"] for r in tally)
 
     longs, key_type = T.ArrayType(T.LongType()), ready.schema["key"].dataType
     run_, path_ = T.StructField("run", T.IntegerType()), T.StructField("path", T.StringType())
     node_schema = T.StructType([run_, path_, T.StructField("counts", longs), T.StructField("feature_index", T.IntegerType()), T.StructField("threshold", T.DoubleType()), T.StructField("left", longs)])
     seen_schema = T.StructType([run_, T.StructField("key", key_type), T.StructField("y", T.IntegerType()), T.StructField("predicted", T.IntegerType())])
-    both_schema = T.StructType([*node_schema, *seen_schema[1:]])
 
-    def finish(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        run, start = group["run"][0].as_py(), group["path"][0].as_py()
-        xs = group["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, -1)
-        test = group["test"].to_numpy()
-        paths, (counts, feature, threshold, left), predicted = _grow_here(start, xs, group["y"].to_numpy(), test, classes)
-        n, at = len(paths), np.flatnonzero(test)
-        leaf, offsets = feature < 0, pa.array(np.arange(n + 1, dtype=np.int32) * classes)
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(c.ravel(), pa.int64()), mask=pa.array(m)) for c, m in ((counts, np.zeros(n, bool)), (left, leaf))]
-        head = [pa.array(paths, pa.string()), lists[0], pa.array(feature, pa.int32(), mask=leaf), pa.array(threshold, pa.float64(), mask=leaf), lists[1]]
-        head = [pa.array(np.full(n + len(at), run), pa.int32()), *[pa.concat_arrays([c, pa.nulls(len(at), c.type)]) for c in head]]
-        rows = pa.array([None] * n + at.tolist(), pa.int64())
-        tail = [group["key"].combine_chunks().take(rows), group["y"].combine_chunks().take(rows), pa.array([None] * n + predicted[at].tolist(), pa.int32())]
-        return pa.Table.from_arrays([*head, *tail], names=both_schema.names)
-
-    def table(rows: list[tuple], schema: pa.Schema) -> DataFrame:
-        return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema))
-
-    routes = pa.schema([("node", pa.int32()), ("run", pa.int32()), ("path", pa.string()), ("state", pa.int32()), ("f", pa.int32()), ("threshold", pa.float64()), ("next", pa.int32()), ("predicted", pa.int32())])
-    large, written = [], {_MOVES: [], _SMALL: [], _LEAF: []}
-    at, level = [(r, "") for r in runs], 0  # at: (run, path) by node number
-    while at:
-        stats = active.groupBy("node").agg(F.count(F.lit(1)).alias("all"), *_counts(classes, ~F.col("test"))).collect()
-        # Driver: a line per node of this level. Each parent has more than local_rows rows.
-        counts = {r["node"]: [r[f"c{c}"] for c in range(classes)] for r in stats}
-        size = {r["node"]: r["all"] for r in stats}
-        impure = [(i,) for i in size if size[i] > local_rows and sum(c > 0 for c in counts[i]) > 1]
+    # Driver: the nodes from the roots down to the first of at most local_rows rows; children follow each other.
+    at = [(r, "") for r in runs] if rows else []
+    counts = [[sum(t["n"] for t in tally if t["y"] == c and t["fold"] != r) for c in range(classes)] for r in runs]
+    feature, threshold, child, states, top, large, blocks, start, level = [], [], [], [], [], [], None, 0, 0
+    per_block = max(1, min(_BLOCK_ROWS, _BLOCK_CELLS // max(1, len(runs)), -(-rows // cells)))
+    while start < len(at):
+        here = range(start, len(at))
+        if level:
+            sizes = {r["node"] + start: r["rows"] for r in blocks.where("f = 0").select(F.inline("stats")).groupBy("node").agg(F.sum("rows").alias("rows")).collect()}
+        else:
+            sizes = dict.fromkeys(here, rows)
+        impure = [(g - start, counts[g]) for g in here if sizes[g] > local_rows and sum(c > 0 for c in counts[g]) > 1]
         splits = {}
         if impure:
-            among = bounded_broadcast(table(impure, pa.schema([("node", pa.int32())])))
-            splits = {r["node"]: r for r in _splits(active.join(among, "node"), classes).collect()}
-        route, below, states = [], [], set()
-        for i in size:
-            split, rows = splits.get(i), size[i] - sum(counts[i])
-            threshold = split and _halfway(split["low"], split["high"])
-            state = _SMALL if size[i] <= local_rows else _MOVES if split else _LEAF
-            top = counts[i].index(max(counts[i])) if any(counts[i]) else -1
-            if state != _SMALL:
-                large.append((*at[i], counts[i], split and split["f"], threshold, split and split["left"]))
-            if state != _LEAF or rows:
-                states.add(state)
-                route.append((i, *at[i], state, split and split["f"], threshold, len(below), top))
+            if not level:
+                blocks = _written(_blocks(ready, len(features), run_of, classes, per_block), f"{path}/blocks-0")
+            among = bounded_broadcast(_lines(spark, impure))
+            splits = {r["node"] + start: r for r in _splits(blocks, among, run_of, classes).collect()}
+        for g in here:
+            split, (run, name) = splits.get(g), at[g]
+            feature.append(split["f"] if split else -1)
+            threshold.append(_halfway(split["low"], split["high"]) if split else np.nan)
+            child.append(len(at) if split else 0)
+            states.append(_SMALL if sizes[g] <= local_rows else _MOVES if split else _LEAF)
+            top.append(counts[g].index(max(counts[g])) if any(counts[g]) else -1)
+            if states[g] != _SMALL:
+                large.append((run, name, counts[g], *((split["f"], threshold[g], split["left"]) if split else (None,) * 3)))
             if split:
-                below += [(at[i][0], at[i][1] + side) for side in "LR"]
-        if route:
-            moved = active.join(bounded_broadcast(table(route, routes)), "node").where(F.col("test") | (F.col("state") != _LEAF))
-            goes = F.col("next") + F.when(F.get("x", F.col("f")) <= F.col("threshold"), 0).otherwise(1)
-            moved = moved.select(goes.cast("int").alias("node"), "run", "path", "test", "key", "y", "x", "cell", "predicted", "state")
-            moved.write.partitionBy("state").parquet(f"{path}/moved-{level}")
-            for state in states:
-                written[state].append(f"{path}/moved-{level}/state={state}")
-            if _MOVES in states:
-                active = spark.read.schema(active.schema).parquet(written[_MOVES][-1])
-        at, level = below, level + 1
-
-    def read(state: int, *columns: T.StructField) -> DataFrame:
-        schema = T.StructType([*columns])
-        return spark.read.schema(schema).parquet(*written[state]) if written[state] else spark.createDataFrame([], schema)
-
-    test_, key_, y_, x_ = T.StructField("test", T.BooleanType()), seen_schema["key"], seen_schema["y"], ready.schema["x"]
-    small = read(_SMALL, run_, path_, test_, key_, y_, x_)
-    small.groupBy(*_NODE).applyInArrow(finish, both_schema).write.parquet(f"{path}/both")
+                at += [(run, name + side) for side in "LR"]
+                counts += [list(split["left"]), [n - c for n, c in zip(counts[g], split["left"])]]
+        first, start, level = start, here.stop, level + 1
+        if start < len(at):
+            of = np.array([*feature[first:], -1]), np.array([*threshold[first:], np.nan]), np.array([*child[first:], 0]) - start
+            blocks = _written(_routed(blocks, *of, run_of, len(at) - start, classes), f"{path}/blocks-{level}")
+
+    both = _finished(_walked(ready, f"{path}/rows", run_of, feature, threshold, child, states), at, classes, key_type, node_schema, seen_schema) if at else spark.createDataFrame([], T.StructType([*node_schema, *seen_schema[1:]]))
+    both = _written(both, f"{path}/both")
     spark.createDataFrame(large, node_schema).write.parquet(f"{path}/large")
-    both = spark.read.schema(both_schema).parquet(f"{path}/both")
     nodes = both.where("path is not null").select(*node_schema.names).unionByName(spark.read.schema(node_schema).parquet(f"{path}/large"))
-    held = both.where("path is null").select(*seen_schema.names).unionByName(read(_LEAF, *seen_schema))
+    held = both.where("path is null").select(*seen_schema.names)
+    if _LEAF in states:
+        ends = pa.table([pa.array(c, k) for c, k in zip(zip(*[(g, at[g][0], top[g]) for g, state in enumerate(states) if state == _LEAF]), (pa.int32(), pa.int32(), pa.int32()))], names=["end", "run", "predicted"])
+        leaf = spark.read.parquet(f"{path}/rows").where(F.col("state") == _LEAF).join(bounded_broadcast(spark.createDataFrame(ends)), "end")
+        held = held.unionByName(leaf.select("run", F.inline("held"), "predicted"))
     names, label_array = F.array(*[F.lit(f) for f in features]), F.array(*[F.lit(v) for v in labels])
 
     def named(c: Column) -> Column:
@@ -250,47 +382,120 @@ def grow(
     return Trees(nodes, held, features, labels)
 
 
-def _cell_bounds(ready: DataFrame, width: int, cells: int) -> list[list[float]]:
-    """Per feature, about ``cells`` values that part its rows evenly. They only deal out the work:
-    no split depends on them."""
-    probs = [i / cells for i in range(1, cells)]
-    row = ready.agg(*[F.percentile_approx(F.col("x")[f], probs, 10 * cells).alias(f"q{f}") for f in range(width)]).first()
-    return [sorted(set(q or [])) for q in row]
+def _tasks(df: DataFrame) -> int:
+    """For work that the bytes of a task do not tell."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _cell(v: Column, bounds: list[float]) -> Column:
-    """How many of the bounds lie below the value."""
-    return F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]).cast("array<double>"), lambda b: b < v))
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _splits(active: DataFrame, classes: int) -> DataFrame:
-    """(node, f, low, high, left): the best split of every node that has one, between the values
-    ``low`` and ``high`` of feature ``f``."""
-    names = [f"c{c}" for c in range(classes)]
-    train = active.where(~F.col("test")).select("node", "y", "cell", F.posexplode("x").alias("f", "v"))
-    counts = train.select("node", "y", "f", "v", F.get("cell", F.col("f")).alias("cell")).groupBy("node", "f", "cell", "v").agg(*_counts(classes, F.lit(True)))
-    # The first row of each cell holds what lies before the cell, the node's counts and the next cell's first value.
-    cells = Window.partitionBy("node", "f").orderBy("cell")
+def _lines(spark: SparkSession, impure: list[tuple[int, list[int]]]) -> DataFrame:
+    """(node, total): a line per large node."""
+    node, total = zip(*impure)
+    return spark.createDataFrame(pa.table([pa.array(node, pa.int32()), pa.array(total, pa.list_(pa.int64()))], names=["node", "total"]))
+
+
+def _splits(blocks: DataFrame, among: DataFrame, runs: np.ndarray, classes: int) -> DataFrame:
+    """(node, f, low, high, left): the best split of every node of ``among`` that has one, between the
+    values ``low`` and ``high`` of feature ``f``."""
+    # A line per node and block: what lies before the block, the node's counts and its next value after the block.
+    stats = blocks.select("f", "block", F.inline("stats")).where("first is not null").join(among, "node")
+    cells = Window.partitionBy("node", "f").orderBy("block")
     before = cells.rowsBetween(Window.unboundedPreceding, -1)
-    whole = cells.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = counts.groupBy("node", "f", "cell").agg(F.min("v").alias("v"), *[F.sum(c).alias(c) for c in names])
-    heads = heads.select("node", "f", "cell", "v", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in names],
-                         F.array(*[F.sum(c).over(whole) for c in names]).alias("total"), F.lead("v").over(cells).alias("next"), F.lit(True).alias("head"))
-    rows = counts.select("node", "f", "cell", "v", *names, F.lit(None).cast("array<bigint>").alias("total"), F.lit(None).cast("double").alias("next"), F.lit(False).alias("head"))
-    inside = Window.partitionBy("node", "f", "cell").orderBy(F.col("head").desc(), "v")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = heads.unionByName(rows).select("node", "f", "v", "head", *[F.sum(c).over(upto).alias(c) for c in names], F.first("total").over(upto).alias("total"),
-                                          F.coalesce(F.lead("v").over(inside), F.first("next").over(upto)).alias("high"))
-    sums = sums.where(~F.col("head") & F.col("high").isNotNull())
-
-    def squares(side: list[Column]) -> Column:  # over rows: plain arithmetic, as lambdas are interpreted value by value
-        return reduce(add, [c * c for c in side]).cast("double") / reduce(add, side)
-
-    left = [F.col(c) for c in names]
-    score = squares(left) + squares([F.get("total", F.lit(i)) - c for i, c in enumerate(left)])
-    sums = sums.withColumn("left", F.array(*left))
-    best = sums.groupBy("node").agg(F.max(F.struct(score.alias("score"), (-F.col("f")).alias("f"), (-F.col("v")).alias("v"), "left", "high")).alias("best"))
-    return best.select("node", (-F.col("best.f")).alias("f"), (-F.col("best.v")).alias("low"), "best.high", "best.left")
+    sums = [F.coalesce(F.sum(F.get("seen", F.lit(c))).over(before), F.lit(0)) for c in range(classes)]
+    lines = stats.select(F.col("f").alias("of"), F.col("block").alias("in"), "node", F.array(*sums).alias("before"), "total", F.lead("first").over(cells).alias("after"))
+
+    def scan(rows: pa.Table, lines: pa.Table) -> pa.Table:
+        found = [np.zeros(0)] * 5
+        if rows.num_rows and lines.num_rows:
+            node, before, total = [lines[c].combine_chunks() for c in ("node", "before", "total")]
+            node, before, total = node.to_numpy(), *[c.flatten().to_numpy().reshape(-1, classes) for c in (before, total)]
+            after = lines["after"].to_numpy().astype(float)
+            by = np.argsort(node)
+            v, y, fold, of = [rows[c][0].as_py() for c in ("v", "y", "fold", "at")]
+            v, y, fold = np.frombuffer(v), np.frombuffer(y, np.int32), np.frombuffer(fold, np.int64)
+            best = _best_cuts(v, y, fold, _at(of, len(runs), len(y)), runs, node[by], before[by], total[by], after[by])
+            found = [node[by][best[0]], *best[1:]] if best else found
+        node, score, low, high, left = found
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(node) + 1, dtype=np.int32) * classes), pa.array(left.ravel().astype(np.int64)))
+        f = np.full(len(node), rows["f"][0].as_py() if rows.num_rows else 0)
+        return pa.Table.from_arrays([pa.array(node.astype(np.int32)), pa.array(f, pa.int32()), pa.array(score), pa.array(low), pa.array(high), lists], names=["node", "f", "score", "low", "high", "left"])
+
+    rows = blocks.select("f", "block", F.get("x", "f").alias("v"), "y", "fold", "at").repartition(_tasks(blocks), "f", "block")
+    cuts = rows.groupBy("f", "block").cogroup(lines.groupBy("of", "in")).applyInArrow(scan, "node INT, f INT, score DOUBLE, low DOUBLE, high DOUBLE, left ARRAY<LONG>")
+    best = cuts.groupBy("node").agg(F.max(F.struct("score", (-F.col("f")).alias("f"), (-F.col("low")).alias("low"), "left", "high")).alias("best"))
+    return best.select("node", (-F.col("best.f")).alias("f"), (-F.col("best.low")).alias("low"), "best.high", "best.left")
+
+
+def _walked(ready: DataFrame, path: str, runs: np.ndarray, feature: list[int], threshold: list[float], child: list[int], states: list[int]) -> DataFrame:
+    """All rows of every run at the nodes where the levels ended, packed by node: training and held-out
+    rows of small nodes, held-out rows of leaves. Only held-out rows (``held``) keep their keys."""
+    feature, threshold, child, states = np.array(feature), np.array(threshold), np.array(child), np.array(states)
+    fold = F.coalesce(F.col("fold").cast("long"), F.lit(_NO_FOLD)).alias("fold")
+    held_type = T.ArrayType(T.StructType([ready.schema["key"], T.StructField("y", T.IntegerType())]))
+    schema = T.StructType([T.StructField("end", T.IntegerType()), T.StructField("state", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in ("x", "y", "test")], T.StructField("held", held_type)])
+    most = max(1, _PACK_CELLS // len(runs))
+
+    def walk(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        n, y = rows.num_rows, rows["y"].to_numpy()
+        x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        end = np.repeat(np.arange(len(runs)), n)
+        moving = np.flatnonzero(feature[end] >= 0)
+        while len(moving):
+            of = end[moving]
+            of = child[of] + ~(x[moving % n, feature[of]] <= threshold[of])
+            end[moving] = of
+            moving = moving[feature[of] >= 0]
+        test = (rows["fold"].to_numpy() == runs[:, None]).ravel()
+        kept = np.flatnonzero(test | (states[end] == _SMALL))
+        kept = kept[_by(end[kept])]
+        end, test, row = end[kept], test[kept], kept % n
+        heads = _heads(end)
+        starts = np.r_[heads, len(end)]
+        held = pa.array(row[test])
+        held = pa.StructArray.from_arrays([rows["key"].combine_chunks().take(held), pa.array(y[row[test]])], names=["key", "y"])
+        held = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(test)][starts], pa.int32()), held)
+        return pa.RecordBatch.from_arrays([pa.array(end[heads], pa.int32()), pa.array(states[end[heads]], pa.int32()), *[_binary(c, starts) for c in (x[row], y[row], test)], held], names=schema.names)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, most):
+                waiting.append(batch.slice(i, most))
+                n += waiting[-1].num_rows
+                if n >= most:
+                    yield walk(pa.Table.from_batches(waiting))
+                    waiting, n = [], 0
+        if n:
+            yield walk(pa.Table.from_batches(waiting))
+
+    return _written(ready.select("key", "y", "x", fold).mapInArrow(pack, schema), path)
+
+
+def _finished(packs: DataFrame, at: list[tuple[int, str]], classes: int, key_type: T.DataType, node_schema: T.StructType, seen_schema: T.StructType) -> DataFrame:
+    """The subtrees of the small nodes, each grown in one task, as lines of ``node_schema``, and their
+    held-out rows as lines of ``seen_schema`` (path NULL)."""
+    schema = T.StructType([*node_schema, *seen_schema[1:]])
+
+    def finish(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        run, start = at[group["end"][0].as_py()]
+        x, y, test = [np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("x", np.float64), ("y", np.int32), ("test", np.bool_))]
+        paths, (counts, feature, threshold, left), predicted = _grow_here(start, x.reshape(len(y), -1), y, test, classes)
+        n, rows = len(paths), np.flatnonzero(test)
+        leaf, offsets = feature < 0, pa.array(np.arange(n + 1, dtype=np.int32) * classes)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c.ravel(), pa.int64()), mask=pa.array(m)) for c, m in ((counts, np.zeros(n, bool)), (left, leaf))]
+        head = [pa.array(paths, pa.string()), lists[0], pa.array(feature, pa.int32(), mask=leaf), pa.array(threshold, pa.float64(), mask=leaf), lists[1]]
+        head = [pa.array(np.full(n + len(rows), run), pa.int32()), *[pa.concat_arrays([c, pa.nulls(len(rows), c.type)]) for c in head]]
+        key = group["held"].combine_chunks().flatten().field("key")
+        tail = [pa.concat_arrays([pa.nulls(n, key.type), key]), pa.array([None] * n + y[rows].tolist(), pa.int32()), pa.array([None] * n + predicted[rows].tolist(), pa.int32())]
+        return pa.Table.from_arrays([*head, *tail], names=schema.names)
+
+    return packs.where(F.col("state") == _SMALL).repartition(_tasks(packs), "end").groupBy("end").applyInArrow(finish, schema)
 
 
 def fold_scores(trees: Trees) -> DataFrame:

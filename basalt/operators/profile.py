@@ -8,15 +8,17 @@ distributed sort (see :mod:`basalt.operators.ordering`) instead of a per-group b
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.operators.ordering import cumulative_within
+from basalt.operators.ordering import _written, cumulative_within
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -231,14 +233,34 @@ def majority_accuracy(df: DataFrame, label: str, name: str = "majority_pct") ->
     return counts.agg(F.round(most / F.sum("c") * 100.0, 2).alias(name))
 
 
-def group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5, name: str = "median") -> DataFrame:
+def group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5, name: str = "median", group_rows: int = 100_000) -> DataFrame:
     """Exact interpolated quantile of ``value`` per group (``quantile_cont``), one row per group.
 
-    (group, value) pairs are counted first, then ranked by cumulative count inside each
-    group; a group of any size, or a value repeated in a third of it, is never gathered
-    into one buffer or task.
+    Groups of at most ``group_rows`` values are ranked by a window. In larger ones (group, value)
+    pairs are counted first, then ranked by cumulative count inside each group; such a group, or a
+    value repeated in a third of it, is never gathered into one buffer or task.
     """
     group = list(group)
-    vals = df.select(*group, F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = vals.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
-    return _interpolated(counts, group, [q], name).drop("q")
+    vals = df.select(*group, (F.col(value).cast("double") + F.lit(0.0)).alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    large = None
+    if group:
+        large = _written(vals.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows))
+        if large.isEmpty():
+            return _ranked(vals, group, q, name)
+        large = large.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)])
+        same = reduce(and_, [vals[g].eqNullSafe(large[f"__g{i}"]) for i, g in enumerate(group)])
+    counted = vals if large is None else vals.join(large, same, "left_semi")
+    counts = counted.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
+    out = _interpolated(counts, group, [q], name).drop("q")
+    return out if large is None else out.unionByName(_ranked(vals.join(large, same, "left_anti"), group, q, name))
+
+
+def _ranked(vals: DataFrame, group: Sequence[str], q: float, name: str) -> DataFrame:
+    """The same quantile as :func:`_interpolated`, for groups that each fit a task."""
+    each = Window.partitionBy(*group)
+    h, nth = F.col("__h"), F.col("__nth")
+    ranked = vals.select(*group, "value", (F.row_number().over(each.orderBy("value")) - 1).alias("__nth"), ((F.count(F.lit(1)).over(each) - 1) * F.lit(float(q))).alias("__h"))
+    ends = ranked.where((nth == F.floor(h)) | (nth == F.ceil(h))).groupBy(*group).agg(
+        F.max(F.when(nth == F.floor(h), F.col("value"))).alias("lo"), F.max(F.when(nth == F.ceil(h), F.col("value"))).alias("hi"), F.first(h).alias("__h")
+    )
+    return ends.select(*group, (F.col("lo") + (h - F.floor(h)) * (F.col("hi") - F.col("lo"))).alias(name))

@@ -172,3 +172,32 @@ def test_thresholds_between_neighbouring_floats():
     a = 1.0
     b = float(np.nextafter(a, 2))
     assert exact_tree._halfway(a, b) == a and exact_tree._halfway(1.0, 2.0) == 1.5
+
+
+def test_levels_do_not_copy_the_rows_for_every_run(spark, tmp_path, monkeypatch):
+    """Twenty folds: what a level writes holds each row once per feature, in blocks, and not once per run."""
+    monkeypatch.setattr(exact_tree, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
+    rows = [(*r[:5], r[0] % 20) for r in table(9, 300)]
+    trees = exact_tree.grow(spark.createDataFrame(rows, SCHEMA), ["a", "b", "c"], "label", ["id"], "fold", local_rows=100, cells=4)
+    at = tmp_path / "exact-tree"
+    lines = {d.name: spark.read.parquet(str(d)).count() for d in at.iterdir() if d.name not in ("given", "both", "large", "rows")}
+    assert lines and all(n <= 3 * len(rows) for n in lines.values())
+    blocks = spark.read.parquet(f"{at}/blocks-0").selectExpr("f", "block", "length(y) / 4 n", "length(at) / 2 pairs").collect()
+    assert len(blocks) >= 12 and len({(b["f"], b["block"]) for b in blocks}) == len(blocks) and all(b["pairs"] == 21 * b["n"] for b in blocks)
+    assert {f: sum(b["n"] for b in blocks if b["f"] == f) for f in range(3)} == dict.fromkeys(range(3), len(rows))
+    nodes = {}
+    for r in trees.nodes.collect():
+        nodes.setdefault(r["run"], {})[r["path"]] = (r["counts"], r["feature_index"], r["threshold"])
+    for run in (-1, 0, 7, 19):
+        assert nodes[run] == plain([((a, b, c), y) for _, a, b, c, y, f in rows if f != run], 3, list("xyz"))
+
+
+def test_rows_of_large_leaves_are_predicted(spark):
+    """A node that no value parts, larger than a task takes, with NULL and uneven folds."""
+    rows = [(i, 1, -0.0 if i % 2 else 0.0, 1.0, "xxy"[i % 3], None if i % 10 == 0 else i % 2) for i in range(90)] + [(100 + i, 5, 2.0, 1.0, "z", 0) for i in range(3)]
+    trees = exact_tree.grow(spark.createDataFrame(rows, SCHEMA), ["a", "b"], "label", ["id"], "fold", whole=False, local_rows=20, cells=3)
+    held = {(r["run"], r["id"]): (r["truth"], r["predicted"]) for r in trees.held_out.collect()}
+    assert held == {(f, i): (y, "x") for i, _, _, _, y, f in rows if f is not None}
+    got = {(r["run"], r["path"]): (r["counts"], r["threshold"]) for r in trees.nodes.collect()}
+    trained = [sum(y == c and f != 1 for *_, y, f in rows) for c in "xyz"]
+    assert got[(1, "")] == (trained, 3.0) and got[(1, "L")] == ([*trained[:2], 0], None) and set(got) == {(0, ""), (1, ""), (1, "L"), (1, "R")}

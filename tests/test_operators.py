@@ -336,3 +336,15 @@ def test_gram_correlations_skip_missing_pairs(spark):
     want = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df, df.columns[:5]).collect()}
     got = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_pairs(df.repartition(5), df.columns, method="gram").collect()}
     assert len(got) == 15 and all(got[k] is None if "flat" in k else got[k] == pytest.approx(want[k], abs=1e-6) for k in got)
+
+
+@pytest.mark.parametrize("group_rows", [100_000, 5, 0])
+def test_group_quantile_of_small_and_large_groups(spark, group_rows):
+    """Groups are ranked in a task or over tasks, by their size; both ways give the same, NULL group and repeated values included."""
+    rng = np.random.default_rng(6)
+    rows = [(g, None if g is None else g % 2, float(v)) for g, n in ((None, 9), (1, 1), (2, 4), (3, 6), (4, 30)) for v in rng.integers(-3, 3, n)]
+    df = spark.createDataFrame([*rows, (5, 1, None), (5, 1, float("nan")), (2, 0, None)], "g INT, k INT, v DOUBLE")
+    for q in (0.3, 0.5):
+        got = {(r["g"], r["k"]): r["m"] for r in profile.group_quantile(df, ["g", "k"], "v", q, "m", group_rows=group_rows).collect()}
+        keys = {(g, k) for g, k, _ in rows}
+        assert got == pytest.approx({k: float(np.quantile([v for *key, v in rows if tuple(key) == k], q)) for k in keys})
