@@ -295,7 +295,8 @@ def grow(
     Rows without a label, or with a NULL, NaN or infinite feature, take no part. A row whose fold
     is NULL trains in every run. Class codes follow the sorted labels; more than ``max_classes`` of
     them raise. An empty table gives no nodes. A node whose rows agree in all features is a leaf;
-    its prediction is its most frequent class, the first of equals.
+    its prediction is its most frequent class, the first of equals. ``cells`` is the least number of
+    blocks per feature; blocks only deal out the work, no split depends on them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "exact-tree")
